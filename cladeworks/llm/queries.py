@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing
+from . import chat, line_dedup, mixing, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CONTROL_TURN = "</s>[INST] ok [/INST]"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TURN), (-1, 1, "assistant", CONTROL_TURN)], rows.schema)
+    convs = chat.conversations(rows.unionByName(extra))
+    return convs.select("conv_id", "key").join(chat.read_back(chat.prefix_trees(convs)), "key").drop("key")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -22,11 +42,32 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op3_chat_format": op3_chat_format,
+    "op5_quality_rules": op5_quality_rules,
     "op7_mix_sources": op7_mix_sources,
     "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES = {
+    "op1_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(40), lambda i: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
+    [strpos('0123456789abcdef', hex[i + 1])]), '') AS bits, min(page_id) OVER (PARTITION BY hex) AS lo FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(5), lambda j: (bits[5 * i + j + 1])::INT * (2 ** (4 - j))::INT))::INT]), '') AS payload_digest,
+  CASE WHEN page_id = lo THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = lo THEN NULL ELSE lo END AS refers_to
+FROM b""",
+    "op3_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (SELECT *, length(text) + length(role) + 13
+    + length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2 + (length(text) - length(replace(text, '<s>', ''))) // 3 + (length(text) - length(replace(text, '</s>', ''))) // 4
+    + (length(text) - length(replace(text, '[INST]', ''))) // 6 + (length(text) - length(replace(text, '[/INST]', ''))) // 7 + (length(text) - length(replace(text, '<<SYS>>', ''))) // 7 + (length(text) - length(replace(text, '<</SYS>>', ''))) // 8 AS n FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op7_mix_sources": r"""
 WITH d AS (SELECT doc_id, source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
