@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, mixing, quality, warc
+from . import chat, line_dedup, mixing, near, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
+
+
 CONTROL_TURN = "</s>[INST] ok [/INST]"
 
 
@@ -43,6 +47,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_chat_format": op3_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op7_mix_sources": op7_mix_sources,
