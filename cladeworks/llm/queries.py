@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, mixing, near, quality, warc
+from . import chat, decontaminate, line_dedup, mixing, near, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.cosine", "m.lcs")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_jaccard_join": op2_jaccard_join,
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_mix_sources": op7_mix_sources,
     "op9_line_dedup": op9_line_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {
