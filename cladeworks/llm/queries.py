@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, near, quality, warc
+from . import chat, decontaminate, line_dedup, mixing, near, quality, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -56,6 +61,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op7_mix_sources": op7_mix_sources,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -101,6 +107,17 @@ r AS (SELECT d.*, t.source_size, t.target, t.whole, t.target - t.whole * t.sourc
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
   (size * (whole + CASE WHEN r > 0 AND (upto < r OR (upto - own < r AND upto - r < r - (upto - own))) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM r""",
+    "op8_substring_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT rid, ws, unnest(range(len(ws) - 34)) AS i FROM d WHERE len(ws) >= 35),
+w AS (SELECT rid, i, md5(array_to_string(ws[i + 1:i + 35], ' ')) AS h FROM p),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+g AS (SELECT DISTINCT rid, i + j AS pos FROM r, (SELECT unnest(range(35)) AS j)),
+k AS (SELECT rid, ws, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM d),
+o AS (SELECT k.rid, count(g.pos) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY k.pos) FILTER (g.pos IS NULL), '') AS kept
+  FROM k LEFT JOIN g ON k.rid = g.rid AND k.pos = g.pos GROUP BY k.rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN o USING (rid)""",
     "op9_line_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT rid, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
