@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, near, quality, substring, warc
+from . import chat, decontaminate, line_dedup, mixing, near, quality, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_chat_format": op3_chat_format,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
