@@ -113,7 +113,7 @@ def gram_counts(docs: DataFrame) -> list:
 
     rows = docs.select("text", "label").mapInArrow(run, "kind string, slot long, a long, b long")
     bits = F.col("kind").startswith("f") | (F.col("kind") == "b")
-    sums = rows.groupBy("kind", "slot").agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"), F.bit_or("a").alias("oa"), F.bit_or("b").alias("ob"))
+    sums = rows.groupBy("kind", "slot").agg(F.sum(F.when(~bits, F.col("a"))).alias("sa"), F.sum(F.when(~bits, F.col("b"))).alias("sb"), F.bit_or("a").alias("oa"), F.bit_or("b").alias("ob"))
     return sums.select("kind", "slot", F.when(bits, F.col("oa")).otherwise(F.col("sa")).alias("a"), F.when(bits, F.col("ob")).otherwise(F.col("sb")).alias("b")).toArrow()
 
 
