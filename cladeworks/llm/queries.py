@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, near, quality, substring, toxicity, warc
+from . import chat, decontaminate, extract, line_dedup, mixing, near, quality, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convs.select("conv_id", "key").join(chat.read_back(chat.prefix_trees(convs)), "key").drop("key")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_chat_format": op3_chat_format,
+    "op4_html_extract": op4_html_extract,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
