@@ -22,6 +22,7 @@ columns pass through; text, n_words and n_removed are replaced.
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -69,18 +70,18 @@ def chunk_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """k, t1, s0 (first window in the text) of each super-edge; texts: t1, text."""
+    """k, t1, t2, s0 (first window in the text) of each super-edge; texts: t1, t2, text."""
 
     def run(batches):
         for batch in batches:
-            ids = np.asarray(batch.column(0))
-            for a, b in X.slices(batch.column(1)):
-                h, first = chunk_words(batch.column(1).slice(a, b - a))
+            t1, t2 = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for a, b in X.slices(batch.column(2)):
+                h, first = chunk_words(batch.column(2).slice(a, b - a))
                 s0, _, _, k = super_edges(h, first, window, anchor)
                 doc = np.searchsorted(first, s0, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[a:b][doc]), pa.array((s0 - first[doc]).astype(np.int32))], ["k", "t1", "s0"])
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(t1[a:b][doc]), pa.array(t2[a:b][doc]), pa.array((s0 - first[doc]).astype(np.int32))], ["k", "t1", "t2", "s0"])
 
-    return texts.select("t1", "text").mapInArrow(run, "k long, t1 long, s0 int")
+    return texts.select("t1", "t2", "text").mapInArrow(run, "k long, t1 long, t2 long, s0 int")
 
 
 EDGE = "t1 long, t2 long, copies long, s0 int, n int, k long, shift int, e1 long, e2 long, windows array<long>"
@@ -119,11 +120,12 @@ def edges(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     return texts.select("t1", "t2", "copies", "starts", "text").mapInArrow(run, EDGE)
 
 
-def repeated_windows(found: DataFrame, work: Workspace) -> DataFrame:
+KEY = ("k", "e1", "e2", "shift")
+
+
+def repeated_windows(distinct: DataFrame, work: Workspace) -> DataFrame:
     """k, e1, e2, lo, hi: runs of repeated windows inside each distinct super-edge, as offsets."""
-    key = ["k", "e1", "e2", "shift"]
-    distinct = found.groupBy(*key).agg(F.sum("copies").alias("copies"), F.first("n").alias("n"), F.first("windows").alias("windows"))
-    distinct = work.save(distinct, "distinct")
+    key = list(KEY)
     several = distinct.groupBy("k").agg(F.count(F.lit(1)).alias("edges"))
     alone = distinct.join(several.where("edges = 1"), "k", "left_semi").where("copies > 1")
     whole = alone.select("k", "e1", "e2", "shift", F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
@@ -139,7 +141,7 @@ def repeated_windows(found: DataFrame, work: Workspace) -> DataFrame:
 
 def paths(found: DataFrame, runs: DataFrame) -> DataFrame:
     """t1, t2, first, last: windows of the compacted repeated paths at each of their source coordinates."""
-    key = ["k", "e1", "e2", "shift"]
+    key = list(KEY)
     here = found.join(runs, key).select("t1", "t2", F.xxhash64(*key, "lo").alias("edge"), (F.col("s0") + F.col("lo")).alias("first"), (F.col("s0") + F.col("hi")).alias("last"))
     text = Window.partitionBy("t1", "t2").orderBy("first")
     linked = here.withColumn("before", F.when(F.lag("last").over(text) + 1 == F.col("first"), F.lag("edge").over(text)))
@@ -196,8 +198,10 @@ def remove(docs: DataFrame, window: int) -> DataFrame:
 
 def release(spark) -> None:
     """Lets Spark delete shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -208,18 +212,25 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(h1.alias("t1"), h2.alias("t2"), "text")
     every = work.save(anchors(texts, window, anchor), "anchors")
     twice = every.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    starts = every.join(twice, "k", "left_semi").groupBy("t1").agg(F.collect_set("s0").alias("starts"))  # places in one text
+    starts = every.join(twice, "k", "left_semi").groupBy("t1", "t2").agg(F.collect_set("s0").alias("starts"))  # places in one text
     starts = work.save(starts, "starts")
     work.drop("anchors")
     release(spark)
     one = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    found = work.save(edges(one.join(starts, "t1"), window, anchor), "edges")
+    found = work.save(edges(one.join(starts, ["t1", "t2"]), window, anchor), "edges")
     work.drop("starts")
     release(spark)
-    runs = repeated_windows(found, work)
+    distinct = found.groupBy(*KEY).agg(F.sum("copies").alias("copies"), F.first("n").alias("n"), F.first("windows").alias("windows"))
+    distinct = work.save(distinct, "distinct")
+    found = work.save(found.select("t1", "t2", "s0", *KEY), "places")  # from here on the hashes of windows are needed once only
+    work.drop("edges")
+    release(spark)
+    runs = repeated_windows(distinct, work)
+    work.drop("distinct")
+    release(spark)
     spans = paths(found, runs).groupBy("t1", "t2").agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
     spans = work.save(spans, "spans")
-    work.drop("edges", "distinct", "runs")
+    work.drop("places", "runs")
     release(spark)
     g1, g2 = X.two_hashes(F.coalesce("text", F.lit("")))
     marked = docs.withColumns({"_t1": g1, "_t2": g2}).join(spans.withColumnsRenamed({"t1": "_t1", "t2": "_t2"}), ["_t1", "_t2"], "left")
