@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
@@ -217,14 +217,10 @@ def neighbour_joining(aln: DataFrame) -> DataFrame:
     """marker_id, newick, method ('nj-builtin'), reason: a tree of each marker's sequences by p-distance. Fewer than four: none, and why."""
     kind = aln.schema["marker_id"].dataType.simpleString()
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < 4:
             return pd.DataFrame([(key[0], None, None, "fewer than 4 sequences")], columns=["marker_id", "newick", "method", "reason"])
         pdf = pdf.sort_values("taxon")
         return pd.DataFrame([(key[0], N.neighbour_joining([str(t) for t in pdf.taxon], list(pdf.seq)), "nj-builtin", None)], columns=["marker_id", "newick", "method", "reason"])
 
     return aln.select("marker_id", "taxon", "seq").groupBy("marker_id").applyInPandas(run, f"marker_id {kind}, newick string, method string, reason string")
-
-
-def ordinal_window(*keys: str):
-    return Window.partitionBy(*keys)

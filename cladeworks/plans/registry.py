@@ -12,4 +12,4 @@ def register(name: str, query, sql: str | None = None) -> None:
         ORACLES[name] = sql
 
 
-from . import marker_queries  # noqa: E402, F401  they register themselves
+from . import decision_queries, marker_queries  # noqa: E402, F401  they register themselves
