@@ -8,8 +8,8 @@ terms. In a last pass each document's blocks are projected, windows of three nei
 compared with all benchmark passages by cosine, and a pair above `cosine` is verified on the words: the longest common
 subsequence must hold `same` of the passage, or `similar` of it and the passage's answer (its last words) too.
 
-Words found in more than `common` of the blocks carry almost no weight and are left out of a passage's vector as long
-as FEWEST rarer ones remain. The benchmark is a stated query set: it is collected on the driver and compared in blocks
+Words found in more than `common` of the blocks carry little weight and are left out of the vectors, but for the FEWEST
+rarest of each passage. The LCS and answer checks see all words. The benchmark is a stated query set: it is collected on the driver and compared in blocks
 of PASSAGES passages, so what a task holds is bounded whatever its size; the corpus is never collected.
 
 Defined cases: null text counts as empty; benchmark items of fewer than LEAST words can't be told from chance and match
@@ -19,6 +19,8 @@ Extra columns pass through; a column named `matches` is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 from . import text as X
 from .store import Workspace
 
-BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE = 32, 3, 48, 5, 6, 5, 2000, 256, 512
+BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 256, 512, 1 << 13
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("lcs", T.DoubleType())])
 
 _SEPARATES = np.ones(256, bool)
@@ -41,8 +43,10 @@ def normal_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, at = X.buffers(pc.utf8_lower(column.cast(pa.large_string())))
     space = _SEPARATES[raw]
     if len(raw) > 2:  # punctuation of two and three bytes
-        two = np.flatnonzero((raw[:-1] == 0xC2) & ~np.isin(raw[1:], (0xAA, 0xB5, 0xBA)))
-        three = np.flatnonzero((raw[:-2] == 0xE2) & ((raw[1:-1] == 0x80) | (raw[1:-1] == 0x81)))
+        two = np.flatnonzero(raw[:-1] == 0xC2)
+        two = two[~np.isin(raw[two + 1], (0xAA, 0xB5, 0xBA))]
+        three = np.flatnonzero(raw[:-2] == 0xE2)
+        three = three[(raw[three + 1] == 0x80) | (raw[three + 1] == 0x81)]
         for spots, n in ((two, 2), (three, 3)):
             for k in range(n):
                 space[spots + k] = True
@@ -88,11 +92,12 @@ def split_items(items: list) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def read_hits(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a batch and the block of each, numbered over the batch."""
-    terms = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32)
-    counts = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
-    return terms.astype(np.int64), np.repeat(np.arange(len(counts)), counts)
+def read_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each chunk of text: its terms, the block of each, and how many blocks there are."""
+    for batch in batches:
+        for terms, counts in zip(batch.column(0), batch.column(1)):
+            n = np.frombuffer(counts.as_buffer(), np.uint8)
+            yield np.frombuffer(terms.as_buffer(), np.uint32).astype(np.int64), np.repeat(np.arange(len(n)), n), len(n)
 
 
 def hits(docs: DataFrame, vocabulary) -> DataFrame:
@@ -117,10 +122,11 @@ def frequencies(table: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
 
     def run(batches):
         df, total = np.zeros(n_terms, np.int64), 0
-        for batch in batches:
-            term, block = read_hits(batch)
-            total += sum(len(x) for x in batch.column(1).to_pylist())
-            df += np.bincount(np.unique(block * n_terms + term) % n_terms, minlength=n_terms)
+        for term, block, n_blocks in read_hits(batches):
+            total += n_blocks
+            key = block * n_terms + term
+            key.sort()
+            df += np.bincount(key[np.append(True, key[1:] != key[:-1])[: len(key)]] % n_terms, minlength=n_terms)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], total))], ["term", "n"])
 
@@ -139,15 +145,12 @@ def gram_product(table: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray
     def run(batches):
         weight, thin = shared.value
         out = np.zeros((len(weight), thin.shape[1]), np.float64)
-        for batch in batches:
-            term, block = read_hits(batch)
-            for a in range(0, len(term), 1 << 15):
+        for term, block, _ in read_hits(batches):
+            ok = weight[term] > 0
+            term, block = term[ok], block[ok]
+            for a in range(0, len(term), PIECE):
                 # a block that straddles two pieces counts as two passages
-                t, b = term[a : a + (1 << 15)], block[a : a + (1 << 15)]
-                ok = weight[t] > 0
-                t, b = t[ok], b[ok]
-                if not len(t):
-                    continue
+                t, b = term[a : a + PIECE], block[a : a + PIECE]
                 w = weight[t].astype(np.float32)[:, None]
                 cut = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
                 y = np.add.reduceat(thin[t] * w, cut)
@@ -206,7 +209,7 @@ def masks_of(words: np.ndarray) -> dict[int, int]:
     return out
 
 
-def flag(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, same: float = 0.75, similar: float = 0.5, common: float = 0.02, rank: int = RANK) -> DataFrame:
+def flag(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, same: float = 0.75, similar: float = 0.5, common: float = 0.001, rank: int = RANK) -> DataFrame:
     """docs with matches: for each benchmark item found in the document its best cosine and LCS share. Empty: clean."""
     items = sorted(((r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()), key=str)
     passages = split_items(items)
@@ -239,12 +242,13 @@ def model(docs: DataFrame, passages: list[tuple[int, np.ndarray]], common: float
     table = work.save(hits(docs, spark.sparkContext.broadcast(voc)), "hits")
     df, total = frequencies(table, n)
     idf = np.log((total + 1.0) / (df + 1.0)) + 0.1
-    rare = df <= common * max(total, 1)
-    used = np.zeros(n, bool)
+    weights = idf.copy()
+    used = df <= common * max(total, 1)
     rows = []
     for _, p in passages:
         terms = np.searchsorted(voc.hashes, p)
-        used[terms if len(np.unique(terms[rare[terms]])) < FEWEST else terms[rare[terms]]] = True
+        own = np.unique(terms)
+        used[own[np.argsort(df[own], kind="stable")[:FEWEST]]] = True
         rows.append(terms)
     idf[~used] = 0
     items = np.zeros((len(passages), n))
@@ -256,12 +260,15 @@ def model(docs: DataFrame, passages: list[tuple[int, np.ndarray]], common: float
     work.drop("hits")
     return {
         "voc": voc, "project": basis * idf[:, None].astype(np.float32), "idf": idf, "items": (low / np.maximum(norms, 1e-9)).astype(np.float32).T,
-        "passages": passages, "masks": [masks_of(p) for _, p in passages], "ends": [masks_of(p[-ANSWER:]) for _, p in passages],
+        "weights": [weights[t] / weights[t].sum() for t in rows], "passages": passages, "masks": [masks_of(p) for _, p in passages], "ends": [masks_of(p[-ANSWER:]) for _, p in passages],
     }
 
 
 def search(m: dict, h: np.ndarray, first: np.ndarray, found: list[dict], cosine: float, same: float, similar: float) -> None:
-    """Adds (LCS share, cosine) by item to found, for the documents of a chunk."""
+    """Adds (LCS share, cosine) by item to found, for the documents of a chunk.
+
+    The passage's words that the window has must also hold `similar` of its idf, so that common words alone never match.
+    """
     at, term = m["voc"].find(h)
     ok = m["idf"][term] > 0
     at, term = at[ok], term[ok]
@@ -296,7 +303,8 @@ def search(m: dict, h: np.ndarray, first: np.ndarray, found: list[dict], cosine:
             item, words = m["passages"][p]
             begin = first[d] + (which[row] - start[d]) * BLOCK
             span = h[begin : min(begin + BLOCK * WINDOW, first[d + 1])]
-            if np.isin(words, span).sum() < similar * len(words):
+            held_words = np.isin(words, span)
+            if held_words.sum() < similar * len(words) or m["weights"][p][held_words].sum() < similar:
                 continue
             seen = span.tolist()
             share = lcs(m["masks"][p], len(words), seen) / len(words)
