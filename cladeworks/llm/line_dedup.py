@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import Workspace
-from .text import SPACE, two_hashes
+from .text import SPACE, fresh, two_hashes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,11 +100,12 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
     common = work.save(runs.settled(), "common")
     at = texts.select("t1", "t2", F.posexplode("keys").alias("pos", "k")).where("k is not null").select("t1", "t2", "pos", "k.k1", "k.k2")
     gone = work.save(at.join(common, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_list("pos").alias("_gone")), "gone")
-    marked = docs.withColumns({"t1": h1, "t2": h2}) if not {"t1", "t2"} & set(docs.columns) else None
-    if marked is None:
-        raise ValueError("documents must not have columns t1 or t2")
+    x = fresh(docs.columns)
+    drops = gone.select(F.col("t1").alias(x + "t1"), F.col("t2").alias(x + "t2"), F.col("_gone").alias(x + "gone"))
+    listed = F.col(x + "gone")
     kept = F.when(
-        F.col("_gone").isNotNull(), F.array_join(F.filter(F.transform(lines(), lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull()), "\n")
+        listed.isNotNull(), F.array_join(F.filter(F.transform(lines(), lambda line, i: F.when(~F.array_contains(listed, i), line)), lambda line: line.isNotNull()), "\n")
     ).otherwise(F.coalesce("text", F.lit("")))
-    out = marked.join(gone, ["t1", "t2"], "left").withColumns({"n_lines": F.size(lines()).cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"), "text": kept})
+    out = docs.withColumns({x + "t1": h1, x + "t2": h2}).join(drops, [x + "t1", x + "t2"], "left")
+    out = out.withColumns({"n_lines": F.size(lines()).cast("long"), "n_dropped": F.coalesce(F.size(listed), F.lit(0)).cast("long"), "text": kept})
     return out.select(*docs.columns, "n_lines", "n_dropped")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import Workspace
-from .text import n_words
+from .text import fresh, n_words
 
 HASH_BITS, LEVEL_BITS = 60, 10
 ADDED = ("size", "source_size", "target", "copies", "taken")
@@ -57,8 +57,10 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: i
     weights repeat over the sources in code point order. most must be whole: a document is taken whole or not at all.
     """
     spark, work = docs.sparkSession, Workspace(docs.sparkSession, "mixing")
-    marked = docs.drop(*ADDED).withColumns({"_key": source_key(), "size": n_words("text"), "_h": place()})
-    slim = work.save(marked.select("_key", "size", "_h"), "slim")
+    docs = docs.drop(*ADDED)
+    x = fresh(docs.columns)
+    marked = docs.withColumns({x + "key": source_key(), "size": n_words("text"), x + "h": place()})
+    slim = work.save(marked.select(F.col(x + "key").alias("_key"), "size", F.col(x + "h").alias("_h")), "slim")
     sizes = slim.groupBy("_key").agg(F.sum("size").alias("source_size"))
     state = targets(sizes, weights, budget, most).withColumns(
         {"_whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")}
@@ -72,10 +74,10 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: i
         work.drop(f"level{level - 1}")
         if not state.where("_cut is null").limit(1).count():
             break
-    found = state.select("_key", "source_size", "target", "_whole", "_cut")
-    out = marked.join(found, "_key", "left")
-    copies = (F.col("_whole") + (F.col("_h") < F.col("_cut")).cast("long")).cast("long")
-    return out.withColumns({"copies": copies, "taken": F.col("size") * copies}).select(*docs.drop(*ADDED).columns, *ADDED)
+    found = state.select(F.col("_key").alias(x + "key"), "source_size", "target", F.col("_whole").alias(x + "whole"), F.col("_cut").alias(x + "cut"))
+    out = marked.join(found, x + "key", "left")
+    copies = (F.col(x + "whole") + (F.col(x + "h") < F.col(x + "cut")).cast("long")).cast("long")
+    return out.withColumns({"copies": copies, "taken": F.col("size") * copies}).select(*docs.columns, *ADDED)
 
 
 def refine(slim: DataFrame, state: DataFrame, shift: int) -> DataFrame:

@@ -128,3 +128,11 @@ def n_words(text: Column | str) -> Column:
     """Number of words, inside the JVM."""
     inner = F.btrim(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), F.lit(SPACE))
     return F.when(inner == "", F.lit(0)).otherwise(F.size(F.split(inner, SPACE_CLASS + "+"))).cast("long")
+
+
+def fresh(columns: list[str]) -> str:
+    """A prefix that no column has, for columns that an operator adds and drops again."""
+    prefix = "_x"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "x"
+    return prefix
