@@ -30,9 +30,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import Workspace
+
 # Control strings of this and other public chat templates.
 CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS, BLOCKS_A_TASK = 1 << 20, 4
 _STARTS = re.compile(r"\\|(?=" + "|".join(map(re.escape, CONTROL)) + ").", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"<\|((?:[^|\\]|\\.|\|(?!>))*)\|>\n(.*?)<\|end\|>\n", re.S)
@@ -112,8 +114,11 @@ def build(distinct: Iterator[pd.DataFrame], block_chars: int, part: str) -> Iter
 
 def prefix_trees(convs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Blocks (BLOCKS) of the distinct conversations of conversations()."""
-    distinct = convs.select("key", "path", "turns").dropDuplicates(["key"])
-    n = int(convs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = Workspace(convs.sparkSession, "chat")
+    distinct = work.save(convs.select("key", "path", "turns").dropDuplicates(["key"]), "distinct")
+    size = F.aggregate("turns", F.lit(0).cast("long"), lambda s, t: s + F.length(t["text"]))
+    chars = distinct.agg(F.sum(size)).first()[0] or 0
+    n = 1 + chars // (BLOCKS_A_TASK * block_chars)  # cuts between tasks are rarer than those between blocks
     ordered = distinct.repartitionByRange(n, "path").sortWithinPartitions("path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
