@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model.
 
 A page is parsed into a tree of block elements. Each has a binary state, content or not; a log-linear potential reads
-its tag, the words of its class and id, its text and links, and a potential on each edge couples parent and child.
+its tag, the words of its and its next ancestors' class and id, its text and links, and a potential on each edge couples parent and child.
 Sum-product messages, once up and once down the tree, give exact marginals; training climbs the exact gradient of the
 labels' log-likelihood (expected against observed features) on labelled pages, by default a bounded number of generated
 ones (html_pages). Blocks whose element is content with a marginal of at least 0.5 are the text.
@@ -156,11 +156,17 @@ class Page:
 def features(page: Page) -> list[list[str]]:
     out = []
     n_links = page.linked
+    words = [[w.lower() for w in _WORD.findall(a)] if a else [] for a in page.attributes]
     for i, tag in enumerate(page.tag):
         size = page.size[i]
         mine = ["bias", "tag:" + tag]
-        if page.attributes[i]:
-            mine += ["word:" + w.lower() for w in _WORD.findall(page.attributes[i])]
+        mine += ["word:" + w for w in words[i]]
+        up = page.parent[i]
+        for _ in range(2):  # the words of parent and grandparent
+            if up > 0:
+                mine += ["above:" + w for w in words[up]]
+                mine.append("under:" + page.tag[up])
+                up = page.parent[up]
         if size:
             mine.append(f"size:{min(8, int(math.log2(size)))}")
             mine.append("linked" if n_links[i] * 2 > size else "plain")

@@ -42,6 +42,8 @@ def _junk(r: random.Random) -> str:
 
 def _comments(r: random.Random) -> str:
     one = lambda: f'<div class="{r.choice(["comment", "comment-body", "reply"])}"><p>{_words(r, r.randint(2, 60))}</p></div>'
+    if r.random() < 0.3:
+        one = lambda: f'<p>{_words(r, r.randint(1, 60))}</p>'
     tag, name = r.choice([("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("ol", "commentlist"), ("div", "disqus"), ("section", "responses")])
     return f'<{tag} {r.choice(["class", "id"])}="{name}"><h3>{_words(r, 2)}</h3>' + "".join(one() for _ in range(r.randint(1, 4))) + f"</{tag}>"
 
