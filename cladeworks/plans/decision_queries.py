@@ -131,10 +131,10 @@ register("independence", lambda s, d: D.independence(P.risks(s, d).select((F.col
 
 
 def similar(s, d):
-    return P.table(s, d, "lineitem").groupBy((F.col("l_partkey") % 100).alias("q"), (F.col("l_suppkey") % 100).alias("s")).agg(F.sum("l_quantity").alias("score"))
+    return P.table(s, d, "lineitem").groupBy((F.col("l_partkey") % 10).alias("q"), (F.col("l_suppkey") % 10).alias("s")).agg(F.sum("l_quantity").alias("score"))
 
 
-register("bbh", lambda s, d: D.reciprocal_best(similar(s, d)), P.oracle("SELECT x.q, x.s FROM b x JOIN b y ON x.q = y.s AND x.s = y.q WHERE x.q < y.q", "h AS (SELECT l_partkey % 100 AS q, l_suppkey % 100 AS s, sum(l_quantity) AS score FROM lineitem GROUP BY ALL), b AS (SELECT q, first(s ORDER BY score DESC, s) AS s FROM h WHERE q <> s GROUP BY q)"))
+register("bbh", lambda s, d: D.reciprocal_best(similar(s, d)), P.oracle("SELECT x.q, x.s FROM b x JOIN b y ON x.q = y.s AND x.s = y.q WHERE x.q < y.q", "h AS (SELECT l_partkey % 10 AS q, l_suppkey % 10 AS s, sum(l_quantity) AS score FROM lineitem GROUP BY ALL), b AS (SELECT q, first(s ORDER BY score DESC, s) AS s FROM h WHERE q <> s GROUP BY q)"))
 register("ortholog_length", lambda s, d: D.length_representative(P.table(s, d, "documents").select(F.col("source").alias("marker_id"), F.col("doc_id").alias("id"), F.length("text").alias("length"))), P.oracle("SELECT marker_id, median, first(id ORDER BY abs(l - median), id) AS id FROM (SELECT source AS marker_id, doc_id AS id, length(text)::INT AS l FROM documents) JOIN (SELECT source AS marker_id, (list_sort(list(length(text)))[count(*) // 2 + 1])::INT AS median FROM documents GROUP BY 1) USING (marker_id) GROUP BY ALL"))
 
 # evaluation
