@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import weighted
 
-# Fixed values: (largest normalised RF, least quartet agreement) of each stringency.
+# Fixed values: (largest normalised RF, least quartet agreement) of each stringency, and the risk levels' upper bounds.
 BOUNDS = {1: (0.05, 0.90), 2: (0.10, 0.80), 3: (0.15, 0.70), 4: (0.20, 0.60), 5: (0.25, 0.50)}
-LEVEL1_MAX, LEVEL2_MAX, FAR_LEVEL2_MAX = 0.3, 0.6, 0.95
+LEVEL1_MAX, LEVEL2_MAX, FAR_LEVEL2_MAX = 0.25, 0.6, 0.95
 
 
 def species_tree_risk(nrf: str = "nrf", quartet: str = "quartet", rf_weight: float = 0.5) -> Column:
@@ -112,7 +112,7 @@ def agrees(nrf: Column, quartet: Column, stringency: int) -> Column:
     return (nrf <= most) & (quartet >= least)
 
 
-def consistency(legs: DataFrame, stringency: int = 3, min_pis: int = 0) -> DataFrame:
+def consistency(legs: DataFrame, stringency: int = 1, min_pis: int = 0) -> DataFrame:
     """legs (marker_id, nrf_a, quartet_a, nrf_b, quartet_b, pis) with grade and strength of both legs.
 
     Both agree: consistent; exactly one: inconsistent; none, an unmeasured leg or too few sites: inconclusive.

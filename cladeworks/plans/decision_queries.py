@@ -92,7 +92,7 @@ FROM tg JOIN (VALUES ('r1', 'monophyletic', 'phylum'), ('r2', 'monophyletic', 'd
 
 # decisions
 EVAL = """ev0 AS (SELECT *, CASE WHEN nrf IS NULL OR quartet IS NULL THEN NULL ELSE round(0.5 * nrf + 0.5 * (1 - quartet), 9) END AS risk FROM risks),
-ev1 AS (SELECT *, CASE WHEN risk IS NULL THEN 'unknown' WHEN risk < 0.3 THEN 'level_1' WHEN risk < 0.6 THEN 'level_2' ELSE 'level_3' END AS level, least(abs(risk - 0.3), abs(risk - 0.6)) / 0.6 AS dist FROM ev0),
+ev1 AS (SELECT *, CASE WHEN risk IS NULL THEN 'unknown' WHEN risk < 0.25 THEN 'level_1' WHEN risk < 0.6 THEN 'level_2' ELSE 'level_3' END AS level, least(abs(risk - 0.25), abs(risk - 0.6)) / 0.6 AS dist FROM ev0),
 ev AS (SELECT *, CASE WHEN risk IS NULL THEN NULL WHEN dist >= 0.4 THEN 'high' WHEN dist >= 0.15 THEN 'medium' ELSE 'low' END AS confidence,
 CASE WHEN nrf IS NULL AND quartet IS NULL THEN 'no_evidence' WHEN nrf IS NULL THEN 'rf_unmeasured' WHEN quartet IS NULL THEN 'quartet_unmeasured' END AS reason FROM ev1)"""
 
@@ -102,7 +102,7 @@ def ev(s, d):
 
 
 register("risk_level", lambda s, d: ev(s, d).select("marker_id", r6("risk").alias("risk"), "level", "confidence", "reason", "state"), P.oracle("SELECT marker_id, round(risk, 6) AS risk, level, confidence, reason, CASE WHEN risk IS NULL THEN 'not_measurable' ELSE 'measured' END AS state FROM ev", EVAL))
-register("risk_level_far", lambda s, d: D.evaluate(P.risks(s, d), far=True).groupBy("level").agg(F.count(F.lit(1)).alias("n")), P.oracle("SELECT CASE WHEN risk IS NULL THEN 'unknown' WHEN risk < 0.3 THEN 'level_1' WHEN risk < 0.95 THEN 'level_2' ELSE 'level_3' END AS level, count(*) AS n FROM ev GROUP BY 1", EVAL))
+register("risk_level_far", lambda s, d: D.evaluate(P.risks(s, d), far=True).groupBy("level").agg(F.count(F.lit(1)).alias("n")), P.oracle("SELECT CASE WHEN risk IS NULL THEN 'unknown' WHEN risk < 0.25 THEN 'level_1' WHEN risk < 0.95 THEN 'level_2' ELSE 'level_3' END AS level, count(*) AS n FROM ev GROUP BY 1", EVAL))
 register("hgt_report", lambda s, d: D.report(ev(s, d)).withColumns({"mean_risk": r6("mean_risk"), "coverage": r6("coverage")}), P.oracle("SELECT count(*) FILTER (level = 'level_1') AS n_level_1, count(*) FILTER (level = 'level_2') AS n_level_2, count(*) FILTER (level = 'level_3') AS n_level_3, count(*) FILTER (level = 'unknown') AS n_unknown, count(*) AS n_markers, round(avg(coalesce(risk, 0)), 6) AS mean_risk, count(*) FILTER (confidence = 'high') AS n_high_confidence, round(count(*) FILTER (level <> 'unknown') / count(*)::DOUBLE, 6) AS coverage FROM ev", EVAL))
 register("unmeasured_reasons", lambda s, d: D.reasons(ev(s, d)), P.oracle("SELECT reason, count(*) AS n, array_to_string(list_sort(list(marker_id::VARCHAR))[1:8], ',') AS first FROM ev WHERE level = 'unknown' GROUP BY 1", EVAL))
 register("risk_backfill", lambda s, d: D.backfill(P.risks(s, d).select("marker_id"), ev(s, d)).select("marker_id", r6("hgt_risk").alias("hgt_risk")), P.oracle("SELECT marker_id, round(risk, 6) AS hgt_risk FROM ev", EVAL))

@@ -16,11 +16,17 @@ from ..operators import taxonomy as T
 from ..operators import trees as R
 
 # Presets (min_occupancy, max_markers, strategy), phases, and exit codes.
-PRESETS = {"strict": (0.75, 60, "greedy"), "balanced": (0.55, 80, "rate_balanced"), "wide": (0.35, 150, "info_max"), "sparse": (0.0, 150, "sparse_optimized")}
+PRESETS = {"conservative": (0.90, 30, "info_max"), "standard": (0.75, 60, "greedy"), "expanded": (0.50, 120, "rate_balanced"), "mag_adaptive": (0.40, 150, "sparse_optimized")}
 PHASES = ("quality", "selection", "screening", "inference", "reports")
 EXIT = {"ok": 0, "error": 1, "usage": 2, "input": 3, "must_pass": 4, "unusable": 5, "interrupted": 130}
 
 
+def preset(name: str) -> dict:
+    """Options of a preset; values given beside it win."""
+    low, most, strategy = PRESETS[name]
+    return {"min_occupancy": low, "max_markers": most, "strategy": strategy}
+
+
 @dataclass(frozen=True)
 class Options:
     strategy: str = "greedy"
@@ -30,7 +36,7 @@ class Options:
     level1_max: float = D.LEVEL1_MAX
     level2_max: float = D.LEVEL2_MAX
     rank: str | None = None
-    stringency: int = 3
+    stringency: int = 1
     bands: tuple = ((0.2, 0.5), (0.3, 0.6), (0.4, 0.7))
     rules: tuple = field(default_factory=tuple)
 
