@@ -109,7 +109,7 @@ def scan_stability(jaccard: DataFrame, floor: float = 0.5) -> DataFrame:
 
 def agrees(nrf: Column, quartet: Column, stringency: int) -> Column:
     most, least = BOUNDS[stringency]
-    return (nrf <= most) & (quartet >= least)
+    return F.when(nrf.isNotNull() & quartet.isNotNull(), (nrf <= most) & (quartet >= least))
 
 
 def consistency(legs: DataFrame, stringency: int = 1, min_pis: int = 0) -> DataFrame:

@@ -118,7 +118,7 @@ def legs(s, d):
     return P.risks(s, d).select("marker_id", (F.col("nrf") / 4).alias("nrf_a"), (F.col("quartet") / 3 + 0.6).alias("quartet_a"), (F.col("nrf") / 3).alias("nrf_b"), (F.col("quartet") / 2 + 0.5).alias("quartet_b"), "pis")
 
 
-AGREE = "(nrf / 4 <= 0.15 AND quartet / 3 + 0.6 >= 0.7) AS fa, (nrf / 3 <= 0.15 AND quartet / 2 + 0.5 >= 0.7) AS fb"
+AGREE = "CASE WHEN nrf IS NOT NULL AND quartet IS NOT NULL THEN nrf / 4 <= 0.15 AND quartet / 3 + 0.6 >= 0.7 END AS fa, CASE WHEN nrf IS NOT NULL AND quartet IS NOT NULL THEN nrf / 3 <= 0.15 AND quartet / 2 + 0.5 >= 0.7 END AS fb"
 GRADES = f"gr AS (SELECT marker_id, pis, nrf, quartet, CASE WHEN pis < 5 THEN 'inconclusive' WHEN fa IS NULL OR fb IS NULL THEN 'inconclusive' WHEN fa AND fb THEN 'consistent' WHEN fa OR fb THEN 'inconsistent' ELSE 'inconclusive' END AS grade FROM (SELECT *, {AGREE} FROM risks))"
 register("consistency_grade", lambda s, d: D.consistency(legs(s, d), 3, 5).select("marker_id", "grade", r6("strength_a").alias("strength_a")), P.oracle("SELECT marker_id, grade, round(quartet / 3 + 0.6 - nrf / 4, 6) AS strength_a FROM gr", GRADES))
 register("grade_tally", lambda s, d: D.grade_tally(D.consistency(legs(s, d), 3, 5)), P.oracle("SELECT count(*) FILTER (grade = 'consistent') AS consistent, count(*) FILTER (grade = 'inconsistent') AS inconsistent, count(*) FILTER (grade = 'inconclusive') AS inconclusive FROM gr", GRADES))
