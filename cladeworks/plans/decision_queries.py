@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import labels as L
 from ..functions import scalars as S
+from ..operators import alignment as A
 from ..operators import assertions as C
 from ..operators import decisions as D
 from ..operators import evaluation as E
+from ..operators import provenance as V
 from ..operators import taxonomy as T
 from ..operators import trees as R
 from . import proxy as P
@@ -155,3 +158,13 @@ def state(s, d):
 
 
 register("assertions", lambda s, d: C.run(s, state(s, d)).select("assertion_id", "result", "n"), "SELECT v.*, 0::BIGINT AS n FROM (VALUES ('A-01', 'pass'), ('A-02', 'pass'), ('A-03', 'pass'), ('A-04', 'pass'), ('A-05', 'pass'), ('A-06', 'pass'), ('A-07', 'not_checked'), ('A-08', 'not_checked'), ('A-09', 'not_checked'), ('A-10', 'not_checked'), ('A-11', 'pass'), ('A-12', 'pass'), ('A-13', 'pass'), ('A-14', 'pass')) v(assertion_id, result)")
+
+# formats and labels
+NAMES = "CASE s_suppkey % 6 WHEN 0 THEN 'a.fastq' WHEN 1 THEN 'b.PHY' WHEN 2 THEN 'c.sto' WHEN 3 THEN 'd.faa' WHEN 4 THEN 'e' ELSE 'f' END"
+FIRST = "CASE s_suppkey % 6 WHEN 4 THEN '>x' WHEN 5 THEN ' 4 10 ' ELSE '' END"
+register("sequence_format", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", S.sequence_format(F.expr(NAMES), F.expr(FIRST)).alias("format")), "SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'fastq' WHEN 1 THEN 'phylip' WHEN 2 THEN 'stockholm' WHEN 5 THEN 'phylip' ELSE 'fasta' END AS format FROM supplier")
+register("tree_format", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", S.tree_format(F.expr("CASE s_suppkey % 3 WHEN 0 THEN 'a.nex' ELSE 'b.nwk' END"), F.expr("CASE s_suppkey % 3 WHEN 1 THEN '(A[&&NHX:x=1],B);' ELSE '(A,B);' END")).alias("format")), "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'nexus' WHEN 1 THEN 'nhx' ELSE 'newick' END AS format FROM supplier")
+register("tree_source_priority", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", S.tree_source_priority(F.expr("CASE s_suppkey % 5 WHEN 0 THEN 'astral' WHEN 1 THEN 'consensus' WHEN 2 THEN 'concat' WHEN 3 THEN 'first_gene_tree' ELSE 'none' END")).alias("priority")), "SELECT s_suppkey, (4 - s_suppkey % 5)::INT AS priority FROM supplier")
+register("embedded_labels", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", L.embedded_lineage_column(F.expr("concat('g', s_suppkey, '_d_Bact_p_P', s_suppkey % 9, '_x_y_g_', CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name END)")).alias("r")).select("s_suppkey", "r.domain", "r.phylum", "r.genus"), "SELECT s_suppkey, 'Bact' AS domain, 'P' || (s_suppkey % 9) || '_x_y' AS phylum, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_name END AS genus FROM supplier")
+register("stale_trees", lambda s, d: V.to_rebuild(A.content_hash(P.alignment(s, d)), A.content_hash(P.alignment(s, d).where("taxon % 50 <> 7"))), P.oracle("SELECT DISTINCT marker_id FROM aln WHERE taxon % 50 = 7"))
+register("provenance_gaps", lambda s, d: V.incomplete(P.table(s, d, "supplier").select(F.when(F.col("s_suppkey") % 4 == 0, "TODO").otherwise(F.col("s_name")).alias("name"), F.when(F.col("s_suppkey") % 3 == 0, None).otherwise("v1").alias("version"))), "SELECT 'name' AS field, count(*) AS n FROM supplier WHERE s_suppkey % 4 = 0 UNION ALL SELECT 'version', count(*) FROM supplier WHERE s_suppkey % 3 = 0")
