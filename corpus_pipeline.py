@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.llm import decontaminate, line_dedup, mixing, near, quality
 from cladeworks.llm.store import Workspace
+from cladeworks.ship import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -38,6 +39,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).where("copies > 0")
 
 
+def shipped(stage):
+    """The stage, once executors can import the package."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
@@ -45,6 +56,7 @@ STAGES = [
     ("decontamination", decontamination),
     ("mix", mix),
 ]
+STAGES = [(name, shipped(stage)) for name, stage in STAGES]
 
 ORACLE_SQL = None  # calibrated bounds, components and the latent search are beyond SQL; tests/llm has a brute-force version
 
