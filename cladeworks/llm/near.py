@@ -37,6 +37,8 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashe
     """(bands, rows): the most selective rows whose bands reach the recall at the threshold within max_hashes."""
     best = (max_hashes, 1)
     for rows in range(1, max_hashes + 1):
+        if threshold**rows < 1e-12:
+            break
         bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold < 1 else 1
         if bands * rows <= max_hashes:
             best = (bands, rows)
@@ -149,6 +151,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHIN
     texts = work.save(texts.withColumn("t", F.struct("t1", "t2")), "texts")
     keys = texts.where("bands is not null").select("t", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.min("t").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "u")
+    full = work.save(full, "buckets")  # written, so that Spark can split the join of a hot bucket
     edges = keys.join(full, "key").select("u", F.col("t").alias("v"))
     found = components(edges, work, "candidates")
     groups = work.save(found.select("v", "root").unionByName(found.select(F.col("root").alias("v"), "root").distinct()), "groups")
@@ -177,6 +180,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: that of the smallest doc_id."""
     keepers = near_duplicates(docs, **options).where("keeper").select("doc_id", "t1", "t2").distinct()
     h1, h2 = X.two_hashes(F.coalesce("text", F.lit("")))
-    marked = docs.withColumns({"_t1": h1, "_t2": h2})
-    same = (F.col("_t1") == F.col("k.t1")) & (F.col("_t2") == F.col("k.t2")) & marked["doc_id"].eqNullSafe(F.col("k.doc_id"))
-    return marked.join(keepers.alias("k"), same, "left_semi").dropDuplicates(["_t1", "_t2"]).select(*docs.columns)
+    x = X.fresh(docs.columns)
+    keepers = keepers.select(*[F.col(c).alias(f"{x}k{c}") for c in ("doc_id", "t1", "t2")])
+    marked = docs.withColumns({x + "t1": h1, x + "t2": h2})
+    same = (F.col(x + "t1") == F.col(x + "kt1")) & (F.col(x + "t2") == F.col(x + "kt2")) & F.col("doc_id").eqNullSafe(F.col(x + "kdoc_id"))
+    return marked.join(keepers, same, "left_semi").dropDuplicates([x + "t1", x + "t2"]).select(*docs.columns)
