@@ -126,12 +126,12 @@ KEY = ("k", "e1", "e2", "shift")
 def repeated_windows(distinct: DataFrame, work: Workspace) -> DataFrame:
     """k, e1, e2, lo, hi: runs of repeated windows inside each distinct super-edge, as offsets."""
     key = list(KEY)
-    several = distinct.groupBy("k").agg(F.count(F.lit(1)).alias("edges"))
+    several = work.save(distinct.groupBy("k").agg(F.count(F.lit(1)).alias("edges")), "several")
     alone = distinct.join(several.where("edges = 1"), "k", "left_semi").where("copies > 1")
     whole = alone.select("k", "e1", "e2", "shift", F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
     mixed = distinct.join(several.where("edges > 1"), "k", "left_semi").select(*key, "copies", F.posexplode("windows").alias("at", "w"))
     mixed = mixed.withColumn("back", F.col("shift") - F.col("at"))
-    twice = mixed.groupBy("k", "back", "w").agg(F.sum("copies").alias("c")).where("c > 1").select("k", "back", "w")
+    twice = work.save(mixed.groupBy("k", "back", "w").agg(F.sum("copies").alias("c")).where("c > 1").select("k", "back", "w"), "windows")
     bits = mixed.join(twice, ["k", "back", "w"], "left_semi").groupBy(*key).agg(F.collect_list("at").alias("at"))  # at most WINDOW - ANCHOR + 1
     run = Window.partitionBy(*key).orderBy("at")
     single = bits.select(*key, F.explode("at").alias("at")).withColumn("run", F.col("at") - F.row_number().over(run))
@@ -154,16 +154,17 @@ def paths(found: DataFrame, runs: DataFrame) -> DataFrame:
     return parts.groupBy("t1", "t2", "path").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("path")
 
 
-def remove(docs: DataFrame, window: int) -> DataFrame:
-    """docs (with _first, _last: arrays of window spans, or null) without the words covered; words joined by one space."""
-    plain = [f for f in docs.schema.fields if f.name not in ("_first", "_last")]
+def remove(docs: DataFrame, window: int, prefix: str) -> DataFrame:
+    """docs (with prefix + first, prefix + last: arrays of window spans, or null) without the words covered; words joined by one space."""
+    spans = (prefix + "first", prefix + "last")
+    plain = [f for f in docs.schema.fields if f.name not in spans]
     names = [f.name for f in plain]
     schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "text" else f for f in plain] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("text"))
-            lows, highs = (batch.column(batch.schema.get_field_index(x)) for x in ("_first", "_last"))
+            lows, highs = (batch.column(batch.schema.get_field_index(x)) for x in spans)
             for a, b in X.slices(column):
                 raw, at = X.buffers(column.slice(a, b - a))
                 starts, ends, first = X.words(raw, at)
@@ -211,10 +212,11 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     h1, h2 = X.two_hashes("text")
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(h1.alias("t1"), h2.alias("t2"), "text")
     every = work.save(anchors(texts, window, anchor), "anchors")
-    twice = every.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+    # written, so that the join reads two plain shuffles, of which Spark can split a hot anchor's
+    twice = work.save(every.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k"), "twice")
     starts = every.join(twice, "k", "left_semi").groupBy("t1", "t2").agg(F.collect_set("s0").alias("starts"))  # places in one text
     starts = work.save(starts, "starts")
-    work.drop("anchors")
+    work.drop("anchors", "twice")
     release(spark)
     one = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     found = work.save(edges(one.join(starts, ["t1", "t2"]), window, anchor), "edges")
@@ -226,12 +228,14 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     work.drop("edges")
     release(spark)
     runs = repeated_windows(distinct, work)
-    work.drop("distinct")
+    work.drop("distinct", "several", "windows")
     release(spark)
     spans = paths(found, runs).groupBy("t1", "t2").agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
     spans = work.save(spans, "spans")
     work.drop("places", "runs")
     release(spark)
     g1, g2 = X.two_hashes(F.coalesce("text", F.lit("")))
-    marked = docs.withColumns({"_t1": g1, "_t2": g2}).join(spans.withColumnsRenamed({"t1": "_t1", "t2": "_t2"}), ["_t1", "_t2"], "left")
-    return remove(marked.select(*docs.columns, "_first", "_last"), window)
+    x = X.fresh(docs.columns)
+    spans = spans.withColumnsRenamed({"t1": x + "t1", "t2": x + "t2", "_first": x + "first", "_last": x + "last"})
+    marked = docs.withColumns({x + "t1": g1, x + "t2": g2}).join(spans, [x + "t1", x + "t2"], "left")
+    return remove(marked.select(*docs.columns, x + "first", x + "last"), window, x)
