@@ -2,8 +2,8 @@
 
 Words are lower-cased letter and digit runs. The benchmark's words are the vocabulary. Documents are cut into blocks of
 BLOCK words; their counts of vocabulary words, one pass over all texts, are the matrix of TF-IDF passages, with document
-frequencies over all blocks. A randomised SVD of that matrix (benchmark passages stacked on it, so that the space
-spans them) needs only products A'(A X) with a thin X, which each task sums over its blocks and Spark adds up by slices of
+frequencies over all blocks. A randomised SVD of that matrix (benchmark passages stacked on it, with as much weight as
+all the corpus) needs only products A'(A X) with a thin X, which each task sums over its blocks and Spark adds up by slices of
 terms. In a last pass each document's blocks are projected, windows of three neighbours (a projection is linear) are
 compared with all benchmark passages by cosine, and a pair above `cosine` is verified on the words: the longest common
 subsequence must hold `same` of the passage, or `similar` of it and the passage's answer (its last words) too.
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from . import text as X
 from .store import Workspace
 
-BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 256, 512, 1 << 13
+BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 160, 512, 1 << 13
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("lcs", T.DoubleType())])
 
 _SEPARATES = np.ones(256, bool)
