@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,16 +21,17 @@ def _none_of(chars: str):
 
 
 def site_counts(aln: DataFrame) -> DataFrame:
-    """marker_id, pis, effective_columns, gap_fraction, in one pass: counts by residue, then by column, then by marker."""
+    """marker_id, pis, effective_columns, gap_fraction: counts by residue, then by column, then by marker. Rows shorter than their marker's longest end in gaps."""
+    sizes = aln.groupBy("marker_id").agg((F.count("seq") * F.max(F.length("seq"))).alias("full"))
     by_residue = cells(aln).groupBy("marker_id", "pos", "residue").agg(F.count(F.lit(1)).alias("n"))
     informative = _none_of(GAPS + AMBIGUOUS + " ") & (F.col("n") >= 2)
     gap = F.col("residue").isin(*GAPS)
     by_column = by_residue.groupBy("marker_id", "pos").agg(
         F.count_if(informative).alias("k"), F.max((~gap).cast("int")).alias("solid"), F.sum(F.when(gap, F.col("n")).otherwise(0)).alias("gaps"), F.sum("n").alias("n")
     )
-    return by_column.groupBy("marker_id").agg(
-        F.count_if(F.col("k") >= 2).alias("pis"), F.sum("solid").alias("effective_columns"), (F.sum("gaps") / F.sum("n")).alias("gap_fraction")
-    )
+    by_marker = by_column.groupBy("marker_id").agg(F.count_if(F.col("k") >= 2).alias("pis"), F.sum("solid").alias("effective_columns"), F.sum("gaps").alias("gaps"), F.sum("n").alias("n"))
+    missing = F.col("full") - F.col("n")  # the gaps that the rows end in
+    return by_marker.join(sizes, "marker_id").select("marker_id", "pis", "effective_columns", ((F.col("gaps") + missing) / F.col("full")).alias("gap_fraction"))
 
 
 def aa_composition(aln: DataFrame) -> DataFrame:
@@ -61,9 +65,11 @@ def chi_square(aln: DataFrame) -> DataFrame:
 
 def kmer_signature(seqs: DataFrame, k: int = 4, step: int = 1, letters: str = "ACGT") -> DataFrame:
     """id, kmer, freq of each sequence; k-mers with other letters are left out. k = step = 3 gives codon usage."""
-    s = F.upper("seq")
-    starts = F.when(F.length("seq") >= k, F.sequence(F.lit(1), F.length("seq") - k + 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    rows = seqs.select("id", F.explode(F.transform(starts, lambda i: F.substring(s, i, F.lit(k)))).alias("kmer")).where(F.col("kmer").rlike(f"^[{letters}]+$"))
+    s = F.split(F.upper("seq"), "")
+    n = F.greatest(F.length("seq") - k + 1, F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(s, j + 1, n).alias(f"l{j}") for j in range(k)])  # a substring of a long text would be counted out from its start each time
+    found = seqs.select("id", F.posexplode(shifted).alias("pos", "l")).where(F.col("pos") % step == 0)
+    rows = found.select("id", F.concat(*[F.col(f"l.l{j}") for j in range(k)]).alias("kmer")).where(F.col("kmer").rlike(f"^[{letters}]+$"))
     counts = rows.groupBy("id", "kmer").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("freq", F.col("n") / F.sum("n").over(Window.partitionBy("id"))).select("id", "kmer", "freq")
 
@@ -91,9 +97,28 @@ def split_concatenated(rows: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def content_hash(seqs: DataFrame) -> DataFrame:
-    """marker_id, sha: hash of a marker's sequences, whatever their order."""
+    """marker_id, sha: hash of a marker's sequences, whatever their order. Sorted lines stream through one hash a marker and are never held together."""
     line = F.concat(F.col("taxon").cast("string"), F.lit("\0"), "seq", F.lit("\n"))
-    return seqs.groupBy("marker_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), ""), 256).alias("sha"))
+    rows = seqs.select("marker_id", line.alias("line")).repartition("marker_id").sortWithinPartitions("marker_id", "line")
+
+    def run(batches):
+        marker, state = None, None
+        for batch in batches:
+            out = []
+            for m, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if state is None or m != marker:
+                    out += [] if state is None else [(marker, state.hexdigest())]
+                    marker, state = m, hashlib.sha256()
+                state.update((text or "").encode())
+            yield finished(out, batch.schema.field(0).type)
+            kind = batch.schema.field(0).type
+        if state is not None:
+            yield finished([(marker, state.hexdigest())], kind)
+
+    def finished(out, kind):
+        return pa.RecordBatch.from_arrays([pa.array([m for m, _ in out], kind), pa.array([h for _, h in out], pa.string())], ["marker_id", "sha"])
+
+    return rows.mapInArrow(run, f"marker_id {seqs.schema['marker_id'].dataType.simpleString()}, sha string")
 
 
 def composition_report(aln: DataFrame, outlier: float = 0.2) -> DataFrame:
