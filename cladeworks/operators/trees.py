@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -103,19 +104,29 @@ def rf_distance(pairs: DataFrame, clade_table: DataFrame, cap: int | None = None
     return out.select("a", "b", "n_shared", F.when(ok, F.col("rf")).alias("rf"), F.when(ok, norm).alias("normalized_rf"))
 
 
+def unrank(items: list, index: int, k: int = 4) -> list:
+    """The combination of k items at a place in lexicographic order."""
+    out, at = [], 0
+    for left in range(k - 1, -1, -1):
+        while index >= (skip := math.comb(len(items) - at - 1, left)):
+            index, at = index - skip, at + 1
+        out.append(items[at])
+        at += 1
+    return out
+
+
 def quartets(shared: DataFrame, limit: int | None = None, stride_to: int | None = None) -> DataFrame:
     """a, b, q (four sorted tips): quartets of shared tips in lexicographic order, the first `limit`, or every nth so that about `stride_to` remain.
 
     Both samplers know the place of a quartet from the ranks of its tips, so only the chosen ones are made.
     """
-    import itertools
-    import math
 
     def pick(ts):
         n = math.comb(len(ts), 4)
         step = max(1, n // stride_to) if stride_to else 1
         most = limit if limit is not None else (stride_to if stride_to else n)
-        return [list(q) for q in itertools.islice(itertools.combinations(sorted(ts), 4), 0, step * most, step)]
+        ts = sorted(ts)
+        return [unrank(ts, i) for i in range(0, min(n, step * most), step)]
 
     made = F.udf(pick, "array<array<string>>", useArrow=True)
     return shared.select("a", "b", F.explode(made("tips")).alias("q"))

@@ -55,7 +55,7 @@ N_TREES = 6
 
 def grouped_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tree_id, tip, inner, outer: tree 0 by nation and region; tree k moves every (k + 3)rd tip to the next nation and leaves out some tips."""
-    s = table(spark, sf_dir, "supplier").where("s_suppkey <= 120")
+    s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     k = F.explode(F.sequence(F.lit(0), F.lit(N_TREES - 1)))
     moved = (F.col("s_nationkey") + F.when((F.col("tree_id") > 0) & (F.col("s_suppkey") % (F.col("tree_id") + 3) == 0), 1).otherwise(0)) % 25

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import duckdb
 import pytest
 
 from cladeworks.functions.scalars import AMINO
+from cladeworks.operators import trees
 from cladeworks.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +75,18 @@ def test_hashes_and_lengths_of_whole_sequences(spark, sequences):
         n = max(map(len, sequences[r.marker_id].values())) + len(sequences[r.marker_id]) % 7
         assert (r.start, r.stop) == (at, at + n - 1)
         at += n
+
+
+def test_trees_hold_every_supplier(spark, tmp_path):
+    s = duckdb.sql(f"SELECT * FROM read_parquet('{SF}/supplier.parquet')")
+    duckdb.sql(f"COPY (SELECT * REPLACE (s_suppkey + 10 * k AS s_suppkey) FROM s, range(100) r(k)) TO '{tmp_path}/supplier.parquet'")
+    for name in ("nation", "region"):
+        duckdb.sql(f"COPY (SELECT * FROM read_parquet('{SF}/{name}.parquet')) TO '{tmp_path}/{name}.parquet'")
+    keys = [k + 10 * j for (k,) in s.project("s_suppkey").fetchall() for j in range(100)]
+    want = {(t, f"t{k}") for t in range(6) for k in keys if t == 0 or k % 9 != t}
+    assert len(keys) == 1000 and {(r.tree_id, r.tip) for r in registry.QUERIES["tree_tips"](spark, str(tmp_path)).collect()} == want
+    assert all(r.n_quartets == 200 for r in registry.QUERIES["quartet_stride"](spark, str(tmp_path)).collect())
+
+
+def test_combinations_by_place():
+    assert [trees.unrank(list("abcdefg"), i) for i in range(35)] == [list(q) for q in itertools.combinations("abcdefg", 4)]
