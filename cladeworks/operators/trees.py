@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Iterator
 
 import pandas as pd
@@ -115,14 +116,17 @@ def unrank(items: list, index: int, k: int = 4) -> list:
     return out
 
 
-def quartets(shared: DataFrame, limit: int | None = None, stride_to: int | None = None) -> DataFrame:
-    """a, b, q (four sorted tips): quartets of shared tips in lexicographic order, the first `limit`, or every nth so that about `stride_to` remain.
+def quartets(shared: DataFrame, limit: int | None = None, stride_to: int | None = None, drawn: int | None = None) -> DataFrame:
+    """a, b, q (four sorted tips): quartets of shared tips in lexicographic order, the first `limit`, every nth so that about `stride_to` remain, or `drawn` at random with seed 0.
 
-    Both samplers know the place of a quartet from the ranks of its tips, so only the chosen ones are made.
+    All samplers know the place of a quartet from the ranks of its tips, so only the chosen ones are made.
     """
 
     def pick(ts):
         n = math.comb(len(ts), 4)
+        if drawn is not None:
+            ts = sorted(ts)
+            return [unrank(ts, i) for i in sorted(random.Random(0).sample(range(n), min(drawn, n)))]
         step = max(1, n // stride_to) if stride_to else 1
         most = limit if limit is not None else (stride_to if stride_to else n)
         ts = sorted(ts)
@@ -132,10 +136,10 @@ def quartets(shared: DataFrame, limit: int | None = None, stride_to: int | None
     return shared.select("a", "b", F.explode(made("tips")).alias("q"))
 
 
-def quartet_agreement(pairs: DataFrame, clade_table: DataFrame, limit: int | None = 200, stride_to: int | None = None) -> DataFrame:
+def quartet_agreement(pairs: DataFrame, clade_table: DataFrame, limit: int | None = 200, stride_to: int | None = None, drawn: int | None = None) -> DataFrame:
     """a, b, n_quartets, agreement: how often both trees join the same two tips. Under four shared tips: null."""
     shared = shared_tips(pairs, clade_table)
-    q = quartets(shared, limit, stride_to)
+    q = quartets(shared, limit, stride_to, drawn)
     sides = _pair_splits(pairs, clade_table).select("a", "b", "which", "side")
     which = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("which")
     asked = q.select("a", "b", "q", which)

@@ -61,7 +61,7 @@ def run(hits: DataFrame, genomes: DataFrame, quality: DataFrame, lineages: DataF
         if reference is not None:
             pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").cast("string").alias("b"))
             every = R.clades(named.select(F.col("tree_id").cast("string").alias("tree_id"), "newick").unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick")))
-            steps = R.rf_distance(pairs, every).join(R.quartet_agreement(pairs, every, 1000), ["a", "b"]).select(F.col("b").alias("marker_id"), F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
+            steps = R.rf_distance(pairs, every).join(R.quartet_agreement(pairs, every, drawn=1000), ["a", "b"]).select(F.col("b").alias("marker_id"), F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
             out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max)
         else:  # without a species tree the taxonomy decides
             screen = D.taxonomy_screen(R.monophyly(clades, T.long(taxa)), T.scope_rank(R.tips(clades), taxa), options.rank)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import pytest
 
 from cladeworks.functions.scalars import AMINO
 from cladeworks.operators import trees
-from cladeworks.plans import registry
+from cladeworks.plans import engine, proxy, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -90,3 +91,23 @@ def test_trees_hold_every_supplier(spark, tmp_path):
 
 def test_combinations_by_place():
     assert [trees.unrank(list("abcdefg"), i) for i in range(35)] == [list(q) for q in itertools.combinations("abcdefg", 4)]
+
+
+def test_screen_draws_quartets_over_all_tips(spark):
+    """24 shared tips: gene tree m1 swaps two tips late in the alphabet, so quartets of the first tip alone say something else."""
+    tips = [f"t{i:02}" for i in range(24)]
+    ladder = lambda ts: "(" * (len(ts) - 1) + ts[0] + "".join(f",{t})" for t in ts[1:]) + ";"
+    other = [*tips[:8], *tips[23:7:-1]]
+    gene = spark.createDataFrame([("m1", ladder(other))], "marker_id string, newick string")
+    reference = spark.createDataFrame([(ladder(tips),)], "newick string")
+    hits, genomes, quality = (f(spark, SF) for f in (proxy.hits, proxy.genomes, proxy.quality))
+    got = engine.run(hits, genomes, quality, proxy.lineage(spark, SF), None, gene, reference)["evaluations"].first().quartet
+
+    def shape(order, q):  # in a ladder the two first of four are joined
+        a = sorted(q, key=order.index)
+        return frozenset([frozenset(a[:2]), frozenset(a[2:])])
+
+    every = list(itertools.combinations(tips, 4))
+    agree = lambda some: sum(shape(tips, q) == shape(other, q) for q in some) / len(some)
+    want = agree([every[i] for i in sorted(random.Random(0).sample(range(len(every)), 1000))])
+    assert want != agree(every[:1000]) and got == pytest.approx(want)
