@@ -111,3 +111,7 @@ def test_screen_draws_quartets_over_all_tips(spark):
     agree = lambda some: sum(shape(tips, q) == shape(other, q) for q in some) / len(some)
     want = agree([every[i] for i in sorted(random.Random(0).sample(range(len(every)), 1000))])
     assert want != agree(every[:1000]) and got == pytest.approx(want)
+
+
+def test_gene_trees_hold_every_sequence(spark, sequences):
+    assert {r.marker_id: r.n_tips for r in rows(spark, "gene_trees_nj")} == {m: len(q) for m, q in sequences.items()}
