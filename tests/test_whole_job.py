@@ -115,3 +115,20 @@ def test_screen_draws_quartets_over_all_tips(spark):
 
 def test_gene_trees_hold_every_sequence(spark, sequences):
     assert {r.marker_id: r.n_tips for r in rows(spark, "gene_trees_nj")} == {m: len(q) for m, q in sequences.items()}
+
+
+def test_scopes_of_all_lineitems(spark):
+    """The narrowest rank at which all members of a tree agree, by hand from whole tables."""
+    read = lambda t: f"read_parquet('{SF}/{t}.parquet')"
+    lineage = {k: (None if k % 7 == 0 else f"{n}-{k % 3}", n, r) for k, n, r in duckdb.sql(f"SELECT s_suppkey, n_name, r_name FROM {read('supplier')} JOIN {read('nation')} ON s_nationkey = n_nationkey JOIN {read('region')} ON n_regionkey = r_regionkey").fetchall()}
+    members = defaultdict(set)
+    for t, k in duckdb.sql(f"SELECT l_partkey % 500, l_suppkey FROM {read('lineitem')}").fetchall():
+        members[t].add(k)
+    want = {}
+    for t, keys in members.items():
+        for rank, taxa in zip(("genus", "phylum", "domain"), zip(*(lineage[k] for k in keys if k in lineage))):
+            if None not in taxa and len(set(taxa)) == 1:
+                want[t] = (rank, taxa[0])
+                break
+    got = {r.tree_id: (r.scope, r.taxon) for r in rows(spark, "scope_rank")}
+    assert got == want
