@@ -82,13 +82,11 @@ def partitions(lengths: DataFrame) -> DataFrame:
 
 
 def supermatrix(aln: DataFrame) -> DataFrame:
-    """taxon, seq: each taxon's sequences by marker, gaps where it has none. One row a cell is joined, one row a taxon results."""
-    lengths = aln.groupBy("marker_id").agg(F.max(F.length("seq")).alias("len"))
-    taxa = aln.select("taxon").distinct()
-    full = taxa.crossJoin(lengths).join(aln.select("marker_id", "taxon", "seq"), ["marker_id", "taxon"], "left")
-    filled = full.withColumn("seq", F.coalesce("seq", F.expr("repeat('-', len)")))
-    pieces = F.array_sort(F.collect_list(F.struct("marker_id", "seq")))  # a taxon's markers: the panel
-    return filled.groupBy("taxon").agg(F.array_join(F.transform(pieces, lambda p: p["seq"]), "").alias("seq"))
+    """taxon, seq: each taxon's sequences by marker, gaps where it has none or a shorter one. Letters are shuffled, gaps are filled in a taxon's own row."""
+    lengths = aln.groupBy("marker_id").agg(F.max(F.length("seq")).alias("len")).agg(F.array_sort(F.collect_list(F.struct("marker_id", "len"))).alias("panel"))  # one row: the panel
+    own = aln.groupBy("taxon").agg(F.map_from_entries(F.collect_list(F.struct("marker_id", "seq"))).alias("own"))  # a taxon's markers
+    filled = F.transform("panel", lambda p: F.rpad(F.coalesce(F.element_at("own", p["marker_id"]), F.lit("")), p["len"], F.lit("-")))
+    return own.crossJoin(F.broadcast(lengths)).select("taxon", F.array_join(filled, "").alias("seq"))
 
 
 def split_concatenated(rows: DataFrame, parts: DataFrame) -> DataFrame:

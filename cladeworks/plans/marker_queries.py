@@ -181,19 +181,14 @@ def lengths(s, d):
 register("partition_coords", lambda s, d: A.partitions(lengths(s, d)), P.oracle("SELECT marker_id, (sum(len) OVER (ORDER BY marker_id) - len + 1)::BIGINT AS start, (sum(len) OVER (ORDER BY marker_id))::BIGINT AS stop FROM (SELECT marker_id, max(length(seq)) + count(*) % 7 AS len FROM aln GROUP BY 1)"))
 
 
-def by_taxon(s, d):
-    """The alignment with few taxa, so that markers share them."""
-    return P.alignment(s, d).withColumn("taxon", F.col("taxon") % 40).groupBy("marker_id", "taxon").agg(F.min("seq").alias("seq"))
-
-
 SHARED = "shared AS (SELECT marker_id, taxon % 40 AS taxon, min(seq) AS seq FROM aln GROUP BY ALL)"
-register("supermatrix", lambda s, d: A.supermatrix(by_taxon(s, d)).select("taxon", F.sha2("seq", 256).alias("sha"), F.length("seq").alias("sites")), P.oracle("SELECT taxon, sha256(string_agg(coalesce(seq, repeat('-', 60)), '' ORDER BY marker_id)) AS sha, sum(60)::INT AS sites FROM (SELECT DISTINCT taxon FROM shared) CROSS JOIN (SELECT DISTINCT marker_id FROM shared) LEFT JOIN shared USING (taxon, marker_id) GROUP BY 1", SHARED))
+register("supermatrix", lambda s, d: A.supermatrix(P.alignment(s, d)).select("taxon", F.sha2("seq", 256).alias("sha"), F.length("seq").alias("sites")), P.oracle("SELECT taxon, sha256(string_agg(coalesce(seq, repeat('-', 60)), '' ORDER BY marker_id)) AS sha, sum(60)::INT AS sites FROM (SELECT DISTINCT taxon FROM shared) CROSS JOIN (SELECT DISTINCT marker_id FROM shared) LEFT JOIN shared USING (taxon, marker_id) GROUP BY 1", SHARED))
 
 
 def split_back(s, d):
-    a = by_taxon(s, d)
+    a = P.alignment(s, d)
     parts = A.partitions(a.groupBy("marker_id").agg(F.max(F.length("seq")).cast("long").alias("len")).withColumn("position", F.col("marker_id")))
-    return A.split_concatenated(A.supermatrix(a), parts).where("seq not rlike '^-+$'")
+    return A.split_concatenated(A.supermatrix(a), parts).withColumn("seq", F.rtrim("seq", F.lit("-"))).where("seq <> ''")  # the sequences have no gaps of their own
 
 
 register("split_concatenated", split_back, P.oracle("SELECT marker_id, taxon, seq FROM shared", SHARED))

@@ -132,3 +132,14 @@ def test_scopes_of_all_lineitems(spark):
                 break
     got = {r.tree_id: (r.scope, r.taxon) for r in rows(spark, "scope_rank")}
     assert got == want
+
+
+def test_supermatrix_of_all_taxa(spark, sequences):
+    panel = [(m, max(map(len, sequences[m].values()))) for m in sorted(sequences)]
+    want = {}
+    for t in {t for q in sequences.values() for t in q}:
+        line = "".join(sequences[m].get(t, "").ljust(n, "-") for m, n in panel)
+        want[t] = (hashlib.sha256(line.encode()).hexdigest(), len(line))
+    assert {r.taxon: (r.sha, r.sites) for r in rows(spark, "supermatrix")} == want
+    back = {(r.marker_id, r.taxon): r.seq for r in rows(spark, "split_concatenated")}
+    assert back == {(m, t): s for m, q in sequences.items() for t, s in q.items() if s}
