@@ -7,8 +7,9 @@ A word's log-likelihoods are compared, and a document is described by the length
 text and over its strongest window of words, the share of strongly toxic words and its length; a logistic regression
 turns these into a score.
 
-Counts cover all labelled documents of the training folds and grow with them; they are added up in tables of fixed size
-(SLOTS a kind), which bounds what is broadcast. Folds are crc32(doc_id as text) mod 5: fold 0 is held out and never
+Counts cover all labelled documents of the training folds, under the exact gram (up to 5 symbols of 6 bits), in a table
+that grows with them. Up to BROADCAST_GRAMS rows, counted, it is broadcast; beyond, the grams of each chunk of texts are
+joined with it and only these reach the chunk. The shared trigrams are at most 64**3, by the alphabet. Folds are crc32(doc_id as text) mod 5: fold 0 is held out and never
 learned from, 1 to 3 train the models, 4 the regression, on a sample of at most SAMPLE documents, chosen by hash.
 Labels, language, source and id are no inputs of a score.
 
@@ -19,6 +20,8 @@ Extra columns pass through; held_out, score and predicted are replaced.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,9 +32,10 @@ from pyspark.sql import types as T
 from . import text as X
 from .decontaminate import _SEPARATES
 from .labels import labelled
+from .store import Workspace
 
-SLOT_BITS, ORDERS, SHARED, DISCOUNT, SPAN, SAMPLE = 19, (4, 5), 3, 0.75, 5, 50_000
-SLOTS = 1 << SLOT_BITS
+ORDERS, SHARED, DISCOUNT, SPAN, SAMPLE = (4, 5), 3, 0.75, 5, 50_000
+BROADCAST_GRAMS = 2_000_000  # about 50 MB
 START, END = 36, 37
 _CODE = np.zeros(256, np.uint64)
 _CODE[97:123] = np.arange(26)
@@ -43,8 +47,14 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5, F.lit(0))
 
 
-def slot(key: np.ndarray) -> np.ndarray:
-    return (X.mixed(key) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def gram_key(n: int, key: np.ndarray) -> np.ndarray:
+    """Where the table has a gram of n symbols."""
+    return (key | np.uint64(n << 32)).astype(np.int64)
+
+
+def context_key(n: int, key: np.ndarray) -> np.ndarray:
+    """Where the table has the context of a gram of n symbols."""
+    return ((key >> np.uint64(6)) | np.uint64(n + 8 << 32)).astype(np.int64)
 
 
 class Words:
@@ -80,14 +90,10 @@ class Words:
         return word[real], {n: k[real] for n, k in keys.items()}
 
 
-def gram_counts(docs: DataFrame) -> list:
-    """Summed tables of (text, label): rows kind, slot, a, b. At most about 2 * len(ORDERS) * SLOTS + 64**3 rows."""
+def gram_counts(docs: DataFrame, work: Workspace) -> DataFrame:
+    """key, a, b, ta, tb of each gram and context of (text, label): occurrences in ordinary and in toxic texts, and a context's distinct next symbols."""
 
     def run(batches):
-        grams = {n: np.zeros((2, SLOTS), np.int64) for n in ORDERS}
-        contexts = {n: np.zeros((2, SLOTS), np.int64) for n in ORDERS}
-        follow = {n: np.zeros((2, SLOTS), np.uint64) for n in ORDERS}
-        before = np.zeros(64**SHARED, np.uint64)
         for batch in batches:
             label = np.asarray(batch.column(1))
             for a, b in X.slices(batch.column(0)):
@@ -96,69 +102,135 @@ def gram_counts(docs: DataFrame) -> list:
                 often = [np.bincount(words.which[toxic == c], minlength=len(words.example)) for c in (False, True)]
                 word, keys = words.grams(np.arange(len(words.example)))
                 for n in ORDERS:
-                    at, up = slot(keys[n]), slot((keys[n] >> np.uint64(6)) + np.uint64(n))
-                    bit = np.uint64(1) << (keys[n] & np.uint64(63))
-                    for c in range(2):
-                        k = often[c][word]
-                        grams[n][c] += np.bincount(at, k, SLOTS).astype(np.int64)
-                        contexts[n][c] += np.bincount(up, k, SLOTS).astype(np.int64)
-                        np.bitwise_or.at(follow[n][c], up[k > 0], bit[k > 0])
-                np.bitwise_or.at(before, (keys[SHARED] & np.uint64(64**SHARED - 1)).astype(np.int64), np.uint64(1) << ((keys[SHARED + 1] >> np.uint64(6 * SHARED)) & np.uint64(63)))
-        tables = [("b", before.view(np.int64), np.zeros(len(before), np.int64))]
-        for n in ORDERS:
-            tables += [(f"g{n}", *grams[n]), (f"c{n}", *contexts[n]), (f"f{n}", *follow[n].view(np.int64))]
-        for kind, x, y in tables:
-            at = np.flatnonzero((x != 0) | (y != 0))
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(at), pa.string()), pa.array(at), pa.array(x[at]), pa.array(y[at])], ["kind", "slot", "a", "b"])
-
-    rows = docs.select("text", "label").mapInArrow(run, "kind string, slot long, a long, b long")
-    bits = F.col("kind").startswith("f") | (F.col("kind") == "b")
-    sums = rows.groupBy("kind", "slot").agg(F.sum(F.when(~bits, F.col("a"))).alias("sa"), F.sum(F.when(~bits, F.col("b"))).alias("sb"), F.bit_or("a").alias("oa"), F.bit_or("b").alias("ob"))
-    return sums.select("kind", "slot", F.when(bits, F.col("oa")).otherwise(F.col("sa")).alias("a"), F.when(bits, F.col("ob")).otherwise(F.col("sb")).alias("b")).toArrow()
+                    key, which = np.unique(gram_key(n, keys[n]), return_inverse=True)
+                    x, y = (np.bincount(which, k[word], len(key)).astype(np.int64) for k in often)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(x), pa.array(y)], ["key", "a", "b"])
+
+    rows = docs.select("text", "label").mapInArrow(run, "key long, a long, b long")
+    grams = work.save(rows.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "grams")
+    low = F.col("key").bitwiseAND((1 << 32) - 1)
+    above = (F.shiftright("key", 32) + 8) * (1 << 32) + F.shiftright(low, 6)
+    contexts = grams.groupBy(above.alias("key")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count_if(F.col("a") > 0).alias("ta"), F.count_if(F.col("b") > 0).alias("tb"))
+    return work.save(grams.withColumns({"ta": F.lit(0).cast("long"), "tb": F.lit(0).cast("long")}).unionByName(contexts), "table")
+
+
+def continuation(table: DataFrame) -> np.ndarray:
+    """Probability of each trigram's last symbol by continuation counts of both classes together; a row a trigram, 64**3 at most."""
+    four, size = F.shiftright("key", 32) == SHARED + 1, 64**SHARED
+    rows = table.where(four).groupBy(F.col("key").bitwiseAND(size - 1).alias("k")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    cont = np.zeros(size)
+    cont[np.asarray(rows["k"])] = np.asarray(rows["n"])
+    below = np.full(64, 1 / 64)
+    for n in range(1, SHARED + 1):
+        seen = cont.reshape([64] * SHARED)
+        seen = seen if n == SHARED else (seen > 0).sum(axis=tuple(range(SHARED - n))) * 1.0  # distinct grams one longer
+        seen = seen.reshape(-1, 64)
+        total, kinds_ = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
+        lower = np.tile(below.reshape(-1, 64), (len(seen) // max(1, below.size // 64), 1))
+        below = np.where(total > 0, np.maximum(seen - DISCOUNT, 0) / np.maximum(total, 1) + DISCOUNT * kinds_ / np.maximum(total, 1) * lower, lower)
+    return below.reshape(-1).astype(np.float32)
 
 
 class Model:
-    """Both classes' probabilities of a symbol after its context."""
-
-    def __init__(self, table):
-        kinds, slots = np.asarray(table["kind"].to_pylist(), dtype=object), np.asarray(table["slot"])
-        a, b = np.asarray(table["a"]), np.asarray(table["b"])
-
-        def dense(kind, size, pop=False):
-            out, ok = np.zeros((2, size), np.float32), kinds == kind
-            for c, x in enumerate((a, b)):
-                out[c][slots[ok]] = np.bitwise_count(x[ok].view(np.uint64)) if pop else x[ok]
-            return out
-
-        self.counts = {n: dense(f"g{n}", SLOTS) for n in ORDERS}
-        self.contexts = {n: dense(f"c{n}", SLOTS) for n in ORDERS}
-        self.types = {n: dense(f"f{n}", SLOTS, True).astype(np.uint8) for n in ORDERS}
-        cont = dense("b", 64**SHARED, True)[0].astype(np.float64)  # contexts of each trigram
-        self.ready = bool(self.counts[ORDERS[0]][0].any() and self.counts[ORDERS[0]][1].any())
-        below = np.full(64, 1 / 64)
-        for n in range(1, SHARED + 1):
-            seen = cont.reshape([64] * SHARED)
-            seen = seen if n == SHARED else (seen > 0).sum(axis=tuple(range(SHARED - n))) * 1.0  # distinct grams one longer
-            seen = seen.reshape(-1, 64)
-            total, kinds_ = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-            lower = np.tile(below.reshape(-1, 64), (len(seen) // max(1, below.size // 64), 1))
-            below = np.where(total > 0, np.maximum(seen - DISCOUNT, 0) / np.maximum(total, 1) + DISCOUNT * kinds_ / np.maximum(total, 1) * lower, lower)
-        self.shared = below.reshape(-1).astype(np.float32)
+    """Both classes' probabilities of a symbol after its context, from rows (key, a, b, ta, tb) that hold all grams asked for."""
+
+    def __init__(self, key: np.ndarray, values: list[np.ndarray], shared: np.ndarray):
+        order = np.argsort(key)
+        self.key, self.values, self.shared = key[order], np.array([v[order] for v in values], np.float64).reshape(4, -1), shared
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """(a, b, ta, tb) of each key; 0 for those that the table doesn't have."""
+        if not len(self.key):
+            return np.zeros((4, len(key)))
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return self.values[:, at] * (self.key[at] == key)
 
     def ratio(self, words: Words, chosen: np.ndarray) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of the chosen words."""
-        if not self.ready or not len(chosen):
+        if not len(chosen):
             return np.zeros(len(chosen))
         word, keys = words.grams(chosen)
-        base = self.shared[(keys[SHARED] & np.uint64(64**SHARED - 1)).astype(np.int64)]
+        longest, which = np.unique(keys[ORDERS[-1]] & np.uint64(64 ** ORDERS[-1] - 1), return_inverse=True)
+        base = self.shared[(longest & np.uint64(64**SHARED - 1)).astype(np.int64)]
         p = [base, base]
         for n in ORDERS:
-            at, up = slot(keys[n]), slot((keys[n] >> np.uint64(6)) + np.uint64(n))
+            key = longest & np.uint64(64**n - 1)
+            own, up = self.find(gram_key(n, key)), self.find(context_key(n, key))
             for c in range(2):
-                seen = self.contexts[n][c][up]
-                own = (np.maximum(self.counts[n][c][at] - DISCOUNT, 0) + DISCOUNT * self.types[n][c][up] * p[c]) / np.maximum(seen, 1)
-                p[c] = np.where(seen > 0, own, p[c])
-        return np.bincount(word, np.log(np.maximum(p[1], 1e-12)) - np.log(np.maximum(p[0], 1e-12)), len(chosen))
+                seen = up[c]
+                p[c] = np.where(seen > 0, (np.maximum(own[c] - DISCOUNT, 0) + DISCOUNT * up[2 + c] * p[c]) / np.maximum(seen, 1), p[c])
+        each = np.log(np.maximum(p[1], 1e-12)) - np.log(np.maximum(p[0], 1e-12))
+        return np.bincount(word, each[which], len(chosen))
+
+
+class Knowledge:
+    """The table, and how a chunk of texts gets the rows it asks for: all of them by broadcast, or its own by a join."""
+
+    def __init__(self, docs: DataFrame, most: int):
+        spark = docs.sparkSession
+        self.work = Workspace(spark, "toxicity")
+        self.table = gram_counts(docs, self.work)
+        r = self.table.agg(F.count(F.lit(1)).alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+        self.ready, shared, self.model = bool(r.a and r.b), continuation(self.table), None
+        self.shared = spark.sparkContext.broadcast(shared)
+        if r.n <= most:
+            t = self.table.toArrow()
+            self.model = spark.sparkContext.broadcast(Model(np.asarray(t["key"]), [np.asarray(t[c]) for c in ("a", "b", "ta", "tb")], shared))
+
+    def scored(self, docs: DataFrame, work, columns: list[tuple[str, pa.DataType, T.DataType]]) -> DataFrame:
+        """docs with columns that work(model, text column) gives for each chunk."""
+        schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, _, t in columns]])
+        return self._by_broadcast(docs, work, columns, schema) if self.model is not None else self._by_join(docs, work, columns, schema)
+
+    def _by_broadcast(self, docs, work, columns, schema):
+        model = self.model
+
+        def run(batches):
+            for batch in batches:
+                for part in parts(batch):
+                    yield with_columns(part, work(model.value, text_of(part)), columns)
+
+        return docs.mapInArrow(run, schema)
+
+    def _by_join(self, docs, work, columns, schema):
+        shared = self.shared
+
+        def pack(batches):
+            for batch in batches:
+                for part in parts(batch):
+                    words = Words(text_of(part))
+                    _, keys = words.grams(np.arange(len(words.example)))
+                    asked = np.unique(np.concatenate([k for n in ORDERS for k in (gram_key(n, keys[n]), context_key(n, keys[n]))]))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, part.schema) as out:
+                        out.write_batch(part)
+                    yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([asked], pa.list_(pa.int64()))], ["chunk", "body", "asked"])
+
+        def run(batches):
+            for batch in batches:
+                for body, rows in zip(batch.column(0), batch.column(1)):
+                    t = rows.values if rows.is_valid else pa.array([], rows.type.value_type)
+                    part = pa.ipc.open_stream(body.as_buffer()).read_all().combine_chunks().to_batches()[0]
+                    model = Model(np.asarray(t.field("key")), [np.asarray(t.field(c)) for c in ("a", "b", "ta", "tb")], shared.value)
+                    yield with_columns(part, work(model, text_of(part)), columns)
+
+        chunks = self.work.save(docs.mapInArrow(pack, "chunk string, body binary, asked array<long>"), f"chunks-{uuid.uuid4().hex}")
+        known = chunks.select("chunk", F.explode("asked").alias("key")).join(self.table, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "a", "b", "ta", "tb")).alias("rows"))
+        return chunks.join(known, "chunk", "left").select("body", "rows").mapInArrow(run, schema)
+
+
+def text_of(part: pa.RecordBatch) -> pa.Array:
+    return part.column(part.schema.get_field_index("text"))
+
+
+def parts(batch: pa.RecordBatch):
+    for a, b in X.slices(text_of(batch)):
+        yield batch.slice(a, b - a)
+
+
+def with_columns(part: pa.RecordBatch, made: list, columns: list) -> pa.RecordBatch:
+    more = [pa.array(list(x) if isinstance(k, pa.ListType) else x, k) for x, (_, k, _) in zip(made, columns)]
+    return pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *[n for n, _, _ in columns]])
 
 
 FEATURES = 4
@@ -187,21 +259,6 @@ def describe(model: Model, column: pa.Array) -> np.ndarray:
     return out
 
 
-def scored(docs: DataFrame, work, columns: list[tuple[str, pa.DataType, T.DataType]]) -> DataFrame:
-    """docs with columns that work(text column) gives for each chunk."""
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, _, t in columns]])
-
-    def run(batches):
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("text"))
-            for a, b in X.slices(column):
-                part = batch.slice(a, b - a)
-                more = [pa.array(list(x) if isinstance(k, pa.ListType) else x, k) for x, (_, k, _) in zip(work(column.slice(a, b - a)), columns)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *[n for n, _, _ in columns]])
-
-    return docs.mapInArrow(run, schema)
-
-
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights (bias first) by Newton's method."""
     x = np.hstack([np.ones((len(x), 1)), x])
@@ -217,16 +274,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, np.ndarray, np.ndarray]:
-    """The model, and the weights and (mean, scale) of the regression."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = BROADCAST_GRAMS) -> tuple[Knowledge, np.ndarray, np.ndarray]:
+    """The counts, and the weights and (mean, scale) of the regression. More than `most` rows of counts are joined."""
     known = labelled(docs.select("doc_id", "text"), labels, "toxic").withColumn("fold", fold())
-    model = Model(gram_counts(known.where("fold between 1 and 3").withColumn("label", F.col("label").cast("long"))))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model = Knowledge(known.where("fold between 1 and 3").withColumn("label", F.col("label").cast("long")), most)
     tuning = known.where("fold = 4")
     n = labels.where(fold() == 4).count()
     if n > sample:  # the bound of the regression's sample; the models above know every document
         tuning = tuning.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    got = scored(tuning.select("text", "label"), lambda c: [describe(shared.value, c)], [("x", pa.list_(pa.float64()), T.ArrayType(T.DoubleType()))]).select("x", "label").collect()
+    got = model.scored(tuning.select("text", "label"), lambda m, c: [describe(m, c)], [("x", pa.list_(pa.float64()), T.ArrayType(T.DoubleType()))]).select("x", "label").collect()
     x = np.array([r.x for r in got]).reshape(-1, FEATURES)
     y = np.array([float(r.label) for r in got])
     scale = np.vstack([x.mean(0), x.std(0) + 1e-6]) if len(x) else np.vstack([np.zeros(FEATURES), np.ones(FEATURES)])
@@ -238,12 +294,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Mod
 def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """docs with held_out, score (0 to 1) and predicted (1 if score >= 0.5)."""
     docs = docs.drop("held_out", "score", "predicted")
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+    known, w, scale = train(docs, labels, **options)
 
-    def work(column):
-        model, w, scale = shared.value
+    def work(model, column):
         z = (describe(model, column) - scale[0]) / scale[1]
         return [1 / (1 + np.exp(-np.clip(z @ w[1:] + w[0], -40, 40)))]
 
-    out = scored(docs, work, [("score", pa.float64(), T.DoubleType())])
+    out = known.scored(docs, work, [("score", pa.float64(), T.DoubleType())])
     return out.withColumns({"held_out": fold() == 0, "predicted": (F.col("score") >= 0.5).cast("int")})

@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 from cladeworks.functions.scalars import AMINO
+from cladeworks.llm import toxicity
 from cladeworks.operators import trees
 from cladeworks.plans import engine, proxy, registry
 
@@ -143,3 +144,37 @@ def test_supermatrix_of_all_taxa(spark, sequences):
     assert {r.taxon: (r.sha, r.sites) for r in rows(spark, "supermatrix")} == want
     back = {(r.marker_id, r.taxon): r.seq for r in rows(spark, "split_concatenated")}
     assert back == {(m, t): s for m, q in sequences.items() for t, s in q.items() if s}
+
+
+def tox_docs():
+    r = random.Random(9)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=r.randint(1, 9))) for _ in range(3000)]
+    rude = ["zwerkop", "vexxil", "qorbat"]
+    rows = [(i, " ".join(r.choices(words, k=40) + (r.choices(rude, k=4) if i % 5 == 0 else []))) for i in range(600)]
+    return [*rows, (1000, None), (1001, ""), (1002, "Ünï 漢字")], [(i, int(i % 5 == 0)) for i in range(600)]
+
+
+def test_toxicity_counts_exact_grams(spark):
+    docs, labels = tox_docs()
+    table = toxicity.gram_counts(spark.createDataFrame([(t, label) for (_, t), (_, label) in zip(docs, labels)], "text string, label long"), toxicity.Workspace(spark, "test"))
+    code = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")}
+    want, after = defaultdict(lambda: [0, 0]), defaultdict(set)
+    for (_, text), (_, label) in zip(docs, labels):
+        for w in text.split():
+            s = [36] * 4 + [code[c] for c in w] + [37]
+            for n, end in itertools.product((4, 5), range(4, len(s))):
+                g = tuple(s[end - n + 1 : end + 1])
+                want[g][label] += 1
+                want[(n, *g[:-1], "context")][label] += 1
+                after[(n, *g[:-1], "context"), label].add(g[-1])
+    number = lambda g: sum(c << 6 * (len(g) - 1 - i) for i, c in enumerate(g))
+    place = lambda g: (g[0] + 8 << 32 | number(g[1:-1])) if g[-1] == "context" else (len(g) << 32 | number(g))
+    brute = {place(g): (*v, len(after[g, 0]), len(after[g, 1])) for g, v in want.items()}
+    assert len(want) > 30_000 and {r.key: (r.a, r.b, r.ta, r.tb) for r in table.collect()} == brute
+
+
+def test_toxicity_joined_counts_score_like_broadcast_ones(spark):
+    docs, labels = tox_docs()
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = [{r.doc_id: r.score for r in toxicity.score(docs, labels, most=most).collect()} for most in (10**9, 0)]
+    assert len(got[0]) == 603 and got[1] == pytest.approx(got[0], abs=1e-9) and max(got[0].values()) > 0.9
