@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from . import text as X
 from .store import Workspace
 
-BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 160, 512, 1 << 13
+BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 256, 512, 1 << 13
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("lcs", T.DoubleType())])
 
 _SEPARATES = np.ones(256, bool)
@@ -186,8 +186,8 @@ def latent_space(table: DataFrame, items: np.ndarray, idf: np.ndarray, rank: int
     for _ in range(power):
         z = product(x)
         values, vectors = np.linalg.eigh((x.T @ z + z.T @ x) / 2)
-        x = np.linalg.qr(z @ vectors[:, ::-1])[0] if n_terms > x.shape[1] else x
-    return x.astype(np.float32)
+        x = np.linalg.qr(z @ vectors[:, ::-1])[0] if n_terms > x.shape[1] else x @ vectors[:, ::-1]
+    return x[:, :rank].astype(np.float32)
 
 
 def lcs(masks: dict[int, int], n: int, words: list[int]) -> int:
@@ -209,7 +209,7 @@ def masks_of(words: np.ndarray) -> dict[int, int]:
     return out
 
 
-def flag(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, same: float = 0.75, similar: float = 0.5, common: float = 0.001, rank: int = RANK) -> DataFrame:
+def flag(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, same: float = 0.75, similar: float = 0.5, common: float = 0.02, rank: int = RANK) -> DataFrame:
     """docs with matches: for each benchmark item found in the document its best cosine and LCS share. Empty: clean."""
     items = sorted(((r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()), key=str)
     passages = split_items(items)
@@ -270,38 +270,41 @@ def search(m: dict, h: np.ndarray, first: np.ndarray, found: list[dict], cosine:
     The passage's words that the window has must also hold `similar` of its idf, so that common words alone never match.
     """
     at, term = m["voc"].find(h)
+    block, start = blocks_of(first, at)
+    n_words = np.bincount(block, minlength=start[-1])  # common ones too
     ok = m["idf"][term] > 0
-    at, term = at[ok], term[ok]
-    if not len(at):
+    term, block = term[ok], block[ok]
+    if not len(term):
         return
-    block, start = blocks_of(first, at)
     cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     which = block[cut]
     z = np.zeros((len(cut), m["project"].shape[1]), np.float32)
     for a in range(0, len(cut), 2048):
         lo, hi = cut[a], cut[a + 2048] if a + 2048 < len(cut) else len(term)
         z[a : a + 2048] = np.add.reduceat(m["project"][term[lo:hi]], cut[a : a + 2048] - lo)
-    doc = np.searchsorted(start, which, "right") - 1
-    window = z.copy()
-    n_hits = np.diff(np.append(cut, len(term)))
-    held = n_hits.copy()
-    for k in range(1, WINDOW):  # a window begins at a block with hits and takes the next blocks of the document
-        j = np.searchsorted(which, which + k)
-        j = np.minimum(j, len(which) - 1)
-        both = (which[j] == which + k) & (doc[j] == doc)
-        window[both] += z[j[both]]
-        held[both] += n_hits[j[both]]
-    strong = np.flatnonzero(held >= 3)
+    least = start[np.searchsorted(start, which, "right") - 1]
+    opens = np.unique(np.concatenate([np.maximum(which - k, least) for k in range(WINDOW)]))  # every window of the document that holds a block with hits
+    doc = np.searchsorted(start, opens, "right") - 1
+    held = np.zeros(len(opens), np.int64)
+    for k in range(WINDOW):
+        inside = opens + k < start[doc + 1]
+        held[inside] += n_words[opens[inside] + k]
+    strong = np.flatnonzero(held >= similar * LEAST)  # fewer can't hold `similar` of any passage
     for a in range(0, len(strong), 4096):
         rows = strong[a : a + 4096]
-        w = window[rows]
+        w = np.zeros((len(rows), z.shape[1]), np.float32)
+        for k in range(WINDOW):
+            b = opens[rows] + k
+            j = np.minimum(np.searchsorted(which, b), len(which) - 1)
+            both = (which[j] == b) & (b < start[doc[rows] + 1])
+            w[both] += z[j[both]]
         norm = np.linalg.norm(w, axis=1, keepdims=True)
         cos = (w @ m["items"]) / np.maximum(norm, 1e-9)
         for i, p in zip(*np.nonzero(cos >= cosine)):
             row = rows[i]
             d = doc[row]
             item, words = m["passages"][p]
-            begin = first[d] + (which[row] - start[d]) * BLOCK
+            begin = first[d] + (opens[row] - start[d]) * BLOCK
             span = h[begin : min(begin + BLOCK * WINDOW, first[d + 1])]
             held_words = np.isin(words, span)
             if held_words.sum() < similar * len(words) or m["weights"][p][held_words].sum() < similar:
