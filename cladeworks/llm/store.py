@@ -8,11 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; where it names none (tests on one machine), a temporary one."""
+    """The shared folder that the session names. Where it names none, one machine gets a temporary one and a cluster is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -33,8 +38,13 @@ class Workspace:
         atexit.register(self._last)
 
     def save(self, df: DataFrame, name: str, **options) -> DataFrame:
-        path = f"{self.path}/{name}"
-        df.write.mode("overwrite").options(**options).parquet(path)
+        """Writes and rereads df. The shuffle files behind it go as soon as it is written."""
+        path, before = f"{self.path}/{name}", self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").options(**options).parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -5,14 +5,19 @@ ANCHOR-grams, leftmost on ties) follow each other, so a text is a chain of super
 and only their anchors are shuffled at first. Equal windows have equal anchors at equal offsets:
 
 1. anchors seen once are dropped (summed counts, then a semi join);
-2. the super-edges left are read again from the texts, with a hash of each window; equal super-edges collapse to one
-   row with its multiplicity; where an anchor has one super-edge only, its windows repeat as often as it does;
-3. windows of anchors with several super-edges are counted one by one, under anchor, offset and hash (128 bits);
+2. the super-edges left are read again from the texts; equal ones, by a digest of their words, collapse to one row with
+   its multiplicity and one source coordinate; where an anchor has one super-edge only, its windows repeat as often as it;
+3. super-edges that share an anchor with others are read once more at their source coordinates, and their windows are
+   counted one by one, by a digest of the window's own words;
 4. repeated super-edges are joined with their neighbours in the texts; links without a branch on either side compact
    into paths, whose source coordinates (text, first and last window) give the spans of words to remove.
 
-Everything is counted by sums before a shuffle and joined by keys that Spark can split; a text's spans are together in
-one row, groups of texts never are. Work follows the words and the repeats, not their squares.
+Hashes of words only choose anchors, where a collision costs time. What is called equal has equal words by 128 bits of
+BLAKE2b over the words themselves, joined by a space, read at the source coordinates.
+
+Everything is counted by sums before a shuffle. Joins in which one key may hold a third of the rows deal it over many
+tasks (skew.py); a text's spans are together in one row, groups of texts never are. Work follows the words and the
+repeats, not their squares.
 
 Defined cases: null text has no words; texts shorter than WINDOW keep all words; repeated rows repeat each other's
 windows, so copies of WINDOW words or more lose all of them; a window that overlaps its own repeat counts too. Extra
@@ -21,8 +26,7 @@ columns pass through; text, n_words and n_removed are replaced.
 
 from __future__ import annotations
 
-import gc
-import time
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as X
+from .skew import hot_keys, skewed_join
 from .store import Workspace
 
 WINDOW, ANCHOR = 35, 8
-_PLACE = np.uint64((1 << 28) - 1)
 
 
 def super_edges(h: np.ndarray, first: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -44,14 +48,18 @@ def super_edges(h: np.ndarray, first: np.ndarray, window: int, anchor: int) -> t
     if m <= 0:
         return none, none, none, none.astype(np.uint64)
     grams = X.gram_hashes(h, anchor)
-    v = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     span, size = window - anchor + 1, 1
-    low = v
+    low, place = grams, np.arange(len(grams))
+
+    def least(u, p, v, q):  # the left one on ties
+        left = u <= v
+        return np.where(left, u, v), np.where(left, p, q)
+
     while size * 2 <= span:
-        low = np.minimum(low[:-size], low[size:])
+        low, place = least(low[:-size], place[:-size], low[size:], place[size:])
         size *= 2
-    low = np.minimum(low[:m], low[span - size : span - size + m])
-    place = (low & _PLACE).astype(np.int64)
+    far = span - size
+    low, place = least(low[:m], place[:m], low[far : far + m], place[far : far + m])
     at = np.flatnonzero(X.within(first, window, len(h)))
     if not len(at):
         return none, none, none, none.astype(np.uint64)
@@ -63,10 +71,30 @@ def super_edges(h: np.ndarray, first: np.ndarray, window: int, anchor: int) -> t
     return at[begin], at[end], place[begin], grams[place[begin]]
 
 
-def chunk_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    raw, at = X.buffers(column)
-    starts, ends, first = X.words(raw, at)
-    return X.word_hashes(raw, starts, ends), first
+class Chunk:
+    """Words of a chunk of texts: bounds, hashes, first word of each text, and runs of words as they are compared."""
+
+    def __init__(self, column: pa.Array):
+        self.raw, at = X.buffers(column)
+        self.starts, self.ends, self.first = X.words(self.raw, at)
+
+    def hashes(self) -> np.ndarray:
+        return X.word_hashes(self.raw, self.starts, self.ends)
+
+    def joined(self) -> tuple[memoryview, np.ndarray]:
+        """All words with a space after each, and where each begins."""
+        size = self.ends - self.starts
+        begin = np.concatenate([[0], np.cumsum(size + 1)])
+        out = np.full(int(begin[-1]), 32, np.uint8)
+        at = np.repeat(begin[:-1] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        out[at] = self.raw[np.repeat(self.starts - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+        return memoryview(out), begin
+
+    def digests(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """128 bits of each run of words from low to high (not included), as two int64."""
+        said, begin = self.joined()
+        both = b"".join([hashlib.blake2b(said[a:b], digest_size=16).digest() for a, b in zip(begin[low].tolist(), begin[high].tolist())])
+        return np.frombuffer(both, np.int64).reshape(-1, 2)
 
 
 def anchors(texts: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -76,80 +104,99 @@ def anchors(texts: DataFrame, window: int, anchor: int) -> DataFrame:
         for batch in batches:
             t1, t2 = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for a, b in X.slices(batch.column(2)):
-                h, first = chunk_words(batch.column(2).slice(a, b - a))
-                s0, _, _, k = super_edges(h, first, window, anchor)
-                doc = np.searchsorted(first, s0, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(t1[a:b][doc]), pa.array(t2[a:b][doc]), pa.array((s0 - first[doc]).astype(np.int32))], ["k", "t1", "t2", "s0"])
+                chunk = Chunk(batch.column(2).slice(a, b - a))
+                s0, _, _, k = super_edges(chunk.hashes(), chunk.first, window, anchor)
+                doc = np.searchsorted(chunk.first, s0, "right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(t1[a:b][doc]), pa.array(t2[a:b][doc]), pa.array((s0 - chunk.first[doc]).astype(np.int32))], ["k", "t1", "t2", "s0"])
 
     return texts.select("t1", "t2", "text").mapInArrow(run, "k long, t1 long, t2 long, s0 int")
 
 
-EDGE = "t1 long, t2 long, copies long, s0 int, n int, k long, shift int, e1 long, e2 long, windows array<long>"
+KEY = ("k", "shift", "d1", "d2")
+EDGE = "t1 long, t2 long, copies long, s0 int, n int, k long, shift int, d1 long, d2 long"
 
 
 def edges(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """EDGE of the super-edges of texts (t1, t2, copies, starts, text) that begin at starts. shift: from first window to anchor."""
+    """EDGE of the super-edges of texts (t1, t2, copies, starts, text) that begin at starts: n windows, whose first lies `shift` before the anchor."""
 
     def run(batches):
         for batch in batches:
             t1, t2, copies = (np.asarray(batch.column(i)) for i in range(3))
             for a, b in X.slices(batch.column(4)):
-                h, first = chunk_words(batch.column(4).slice(a, b - a))
-                s0, s1, place, k = super_edges(h, first, window, anchor)
-                wanted = np.concatenate([np.asarray(x, np.int64) + f for x, f in zip(batch.column(3).slice(a, b - a).to_pylist(), first)] or [np.zeros(0, np.int64)])
+                chunk = Chunk(batch.column(4).slice(a, b - a))
+                s0, s1, place, k = super_edges(chunk.hashes(), chunk.first, window, anchor)
+                wanted = np.concatenate([np.asarray(x, np.int64) + f for x, f in zip(batch.column(3).slice(a, b - a).to_pylist(), chunk.first)] or [np.zeros(0, np.int64)])
                 ok = np.isin(s0, wanted)
                 s0, s1, place, k = s0[ok], s1[ok], place[ok], k[ok]
-                doc = np.searchsorted(first, s0, "right") - 1
-                w1, w2 = X.gram_hashes(h, window), X.gram_hashes(h, window, second=True)
-                n = s1 - s0 + 1
-                flat = np.repeat(s0 - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else s0, n) + np.arange(int(n.sum()))
-                turn = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-                up = X.powers(X._P, 64)[turn]
-                cut = (np.cumsum(n) - n).astype(np.int64)
-                e1 = X.mixed(np.add.reduceat(w1[flat] * up, cut)) if len(n) else k
-                e2 = X.mixed(np.add.reduceat(w2[flat] * up, cut)) if len(n) else k
-                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(t1[a:b][doc]), pa.array(t2[a:b][doc]), pa.array(copies[a:b][doc]), pa.array((s0 - first[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                        pa.array(k.view(np.int64)), pa.array((place - s0).astype(np.int32)), pa.array(e1.view(np.int64)), pa.array(e2.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(w1[flat].view(np.int64))),
-                    ],
-                    [x.split()[0] for x in EDGE.split(", ")],
-                )
+                doc = np.searchsorted(chunk.first, s0, "right") - 1
+                d = chunk.digests(s0, s1 + window)
+                made = [
+                    t1[a:b][doc], t2[a:b][doc], copies[a:b][doc], (s0 - chunk.first[doc]).astype(np.int32), (s1 - s0 + 1).astype(np.int32), k.view(np.int64), (place - s0).astype(np.int32), d[:, 0], d[:, 1]
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], [x.split()[0] for x in EDGE.split(", ")])
 
     return texts.select("t1", "t2", "copies", "starts", "text").mapInArrow(run, EDGE)
 
 
-KEY = ("k", "e1", "e2", "shift")
+WINDOWS = "k long, shift int, d1 long, d2 long, copies long, w1 array<long>, w2 array<long>"
+
 
+def window_digests(texts: DataFrame, window: int) -> DataFrame:
+    """WINDOWS: digests of all windows of the super-edges asked for; texts: text, asked (array of s0, n, k, shift, d1, d2, copies)."""
 
-def repeated_windows(distinct: DataFrame, work: Workspace) -> DataFrame:
-    """k, e1, e2, lo, hi: runs of repeated windows inside each distinct super-edge, as offsets."""
+    def run(batches):
+        for batch in batches:
+            for a, b in X.slices(batch.column(0)):
+                chunk = Chunk(batch.column(0).slice(a, b - a))
+                asked = batch.column(1).slice(a, b - a)
+                rows = asked.flatten()
+                s0, n = (np.asarray(rows.field(x)).astype(np.int64) for x in ("s0", "n"))
+                s0 = s0 + np.repeat(chunk.first[:-1], np.asarray(asked.value_lengths()))
+                low = np.repeat(s0 - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                d = chunk.digests(low, low + window)
+                cut = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cut, pa.array(np.ascontiguousarray(d[:, i]))) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*(rows.field(x) for x in (*KEY, "copies")), *lists], [x.split()[0] for x in WINDOWS.split(", ")])
+
+    return texts.select("text", "asked").mapInArrow(run, WINDOWS)
+
+
+def repeated_windows(distinct: DataFrame, one: DataFrame, window: int, work: Workspace) -> DataFrame:
+    """KEY, lo, hi: runs of repeated windows inside each distinct super-edge, as offsets."""
     key = list(KEY)
-    several = work.save(distinct.groupBy("k").agg(F.count(F.lit(1)).alias("edges")), "several")
-    alone = distinct.join(several.where("edges = 1"), "k", "left_semi").where("copies > 1")
-    whole = alone.select("k", "e1", "e2", "shift", F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
-    mixed = distinct.join(several.where("edges > 1"), "k", "left_semi").select(*key, "copies", F.posexplode("windows").alias("at", "w"))
-    mixed = mixed.withColumn("back", F.col("shift") - F.col("at"))
-    twice = work.save(mixed.groupBy("k", "back", "w").agg(F.sum("copies").alias("c")).where("c > 1").select("k", "back", "w"), "windows")
-    bits = mixed.join(twice, ["k", "back", "w"], "left_semi").groupBy(*key).agg(F.collect_list("at").alias("at"))  # at most WINDOW - ANCHOR + 1
+    lone = distinct.groupBy("k").agg(F.count(F.lit(1)).alias("edges")).where("edges = 1").select("k", F.lit(True).alias("alone"))
+    told = work.save(distinct.join(work.save(lone, "lone"), "k", "left"), "told")
+    whole = told.where("alone and copies > 1").select(*key, F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
+    asked = told.where("alone is null").groupBy("t1", "t2").agg(F.collect_list(F.struct("s0", "n", *key, "copies")).alias("asked"))  # places in one text
+    mixed = work.save(window_digests(one.join(asked, ["t1", "t2"]), window), "windows")
+    mixed = mixed.select(*key, "copies", F.posexplode(F.arrays_zip("w1", "w2")).alias("at", "w")).select(*key, "copies", "at", "w.w1", "w.w2")
+    twice = work.save(mixed.groupBy("w1", "w2").agg(F.sum("copies").alias("c")).where("c > 1").select("w1", "w2"), "twice")
+    bits = mixed.join(twice, ["w1", "w2"], "left_semi").groupBy(*key).agg(F.collect_list("at").alias("at"))  # at most WINDOW - ANCHOR + 1
     run = Window.partitionBy(*key).orderBy("at")
     single = bits.select(*key, F.explode("at").alias("at")).withColumn("run", F.col("at") - F.row_number().over(run))
     partial = single.groupBy(*key, "run").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).drop("run")
-    return work.save(whole.unionByName(partial.select(whole.columns)), "runs")
+    out = work.save(whole.unionByName(partial.select(whole.columns)), "runs")
+    work.drop("lone", "told", "windows", "twice")
+    return out
 
 
-def paths(found: DataFrame, runs: DataFrame) -> DataFrame:
+def paths(found: DataFrame, runs: DataFrame, work: Workspace) -> DataFrame:
     """t1, t2, first, last: windows of the compacted repeated paths at each of their source coordinates."""
     key = list(KEY)
-    here = found.join(runs, key).select("t1", "t2", F.xxhash64(*key, "lo").alias("edge"), (F.col("s0") + F.col("lo")).alias("first"), (F.col("s0") + F.col("hi")).alias("last"))
+    dealt = F.xxhash64("t1", "t2", "s0")
+    hot = work.save(hot_keys(found.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "n", key), "hot")
+    # a key's runs as one row; an edge's name is its key and where in it the run begins
+    listed = runs.groupBy(*key).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))  # at most half of WINDOW - ANCHOR + 1
+    here = skewed_join(found.select("t1", "t2", "s0", *key), listed, key, hot, dealt).select("t1", "t2", "s0", *key, F.explode("runs").alias("r"))
+    here = here.select("t1", "t2", F.xxhash64(*key, "r.lo").alias("edge"), (F.col("s0") + F.col("r.lo")).alias("first"), (F.col("s0") + F.col("r.hi")).alias("last"))
     text = Window.partitionBy("t1", "t2").orderBy("first")
-    linked = here.withColumn("before", F.when(F.lag("last").over(text) + 1 == F.col("first"), F.lag("edge").over(text)))
-    links = linked.where("before is not null").groupBy("before", "edge").agg(F.count(F.lit(1)).alias("n"))
+    linked = work.save(here.withColumn("before", F.when(F.lag("last").over(text) + 1 == F.col("first"), F.lag("edge").over(text))), "linked")
+    links = work.save(linked.where("before is not null").groupBy("before", "edge").agg(F.count(F.lit(1)).alias("n")), "links")
     ahead = links.groupBy("before").agg(F.count(F.lit(1)).alias("out"))
     behind = links.groupBy("edge").agg(F.count(F.lit(1)).alias("into"))
     plain = links.join(ahead.where("out = 1"), "before", "left_semi").join(behind.where("into = 1"), "edge", "left_semi").select("before", "edge", F.lit(True).alias("joined"))
-    parts = linked.join(plain, ["before", "edge"], "left")
+    often = hot_keys(links, "n", ["before", "edge"])
+    parts = skewed_join(linked, plain, ["before", "edge"], work.save(often, "often"), F.xxhash64("t1", "t2", "first"), "left")
     parts = parts.withColumn("path", F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(text))
     return parts.groupBy("t1", "t2", "path").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("path")
 
@@ -197,14 +244,6 @@ def remove(docs: DataFrame, window: int, prefix: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def release(spark) -> None:
-    """Lets Spark delete shuffle files that nothing refers to any more."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.7)
-
-
 def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """docs with text without the words that a repeated window covers (the rest joined by one space), n_words before, n_removed."""
     spark, work = docs.sparkSession, Workspace(docs.sparkSession, "substring")
@@ -217,25 +256,23 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     starts = every.join(twice, "k", "left_semi").groupBy("t1", "t2").agg(F.collect_set("s0").alias("starts"))  # places in one text
     starts = work.save(starts, "starts")
     work.drop("anchors", "twice")
-    release(spark)
     one = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    found = work.save(edges(one.join(starts, ["t1", "t2"]), window, anchor), "edges")
+    one = work.save(one.join(starts, ["t1", "t2"]), "one")
     work.drop("starts")
-    release(spark)
-    distinct = found.groupBy(*KEY).agg(F.sum("copies").alias("copies"), F.first("n").alias("n"), F.first("windows").alias("windows"))
+    found = work.save(edges(one, window, anchor), "edges")
+    copied = work.save(hot_keys(one, "copies", ["t1", "t2"]), "copied")
+    distinct = found.groupBy(*KEY).agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in ("n", "t1", "t2", "s0")])
     distinct = work.save(distinct, "distinct")
-    found = work.save(found.select("t1", "t2", "s0", *KEY), "places")  # from here on the hashes of windows are needed once only
-    work.drop("edges")
-    release(spark)
-    runs = repeated_windows(distinct, work)
-    work.drop("distinct", "several", "windows")
-    release(spark)
-    spans = paths(found, runs).groupBy("t1", "t2").agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
+    runs = repeated_windows(distinct, one, window, work)
+    work.drop("distinct", "one")
+    spans = paths(found, runs, work).groupBy("t1", "t2").agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
     spans = work.save(spans, "spans")
-    work.drop("places", "runs")
-    release(spark)
+    work.drop("edges", "runs", "linked", "links", "hot", "often")
     g1, g2 = X.two_hashes(F.coalesce("text", F.lit("")))
     x = X.fresh(docs.columns)
-    spans = spans.withColumnsRenamed({"t1": x + "t1", "t2": x + "t2", "_first": x + "first", "_last": x + "last"})
-    marked = docs.withColumns({x + "t1": g1, x + "t2": g2}).join(spans, [x + "t1", x + "t2"], "left")
+    key = [x + "t1", x + "t2"]
+    renamed = {"t1": x + "t1", "t2": x + "t2", "_first": x + "first", "_last": x + "last"}
+    rows = docs.withColumns({x + "t1": g1, x + "t2": g2})
+    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != "text" and isinstance(f.dataType, T.AtomicType)])
+    marked = skewed_join(rows, spans.withColumnsRenamed(renamed), key, copied.withColumnsRenamed(renamed), dealt, "left")
     return remove(marked.select(*docs.columns, x + "first", x + "last"), window, x)

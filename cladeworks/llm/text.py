@@ -1,10 +1,12 @@
 """Words, word hashes and n-gram hashes of whole texts, vectorised over Arrow buffers.
 
-A word is a maximal run of bytes outside 0x20 and 0x09-0x0D. All hashes are 64-bit, the same on every executor.
+A word is a maximal run of bytes outside 0x20 and 0x09-0x0D. All hashes are 64-bit, the same on every executor, and mix
+what they read nonlinearly after every step, so that no constructed texts share them as they would a polynomial's.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,23 +18,13 @@ SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 CHUNK = 1 << 20  # bytes of text handled at a time; a longer document is a chunk of its own
 
-_rng = np.random.default_rng(20240611)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE.encode())] = True
-_P = int(_rng.integers(1 << 61, 1 << 62)) * 8 + 5
-_Q = int(_rng.integers(1 << 61, 1 << 62)) * 8 + 3
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64."""
-    got = _powers.get(base)
-    if got is None or len(got) < n:
-        out = np.full(max(n, 4096), base & (2**64 - 1), np.uint64)
-        out[0] = 1
-        _powers[base] = got = np.cumprod(out, dtype=np.uint64)
-    return got[:n]
+_FIRST = [(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1]
+_FIRST = np.array(_FIRST, np.uint64)  # masks of a lane's first k bytes
+_SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0xA0761D6478BD642F))
+_STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+LONG = 64  # bytes; longer words are hashed by BLAKE2b, one by one
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -83,30 +75,47 @@ def words(raw: np.ndarray, at: np.ndarray, space: np.ndarray | None = None) -> t
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, at, "left")
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK, "left")))
-        a, b = int(starts[i]), int(ends[j - 1])
-        up, down = powers(_P, b - a + 1), powers(pow(_P, -1, 2**64), b - a + 1)
-        sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(_BYTE[raw[a:b]] * up[: b - a], out=sums[1:])
-        out[i:j] = (sums[ends[i:j] - a] - sums[starts[i:j] - a]) * down[starts[i:j] - a]
-        i = j
-    return mixed(out + (ends - starts).astype(np.uint64))
-
-
-def gram_hashes(h: np.ndarray, n: int, second: bool = False) -> np.ndarray:
-    """Hash of each run of n consecutive entries, runs across documents included; len(h) - n + 1 entries."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, mixed after every eight bytes; `second`: another, independent one."""
+    k = int(second)
+    size = ends - starts
+    out = np.full(len(starts), _SEEDS[k], np.uint64) + size.astype(np.uint64) * _STEP[k]
+    if not len(starts):
+        return out
+    a = int(starts[0])
+    padded = np.concatenate([raw[a : int(ends[-1])], np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # the eight bytes from each place
+    short = size <= LONG
+    left, at = (np.arange(len(starts)) if short.all() else np.flatnonzero(short)), 0
+    while len(left):
+        rest = size[left] - at
+        lane = lanes[starts[left] - a + at] & _FIRST[np.minimum(rest, 8)]
+        out[left] = mixed((out[left] ^ lane) * _STEP[k])
+        left, at = left[rest > 8], at + 8
+    for i in np.flatnonzero(~short):
+        both = hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+        out[i] = int.from_bytes(both[8 * k : 8 * k + 8], "little")
+    return out
+
+
+def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n consecutive entries, runs across documents included; len(h) - n + 1 entries.
+
+    Neighbouring runs are joined in twos, fours and so on, and mixed at every join, so that no algebra of the entries survives.
+    """
     m = len(h) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    base = _Q if second else _P
-    up, down = powers(base, len(h) + 1), powers(pow(base, -1, 2**64), len(h) + 1)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * up[: len(h)], out=sums[1:])
-    return mixed((sums[n:] - sums[:m]) * down[:m])
+    out, done, run, size = None, 0, h, 1
+    while True:
+        if n & size:
+            part = run[done : done + m]
+            out = part if out is None else mixed(out * _STEP[1] + part)
+            done += size
+        size *= 2
+        if size > n:
+            return mixed(out + np.uint64(n))
+        run = mixed(run[: -(size // 2)] * _STEP[0] + run[size // 2 :])
 
 
 def within(first: np.ndarray, n: int, total: int) -> np.ndarray:
