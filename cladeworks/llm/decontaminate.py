@@ -3,22 +3,27 @@
 Words are lower-cased letter and digit runs. The benchmark's words are the vocabulary. Documents are cut into blocks of
 BLOCK words; their counts of vocabulary words, one pass over all texts, are the matrix of TF-IDF passages, with document
 frequencies over all blocks. A randomised SVD of that matrix (benchmark passages stacked on it, with as much weight as
-all the corpus) needs only products A'(A X) with a thin X, which each task sums over its blocks and Spark adds up by slices of
-terms. In a last pass each document's blocks are projected, windows of three neighbours (a projection is linear) are
-compared with all benchmark passages by cosine, and a pair above `cosine` is verified on the words: the longest common
-subsequence must hold `same` of the passage, or `similar` of it and the passage's answer (its last words) too.
+all the corpus) needs only products A'(A X) with a thin X, which a bounded number of tasks sum over their blocks and Spark
+adds up by slices of terms. In a last pass each document's blocks are projected, windows of three neighbours (a projection
+is linear) are compared with all benchmark passages by cosine, and a pair above `cosine` is verified on the words: the
+longest common subsequence must hold `same` of the passage, or `similar` of it and the passage's answer (its last words) too.
 
 Words found in more than `common` of the blocks carry little weight and are left out of the vectors, but for the FEWEST
-rarest of each passage. The LCS and answer checks see all words. The benchmark is a stated query set: it is collected on the driver and compared in blocks
-of PASSAGES passages, so what a task holds is bounded whatever its size; the corpus is never collected.
+rarest of each passage. The LCS and answer checks see all words. RANK is set by recall: tests/llm/test_retrieval.py
+measures it against the exact cosine of whole TF-IDF vectors and against planted paraphrases.
 
-Defined cases: null text counts as empty; benchmark items of fewer than LEAST words can't be told from chance and match
-nothing; equal items each match; documents that repeat are flagged alike; an empty benchmark or table flags nothing.
-Extra columns pass through; a column named `matches` is replaced.
+The benchmark is a stated query set. The driver reads it in blocks of at most PASSAGES passages and TERMS different words,
+each searched in a round of its own, so what driver and tasks hold is bounded whatever its size; the corpus is never collected.
+
+Defined cases: null text counts as empty; items of fewer than LEAST words can't be told from chance inside a sentence and
+match where a whole line says just their words; items without a word match nothing; equal items each match; documents
+that repeat are flagged alike; an empty benchmark or table flags nothing. Extra columns pass through; a column named
+`matches` is replaced.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,17 +36,15 @@ from pyspark.sql import types as T
 from . import text as X
 from .store import Workspace
 
-BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST, PASSAGES, RANK, SLICE, PIECE = 32, 3, 48, 5, 6, 8, 2000, 256, 512, 1 << 13
+BLOCK, WINDOW, PASSAGE, LEAST, ANSWER, FEWEST = 32, 3, 48, 5, 6, 8
+RANK, PASSAGES, TERMS, SLICE, GROUP, STRIP, TASKS_A_CORE = 256, 2000, 20_000, 64, 48, 2048, 4
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("lcs", T.DoubleType())])
 
-_SEPARATES = np.ones(256, bool)
-_SEPARATES[[*range(48, 58), *range(97, 123), *range(65, 91), *range(128, 256)]] = False
-
 
-def normal_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of a chunk and the first word of each document."""
+def normal_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word of a chunk, the first word of each document, and the line (numbered over the chunk) of each word."""
     raw, at = X.buffers(pc.utf8_lower(column.cast(pa.large_string())))
-    space = _SEPARATES[raw]
+    space = X.SEPARATES[raw]
     if len(raw) > 2:  # punctuation of two and three bytes
         two = np.flatnonzero(raw[:-1] == 0xC2)
         two = two[~np.isin(raw[two + 1], (0xAA, 0xB5, 0xBA))]
@@ -51,7 +54,8 @@ def normal_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             for k in range(n):
                 space[spots + k] = True
     starts, ends, first = X.words(raw, at, space)
-    return X.word_hashes(raw, starts, ends), first
+    line = np.searchsorted(np.sort(np.concatenate([np.flatnonzero(raw == 10), at[1:]])), starts, "right")
+    return X.word_hashes(raw, starts, ends), first, line
 
 
 class Vocabulary:
@@ -78,18 +82,31 @@ def blocks_of(first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start[doc] + (at - first[doc]) // BLOCK, start
 
 
-def split_items(items: list) -> list[tuple[int, np.ndarray]]:
-    """(item_id, word hashes) of each passage of at most PASSAGE words."""
-    items = [(i, t) for i, t in items if t is not None]
-    if not items:
-        return []
-    h, first = normal_words(pa.array([t for _, t in items], pa.string()))
-    out = []
-    for k, (item, _) in enumerate(items):
-        own = h[first[k] : first[k + 1]]
-        if len(own) >= LEAST:
-            out += [(item, part) for part in np.array_split(own, -(-len(own) // PASSAGE))]
-    return out
+Passage = tuple[int, np.ndarray]  # item_id, word hashes
+
+
+def split_item(item: int, words: np.ndarray) -> list[Passage]:
+    """Passages of at most PASSAGE words; an item of fewer than LEAST words is one."""
+    return [(item, part) for part in np.array_split(words, -(-len(words) // PASSAGE))] if len(words) else []
+
+
+def rounds(benchmark: DataFrame) -> Iterator[list[Passage]]:
+    """Blocks of passages, of at most PASSAGES passages and TERMS different words (or one passage)."""
+    out: list[Passage] = []
+    terms: set[int] = set()
+    rows = benchmark.where("text is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator()
+    while some := list(itertools.islice(rows, 500)):
+        h, first, _ = normal_words(pa.array([r.text for r in some], pa.string()))
+        for k, r in enumerate(some):
+            for passage in split_item(r.item_id, h[first[k] : first[k + 1]]):
+                own = set(passage[1].tolist())
+                if out and (len(out) >= PASSAGES or len(terms | own) > TERMS):
+                    yield out
+                    out, terms = [], set()
+                out.append(passage)
+                terms |= own
+    if out:
+        yield out
 
 
 def read_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -108,7 +125,7 @@ def hits(docs: DataFrame, vocabulary) -> DataFrame:
         for batch in batches:
             column = batch.column(0)
             for a, b in X.slices(column):
-                h, first = normal_words(column.slice(a, b - a).fill_null(""))
+                h, first, _ = normal_words(column.slice(a, b - a).fill_null(""))
                 at, term = voc.find(h)
                 block, start = blocks_of(first, at)
                 counts = np.bincount(block, minlength=start[-1]).astype(np.uint8)
@@ -139,55 +156,76 @@ def frequencies(table: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
 
 
 def gram_product(table: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A'(A x) over all blocks of the corpus; idf is 0 for terms left out."""
-    shared = table.sparkSession.sparkContext.broadcast((idf, x.astype(np.float32)))
+    """A'(A x) over all blocks of the corpus; idf is 0 for terms left out. Each task has one sum, however many blocks it reads."""
+    context = table.sparkSession.sparkContext
+    shared, width = context.broadcast((idf.astype(np.float32), x.astype(np.float32))), x.shape[1]
+    tasks = TASKS_A_CORE * context.defaultParallelism
 
-    def run(batches):
+    def products(batches):
         weight, thin = shared.value
-        out = np.zeros((len(weight), thin.shape[1]), np.float64)
+        out = np.zeros((len(weight), width), np.float64)
         for term, block, _ in read_hits(batches):
             ok = weight[term] > 0
             term, block = term[ok], block[ok]
-            for a in range(0, len(term), PIECE):
-                # a block that straddles two pieces counts as two passages
-                t, b = term[a : a + PIECE], block[a : a + PIECE]
-                w = weight[t].astype(np.float32)[:, None]
-                cut = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
-                y = np.add.reduceat(thin[t] * w, cut)
-                row = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(b))))
-                order = np.argsort(t, kind="stable")
-                begin = np.flatnonzero(np.append(True, t[order][1:] != t[order][:-1]))
-                out[t[order][begin]] += np.add.reduceat(y[row[order]] * w[order], begin)
+            cut = np.flatnonzero(np.append(True, block[1:] != block[:-1])[: len(block)])
+            cut = np.append(cut, len(block))
+            for a in range(0, len(cut) - 1, GROUP):  # a few blocks as a small dense matrix over their own terms
+                ends = cut[a : a + GROUP + 1]
+                n = len(ends) - 1
+                tf_idf, own = small_tf_idf(term[ends[0] : ends[-1]], np.repeat(np.arange(n), np.diff(ends)), n, weight)
+                out[own] += tf_idf.T @ (tf_idf @ thin[own])
         for k in range(0, len(weight), SLICE):
-            yield pa.RecordBatch.from_arrays([pa.array([k // SLICE]), pa.array([out[k : k + SLICE].astype(np.float32).tobytes()], pa.binary())], ["slice", "z"])
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([out[k : k + SLICE].astype(np.float32).tobytes()], pa.binary())], ["slice", "z"])
 
-    parts = table.mapInArrow(run, "slice long, z binary").rdd.map(lambda r: (r[0], np.frombuffer(bytes(r[1]), np.float32)))
-    total = np.zeros((len(idf), x.shape[1]), np.float64)
-    for k, z in parts.reduceByKey(lambda a, b: a + b, max(1, len(idf) // SLICE)).collect():
-        total[k * SLICE : (k + 1) * SLICE] = z.reshape(-1, x.shape[1])
+    def sums(batches):
+        got: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, z in zip(batch.column(0).to_pylist(), batch.column(1)):
+                z = np.frombuffer(z.as_buffer(), np.float32)
+                got[k] = got[k] + z if k in got else z.astype(np.float64)
+        for k, z in got.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([z.tobytes()], pa.binary())], ["slice", "z"])
+
+    schema = "slice long, z binary"
+    parts = table.coalesce(tasks).mapInArrow(products, schema).repartition("slice").mapInArrow(sums, schema)
+    total = np.zeros((len(idf), width))
+    for r in parts.collect():  # the vocabulary's terms x width, whatever the corpus
+        total[r.slice : r.slice + SLICE] = np.frombuffer(r.z, np.float64).reshape(-1, width)
     shared.unpersist()
     return total
 
 
-def latent_space(table: DataFrame, items: np.ndarray, idf: np.ndarray, rank: int, power: int = 1) -> np.ndarray:
+class Passages:
+    """TF-IDF rows of the passages, sparse."""
+
+    def __init__(self, terms: list[np.ndarray], idf: np.ndarray):
+        self.term, self.row, self.shape = np.concatenate(terms), np.repeat(np.arange(len(terms)), [len(t) for t in terms]), (len(terms), len(idf))
+        self.weight = idf[self.term][:, None]
+
+    def times(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[0], x.shape[1]))
+        np.add.at(out, self.row, x[self.term] * self.weight)
+        return out
+
+    def back(self, y: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[1], y.shape[1]))
+        np.add.at(out, self.term, y[self.row] * self.weight)
+        return out
+
+
+def latent_space(table: DataFrame, items: Passages, idf: np.ndarray, rank: int, power: int = 1) -> np.ndarray:
     """Right singular vectors (terms x rank) of the corpus' and the benchmark's passages, by a randomised SVD."""
     n_terms = len(idf)
     rank = min(rank, n_terms)
-
-    def product(x):
-        return gram_product(table, idf, x) + scale * (items.T @ (items @ x))
-
-    scale = 1.0
     x = np.linalg.qr(np.random.default_rng(11).standard_normal((n_terms, rank)))[0]
-    first = gram_product(table, idf, x)
-    mine = items.T @ (items @ x)
-    scale = max(1.0, np.linalg.norm(first) / max(np.linalg.norm(mine), 1e-12))  # the benchmark weighs as much as the corpus
-    x = np.linalg.qr(np.hstack([first + scale * mine, items.T])[:, : max(rank, len(items))])[0] if n_terms > rank else x
+    corpus, mine = gram_product(table, idf, x), items.back(items.times(x))
+    scale = max(1.0, np.linalg.norm(corpus) / max(np.linalg.norm(mine), 1e-12))  # the benchmark weighs as much as the corpus
+    x = np.linalg.qr(corpus + scale * mine)[0]
     for _ in range(power):
-        z = product(x)
+        z = gram_product(table, idf, x) + scale * items.back(items.times(x))
         values, vectors = np.linalg.eigh((x.T @ z + z.T @ x) / 2)
-        x = np.linalg.qr(z @ vectors[:, ::-1])[0] if n_terms > x.shape[1] else x @ vectors[:, ::-1]
-    return x[:, :rank].astype(np.float32)
+        x = np.linalg.qr(z @ vectors[:, ::-1])[0]
+    return x.astype(np.float32)
 
 
 def lcs(masks: dict[int, int], n: int, words: list[int]) -> int:
@@ -211,114 +249,146 @@ def masks_of(words: np.ndarray) -> dict[int, int]:
 
 def flag(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, same: float = 0.75, similar: float = 0.5, common: float = 0.02, rank: int = RANK) -> DataFrame:
     """docs with matches: for each benchmark item found in the document its best cosine and LCS share. Empty: clean."""
-    items = sorted(((r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()), key=str)
-    passages = split_items(items)
-    models = [model(docs, passages[i : i + PASSAGES], common, rank) for i in range(0, len(passages), PASSAGES)]
+    work = Workspace(docs.sparkSession, "flagged")
     docs = docs.drop("matches")
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    schema = T.StructType([*docs.schema.fields, T.StructField("matches", T.ArrayType(MATCH, False), False)])
+    texts = docs
+    out = docs.withColumn("matches", F.array().cast(T.ArrayType(MATCH, False)))
+    for k, passages in enumerate(rounds(benchmark)):
+        if k:  # one round's model at a time
+            out = work.save(out, f"round{k}")
+        out = searched(out, model(texts, passages, common, rank), cosine, same, similar)
+    return out
+
+
+def searched(docs: DataFrame, known: dict, cosine: float, same: float, similar: float) -> DataFrame:
+    """docs with the matches of one round added to matches."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    names = docs.columns
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(MATCH, False), False) if f.name == "matches" else f for f in docs.schema.fields])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64())]))
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("text"))
+            column, before = (batch.column(batch.schema.get_field_index(x)) for x in ("text", "matches"))
             for a, b in X.slices(column):
-                h, first = normal_words(column.slice(a, b - a).fill_null(""))
-                found: list[dict] = [{} for _ in range(b - a)]
-                for m in shared.value:
-                    search(m, h, first, found, cosine, same, similar)
+                h, first, line = normal_words(column.slice(a, b - a).fill_null(""))
+                found: list[dict] = [{m["item_id"]: (m["lcs"], m["cosine"]) for m in ms} for ms in before.slice(a, b - a).to_pylist()]
+                short_search(shared.value, h, first, line, found)
+                search(shared.value, h, first, found, cosine, same, similar)
                 part = batch.slice(a, b - a)
                 rows = pa.array([[{"item_id": i, "cosine": c, "lcs": s} for i, (s, c) in sorted(f.items())] for f in found], kind)
-                yield pa.RecordBatch.from_arrays([*part.columns, rows], [*part.schema.names, "matches"])
+                yield pa.RecordBatch.from_arrays([rows if n == "matches" else part.column(i) for i, n in enumerate(names)], names)
 
     return docs.mapInArrow(run, schema)
 
 
-def model(docs: DataFrame, passages: list[tuple[int, np.ndarray]], common: float, rank: int) -> dict:
+def model(docs: DataFrame, passages: list[Passage], common: float, rank: int) -> dict:
     """Vocabulary, idf, latent space and projected passages of a block of the benchmark."""
     spark, work = docs.sparkSession, Workspace(docs.sparkSession, "latent")
+    short = [(i, p) for i, p in passages if len(p) < LEAST]
+    passages = [(i, p) for i, p in passages if len(p) >= LEAST]
+    if not passages:
+        return {"short": short, "passages": []}
     voc = Vocabulary(np.concatenate([p for _, p in passages]))
-    n = len(voc.hashes)
     table = work.save(hits(docs, spark.sparkContext.broadcast(voc)), "hits")
-    df, total = frequencies(table, n)
+    df, total = frequencies(table, len(voc.hashes))
     idf = np.log((total + 1.0) / (df + 1.0)) + 0.1
     weights = idf.copy()
     used = df <= common * max(total, 1)
-    rows = []
-    for _, p in passages:
-        terms = np.searchsorted(voc.hashes, p)
+    rows = [np.searchsorted(voc.hashes, p) for _, p in passages]
+    for terms in rows:
         own = np.unique(terms)
         used[own[np.argsort(df[own], kind="stable")[:FEWEST]]] = True
-        rows.append(terms)
     idf[~used] = 0
-    items = np.zeros((len(passages), n))
-    for k, terms in enumerate(rows):
-        np.add.at(items[k], terms, idf[terms])
+    items = Passages(rows, idf)
     basis = latent_space(table, items, idf, rank)
-    low = items @ basis
+    low = items.times(basis)
     norms = np.linalg.norm(low, axis=1, keepdims=True)
     work.drop("hits")
     return {
-        "voc": voc, "project": basis * idf[:, None].astype(np.float32), "idf": idf, "items": (low / np.maximum(norms, 1e-9)).astype(np.float32).T,
-        "weights": [weights[t] / weights[t].sum() for t in rows], "passages": passages, "masks": [masks_of(p) for _, p in passages], "ends": [masks_of(p[-ANSWER:]) for _, p in passages],
+        "voc": voc, "basis": basis, "idf": idf.astype(np.float32), "items": (low / np.maximum(norms, 1e-9)).astype(np.float32).T,
+        "weights": [weights[t] / weights[t].sum() for t in rows], "passages": passages, "short": short, "masks": [masks_of(p) for _, p in passages], "ends": [masks_of(p[-ANSWER:]) for _, p in passages],
     }
 
 
+def short_search(m: dict, h: np.ndarray, first: np.ndarray, line: np.ndarray, found: list[dict]) -> None:
+    """Adds items of fewer than LEAST words where a line of a document says just these."""
+    edge = np.append(True, line[1:] != line[:-1])[: len(line)]
+    begin = np.flatnonzero(edge)
+    size = np.diff(np.append(begin, len(h)))
+    for item, words in m["short"]:
+        at = begin[size == len(words)]
+        for k, w in enumerate(words):
+            at = at[h[at + k] == w]
+        for d in np.unique(np.searchsorted(first, at, "right") - 1):
+            found[d][item] = (1.0, 1.0)
+
+
+def small_tf_idf(term: np.ndarray, block: np.ndarray, n: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF of n blocks (block: 0 to n - 1) as a dense matrix over their own terms, and these terms."""
+    own, which = np.unique(term, return_inverse=True)
+    return np.bincount(block * len(own) + which, minlength=n * len(own)).reshape(n, len(own)).astype(np.float32) * weight[own], own
+
+
+def projected(m: dict, term: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
+    """Latent vectors of n blocks; block rises from 0."""
+    z = np.zeros((n, m["basis"].shape[1]), np.float32)
+    cut = np.searchsorted(block, np.arange(0, n + GROUP, GROUP))
+    for k, (lo, hi) in enumerate(zip(cut, cut[1:])):
+        if hi > lo:
+            tf_idf, own = small_tf_idf(term[lo:hi], block[lo:hi] - k * GROUP, min(GROUP, n - k * GROUP), m["idf"])
+            z[k * GROUP : (k + 1) * GROUP] = tf_idf @ m["basis"][own]
+    return z
+
+
 def search(m: dict, h: np.ndarray, first: np.ndarray, found: list[dict], cosine: float, same: float, similar: float) -> None:
-    """Adds (LCS share, cosine) by item to found, for the documents of a chunk.
+    """Adds (LCS share, cosine) by item to found, for the documents of a chunk: every window of every document, STRIP at a time.
 
     The passage's words that the window has must also hold `similar` of its idf, so that common words alone never match.
     """
+    if not m["passages"]:
+        return
     at, term = m["voc"].find(h)
     block, start = blocks_of(first, at)
-    n_words = np.bincount(block, minlength=start[-1])  # common ones too
     ok = m["idf"][term] > 0
     term, block = term[ok], block[ok]
-    if not len(term):
-        return
-    cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    which = block[cut]
-    z = np.zeros((len(cut), m["project"].shape[1]), np.float32)
-    for a in range(0, len(cut), 2048):
-        lo, hi = cut[a], cut[a + 2048] if a + 2048 < len(cut) else len(term)
-        z[a : a + 2048] = np.add.reduceat(m["project"][term[lo:hi]], cut[a : a + 2048] - lo)
-    least = start[np.searchsorted(start, which, "right") - 1]
-    opens = np.unique(np.concatenate([np.maximum(which - k, least) for k in range(WINDOW)]))  # every window of the document that holds a block with hits
-    doc = np.searchsorted(start, opens, "right") - 1
-    held = np.zeros(len(opens), np.int64)
-    for k in range(WINDOW):
-        inside = opens + k < start[doc + 1]
-        held[inside] += n_words[opens[inside] + k]
-    strong = np.flatnonzero(held >= similar * LEAST)  # fewer can't hold `similar` of any passage
-    for a in range(0, len(strong), 4096):
-        rows = strong[a : a + 4096]
-        w = np.zeros((len(rows), z.shape[1]), np.float32)
-        for k in range(WINDOW):
-            b = opens[rows] + k
-            j = np.minimum(np.searchsorted(which, b), len(which) - 1)
-            both = (which[j] == b) & (b < start[doc[rows] + 1])
-            w[both] += z[j[both]]
-        norm = np.linalg.norm(w, axis=1, keepdims=True)
-        cos = (w @ m["items"]) / np.maximum(norm, 1e-9)
-        for i, p in zip(*np.nonzero(cos >= cosine)):
-            row = rows[i]
-            d = doc[row]
-            item, words = m["passages"][p]
-            begin = first[d] + (opens[row] - start[d]) * BLOCK
-            span = h[begin : min(begin + BLOCK * WINDOW, first[d + 1])]
-            held_words = np.isin(words, span)
-            if held_words.sum() < similar * len(words) or m["weights"][p][held_words].sum() < similar:
-                continue
-            seen = span.tolist()
-            share = lcs(m["masks"][p], len(words), seen) / len(words)
-            if share < similar:
-                continue
-            tail = min(ANSWER, len(words))
-            if share < same and lcs(m["ends"][p], tail, seen) < 0.8 * tail:
-                continue
-            best = found[d].get(item)
-            if best is None or (share, float(cos[i, p])) > best:
-                found[d][item] = (share, float(cos[i, p]))
+    for a in range(0, int(start[-1]), STRIP):
+        n = min(STRIP, int(start[-1]) - a)
+        lo, hi = np.searchsorted(block, [a, a + n + WINDOW - 1])
+        if lo == hi:
+            continue
+        z = projected(m, term[lo:hi], block[lo:hi] - a, n + WINDOW - 1)
+        doc = np.searchsorted(start, np.arange(a, a + n), "right") - 1
+        left = start[doc + 1] - np.arange(a, a + n)  # blocks of the document from here on
+        w = z[:n].copy()
+        for k in range(1, WINDOW):
+            w += z[k : k + n]
+        for k in range(1, WINDOW):  # windows that would pass the document's end
+            rows = np.flatnonzero(left == k)
+            w[rows] = sum(z[rows + j] for j in range(k))
+        norm = np.sqrt(np.einsum("ij,ij->i", w, w))
+        close = w @ m["items"]
+        for i, p in zip(*np.nonzero((close >= cosine * norm[:, None]) & (norm > 0)[:, None])):
+            d = doc[i]
+            begin = first[d] + (a + i - start[d]) * BLOCK
+            share = verified(m, p, h[begin : min(begin + BLOCK * WINDOW, first[d + 1])], same, similar)
+            item, c = m["passages"][p][0], float(close[i, p] / norm[i])
+            if share is not None and (share, c) > found[d].get(item, (0.0, 0.0)):
+                found[d][item] = (share, c)
+
+
+def verified(m: dict, p: int, span: np.ndarray, same: float, similar: float) -> float | None:
+    """The passage's LCS share in the window, if the window holds it."""
+    words = m["passages"][p][1]
+    held = np.isin(words, span)
+    if held.sum() < similar * len(words) or m["weights"][p][held].sum() < similar:
+        return None
+    seen = span.tolist()
+    share = lcs(m["masks"][p], len(words), seen) / len(words)
+    tail = min(ANSWER, len(words))
+    if share < similar or (share < same and lcs(m["ends"][p], tail, seen) < 0.8 * tail):
+        return None
+    return share
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -20,6 +20,8 @@ CHUNK = 1 << 20  # bytes of text handled at a time; a longer document is a chunk
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE.encode())] = True
+SEPARATES = np.ones(256, bool)  # bytes outside letters, digits and what isn't ASCII
+SEPARATES[[*range(48, 58), *range(97, 123), *range(65, 91), *range(128, 256)]] = False
 _FIRST = [(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1]
 _FIRST = np.array(_FIRST, np.uint64)  # masks of a lane's first k bytes
 _SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0xA0761D6478BD642F))

@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as X
-from .decontaminate import _SEPARATES
 from .labels import labelled
 from .store import Workspace
 
@@ -62,7 +61,7 @@ class Words:
 
     def __init__(self, column: pa.Array):
         self.raw, at = X.buffers(pc.utf8_lower(column.cast(pa.large_string()).fill_null("")))
-        self.starts, self.ends, self.first = X.words(self.raw, at, _SEPARATES[self.raw])
+        self.starts, self.ends, self.first = X.words(self.raw, at, X.SEPARATES[self.raw])
         h = X.word_hashes(self.raw, self.starts, self.ends)
         _, self.example, self.which = np.unique(h, return_index=True, return_inverse=True)
 
