@@ -1,15 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Words are lower-cased letter and digit runs, spelled in a 64-symbol alphabet with a start and an end mark. Each class has
-its own counts of 4- and 5-grams; both back off to one shared trigram model of continuation counts (in how many
-contexts a gram occurs, toxic and ordinary texts together), so a rare expression is judged by what both know of it.
+Words are lower-cased letter and digit runs, spelled in UTF-8 bytes, so that no two letters share a symbol, with start and
+end marks. Each class has its own highest order, counts of 5-grams, and below it its own continuation counts: in how many
+contexts a 4-gram occurs in the class. Both classes back off to one shared trigram model of continuation counts (contexts
+in toxic and ordinary texts together), so a rare expression is judged by what both know of it. Grams that begin with a
+start mark have no earlier context and keep their counts, as is usual.
+
 A word's log-likelihoods are compared, and a document is described by the length-normalised difference over the whole
-text and over its strongest window of words, the share of strongly toxic words and its length; a logistic regression
-turns these into a score.
+text, over its strongest window of words and its strongest word, the numbers of strongly toxic words and its length; a
+logistic regression turns these into a score.
 
-Counts cover all labelled documents of the training folds, under the exact gram (up to 5 symbols of 6 bits), in a table
+Counts cover all labelled documents of the training folds, under the exact gram (up to 5 symbols of 8 bits), in a table
 that grows with them. Up to BROADCAST_GRAMS rows, counted, it is broadcast; beyond, the grams of each chunk of texts are
-joined with it and only these reach the chunk. The shared trigrams are at most 64**3, by the alphabet. Folds are crc32(doc_id as text) mod 5: fold 0 is held out and never
+joined with it and only these reach the chunk. The shared trigrams are at most SYMBOLS**3, by the alphabet. Folds are crc32(doc_id as text) mod 5: fold 0 is held out and never
 learned from, 1 to 3 train the models, 4 the regression, on a sample of at most SAMPLE documents, chosen by hash.
 Labels, language, source and id are no inputs of a score.
 
@@ -35,11 +38,11 @@ from .store import Workspace
 
 ORDERS, SHARED, DISCOUNT, SPAN, SAMPLE = (4, 5), 3, 0.75, 5, 50_000
 BROADCAST_GRAMS = 2_000_000  # about 50 MB
-START, END = 36, 37
+SYMBOLS, START, END = 160, 1, 2
 _CODE = np.zeros(256, np.uint64)
-_CODE[97:123] = np.arange(26)
-_CODE[48:58] = np.arange(26, 36)
-_CODE[128:] = 38 + np.arange(128) % 26
+_CODE[48:58] = np.arange(3, 13)
+_CODE[97:123] = np.arange(13, 39)
+_CODE[128:245] = np.arange(39, 156)  # UTF-8 has no bytes beyond
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -48,12 +51,12 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 def gram_key(n: int, key: np.ndarray) -> np.ndarray:
     """Where the table has a gram of n symbols."""
-    return (key | np.uint64(n << 32)).astype(np.int64)
+    return (key | np.uint64(n << 40)).astype(np.int64)
 
 
 def context_key(n: int, key: np.ndarray) -> np.ndarray:
     """Where the table has the context of a gram of n symbols."""
-    return ((key >> np.uint64(6)) | np.uint64(n + 8 << 32)).astype(np.int64)
+    return ((key >> np.uint64(8)) | np.uint64(n + 8 << 40)).astype(np.int64)
 
 
 class Words:
@@ -83,14 +86,15 @@ class Words:
         for n in range(1, max(ORDERS) + 1):
             back = np.zeros(total, np.uint64)
             back[n - 1 :] = codes[: total - n + 1]
-            key = key | (back << np.uint64(6 * (n - 1)))
+            key = key | (back << np.uint64(8 * (n - 1)))
             keys[n] = key
         real = turn >= pad
         return word[real], {n: k[real] for n, k in keys.items()}
 
 
 def gram_counts(docs: DataFrame, work: Workspace) -> DataFrame:
-    """key, a, b, ta, tb of each gram and context of (text, label): occurrences in ordinary and in toxic texts, and a context's distinct next symbols."""
+    """key, a, b, ta, tb of each gram and context of (text, label): counts in ordinary and in toxic texts, and a context's distinct next symbols."""
+    longest, order = ORDERS[-1], ORDERS[0]
 
     def run(batches):
         for batch in batches:
@@ -100,34 +104,45 @@ def gram_counts(docs: DataFrame, work: Workspace) -> DataFrame:
                 toxic = np.repeat(label[a:b], np.diff(words.first)) > 0
                 often = [np.bincount(words.which[toxic == c], minlength=len(words.example)) for c in (False, True)]
                 word, keys = words.grams(np.arange(len(words.example)))
-                for n in ORDERS:
-                    key, which = np.unique(gram_key(n, keys[n]), return_inverse=True)
-                    x, y = (np.bincount(which, k[word], len(key)).astype(np.int64) for k in often)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(x), pa.array(y)], ["key", "a", "b"])
+                key, which = np.unique(gram_key(longest, keys[longest]), return_inverse=True)
+                x, y = (np.bincount(which, k[word], len(key)).astype(np.int64) for k in often)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(x), pa.array(y)], ["key", "a", "b"])
 
     rows = docs.select("text", "label").mapInArrow(run, "key long, a long, b long")
     grams = work.save(rows.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "grams")
-    low = F.col("key").bitwiseAND((1 << 32) - 1)
-    above = (F.shiftright("key", 32) + 8) * (1 << 32) + F.shiftright(low, 6)
+    inner = F.col("key").bitwiseAND((1 << 8 * order) - 1)
+    opens = F.shiftright("inner", 8 * (order - 1)) == START
+    lower = grams.withColumn("inner", inner).groupBy((F.col("inner") + F.lit(order << 40)).alias("key")).agg(
+        *[F.sum(F.when(opens, F.col(c)).otherwise((F.col(c) > 0).cast("long"))).alias(c) for c in ("a", "b")]
+    )
+    grams = work.save(grams.unionByName(lower), "both")
+    above = (F.shiftright("key", 40) + 8) * (1 << 40) + F.shiftright(F.col("key").bitwiseAND((1 << 40) - 1), 8)
     contexts = grams.groupBy(above.alias("key")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count_if(F.col("a") > 0).alias("ta"), F.count_if(F.col("b") > 0).alias("tb"))
-    return work.save(grams.withColumns({"ta": F.lit(0).cast("long"), "tb": F.lit(0).cast("long")}).unionByName(contexts), "table")
+    out = work.save(grams.withColumns({"ta": F.lit(0).cast("long"), "tb": F.lit(0).cast("long")}).unionByName(contexts), "table")
+    work.drop("grams", "both")
+    return out
+
+
+def smoothed(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Discounted shares of each context's last symbols, the rest by `lower` (contexts x SYMBOLS each)."""
+    total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
+    return np.where(total > 0, (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * kinds * lower) / np.maximum(total, 1), lower)
 
 
 def continuation(table: DataFrame) -> np.ndarray:
-    """Probability of each trigram's last symbol by continuation counts of both classes together; a row a trigram, 64**3 at most."""
-    four, size = F.shiftright("key", 32) == SHARED + 1, 64**SHARED
-    rows = table.where(four).groupBy(F.col("key").bitwiseAND(size - 1).alias("k")).agg(F.count(F.lit(1)).alias("n")).toArrow()
-    cont = np.zeros(size)
-    cont[np.asarray(rows["k"])] = np.asarray(rows["n"])
-    below = np.full(64, 1 / 64)
-    for n in range(1, SHARED + 1):
-        seen = cont.reshape([64] * SHARED)
-        seen = seen if n == SHARED else (seen > 0).sum(axis=tuple(range(SHARED - n))) * 1.0  # distinct grams one longer
-        seen = seen.reshape(-1, 64)
-        total, kinds_ = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-        lower = np.tile(below.reshape(-1, 64), (len(seen) // max(1, below.size // 64), 1))
-        below = np.where(total > 0, np.maximum(seen - DISCOUNT, 0) / np.maximum(total, 1) + DISCOUNT * kinds_ / np.maximum(total, 1) * lower, lower)
-    return below.reshape(-1).astype(np.float32)
+    """Probability of each trigram's last symbol by continuation counts of both classes together; SYMBOLS**3 entries."""
+    four = F.shiftright("key", 40) == SHARED + 1
+    key = F.col("key").bitwiseAND((1 << 8 * SHARED) - 1)
+    opens = F.shiftright(key, 8 * (SHARED - 1)) == START
+    rows = table.where(four).groupBy(key.alias("k")).agg(F.sum(F.when(opens, F.col("a") + F.col("b")).otherwise(1)).alias("n")).toArrow()
+    k = np.asarray(rows["k"]).astype(np.int64)
+    three = np.zeros((SYMBOLS,) * 3, np.float32)
+    three[k >> 16, k >> 8 & 255, k & 255] = np.asarray(rows["n"])
+    two = (three > 0).sum(0).astype(np.float32)
+    two[START] = three[START, START]
+    below = smoothed((two > 0).sum(0, keepdims=True), np.full((1, SYMBOLS), np.float32(1 / SYMBOLS)))
+    below = smoothed(two, np.repeat(below, SYMBOLS, 0))
+    return smoothed(three.reshape(-1, SYMBOLS), np.tile(below, (SYMBOLS, 1))).astype(np.float32).reshape(-1)
 
 
 class Model:
@@ -149,11 +164,12 @@ class Model:
         if not len(chosen):
             return np.zeros(len(chosen))
         word, keys = words.grams(chosen)
-        longest, which = np.unique(keys[ORDERS[-1]] & np.uint64(64 ** ORDERS[-1] - 1), return_inverse=True)
-        base = self.shared[(longest & np.uint64(64**SHARED - 1)).astype(np.int64)]
+        longest, which = np.unique(keys[ORDERS[-1]], return_inverse=True)
+        last = longest.astype(np.int64)
+        base = self.shared[((last >> 16 & 255) * SYMBOLS + (last >> 8 & 255)) * SYMBOLS + (last & 255)]
         p = [base, base]
         for n in ORDERS:
-            key = longest & np.uint64(64**n - 1)
+            key = longest & np.uint64(256**n - 1)
             own, up = self.find(gram_key(n, key)), self.find(context_key(n, key))
             for c in range(2):
                 seen = up[c]
@@ -232,7 +248,8 @@ def with_columns(part: pa.RecordBatch, made: list, columns: list) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *[n for n, _, _ in columns]])
 
 
-FEATURES = 4
+STRONG = (1.5, 2.5, 4.0)  # log-likelihood ratios of a word
+FEATURES = 4 + len(STRONG)
 
 
 def describe(model: Model, column: pa.Array) -> np.ndarray:
@@ -252,21 +269,24 @@ def describe(model: Model, column: pa.Array) -> np.ndarray:
     f, g = words.first[:-1][full], words.first[1:][full]
     out[full, 0] = (sums[g] - sums[f]) / np.maximum(sizes[g] - sizes[f], 1)
     out[full, 1] = np.maximum.reduceat(window, f)
-    strong = np.concatenate([[0], np.cumsum(ratio > 2.5)])
-    out[full, 2] = np.sqrt((strong[g] - strong[f]) / n[full])
+    out[full, 2] = np.maximum.reduceat(ratio, f)
     out[full, 3] = np.log1p(n[full])
+    for k, bound in enumerate(STRONG):
+        strong = np.concatenate([[0], np.cumsum(ratio > bound)])
+        out[full, 4 + k] = np.log1p(strong[g] - strong[f])
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights (bias first) by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights (bias first) by Newton's method; the rarer class counts more, by the root of the classes' ratio."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(x.shape[1])
+    w, ratio = np.zeros(x.shape[1]), (y == 0).sum() / (y == 1).sum()
+    each = np.where(y == 1, max(ratio, 1.0) ** 0.5, max(1 / ratio, 1.0) ** 0.5)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         penalty = np.full(len(w), ridge)
         penalty[0] = 0
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((x * (each * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (each * (p - y)) + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
