@@ -4,17 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import duckdb
-import numpy as np
 import pytest
 
 from cladeworks.functions.scalars import AMINO
-from cladeworks.llm import decontaminate, toxicity
 from cladeworks.operators import trees
 from cladeworks.plans import engine, proxy, registry
 
@@ -148,81 +145,6 @@ def test_supermatrix_of_all_taxa(spark, sequences):
     assert back == {(m, t): s for m, q in sequences.items() for t, s in q.items() if s}
 
 
-def tox_docs():
-    r = random.Random(9)
-    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=r.randint(1, 9))) for _ in range(3000)]
-    rude = ["zwerkop", "vexxil", "qorbat"]
-    rows = [(i, " ".join(r.choices(words, k=40) + (r.choices(rude, k=4) if i % 5 == 0 else []))) for i in range(600)]
-    return [*rows, (1000, None), (1001, ""), (1002, "Ünï 漢字")], [(i, int(i % 5 == 0)) for i in range(600)]
-
-
-def test_toxicity_counts_exact_grams(spark):
-    docs, labels = tox_docs()
-    table = toxicity.gram_counts(spark.createDataFrame([(t, label) for (_, t), (_, label) in zip(docs, labels)], "text string, label long"), toxicity.Workspace(spark, "test"))
-    code = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")}
-    want, after = defaultdict(lambda: [0, 0]), defaultdict(set)
-    for (_, text), (_, label) in zip(docs, labels):
-        for w in text.split():
-            s = [36] * 4 + [code[c] for c in w] + [37]
-            for n, end in itertools.product((4, 5), range(4, len(s))):
-                g = tuple(s[end - n + 1 : end + 1])
-                want[g][label] += 1
-                want[(n, *g[:-1], "context")][label] += 1
-                after[(n, *g[:-1], "context"), label].add(g[-1])
-    number = lambda g: sum(c << 6 * (len(g) - 1 - i) for i, c in enumerate(g))
-    place = lambda g: (g[0] + 8 << 32 | number(g[1:-1])) if g[-1] == "context" else (len(g) << 32 | number(g))
-    brute = {place(g): (*v, len(after[g, 0]), len(after[g, 1])) for g, v in want.items()}
-    assert len(want) > 30_000 and {r.key: (r.a, r.b, r.ta, r.tb) for r in table.collect()} == brute
-
-
-def test_toxicity_joined_counts_score_like_broadcast_ones(spark):
-    docs, labels = tox_docs()
-    docs, labels = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")
-    got = [{r.doc_id: r.score for r in toxicity.score(docs, labels, most=most).collect()} for most in (10**9, 0)]
-    assert len(got[0]) == 603 and got[1] == pytest.approx(got[0], abs=1e-9) and max(got[0].values()) > 0.9
-
-
-def test_windows_begin_before_the_first_rare_word(spark):
-    common = [f"c{i}" for i in range(22)]
-    passage = [*common, *(f"r{i}" for i in range(18))]
-    rows = [(i, " ".join(common)) for i in range(200)] + [(900, " ".join([*(f"x{i}" for i in range(10)), *passage, *(f"y{i}" for i in range(60))]))]
-    got = decontaminate.flag(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string"))
-    assert [(m.item_id, m.lcs) for r in got.where("doc_id = 900").collect() for m in r.matches] == [(1, 1.0)]
-
-
-def test_recall_of_paraphrases_against_brute_force(spark):
-    """Half-rewritten passages that keep the answer, among text of the same common words, against all windows by LCS, idf and answer."""
-    r = random.Random(3)
-    words, odds = [f"w{i}" for i in range(4000)], [1 / (i + 1) for i in range(4000)]
-    draw = lambda n: r.choices(words, odds, k=n)
-    bench = [draw(40) for _ in range(300)]
-    docs = [draw(r.randint(50, 400)) for _ in range(300)]
-    for p in bench:
-        keep = set(r.sample(range(34), 17)) | set(range(34, 40))
-        docs.append([*draw(r.randint(0, 100)), *(w if k in keep else f"s{r.randrange(99)}" for k, w in enumerate(p)), *draw(r.randint(0, 100))])
-    blocks = [d[a : a + 32] for d in docs for a in range(0, len(d), 32)]
-    df = Counter(w for b in blocks for w in set(b))
-    idf = {w: math.log((len(blocks) + 1) / (df[w] + 1)) + 0.1 for p in bench for w in p}
-
-    def share(a, b):
-        number = {w: i for i, w in enumerate({*a, *b})}
-        return decontaminate.lcs(decontaminate.masks_of(np.array([number[w] for w in a])), len(a), [number[w] for w in b]) / len(a)
-
-    def accepted(p, span):
-        has = set(span)
-        known = [w for w in p if w in has]
-        if len(known) < 0.5 * len(p) or sum(map(idf.get, known)) < 0.5 * sum(map(idf.get, p)):
-            return False
-        s = share(p, span)
-        return s >= 0.5 and (s >= 0.75 or share(p[-6:], span) >= 0.8)
-
-    want = {(i, j) for i, d in enumerate(docs) for j, p in enumerate(bench) if any(accepted(p, d[a : a + 96]) for a in range(0, len(d), 32))}
-    flagged = decontaminate.flag(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"), spark.createDataFrame([(j, " ".join(p)) for j, p in enumerate(bench)], "item_id long, text string"))
-    got = {(x.doc_id, m.item_id) for x in flagged.collect() for m in x.matches}
-    print(f"found {len(got & want)} of {len(want)}, {len(got - want)} beside them")
-    assert len(want) > 250 and not got - want and len(got & want) >= 0.95 * len(want)
-
-
 @pytest.mark.parametrize("name", ["aa_composition", "chi2_composition", "gc_spread", "composition_report"])
 def test_composition_agrees_with_uncut_sql(spark, name):
     """The query's SQL over whole letters; the registered SQL cuts its view at 60."""
