@@ -5,8 +5,9 @@ documents is counted, anti-joined against the lines that the runs already hold o
 and written as a run of level 0; when a level has `fanout` runs they merge into one of the next level. So a line is
 rewritten once a level, log(batches) times in all, and a later batch is judged against all earlier ones.
 
-Counting is by distinct text and its number of copies, with sums before every shuffle: a line of a third of all
-documents is one row a task. No line list, count or document is gathered in one task or on the driver.
+Documents are counted with sums before every shuffle: a line of a third of all documents is one row a task. No line
+list, count or document is gathered in one task or on the driver. A document's own lines are handled in one row, in time
+that grows with them (and their sorting).
 
 Defined cases: null or empty text is one empty line, whose key is shorter than min_chars and stays (for min_chars >= 1);
 repeated rows and documents with one doc_id count as documents each; an empty table gives an empty result. A line that
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .skew import hot_keys, skewed_join
 from .store import Workspace
 from .text import SPACE, fresh, two_hashes
 
@@ -32,14 +35,23 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
 
 
+def once(value: Column, use) -> Column:
+    """use(value), with value computed once however often `use` reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def key_hashes(text: str, min_chars: int) -> Column:
     """For each line the hashes of its key, null where the key is too short to count."""
 
-    def one(line):
-        key = line_key(line)
+    def one(key):
         return F.when(F.length(key) >= min_chars, F.struct(*[h.alias(n) for h, n in zip(two_hashes(key), ("k1", "k2"))]))
 
-    return F.transform(lines(text), one)
+    return F.transform(F.transform(lines(text), line_key), one)
+
+
+def distinct_keys(keys: Column) -> Column:
+    """The different hashes of a document, by sorting."""
+    return once(F.array_sort(F.filter(keys, lambda k: k.isNotNull())), lambda s: F.filter(s, lambda k, i: (i == 0) | (k != F.get(s, i - 1))))
 
 
 class LineRuns:
@@ -77,6 +89,9 @@ class LineRuns:
             self._put(level + 1, self.merged([run for _, run in old]))
             self.work.drop(*[name for name, _ in old])
 
+    def names(self) -> list[str]:
+        return [name for level in self.levels for name, _ in level]
+
     def settled(self) -> DataFrame:
         runs = self.runs()
         return self.merged(runs).where(F.col("n") >= self.min_docs).select("k1", "k2")
@@ -91,21 +106,28 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, b
     docs = docs.drop("n_lines", "n_dropped")
     h1, h2 = two_hashes("text")
     texts = docs.select(h1.alias("t1"), h2.alias("t2"), key_hashes("text", min_chars).alias("keys"))
-    texts = texts.groupBy("t1", "t2").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies"))
-    texts = work.save(texts.withColumn("batch", F.pmod("t2", F.lit(batches))), "texts")
+    texts = work.save(texts.withColumn("batch", F.pmod("t2", F.lit(batches))), "texts", partition="batch")
     runs = LineRuns(work, min_docs, fanout)
     for batch in range(batches):
-        found = texts.where(F.col("batch") == batch).select(F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))).alias("k"), "copies")
-        runs.add(found.groupBy(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")).agg(F.sum("copies").alias("n")))
+        found = texts.where(F.col("batch") == batch).select(F.explode(distinct_keys(F.col("keys"))).alias("k"))
+        runs.add(found.groupBy(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")).agg(F.count(F.lit(1)).alias("n")))
     common = work.save(runs.settled(), "common")
     at = texts.select("t1", "t2", F.posexplode("keys").alias("pos", "k")).where("k is not null").select("t1", "t2", "pos", "k.k1", "k.k2")
-    gone = work.save(at.join(common, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_list("pos").alias("_gone")), "gone")
+    gone = at.join(common, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set("pos").alias("gone"))
+    gone = work.save(gone, "gone")
+    often = work.save(hot_keys(texts.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")), "n", ["t1", "t2"]), "often")
+    work.drop("texts", "common", *runs.names())
     x = fresh(docs.columns)
-    drops = gone.select(F.col("t1").alias(x + "t1"), F.col("t2").alias(x + "t2"), F.col("_gone").alias(x + "gone"))
+    renamed = {"t1": x + "t1", "t2": x + "t2"}
+    drops = gone.select("t1", "t2", F.col("gone").alias(x + "gone")).withColumnsRenamed(renamed)
     listed = F.col(x + "gone")
-    kept = F.when(
-        listed.isNotNull(), F.array_join(F.filter(F.transform(lines(), lambda line, i: F.when(~F.array_contains(listed, i), line)), lambda line: line.isNotNull()), "\n")
-    ).otherwise(F.coalesce("text", F.lit("")))
-    out = docs.withColumns({x + "t1": h1, x + "t2": h2}).join(drops, [x + "t1", x + "t2"], "left")
-    out = out.withColumns({"n_lines": F.size(lines()).cast("long"), "n_dropped": F.coalesce(F.size(listed), F.lit(0)).cast("long"), "text": kept})
+
+    def kept(said):
+        left = F.array_except(F.sequence(F.lit(0), F.size(said) - 1), listed)  # by a hash set
+        return F.array_join(F.transform(left, lambda i: F.get(said, i)), "\n")
+
+    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != "text" and isinstance(f.dataType, T.AtomicType)])
+    out = skewed_join(docs.withColumns({x + "t1": h1, x + "t2": h2}), drops, [x + "t1", x + "t2"], often.withColumnsRenamed(renamed), dealt, "left")
+    text = F.when(listed.isNotNull(), once(lines(), kept)).otherwise(F.coalesce("text", F.lit("")))
+    out = out.withColumns({"n_lines": F.size(lines()).cast("long"), "n_dropped": F.coalesce(F.size(listed), F.lit(0)).cast("long"), "text": text})
     return out.select(*docs.columns, "n_lines", "n_dropped")

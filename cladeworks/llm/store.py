@@ -37,12 +37,12 @@ class Workspace:
         self.spark, self.path = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._last)
 
-    def save(self, df: DataFrame, name: str, **options) -> DataFrame:
-        """Writes and rereads df. The shuffle files behind it go as soon as it is written."""
+    def save(self, df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+        """Writes and rereads df, in folders by the column `partition`. The shuffle files behind it go as soon as it is written."""
         path, before = f"{self.path}/{name}", self.spark.conf.get(CLEANUP, None)
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.mode("overwrite").options(**options).parquet(path)
+            df.write.mode("overwrite").partitionBy(*[partition] if partition else []).parquet(path)
         finally:
             self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
