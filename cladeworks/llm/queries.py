@@ -113,10 +113,10 @@ t AS (SELECT source, source_size, round(coalesce(least(level * w, cap), cap)::DO
     CASE WHEN source_size > 0 THEN floor(round(coalesce(least(level * w, cap), cap)::DOUBLE, 6) / source_size)::BIGINT ELSE 0 END AS whole FROM l),
 r AS (SELECT d.*, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS r,
     sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-    sum(size) OVER (PARTITION BY d.source, h) AS own
+    sum(size) OVER (PARTITION BY d.source, h) AS own, row_number() OVER (PARTITION BY d.source, h) AS turn
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
-  (size * (whole + CASE WHEN r > 0 AND (upto < r OR (upto - own < r AND upto - r < r - (upto - own))) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (whole + CASE WHEN size > 0 AND turn <= ceil((r - (upto - own)) / size - 0.5) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM r""",
     "op8_substring_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),

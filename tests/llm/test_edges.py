@@ -97,11 +97,29 @@ def test_line_runs_compact(spark):
 def test_mix_tied_and_null_sources(spark):
     out = mixing.mix_sources(documents(spark)).collect()
     assert all(r["size"] * 2 >= r.taken for r in out) and {r.copies for r in out if r.doc_id == 5} <= {0, 1, 2}
-    assert len({r.copies for r in out if r.doc_id == 5}) == 1  # rows that agree are taken together
     again = mixing.mix_sources(documents(spark).repartition(3)).collect()
     assert sorted((str(r.doc_id), r.taken) for r in out) == sorted((str(r.doc_id), r.taken) for r in again)
 
 
+def test_mix_splits_rows_that_agree(spark):
+    """One source of 100 equal rows of 10 words, one of distinct rows: both come near their targets, whatever the partitions."""
+    rows = [(1, "same ten words " * 3 + "x", "en", "x", 1)] * 100 + [(i, "other ten words " * 3 + "y", "en", "y", 1) for i in range(2, 102)]
+    for parts in (1, 7):
+        got = mixing.mix_sources(documents(spark, rows).repartition(parts)).collect()
+        for s in "xy":
+            mine = [r for r in got if r.source == s]
+            assert len(mine) == 100 and abs(sum(r.taken for r in mine) - mine[0].target) <= 5 and max(r.copies for r in mine) <= 2
+    assert {r.target for r in got if r.source == "y"} == {1000.0} and {r.target for r in got if r.source == "x"} == {2000.0}
+
+
+def test_mix_splits_rows_that_agree_in_part(spark):
+    rows = [(1, "w " * 10, "en", "a", 1)] * 90 + [(i, "w " * 10, "en", "a", 1) for i in range(2, 12)] + [(i, "w " * 10, "en", "b", 1) for i in range(100, 137)] + [(900, "w " * 10, "en", "b", 1)] * 63
+    got = mixing.mix_sources(documents(spark, rows).repartition(5)).collect()
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        assert len(mine) == 100 and abs(sum(r.taken for r in mine) - mine[0].target) <= 5, s
+
+
 def test_mix_targets_stop_at_the_cap(spark):
     rows = [(i, "w " * n, "en", s, 1) for i, (s, n) in enumerate([("a", 100), ("b", 1000), ("c", 1000)])]
     got = {r.source: (r.source_size, r.target) for r in mixing.mix_sources(documents(spark, rows)).collect()}
