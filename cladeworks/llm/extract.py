@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model.
 
 A page is parsed into a tree of block elements. Each has a binary state, content or not; a log-linear potential reads
-its tag, the words of its and its next ancestors' class and id, its text and links, and a potential on each edge couples parent and child.
+its tag, the names in its and its next ancestors' class and id and the words in these names, its text and links, and a potential on each edge couples parent and child.
 Sum-product messages, once up and once down the tree, give exact marginals; training climbs the exact gradient of the
 labels' log-likelihood (expected against observed features) on labelled pages, by default a bounded number of generated
 ones (html_pages). Blocks whose element is content with a marginal of at least 0.5 are the text.
@@ -20,6 +20,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,11 +33,12 @@ from .html_pages import labelled_page
 
 # Fixed values of HTML: elements by how they parse.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title noscript iframe template svg math object canvas audio video head textarea".split())
+RAW = frozenset("script style title noscript iframe template svg object canvas audio video head textarea".split())
 BLOCK = frozenset(
     "html body address article aside blockquote button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup label legend li main menu nav ol "
     "option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
+SCOPED = frozenset("p li td th tr dd dt option".split())  # their end tags don't reach beyond the next SCOPE
 KEEPS_P = frozenset("button label option select".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",),
@@ -51,7 +54,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 GROUPS = {**dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 1), **dict.fromkeys("p pre blockquote".split(), 2), **dict.fromkeys("li ul ol dl dt dd table tbody tr td th".split(), 3), **dict.fromkeys("figure figcaption".split(), 4)}
 N_GROUPS = 5
-PAGES, EPOCHS, HASHED = 300, 12, 4096
+PAGES, EPOCHS = 400, 12
 
 
 class Page:
@@ -69,6 +72,8 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack, pieces = [0], []
+        depths: dict[str, list[int]] = defaultdict(list)  # where on the stack each tag is open, so that no tag searches it
+        scopes = [0]
         link = -1
         lower = None
 
@@ -82,7 +87,12 @@ class Page:
 
         def pop_to(depth: int) -> None:
             flush()
-            del stack[depth:]
+            while len(stack) > depth:
+                if self.tag[stack.pop()] in SCOPE:
+                    scopes.pop()
+            for opened in depths.values():
+                while opened and opened[-1] >= depth:
+                    opened.pop()
 
         at, n = 0, len(source)
         while at < n:
@@ -101,14 +111,11 @@ class Page:
                 if tag == "a":
                     link = -1
                 elif tag in BLOCK:
-                    for depth in range(len(stack) - 1, 0, -1):
-                        if self.tag[stack[depth]] == tag:
-                            if link >= depth:
-                                link = -1
-                            pop_to(depth)
-                            break
-                        if tag in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and self.tag[stack[depth]] in SCOPE and self.tag[stack[depth]] != tag:
-                            break
+                    depth = depths[tag][-1] if depths[tag] else 0
+                    if depth and (tag not in SCOPED or depth > scopes[-1]):
+                        if link >= depth:
+                            link = -1
+                        pop_to(depth)
                     else:
                         flush()
             elif m[2]:
@@ -137,11 +144,9 @@ class Page:
                     elif tag in ("h1", "h2", "h3", "h4", "h5", "h6") and self.tag[stack[-1]] in ("h1", "h2", "h3", "h4", "h5", "h6"):
                         pop_to(len(stack) - 1)
                     if tag in CLOSES:
-                        for depth in range(len(stack) - 1, 0, -1):
-                            if self.tag[stack[depth]] in CLOSES[tag]:
-                                pop_to(depth)
-                            elif self.tag[stack[depth]] in SCOPE:
-                                break
+                        above = [opened[i] for t in CLOSES[tag] if (i := bisect_right(opened := depths[t], scopes[-1])) < len(opened)]
+                        if above:
+                            pop_to(min(above))
                     found = dict((k.lower(), v.strip("\"'")) for k, v in _ATTRIBUTE.findall(m[3]))
                     self.parent.append(stack[-1])
                     self.tag.append(tag)
@@ -150,17 +155,20 @@ class Page:
                     self.size.append(0)
                     self.linked.append(0)
                     stack.append(len(self.tag) - 1)
+                    depths[tag].append(len(stack) - 1)
+                    if tag in SCOPE:
+                        scopes.append(len(stack) - 1)
         flush()
 
 
 def features(page: Page) -> list[list[str]]:
     out = []
     n_links = page.linked
-    words = [[w.lower() for w in _WORD.findall(a)] if a else [] for a in page.attributes]
+    words = [["w:" + w.lower() for w in _WORD.findall(a)] + ["name:" + w for w in a.lower().split()] if a else [] for a in page.attributes]
     for i, tag in enumerate(page.tag):
         size = page.size[i]
         mine = ["bias", "tag:" + tag]
-        mine += ["word:" + w for w in words[i]]
+        mine += words[i]
         up = page.parent[i]
         for _ in range(2):  # the words of parent and grandparent
             if up > 0:

@@ -74,19 +74,21 @@ def _content(r: random.Random) -> str:
         out.append(head if r.random() < 0.85 else f'<header data-y="1">{head}</header>')
     for _ in range(r.randint(1, 10)):
         kind = r.random()
-        if kind < 0.68:
+        if r.random() < 0.18:  # blocks without a telling element or name
+            out.append(_plain(r, mark, inline))
+        elif kind < 0.68:
             out.append(mark("p", inline(r.choice([1, 2, 4, 8, 15, 30, 60, 120]))))
         elif kind < 0.76:
             out.append(mark(r.choice(["h2", "h3"]), _words(r, r.randint(1, 8))))
-        elif kind < 0.84:
+        elif kind < 0.81:
             out.append(mark(r.choice(["ul", "ol"]), "".join(mark("li", inline(r.randint(1, 20))) for _ in range(r.randint(1, 5)))))
-        elif kind < 0.88:
+        elif kind < 0.84:
             out.append(mark("blockquote", mark("p", inline(r.randint(3, 40)))))
-        elif kind < 0.91:
+        elif kind < 0.87:
             out.append(mark("pre", _words(r, r.randint(2, 30))))
-        elif kind < 0.94:
+        elif kind < 0.90:
             out.append(mark("table", mark("tr", "".join(mark("td", _words(r, r.randint(1, 4))) for _ in range(3)))))
-        elif kind < 0.97:
+        elif kind < 0.92:
             out.append(mark("figure", '<img src="x">' + mark("figcaption", _words(r, r.randint(2, 10)))))
         else:
             out.append(_junk(r))
@@ -95,6 +97,18 @@ def _content(r: random.Random) -> str:
     return "".join(out)
 
 
+_NAMES = "ad advert alert banner comment cookie footer header menu meta nav notice promo share sidebar social sponsor tags widget".split()
+
+
+def _plain(r: random.Random, mark, inline) -> str:
+    """Content in containers that say nothing, or whose name has a word that junk has alone."""
+    own = "".join(r.choices(_SYLLABLES, k=r.randint(1, 3)))
+    name = r.choice([own, f"{own}-{r.randint(1, 9)}", f"{r.choice(_NAMES)}-{own}", f"{own}-{r.choice(_NAMES)}"])
+    tag = r.choice(["div", "div", "section", f'div class="{name}"', f'div class="{name}"', f'section id="{name}"'])
+    inner = r.choice([lambda: inline(r.randint(2, 60)), lambda: "".join(mark("p", inline(r.randint(3, 60))) for _ in range(r.randint(1, 4))), lambda: mark("div", inline(r.randint(3, 40)))])()
+    return mark(tag, inner)
+
+
 def labelled_page(seed: int) -> str:
     r = random.Random(seed)
     shell = r.choice(["article"] * 5 + ["main", 'div class="content"', 'div id="main-content"', 'div class="post-body"', 'div class="article-text"', 'div class="entry"'])

@@ -1,11 +1,16 @@
 """N-gram Jaccard self join of documents by MinHash banding.
 
 Texts are sets of five-word shingles (a shorter text is one shingle). Copies collapse to one row first. choose_bands()
-finds rows and bands for the target recall at the threshold; rows shuffle on band hashes, and a bucket links its
-members to its smallest. Components of these links are candidate groups; inside a group every pair of different texts
-is verified on the full shingle sets, group by group, large groups in pairs of blocks of BLOCK texts, by products of
-incidence matrices. A task returns a row a text with its number of links and a spanning forest of the links, never the
-pairs themselves, so results stay in proportion to the texts although no link is lost.
+finds rows and bands for the target recall at the threshold, and texts are shuffled on their band hashes. Mates are texts
+of one bucket, and every two mates are verified on their full shingle sets, once, however many buckets they share:
+
+* a text's home is its largest bucket; homes are cut into units of at most BLOCK texts or BLOCK_BYTES;
+* all pairs inside a unit are verified together, by products of incidence matrices;
+* two units are verified against each other if a bucket has members of both, and only the members of such buckets go there.
+
+So buckets that chain through common text don't grow into one group: work follows the pairs of mates. A task returns a row
+a text with its number of links and a spanning forest of the links, never the pairs themselves, so results stay in
+proportion to the texts although no link between mates is lost. A popular bucket's rows are dealt over tasks (skew.py).
 
 Result: a row a document with class_id (the smallest doc_id of its component of links and copies), n_copies (documents
 with the same text, itself included) and n_links (different texts of similarity `threshold` or more).
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 
 from . import text as X
 from .components import components
+from .skew import hot_keys, skewed_join
 from .store import Workspace
 
 SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 150
@@ -79,30 +85,55 @@ def band_hashes(raw: np.ndarray, at: np.ndarray, n: int, bands: int, rows: int)
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, t1, t2 (content hash), bands."""
+    """doc_id, t1, t2 (content hash), size (bytes), bands."""
     h1, h2 = X.two_hashes("text")
-    slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", h1.alias("t1"), h2.alias("t2"), "text")
+    slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    slim = slim.select("doc_id", h1.alias("t1"), h2.alias("t2"), F.octet_length("text").cast("long").alias("size"), "text")
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(3)
+            column = batch.column(4)
             for a, b in X.slices(column):
                 found = band_hashes(*X.buffers(column.slice(a, b - a)), n, bands, rows)
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "t1", "t2", "bands"])
-
-    return slim.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, bands array<long>")
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(found, pa.list_(pa.int64()))], ["doc_id", "t1", "t2", "size", "bands"])
+
+    return slim.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, size long, bands array<long>")
+
+
+def dealt_mates(texts: DataFrame, work: Workspace) -> DataFrame:
+    """t1, t2, asked: the tasks (unit, other; equal for a unit's own pairs) that read each text which has a mate."""
+    keys = texts.where("bands is not null").select("t1", "t2", "size", F.explode("bands").alias("key"))
+    buckets = work.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    hot = hot_keys(buckets, "n", ["key"])
+    by = F.xxhash64("t1", "t2")
+    mates = work.save(skewed_join(keys, buckets, ["key"], hot, by), "mates")
+    homes = mates.groupBy("t1", "t2").agg(F.max(F.struct("n", "key")).alias("home"), F.first("size").alias("size")).select("t1", "t2", F.col("home.key").alias("home"), "size")
+    homes = work.save(homes, "homes")
+    cuts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("long").alias("units"), F.count(F.lit(1)).alias("n"))
+    unit = F.xxhash64("home", F.pmod("t2", F.col("units")))  # two units of one name would only be verified together
+    units = skewed_join(homes, cuts.select("home", "units"), ["home"], hot_keys(cuts, "n", ["home"]), by).select("t1", "t2", unit.alias("unit"))
+    units = work.save(units, "units")
+    placed = work.save(mates.select("t1", "t2", "key").join(units, ["t1", "t2"]).select("t1", "t2", "key", "unit"), "placed")
+    across = placed.groupBy("key").agg(F.collect_set("unit").alias("others")).where("size(others) > 1")  # a bucket's units
+    pairs = skewed_join(placed, across, ["key"], hot, by).select("t1", "t2", "unit", F.explode("others").alias("other"))
+    own = units.select("t1", "t2", "unit", F.col("unit").alias("other"))
+    task = F.struct(F.least("unit", "other").alias("a"), F.greatest("unit", "other").alias("b"))
+    asked = pairs.where("unit <> other").unionByName(own).groupBy("t1", "t2", "unit").agg(F.collect_set(task).alias("asked"))
+    asked = work.save(asked, "asked")
+    work.drop("buckets", "mates", "homes", "units", "placed")
+    return asked
 
 
 VERIFIED = "t1 long, t2 long, links long, r1 long, r2 long"
 
 
 def verify(table: pa.Table, n: int, threshold: float) -> pa.Table:
-    """Links of one task: all pairs of a block, or those across two blocks. A row a text: its links, the root of its tree."""
-    across = table["bi"][0].as_py() != table["bj"][0].as_py()
+    """Links of one task: all pairs of a unit, or those across two units. A row a text: its links, the root of its tree."""
+    across = table["a"][0].as_py() != table["b"][0].as_py()
     column = table["text"].combine_chunks() if table["text"].num_chunks != 1 else table["text"].chunk(0)
-    side = np.asarray(table["block"]) == table["bi"][0].as_py()
+    side = np.asarray(table["unit"]) == table["a"][0].as_py()
     grams, first = shingles(*X.buffers(column), n)
     m = len(side)
     owner = np.repeat(np.arange(m), np.diff(first))
@@ -147,24 +178,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHIN
     work = Workspace(docs.sparkSession, "near")
     bands, rows = choose_bands(threshold, recall, max_hashes)
     every = work.save(signatures(docs, n, bands, rows), "signatures")
-    texts = every.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands"))
+    texts = every.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     texts = work.save(texts.withColumn("t", F.struct("t1", "t2")), "texts")
-    keys = texts.where("bands is not null").select("t", F.explode("bands").alias("key"))
-    full = keys.groupBy("key").agg(F.min("t").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "u")
-    full = work.save(full, "buckets")  # written, so that Spark can split the join of a hot bucket
-    edges = keys.join(full, "key").select("u", F.col("t").alias("v"))
-    found = components(edges, work, "candidates")
-    groups = work.save(found.select("v", "root").unionByName(found.select(F.col("root").alias("v"), "root").distinct()), "groups")
+    asked = dealt_mates(texts, work)
     h1, h2 = X.two_hashes("text")
     full_texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(h1.alias("t1"), h2.alias("t2"), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    members = full_texts.join(groups.select("v.t1", "v.t2", "root"), ["t1", "t2"])
-    members = work.save(members, "members")
-    size = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("long").alias("blocks"))
-    dealt = members.join(size, "root").withColumn("block", F.pmod(F.col("t2"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("t1", "t2", "text", "root", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    checked = work.save(dealt.groupBy("root", "bi", "bj").applyInArrow(lambda table: verify(table, n, threshold), VERIFIED), "verified")
-    work.drop("members")
+    members = full_texts.join(asked, ["t1", "t2"]).select("t1", "t2", "text", "unit", F.explode("asked").alias("task")).select("t1", "t2", "text", "unit", "task.*")
+    checked = work.save(members.groupBy("a", "b").applyInArrow(lambda table: verify(table, n, threshold), VERIFIED), "verified")
+    work.drop("asked")
     links = checked.groupBy("t1", "t2").agg(F.sum("links").alias("n_links"))
     forest = checked.where("t1 <> r1 or t2 <> r2").select(F.struct(F.col("r1").alias("t1"), F.col("r2").alias("t2")).alias("u"), F.struct("t1", "t2").alias("v"))
     roots = components(forest, work, "classes").select("v.t1", "v.t2", "root")
@@ -172,7 +193,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHIN
     named = work.save(named.withColumns({"root": F.coalesce("root", "t"), "n_links": F.coalesce("n_links", F.lit(0).cast("long"))}), "named")
     first = named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep"), F.col("t"))).alias("first"))
     classes = named.join(first, "root").select("t1", "t2", "n_copies", "n_links", F.col("first.rep").alias("class_id"), (F.col("t") == F.col("first.t")).alias("_keeps"))
-    out = every.select("doc_id", "t1", "t2").join(classes, ["t1", "t2"])
+    classes = work.save(classes, "named_classes")
+    copied = hot_keys(classes, "n_copies", ["t1", "t2"])
+    work.drop("texts", "verified", "named")
+    dealt = F.xxhash64(F.spark_partition_id(), "doc_id")
+    out = skewed_join(every.select("doc_id", "t1", "t2"), classes, ["t1", "t2"], copied, dealt)
     return out.select("doc_id", "t1", "t2", "class_id", "n_copies", "n_links", (F.col("_keeps") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("keeper"))
 
 

@@ -41,3 +41,15 @@ def test_pages_in_linear_time(source):
     began = time.time()
     model.text(source)
     assert time.time() - began < 20
+
+
+@pytest.mark.parametrize("source", ["<li><ul>" + "<blockquote>" * 20_000 + "</li>" * 20_000, "<blockquote>" * 20_000 + "<dd></dd>" * 20_000, "<tr><td>" * 30_000, "<div>" + "<table>" * 20_000 + "</p>" * 20_000])
+def test_end_tags_search_nothing(source):
+    began = time.time()
+    extract.Page(source)
+    assert time.time() - began < 10
+
+
+def test_blocks_of_the_article_stay():
+    page = "<html><body><nav><a href=1>Menu</a></nav><article><h1>A</h1><p>one two three</p><div>A plain block of the article with some words</div><p>let <math><mi>y</mi></math> be</p><div class='alert-study'><p>A paragraph of the study that matters here.</p></div><section>And more</section><div class='alert'><p>We use cookies</p></div><div class='comments'><p>rude</p></div></article><footer>end</footer>"
+    assert extract.default_model().text(page).split("\n") == ["A", "one two three", "A plain block of the article with some words", "let y be", "A paragraph of the study that matters here.", "And more"]
