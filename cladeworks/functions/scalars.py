@@ -55,7 +55,7 @@ def segment_lineage(label: Column) -> Column:
     parts = F.split(label, "_(?=[dpcofgs]_)")
     named = F.filter(parts, lambda x: x.rlike("^[dpcofgs]_."))
     ranks = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
-    entries = F.transform(named, lambda x: F.struct(F.element_at(ranks, F.substring(x, 1, 1)), F.regexp_replace(F.substring(x, 3, 10_000), "^_+|_+$", "")))
+    entries = F.transform(named, lambda x: F.struct(F.element_at(ranks, F.substring(x, 1, 1)), F.regexp_replace(F.substr(x, F.lit(3)), "^_+|_+$", "")))
     keys = F.array_distinct(F.transform(entries, lambda e: e["col1"]))
     return F.map_from_entries(F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["col1"] == k), -1)))
 
@@ -66,18 +66,30 @@ def has_level_marker(value: Column) -> Column:
 
 def has_control_chars(value: Column) -> Column:
     """Control characters but tab, line feed and carriage return, and direction overrides."""
-    return value.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F‪-‮⁦-⁩‎‏]")
+    return value.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F\u202A-\u202E\u2066-\u2069\u200E\u200F]")
 
 
 def char_count(seq: Column, letter: str) -> Column:
     return F.length(seq) - F.length(F.replace(seq, F.lit(letter), F.lit("")))
 
 
+def once(value: Column, use) -> Column:
+    """use(value), with value computed once however often `use` reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def letter_counts(seq: Column, letters: str) -> Column:
+    """How often each of the letters (A to Z) occurs, upper-cased; null for a null sequence. Splitting at a letter is the fastest count."""
+    return once(F.upper(seq), lambda s: F.when(s.isNotNull(), F.array(*[F.size(F.split(s, c, -1)) - 1 for c in letters])))
+
+
 def gc_content(seq: Column, is_protein: Column) -> Column:
     """GC share of ACGTUN; null for proteins and sequences without these."""
-    s = F.upper(seq)
-    total = sum((char_count(s, c) for c in "CGTUN"), char_count(s, "A"))
-    return F.when(~is_protein & (total > 0), (char_count(s, "G") + char_count(s, "C")) / total)
+
+    def share(n):
+        return F.when(F.aggregate(n, F.lit(0), lambda a, x: a + x) > 0, (n[0] + n[1]) / F.aggregate(n, F.lit(0), lambda a, x: a + x))
+
+    return F.when(~is_protein, once(letter_counts(seq, "GCATUN"), share))
 
 
 def weighted(pairs: list[tuple[Column, float]]) -> tuple[Column, Column]:

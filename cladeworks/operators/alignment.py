@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import AMBIGUOUS, AMINO, GAPS, char_count, gc_content
+from ..functions.scalars import AMBIGUOUS, AMINO, GAPS, gc_content, letter_counts, once
 
 
 def cells(aln: DataFrame) -> DataFrame:
@@ -34,19 +34,39 @@ def site_counts(aln: DataFrame) -> DataFrame:
     return by_marker.join(sizes, "marker_id").select("marker_id", "pis", "effective_columns", ((F.col("gaps") + missing) / F.col("full")).alias("gap_fraction"))
 
 
+def amino_shares(aln: DataFrame) -> DataFrame:
+    """marker_id, taxon, freq: the share of each of the twenty residues, in order; null for sequences without any."""
+
+    def shares(n):
+        return once(F.aggregate(n, F.lit(0), lambda a, x: a + x), lambda total: F.when(total > 0, F.transform(n, lambda x: x / total)))
+
+    return aln.select("marker_id", "taxon", once(letter_counts(F.col("seq"), AMINO), shares).alias("freq"))
+
+
 def aa_composition(aln: DataFrame) -> DataFrame:
     """marker_id, taxon, residue, freq over the twenty residues, zeros included; sequences without any have no rows."""
-    counts = F.array(*[F.struct(F.lit(a).alias("residue"), char_count(F.upper("seq"), a).alias("n")) for a in AMINO])
-    rows = aln.select("marker_id", "taxon", counts.alias("c")).withColumn("total", F.aggregate("c", F.lit(0), lambda s, x: s + x["n"])).where("total > 0")
-    return rows.select("marker_id", "taxon", "total", F.explode("c").alias("c")).select("marker_id", "taxon", "c.residue", (F.col("c.n") / F.col("total")).alias("freq"))
+    residue = F.element_at(F.array(*map(F.lit, AMINO)), F.col("i") + 1)
+    return amino_shares(aln).select("marker_id", "taxon", F.posexplode("freq").alias("i", "freq")).select("marker_id", "taxon", residue.alias("residue"), "freq")
+
+
+def distances(aln: DataFrame, term) -> DataFrame:
+    """marker_id, taxon, d: the sum of term(share, mean share) over residues, null without residues. Means are a row a marker."""
+    shares = amino_shares(aln)
+    means = shares.groupBy("marker_id").agg(F.array(*[F.avg(F.get("freq", F.lit(i))) for i in range(len(AMINO))]).alias("mean"))
+    total = F.aggregate(F.zip_with("freq", "mean", term), F.lit(0.0), lambda a, x: a + x)
+    return shares.join(means, "marker_id").select("marker_id", "taxon", total.alias("d"))
 
 
 def rcv(aln: DataFrame) -> DataFrame:
-    """marker_id, rcv: the largest half distance of a sequence's composition from the mean; null under two sequences."""
-    freq = aa_composition(aln)
-    pooled = freq.groupBy("marker_id", "residue").agg(F.avg("freq").alias("pooled"))
-    each = freq.join(pooled, ["marker_id", "residue"]).groupBy("marker_id", "taxon").agg((F.sum(F.abs(F.col("freq") - F.col("pooled"))) / 2).alias("d"))
-    return each.groupBy("marker_id").agg(F.when(F.count(F.lit(1)) >= 2, F.max("d")).alias("rcv"), F.count(F.lit(1)).alias("n_sequences"))
+    """marker_id, rcv: the largest half distance of a sequence's composition from the mean; null under two sequences. Markers without residues have no row."""
+    each = distances(aln, lambda f, m: F.abs(f - m) / 2)
+    return each.groupBy("marker_id").agg(F.when(F.count("d") >= 2, F.max("d")).alias("rcv"), F.count("d").alias("n_sequences")).where("n_sequences > 0")
+
+
+def grouped_rcv(aln: DataFrame, groups: DataFrame) -> DataFrame:
+    """marker_id, grp, rcv, n_sequences inside each group of taxa. groups: taxon, grp."""
+    named = aln.join(groups, "taxon").select(F.struct("marker_id", "grp").alias("marker_id"), "taxon", "seq")
+    return rcv(named).select("marker_id.marker_id", "marker_id.grp", "rcv", "n_sequences")
 
 
 def gc_spread(aln: DataFrame, protein: bool = False) -> DataFrame:
@@ -57,10 +77,7 @@ def gc_spread(aln: DataFrame, protein: bool = False) -> DataFrame:
 
 def chi_square(aln: DataFrame) -> DataFrame:
     """marker_id, taxon, chi2 of composition against the marker's mean."""
-    freq = aa_composition(aln)
-    pooled = freq.groupBy("marker_id", "residue").agg(F.avg("freq").alias("e"))
-    term = (F.col("freq") - F.col("e")) ** 2 / F.greatest(F.col("e"), F.lit(1e-6))
-    return freq.join(pooled, ["marker_id", "residue"]).groupBy("marker_id", "taxon").agg(F.sum(term).alias("chi2"))
+    return distances(aln, lambda f, m: (f - m) ** 2 / F.greatest(m, F.lit(1e-6))).where("d is not null").withColumnRenamed("d", "chi2")
 
 
 def kmer_signature(seqs: DataFrame, k: int = 4, step: int = 1, letters: str = "ACGT") -> DataFrame:

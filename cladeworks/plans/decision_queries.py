@@ -88,7 +88,7 @@ register("newick_validate", lambda s, d: s.createDataFrame([(1, "((A,B),(C,D));"
 register("mean_support", lambda s, d: s.createDataFrame([(1, "((A,B)90,(C,D)70)1;"), (2, "((A,B)0.9,(C,D)0.7);"), (3, "((A,B)120,C);"), (4, "((A,B),C);")], "id int, newick string").select("id", r6(S.mean_support(F.col("newick"))).alias("support")), "SELECT id, support::DOUBLE AS support FROM (VALUES (1, 0.8), (2, 0.8), (3, NULL), (4, NULL)) v(id, support)")
 register("nhx", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", F.concat(F.lit("(A[&&NHX:taxon="), F.col("s_name"), F.lit(":completeness=9],B);")).alias("n")).select("s_suppkey", S.nhx_values(F.col("n"))[0]["taxon"].alias("taxon"), S.strip_nhx(F.col("n")).alias("plain")), "SELECT s_suppkey, s_name AS taxon, '(A,B);' AS plain FROM supplier")
 register("mad_root", lambda s, d: R.mad_rooted(P.trees(s, d)).select("tree_id", "method"))
-register("gene_trees_nj", lambda s, d: R.neighbour_joining(P.alignment(s, d)).select("marker_id", F.size(S.newick_tips(F.col("newick"))).alias("n_tips"), "method"), P.oracle("SELECT marker_id, count(*)::INT AS n_tips, 'nj-builtin' AS method FROM aln WHERE taxon % 4 = 0 GROUP BY 1 HAVING count(*) >= 4"))
+register("gene_trees_nj", lambda s, d: R.neighbour_joining(P.alignment(s, d)).select("marker_id", F.size(S.newick_tips(F.col("newick"))).alias("n_tips"), "method"), P.oracle("SELECT marker_id, count(*)::INT AS n_tips, 'nj-builtin' AS method FROM aln GROUP BY 1 HAVING count(*) >= 4"))
 RULES = [("r1", "monophyletic", "phylum", 2), ("r2", "monophyletic", "domain", 2), ("r3", "sister", "phylum", 2)]
 register("mustpass", lambda s, d: T.must_pass(clades(s, d), R.tips(clades(s, d)), T.parse_table(P.lineage(s, d), "dpg").withColumn("tip", F.concat(F.lit("t"), F.col("tip").cast("string"))), s.createDataFrame(RULES, "rule string, relation string, level string, min_taxa int"), 1000), P.oracle("""SELECT tg.tree_id::INT AS tree_id, rule, relation, rank, taxon, n::INT AS members, CASE WHEN relation <> 'monophyletic' THEN 'not_checked' WHEN EXISTS (SELECT 1 FROM allc WHERE allc.tree_id = tg.tree_id AND allc.c = tg.grp) THEN 'pass' ELSE 'violation' END AS result
 FROM tg JOIN (VALUES ('r1', 'monophyletic', 'phylum'), ('r2', 'monophyletic', 'domain'), ('r3', 'sister', 'phylum')) r(rule, relation, level) ON tg.rank = r.level WHERE n >= 2""", MONO))

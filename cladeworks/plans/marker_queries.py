@@ -123,7 +123,7 @@ def cyclic(s, d):
 
 
 register("taxonomy_cycle", cyclic, P.oracle("SELECT a.s_suppkey::VARCHAR AS tip, b.s_suppkey::VARCHAR AS other FROM supplier a JOIN supplier b ON a.s_suppkey % 4 IN (0, 1) AND b.s_suppkey % 4 IN (0, 1) AND a.s_suppkey // 4 = b.s_suppkey // 4 AND a.s_suppkey::VARCHAR < b.s_suppkey::VARCHAR"))
-MEMBERS = "members AS (SELECT DISTINCT l_partkey % 500 AS tree_id, l_suppkey AS tip FROM lineitem WHERE l_suppkey % 40 = l_partkey % 40)"
+MEMBERS = "members AS (SELECT DISTINCT l_partkey % 500 AS tree_id, l_suppkey AS tip FROM lineitem)"
 
 
 def members(s, d):
@@ -151,15 +151,16 @@ def gapped(s, d):
 GAPPED = SITES.replace("FROM aln_cells", "FROM (SELECT marker_id, taxon, pos, CASE WHEN taxon % 3 = 0 AND residue = 'T' THEN '-' ELSE residue END AS residue FROM aln_cells)")
 register("pis", lambda s, d: A.site_counts(P.alignment(s, d)).select("marker_id", "pis"), P.oracle("SELECT marker_id, count(*) FILTER (k >= 2) AS pis FROM sites GROUP BY 1", SITES))
 register("effective_columns", lambda s, d: A.site_counts(gapped(s, d)).select("marker_id", "effective_columns"), P.oracle("SELECT marker_id, sum(solid)::BIGINT AS effective_columns FROM sites GROUP BY 1", GAPPED))
-register("gap_fraction", lambda s, d: A.site_counts(gapped(s, d)).select("marker_id", r6("gap_fraction").alias("gap_fraction")), P.oracle("SELECT marker_id, round(sum(gaps)::DOUBLE / sum(n), 6) AS gap_fraction FROM sites GROUP BY 1", GAPPED))
+register("gap_fraction", lambda s, d: A.site_counts(gapped(s, d)).select("marker_id", r6("gap_fraction").alias("gap_fraction")), P.oracle("SELECT marker_id, round((sum(gaps) + any_value(whole) - sum(n))::DOUBLE / any_value(whole), 6) AS gap_fraction FROM sites JOIN (SELECT marker_id, count(*) * max(length(seq)) AS whole FROM aln GROUP BY 1) USING (marker_id) GROUP BY 1", GAPPED))
 FREQ = """letters AS (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS residue),
 totals AS (SELECT marker_id, taxon, count(*) FILTER (residue IN (SELECT residue FROM letters)) AS total FROM aln_cells GROUP BY ALL HAVING total > 0),
 freq AS (SELECT t.marker_id, t.taxon, l.residue, coalesce(c.n, 0)::DOUBLE / total AS freq FROM totals t CROSS JOIN letters l LEFT JOIN (SELECT marker_id, taxon, residue, count(*) AS n FROM aln_cells GROUP BY ALL) c ON c.marker_id = t.marker_id AND c.taxon = t.taxon AND c.residue = l.residue),
 pooled AS (SELECT marker_id, residue, avg(freq) AS pooled FROM freq GROUP BY ALL)"""
 register("aa_composition", lambda s, d: A.aa_composition(P.alignment(s, d)).groupBy("marker_id", "residue").agg(r6(F.avg("freq")).alias("mean_freq")), P.oracle("SELECT marker_id, residue, round(pooled, 6) AS mean_freq FROM pooled", FREQ))
+register("grouped_rcv", lambda s, d: A.grouped_rcv(P.alignment(s, d), P.table(s, d, "documents").select(F.col("doc_id").alias("taxon"), F.col("lang").alias("grp"))).select("marker_id", "grp", r6("rcv").alias("rcv"), "n_sequences"), P.oracle("""SELECT marker_id, grp, round(CASE WHEN count(*) >= 2 THEN max(dist) END, 6) AS rcv, count(*) AS n_sequences FROM (SELECT marker_id, grp, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM gf JOIN (SELECT marker_id, grp, residue, avg(freq) AS pooled FROM gf GROUP BY ALL) USING (marker_id, grp, residue) GROUP BY ALL) GROUP BY ALL""", FREQ + ", gf AS (SELECT freq.*, lang AS grp FROM freq JOIN documents ON doc_id = taxon)"))
 register("rcv", lambda s, d: A.rcv(P.alignment(s, d)).select("marker_id", r6("rcv").alias("rcv"), "n_sequences"), P.oracle("SELECT marker_id, round(CASE WHEN count(*) >= 2 THEN max(dist) END, 6) AS rcv, count(*) AS n_sequences FROM (SELECT marker_id, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL) GROUP BY 1", FREQ))
 register("chi2_composition", lambda s, d: A.chi_square(P.alignment(s, d)).select("marker_id", "taxon", r6("chi2").alias("chi2")), P.oracle("SELECT marker_id, taxon, round(sum((freq - pooled) ** 2 / greatest(pooled, 1e-6)), 6) AS chi2 FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL", FREQ))
-GC = "gc AS (SELECT marker_id, taxon, count(*) FILTER (residue IN ('G', 'C'))::DOUBLE / nullif(count(*) FILTER (residue IN ('A', 'C', 'G', 'T', 'U', 'N')), 0) AS gc FROM aln_cells GROUP BY ALL)"
+GC = "gc AS (SELECT marker_id, taxon, length(regexp_replace(seq, '[^GC]', '', 'g'))::DOUBLE / nullif(length(regexp_replace(seq, '[^ACGTUN]', '', 'g')), 0) AS gc FROM aln)"
 register("gc_content", lambda s, d: P.alignment(s, d).select("marker_id", "taxon", r6(S.gc_content(F.col("seq"), F.lit(False))).alias("gc")), P.oracle("SELECT marker_id, taxon, round(gc, 6) AS gc FROM gc", GC))
 register("gc_spread", lambda s, d: A.gc_spread(P.alignment(s, d)).select("marker_id", r6("gc_bias").alias("gc_bias")), P.oracle("SELECT marker_id, round(CASE WHEN count(gc) >= 2 THEN stddev_pop(gc) END, 6) AS gc_bias FROM gc GROUP BY 1", GC))
 register("composition_report", lambda s, d: A.composition_report(P.alignment(s, d)).select("marker_id", r6("rcv").alias("rcv"), "gc_bias", "outlier_flag"), P.oracle("SELECT marker_id, round(max(dist), 6) AS rcv, NULL::DOUBLE AS gc_bias, coalesce(max(dist) > 0.2, FALSE) AS outlier_flag FROM (SELECT marker_id, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL) GROUP BY 1", FREQ))
@@ -170,8 +171,11 @@ def kmers(s, d):
     return seqs
 
 
-register("kmer_signature", lambda s, d: A.kmer_signature(kmers(s, d), 3, 1, "ACGT").select("id", "kmer", r6("freq").alias("freq")), P.oracle("""SELECT id, kmer, round(n::DOUBLE / sum(n) OVER (PARTITION BY id), 6) AS freq FROM (SELECT id, kmer, count(*) AS n FROM (SELECT id, substr(seq, i::BIGINT, 3) AS kmer FROM (SELECT marker_id || ':' || taxon AS id, translate(seq, 'EIONRSLDH', 'ACGTACGTA') AS seq FROM aln) CROSS JOIN range(1, 59) r(i)) WHERE regexp_full_match(kmer, '[ACGT]+') GROUP BY id, kmer)"""))
-register("codon_usage", lambda s, d: A.kmer_signature(kmers(s, d), 3, 3, "ACGT").select("id", "kmer", r6("freq").alias("freq")), P.oracle("""SELECT id, kmer, round(n::DOUBLE / sum(n) OVER (PARTITION BY id), 6) AS freq FROM (SELECT id, kmer, count(*) AS n FROM (SELECT id, substr(seq, i::BIGINT, 3) AS kmer FROM (SELECT marker_id || ':' || taxon AS id, translate(seq, 'EIONRSLDH', 'ACGTACGTA') AS seq FROM aln) CROSS JOIN range(1, 59, 3) r(i)) WHERE regexp_full_match(kmer, '[ACGT]+') GROUP BY id, kmer)"""))
+KMERS = """SELECT id, kmer, round(n::DOUBLE / sum(n) OVER (PARTITION BY id), 6) AS freq FROM (SELECT id, kmer, count(*) AS n FROM (
+SELECT marker_id || ':' || taxon AS id, pos, r || lead(r) OVER w || lead(r, 2) OVER w AS kmer FROM (SELECT *, translate(residue, 'EIONRSLDH', 'ACGTACGTA') AS r FROM aln_cells) WINDOW w AS (PARTITION BY marker_id, taxon ORDER BY pos)
+) WHERE pos % {step} = 0 AND regexp_full_match(kmer, '[ACGT]+') GROUP BY id, kmer)"""
+register("kmer_signature", lambda s, d: A.kmer_signature(kmers(s, d), 3, 1, "ACGT").select("id", "kmer", r6("freq").alias("freq")), P.oracle(KMERS.format(step=1)))
+register("codon_usage", lambda s, d: A.kmer_signature(kmers(s, d), 3, 3, "ACGT").select("id", "kmer", r6("freq").alias("freq")), P.oracle(KMERS.format(step=3)))
 
 
 def lengths(s, d):
@@ -181,8 +185,7 @@ def lengths(s, d):
 register("partition_coords", lambda s, d: A.partitions(lengths(s, d)), P.oracle("SELECT marker_id, (sum(len) OVER (ORDER BY marker_id) - len + 1)::BIGINT AS start, (sum(len) OVER (ORDER BY marker_id))::BIGINT AS stop FROM (SELECT marker_id, max(length(seq)) + count(*) % 7 AS len FROM aln GROUP BY 1)"))
 
 
-SHARED = "shared AS (SELECT marker_id, taxon % 40 AS taxon, min(seq) AS seq FROM aln GROUP BY ALL)"
-register("supermatrix", lambda s, d: A.supermatrix(P.alignment(s, d)).select("taxon", F.sha2("seq", 256).alias("sha"), F.length("seq").alias("sites")), P.oracle("SELECT taxon, sha256(string_agg(coalesce(seq, repeat('-', 60)), '' ORDER BY marker_id)) AS sha, sum(60)::INT AS sites FROM (SELECT DISTINCT taxon FROM shared) CROSS JOIN (SELECT DISTINCT marker_id FROM shared) LEFT JOIN shared USING (taxon, marker_id) GROUP BY 1", SHARED))
+register("supermatrix", lambda s, d: A.supermatrix(P.alignment(s, d)).select("taxon", F.sha2("seq", 256).alias("sha"), F.length("seq").alias("sites")), P.oracle("SELECT taxon, sha256(string_agg(rpad(coalesce(seq, ''), len::INT, '-'), '' ORDER BY marker_id)) AS sha, sum(len)::INT AS sites FROM (SELECT DISTINCT taxon FROM aln) CROSS JOIN panel LEFT JOIN aln USING (taxon, marker_id) GROUP BY 1", "panel AS (SELECT marker_id, max(length(seq)) AS len FROM aln GROUP BY 1)"))
 
 
 def split_back(s, d):
@@ -191,7 +194,7 @@ def split_back(s, d):
     return A.split_concatenated(A.supermatrix(a), parts).withColumn("seq", F.rtrim("seq", F.lit("-"))).where("seq <> ''")  # the sequences have no gaps of their own
 
 
-register("split_concatenated", split_back, P.oracle("SELECT marker_id, taxon, seq FROM shared", SHARED))
+register("split_concatenated", split_back, P.oracle("SELECT marker_id, taxon, seq FROM aln WHERE seq <> ''"))
 register("content_hash", lambda s, d: A.content_hash(P.alignment(s, d)), P.oracle("SELECT marker_id, sha256(string_agg(taxon || chr(0) || seq || chr(10), '' ORDER BY taxon || chr(0) || seq || chr(10))) AS sha FROM aln GROUP BY 1"))
 register("control_chars", lambda s, d: P.table(s, d, "documents").select("doc_id", S.has_control_chars(F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit("\x01"))).otherwise(F.col("text"))).alias("bad")), P.oracle(r"SELECT doc_id, doc_id % 10 = 0 OR regexp_matches(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]') AS bad FROM documents"))
 register("na_rendering", lambda s, d: P.risks(s, d).select("marker_id", S.na(F.col("nrf"), 2).alias("rendered")), P.oracle("SELECT marker_id, coalesce(printf('%.2f', nrf), 'NA') AS rendered FROM risks"))

@@ -38,7 +38,7 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """marker_id, taxon, seq: all letters of every document. Rows shorter than their marker's longest end in gaps, which the column operators count and nobody stores."""
-    seq = F.coalesce(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), F.lit(""))
+    seq = F.coalesce(F.upper(F.regexp_replace("text", "[^A-Za-z]+", "")), F.lit(""))
     return table(spark, sf_dir, "documents").select(F.col("source").alias("marker_id"), F.col("doc_id").alias("taxon"), seq.alias("seq"))
 
 
@@ -86,12 +86,12 @@ lineage AS (SELECT s_suppkey AS tip, 'd__' || r_name || ';p__' || n_name || ';g_
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 taxa AS (SELECT tip, nullif(regexp_extract(lineage, '(?:^|;)d__([^;]*)', 1), '') AS domain, nullif(regexp_extract(lineage, '(?:^|;)p__([^;]*)', 1), '') AS phylum,
   nullif(regexp_extract(lineage, '(?:^|;)g__([^;]*)', 1), '') AS genus FROM lineage),
-aln AS (SELECT * FROM (SELECT source AS marker_id, doc_id AS taxon, substr(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 1, 60) AS seq FROM documents) WHERE length(seq) = 60),
-aln_cells AS (SELECT marker_id, taxon, unnest(range(60)) AS pos, unnest(string_split(seq, '')) AS residue FROM aln),
+aln AS (SELECT source AS marker_id, doc_id AS taxon, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS seq FROM documents),
+aln_cells AS (SELECT marker_id, taxon, unnest(range(length(seq))) AS pos, unnest(string_split(seq, '')) AS residue FROM aln WHERE seq <> ''),
 risks AS (SELECT marker_id, CASE WHEN marker_id % 11 = 0 THEN NULL ELSE (marker_id * 37 % 101) / 100.0::DOUBLE END AS nrf,
   CASE WHEN marker_id % 13 = 0 THEN NULL ELSE (marker_id * 53 % 101) / 100.0::DOUBLE END AS quartet, marker_id * 17 % 40 AS pis
   FROM (SELECT DISTINCT p_partkey % 500 AS marker_id FROM part)),
-tips0 AS (SELECT k AS tree_id, s_suppkey, (s_nationkey + CASE WHEN k > 0 AND s_suppkey % (k + 3) = 0 THEN 1 ELSE 0 END) % 25 AS inner_ FROM supplier, range(6) r(k) WHERE s_suppkey <= 120 AND (k = 0 OR s_suppkey % 9 <> k)),
+tips0 AS (SELECT k AS tree_id, s_suppkey, (s_nationkey + CASE WHEN k > 0 AND s_suppkey % (k + 3) = 0 THEN 1 ELSE 0 END) % 25 AS inner_ FROM supplier, range(6) r(k) WHERE k = 0 OR s_suppkey % 9 <> k),
 tips AS (SELECT tree_id, 't' || s_suppkey AS tip, inner_, n_regionkey AS outer_ FROM tips0 JOIN nation ON inner_ = n_nationkey),
 groups AS (SELECT tree_id, 'i' || inner_ AS g, tip FROM tips UNION ALL SELECT tree_id, 'o' || outer_, tip FROM tips),
 n_tips AS (SELECT tree_id, count(*) AS n FROM tips GROUP BY 1)"""
