@@ -60,6 +60,22 @@ def segment_lineage(label: Column) -> Column:
     return F.map_from_entries(F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["col1"] == k), -1)))
 
 
+def read_lineage(label: Column, codes: str = "dpcofgs") -> list[Column]:
+    """Ranks of a label in whichever format it has: `d__X;p__Y` where a letter and two underscores occur, else `_d_X_p_Y`."""
+    segments = segment_lineage(label)
+    return [F.when(label.rlike("[a-z]__"), rank_value(label, c)).otherwise(F.nullif(F.element_at(segments, CODES[c]), F.lit(""))).alias(CODES[c]) for c in codes]
+
+
+# Letters of each molecule.
+ALPHABETS = {"DNA": "ATGCNRYKMSWBDHV.-", "RNA": "AUGCNRYKMSWBDHV.-", "protein": "ACDEFGHIKLMNPQRSTVWYBJZX.*-"}
+
+
+def strange_letters(seq: Column, molecule: str) -> Column:
+    """The letters of a sequence that its molecule doesn't have, sorted."""
+    letters = F.array_distinct(F.filter(F.split(F.upper(seq), ""), lambda c: c != ""))
+    return F.array_sort(F.array_except(letters, F.array(*map(F.lit, ALPHABETS[molecule]))))
+
+
 def has_level_marker(value: Column) -> Column:
     return value.contains("__") | value.rlike("_[a-z]_")
 

@@ -31,13 +31,15 @@ def confidence(risk: Column, level1_max: float = LEVEL1_MAX, level2_max: float =
 
 
 def evaluate(steps: DataFrame, level1_max: float = LEVEL1_MAX, level2_max: float = LEVEL2_MAX, far: bool = False) -> DataFrame:
-    """steps (marker_id, nrf, quartet[, basis, cross_rank]) with risk, state, reason, level, confidence."""
+    """steps (marker_id, nrf, quartet[, verdict, basis, cross_rank]) with risk, state, reason, level, confidence. A verdict but LEGAL rejects."""
     risk = F.round(species_tree_risk(), 9)
     cross = F.col("cross_rank") if "cross_rank" in steps.columns else F.lit(False)
-    reason = F.when(F.col("nrf").isNull() & F.col("quartet").isNull(), "no_evidence").when(F.col("nrf").isNull(), "rf_unmeasured").when(F.col("quartet").isNull(), "quartet_unmeasured").when(cross, "cross_rank")
-    out = steps.withColumns({"reason": reason, "risk": F.when(~cross, risk)})
+    refused = F.col("verdict") != "LEGAL" if "verdict" in steps.columns else F.lit(False)
+    why = F.lower("verdict") if "verdict" in steps.columns else F.lit(None).cast("string")
+    reason = F.when(refused, why).when(F.col("nrf").isNull() & F.col("quartet").isNull(), "no_evidence").when(F.col("nrf").isNull(), "rf_unmeasured").when(F.col("quartet").isNull(), "quartet_unmeasured").when(cross, "cross_rank")
+    out = steps.withColumns({"reason": reason, "risk": F.when(~cross & ~refused, risk)})
     basis = F.col("basis") if "basis" in steps.columns else None
-    return out.withColumns({"state": F.when(F.col("risk").isNull(), "not_measurable").otherwise("measured"), "level": level(F.col("risk"), level1_max, level2_max, far), "confidence": confidence(F.col("risk"), level1_max, level2_max, basis)})
+    return out.withColumns({"state": F.when(refused, "rejected").when(F.col("risk").isNull(), "not_measurable").otherwise("measured"), "level": level(F.col("risk"), level1_max, level2_max, far), "confidence": confidence(F.col("risk"), level1_max, level2_max, basis)})
 
 
 def taxonomy_screen(monophyly: DataFrame, scopes: DataFrame, requested: str | None = None) -> DataFrame:

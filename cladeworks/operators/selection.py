@@ -13,6 +13,13 @@ class NoMarkerError(ValueError):
     """No marker satisfies the strategy."""
 
 
+def required(chosen: DataFrame) -> DataFrame:
+    """chosen, unless it is empty: a plan without markers is an error, found at once and not by its reports."""
+    if chosen.isEmpty():
+        raise NoMarkerError("no marker satisfies the strategy")
+    return chosen
+
+
 def greedy(occ: DataFrame, params: DataFrame | None = None, min_occupancy: float = 0.35, max_markers: int = 150) -> DataFrame:
     """Markers of min_occupancy or more, most occupied first, max_markers at most. params: one row that overrides both."""
     if params is None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import RANKS, parse_lineage
+from ..functions.scalars import RANKS, parse_lineage, read_lineage
 
 
 def parse_table(lines: DataFrame, codes: str = "dpcofgs") -> DataFrame:
@@ -70,7 +70,7 @@ def domain_majority(labels: DataFrame) -> DataFrame:
 
 def embedded(labels: DataFrame, codes: str = "dpcofgs", forced: bool = False) -> DataFrame:
     """Taxonomy read from the labels themselves; nothing unless half of those with any rank have a domain, or forced."""
-    parsed = labels.select(F.col("label").alias("tip"), *parse_lineage(F.col("label"), codes))
+    parsed = labels.select(F.col("label").alias("tip"), *read_lineage(F.col("label"), codes))
     some = parsed.where(F.coalesce(*[F.col(c) for c in parsed.columns[1:]]).isNotNull())
     gate = some.agg((F.count("domain") * 2 >= F.count(F.lit(1))).alias("ok"))
     return some.crossJoin(F.broadcast(gate)).where(F.col("ok") | F.lit(forced)).drop("ok")

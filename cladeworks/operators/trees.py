@@ -193,6 +193,42 @@ def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None)
     return out.select("a", "b", verdict.alias("verdict"))
 
 
+def is_monophyletic(clade_table: DataFrame, members: DataFrame) -> DataFrame:
+    """tree_id, taxon, n, monophyletic: are a taxon's tips on the tree exactly a clade (rooted); a single tip is. members: tip, taxon."""
+    groups = tips(clade_table).join(members, "tip").groupBy("tree_id", "taxon").agg(F.array_sort(F.collect_set("tip")).alias("clade"))
+    hit = groups.join(clade_table.select("tree_id", F.col("tips").alias("clade")).distinct(), ["tree_id", "clade"], "left_semi").select("tree_id", "taxon", F.lit(True).alias("hit"))
+    out = groups.join(hit, ["tree_id", "taxon"], "left")
+    return out.select("tree_id", "taxon", F.size("clade").alias("n"), (F.col("hit").isNotNull() | (F.size("clade") == 1)).alias("monophyletic"))
+
+
+def has_bipartition(clade_table: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked (tree_id, left, right: arrays of tips) with present: does the tree, on these tips, part them so. No row: the tree can't be read."""
+    wanted = asked.withColumns({"l": F.array_sort(F.array_distinct("left")), "every": F.array_sort(F.array_union("left", "right"))})
+    joined = wanted.join(clade_table.select("tree_id", "tips"), "tree_id").withColumn("on", F.array_sort(F.array_intersect("tips", "every")))
+    hit = (F.col("on") == F.col("l")) | (F.array_sort(F.array_except("every", "on")) == F.col("l"))
+    lone = (F.size("l") == 1) | (F.size("every") - F.size("l") == 1)
+    return joined.groupBy("tree_id", "left", "right").agg(F.bool_or(hit | lone).alias("present"))
+
+
+def sisters(clade_table: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked (tree_id, x, y: arrays of tips) with sister: the smallest clade that holds both groups holds nothing else, and each is a clade or one tip."""
+    known = clade_table.select("tree_id", F.array_sort("tips").alias("c"))
+    both = F.array_sort(F.array_union("x", "y"))
+    joined = asked.join(known, "tree_id")
+    whole = lambda c: F.bool_or(F.col("c") == F.array_sort(F.array_distinct(c))) | F.bool_or(F.size(F.array_distinct(c)) == 1)
+    return joined.groupBy("tree_id", "x", "y").agg((F.bool_or(F.col("c") == both) & whole("x") & whole("y")).alias("sister"))
+
+
+def mrca_depth(tree_table: DataFrame, clade_table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """tree_id, name, depth: edges from the root to the last common ancestor of the wanted (tree_id, name, tip) tips. tree_table: nodes()."""
+    path = tree_table.select("tree_id", "node_id", "parent_id", "depth", "label", "is_leaf")
+    asked = wanted.groupBy("tree_id", "name").agg(F.collect_set("tip").alias("w"))
+    over = asked.join(clade_table, "tree_id").where(F.size(F.array_except("w", "tips")) == 0)  # nested: each ancestor once
+    lone = asked.where("size(w) = 1").select("tree_id", "name", F.col("w")[0].alias("label")).join(path.where("is_leaf"), ["tree_id", "label"]).select("tree_id", "name", "depth")
+    several = over.where("size(w) > 1").groupBy("tree_id", "name").agg((F.count(F.lit(1)) - 1).cast("int").alias("depth"))
+    return lone.unionByName(several)
+
+
 def special_node(clade_table: DataFrame, wanted: DataFrame) -> DataFrame:
     """tree_id, name, tips: the smallest clade that holds all wanted (tree_id, name, tip) tips."""
     asked = wanted.groupBy("tree_id", "name").agg(F.collect_set("tip").alias("w"))

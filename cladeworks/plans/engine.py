@@ -1,4 +1,4 @@
-"""The whole analysis as one lazy plan over tables: quality, selection, screening, inference, reports."""
+"""The whole analysis as one plan over tables: quality, selection, screening, inference, reports. Lazy but for one-row decisions."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import na
 from ..operators import alignment as A
+from ..operators import assertions as C
 from ..operators import decisions as D
 from ..operators import occupancy as O
 from ..operators import quality as Q
@@ -39,10 +41,50 @@ class Options:
     stringency: int = 1
     bands: tuple = ((0.2, 0.5), (0.3, 0.6), (0.4, 0.7))
     rules: tuple = field(default_factory=tuple)
+    far: bool | None = None  # None: from the spread of the lineages
+    pis_floor: int = 0
 
 
-def run(hits: DataFrame, genomes: DataFrame, quality: DataFrame, lineages: DataFrame, aln: DataFrame | None = None, trees: DataFrame | None = None, reference: DataFrame | None = None, options: Options = Options()) -> dict[str, DataFrame]:
-    """Products by name. hits are kept, as three products read them. trees: marker_id, newick; reference: one newick; lineages: tip, lineage."""
+def screen_steps(trees: DataFrame, reference: DataFrame) -> DataFrame:
+    """marker_id, verdict, n_shared, nrf, quartet of each gene tree against one reference tree. Only legal pairs are measured."""
+    named = trees.select(F.col("marker_id").cast("string").alias("tree_id"), "newick")
+    every = named.unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick"))
+    pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").alias("b"))
+    clades = R.clades(every).persist()
+    readable = clades.where("is_root").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
+    verdict = F.when(F.col("readable"), F.col("verdict")).when(F.col("verdict") == "MALFORMED", "MALFORMED").otherwise("GENE_TREE_MALFORMED")
+    verdicts = R.legality(every, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable")
+    legal = verdicts.where("verdict = 'LEGAL'").select("a", "b")
+    measured = R.rf_distance(legal, clades).join(R.quartet_agreement(legal, clades, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
+    out = verdicts.join(measured, ["a", "b"], "left")
+    return out.select(F.col("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
+
+
+def consistency_screen(trees: DataFrame, coalescent: DataFrame | None, concat: DataFrame | None, sites: DataFrame | None, stringency: int, min_pis: int) -> DataFrame:
+    """marker_id, grade, strengths of both legs: each gene tree against two reference trees. Refused unless all of its inputs are there."""
+    lacking = D.prerequisites({"coalescent tree": coalescent is not None, "concatenated tree": concat is not None, "alignment": sites is not None})
+    if lacking:
+        raise ValueError(f"the consistency screen lacks: {', '.join(lacking)}")
+    a, b = (screen_steps(trees, t).select("marker_id", F.col("nrf").alias("nrf_" + x), F.col("quartet").alias("quartet_" + x)) for x, t in (("a", coalescent), ("b", concat)))
+    legs = a.persist().join(b.persist(), "marker_id").join(sites.select(F.col("marker_id").cast("string").alias("marker_id"), "pis"), "marker_id", "left")
+    return D.consistency(legs, stringency, min_pis)
+
+
+def unreadable(named: DataFrame, clades: DataFrame, rules: DataFrame) -> DataFrame:
+    """Must-pass rows of the trees that have no clades: every rule not_checked."""
+    lost = named.select("tree_id").join(clades.select("tree_id").distinct(), "tree_id", "left_anti")
+    none = F.lit(None).cast("string")
+    return lost.crossJoin(F.broadcast(rules)).select("tree_id", "rule", "relation", F.col("level").alias("rank"), none.alias("taxon"), F.lit(0).alias("members"), F.lit("not_checked").alias("result"))  # rules are a short configured list
+
+
+def run(
+    hits: DataFrame, genomes: DataFrame, quality: DataFrame, lineages: DataFrame, aln: DataFrame | None = None, trees: DataFrame | None = None, reference: DataFrame | None = None, options: Options = Options(), concat: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Products by name. hits are kept, as three products read them. trees: marker_id, newick; reference, concat: one newick
+    (the species tree, and the concatenated one for the consistency screen); lineages: tip, lineage.
+
+    A reference that is no legal tree for a marker rejects it: rejected is neither measured nor guessed.
+    """
     spark = hits.sparkSession
     out: dict[str, DataFrame] = {"strata": Q.strata_counts(quality), "params": Q.adaptive_params(quality)}
     row = out["params"].first()  # one row; values given by the user win
@@ -53,34 +95,70 @@ def run(hits: DataFrame, genomes: DataFrame, quality: DataFrame, lineages: DataF
     states = O.gene_states(hits, floor)
     occ = O.occupancy(states, genomes)
     pick = {"greedy": lambda: M.greedy(occ, None, low, most), "rate_balanced": lambda: M.rate_balanced(occ, low, most), "sparse_optimized": lambda: M.sparse_optimized(occ, most), "info_max": lambda: M.info_max(states, occ, low, most)}
-    out |= {"occupancy": occ, "selected": pick[options.strategy]().select("marker_id"), "best_hits": M.best_hits(hits)}
+    out |= {"occupancy": occ, "selected": M.required(pick[options.strategy]().select("marker_id")), "best_hits": M.best_hits(hits)}
+    if aln is not None:
+        out |= {"sites": A.site_counts(aln).persist(), "composition": A.composition_report(aln), "supermatrix": A.supermatrix(aln)}
     if trees is not None:
         named = trees.select(F.col("marker_id").alias("tree_id"), "newick")
         clades = R.clades(named)
         taxa = T.parse_table(lineages)
+        spread = [c for c in ("genus", "order") if c in taxa.columns]
+        far = bool(len(spread) == 2 and T.far_distance(taxa, *spread).first().far) if options.far is None else options.far
         if reference is not None:
-            pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").cast("string").alias("b"))
-            every = R.clades(named.select(F.col("tree_id").cast("string").alias("tree_id"), "newick").unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick")))
-            steps = R.rf_distance(pairs, every).join(R.quartet_agreement(pairs, every, drawn=1000), ["a", "b"]).select(F.col("b").alias("marker_id"), F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
-            out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max)
+            steps = screen_steps(trees, reference).persist()  # a row a marker, read by many products
+            out["steps"] = steps
+            out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max, far)
         else:  # without a species tree the taxonomy decides
             screen = D.taxonomy_screen(R.monophyly(clades, T.long(taxa)), T.scope_rank(R.tips(clades), taxa), options.rank)
             reason = F.when(F.col("risk").isNull(), "no_informative_rank").when(F.col("cross_rank"), "cross_rank")
             risk = F.when(~F.col("cross_rank"), F.col("risk"))
             out["evaluations"] = screen.select(F.col("tree_id").alias("marker_id"), risk.alias("risk"), reason.alias("reason"), "test_rank", "n_total", "n_mono").withColumns(
-                {"level": D.level(F.col("risk"), options.level1_max, options.level2_max), "confidence": D.confidence(F.col("risk"), options.level1_max, options.level2_max, F.lit("monophyly_only"))}
+                {"level": D.level(F.col("risk"), options.level1_max, options.level2_max, far), "confidence": D.confidence(F.col("risk"), options.level1_max, options.level2_max, F.lit("monophyly_only"))}
             )
         out["report"] = D.report(out["evaluations"])
         out["reasons"] = D.reasons(out["evaluations"])
         out["threshold_scan"] = D.threshold_scan(out["evaluations"], D.bands(spark, list(options.bands)))
         out["consensus"] = R.consensus(clades)
         if options.rules:
-            out["must_pass"] = T.must_pass(clades, R.tips(clades), taxa, spark.createDataFrame(list(options.rules), "rule string, relation string, level string, min_taxa int"))
-    if aln is not None:
-        out |= {"sites": A.site_counts(aln), "composition": A.composition_report(aln), "supermatrix": A.supermatrix(aln)}
+            rules = spark.createDataFrame(list(options.rules), "rule string, relation string, level string, min_taxa int")
+            out["must_pass"] = T.must_pass(clades, R.tips(clades), taxa, rules).unionByName(unreadable(named, clades, rules))
+        if concat is not None:
+            out["consistency"] = consistency_screen(trees, reference, concat, out.get("sites"), options.stringency, options.pis_floor)
+            out["hybrid"] = D.hybrid(out["evaluations"].withColumn("marker_id", F.col("marker_id").cast("string")), out["consistency"])
+        text = F.col("marker_id").cast("string").alias("marker_id")
+        judged = out["evaluations"].withColumn("marker_id", text)
+        if "sites" in out:
+            out["evaluations"] = judged = D.pis_floor(judged.join(out["sites"].select(text, "pis"), "marker_id", "left"), options.pis_floor)
+        out["evaluations"] = judged = judged.persist()
+        lengths = Q.length_coherence(out["best_hits"])
+        scores = occ.join(Q.hmm_score(hits), "marker_id").join(lengths, "marker_id").withColumn("marker_id", text)
+        told = F.col("quartet") if "quartet" in judged.columns else F.lit(None).cast("double")  # unmeasured without a species tree
+        scores = D.backfill(scores, judged).join(judged.select("marker_id", told.alias("informativeness")), "marker_id", "left").withColumn("score", Q.overall_score())
+        out["scores"] = scores.withColumn("level", Q.quality_level(F.col("score")))
+        out["assertions"] = C.run(spark, state(out, options, far))
     return out
 
 
+def state(out: dict[str, DataFrame], options: Options, far: bool) -> dict[str, DataFrame]:
+    """The tables that the assertions read, as far as the run has them."""
+    e = out["evaluations"]
+    spark = e.sparkSession
+    graded = F.count_if(F.col("level") != "unknown") / F.nullif(F.count(F.lit(1)), F.lit(0))
+    whole = e.agg(graded.alias("coverage"), F.count(F.lit(1)).alias("n_markers")).withColumns(
+        {"level1_max": F.lit(options.level1_max), "level2_max": F.lit(options.level2_max), "far_active": F.lit(far), "n_far_cards": F.when(F.lit(far), F.col("n_markers")).otherwise(0)}
+    )
+    fields = e.select(F.col("risk").alias("value"), na(F.col("risk")).alias("rendered"))
+    probe = D.evaluate(spark.createDataFrame([("conflict", 1.0, 0.0), ("identical", 0.0, 1.0)], "marker_id string, nrf double, quartet double"))
+    risk = lambda k: F.max(F.when(F.col("marker_id") == k, F.col("risk"))).alias(f"{k}_risk")
+    found = {"fields": fields, "evaluations": e, "run": whole, "probe": probe.agg(risk("conflict"), risk("identical"))}
+    if "steps" in out:
+        rejected = F.when(F.col("verdict") == "LEGAL", "measured").otherwise("rejected")
+        found["steps"] = out["steps"].select(F.col("marker_id").alias("gene_id"), "nrf", "quartet", rejected.alias("quartet_state"), "n_shared")
+    if "sites" in out:
+        found["alignments"] = out["sites"].select("marker_id", "effective_columns")
+    return found
+
+
 def exit_code(products: dict[str, DataFrame]) -> int:
     """4 for a violated rule or rules that tested nothing, 5 without a graded marker, else 0."""
     if "must_pass" in products:

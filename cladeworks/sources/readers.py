@@ -44,6 +44,28 @@ def duplicate_ids(records: DataFrame) -> DataFrame:
     return records.groupBy("path", "seq_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def unique_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """fasta(), but an id that repeats in a file raises at the action."""
+    found = fasta_records(spark, path).groupBy("path", "seq_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("seq", "ordinal").alias("seq"))
+    return found.select("path", "seq_id", F.when(F.col("n") == 1, F.col("seq")).otherwise(F.raise_error(F.concat(F.lit("sequence id occurs twice: "), "seq_id"))).alias("seq"))
+
+
+def molecule(seqs: DataFrame) -> str:
+    """DNA, RNA or protein by the letters of the first ten sequences (by id); none at all: protein."""
+    from ..functions.scalars import strange_letters
+
+    first = seqs.orderBy("seq_id").limit(10).agg(F.concat_ws("", F.collect_list("seq")).alias("all"))
+    r = first.select("all", *[F.size(strange_letters(F.col("all"), m)).alias(m) for m in ("DNA", "RNA")]).first()
+    return "protein" if not r["all"] else "DNA" if r.DNA == 0 else "RNA" if r.RNA == 0 else "protein"
+
+
+def wrong_letters(seqs: DataFrame, kind: str) -> DataFrame:
+    """seq_id, letters: sequences with letters that the molecule doesn't have."""
+    from ..functions.scalars import strange_letters
+
+    return seqs.select("seq_id", strange_letters(F.col("seq"), kind).alias("letters")).where("size(letters) > 0")
+
+
 def fastq(spark: SparkSession, path: str) -> DataFrame:
     """path, seq_id, seq, quality of four-line records; n_lines % 4 <> 0 raises at the action."""
     rows = lines(spark, path).withColumn("k", (F.col("ordinal") / 4).cast("int"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import html
 import json
 
@@ -29,6 +30,39 @@ def marker_summary(occ: DataFrame, scores: DataFrame, sites: DataFrame, grades:
     )
 
 
+# Columns of the evaluation table.
+EVALUATION = (
+    "marker_id overall_risk hgt_risk_level hgt_evidence_confidence notes detector rank_used n_total n_mono rf rf_state quartet quartet_state monophyly monophyly_state n_signals_used weights risk_basis "
+    "thresholds_in_effect far_active trimming_regime gene_tree_source upstream_shared assertion_ids_fired"
+).split()
+
+
+def hgt_evaluation(evaluations: DataFrame, level1_max: float, level2_max: float, far: bool = False, trimming: str = "", source: str = "", fired: str = "") -> DataFrame:
+    """The 24 columns of EVALUATION as text. A signal without a value is not_measurable, or rejected where its marker is; fired: ids of assertions that failed."""
+    has = lambda c, kind="double": F.col(c) if c in evaluations.columns else F.lit(None).cast(kind)
+    nrf, quartet, n_mono, n_total = has("nrf"), has("quartet"), has("n_mono", "long"), has("n_total", "long")
+    mono = n_mono / F.nullif(n_total, F.lit(0))
+    refused = F.coalesce(has("state", "string") == "rejected", F.lit(False))
+    state = lambda v: F.when(v.isNotNull(), "measured").when(refused, "rejected").otherwise("not_measurable")
+    by_tree = F.lit("quartet" in evaluations.columns)
+    plain = lambda v: F.coalesce(v.cast("string"), F.lit(NA))
+    signals = sum((v.isNotNull().cast("int") for v in (nrf, quartet)), F.when(by_tree, 0).otherwise(mono.isNotNull().cast("int")))
+    weights = F.when(by_tree, json.dumps({"quartet": 0.5, "rf": 0.5})).otherwise(json.dumps({"monophyly": 1.0}))
+    notes = F.regexp_replace(F.concat_ws("; ", has("reason", "string"), has("note", "string")), "[\\t\\n]", " ")
+    made = [
+        F.col("marker_id").cast("string"), na(F.col("risk")), F.col("level"), plain(F.col("confidence")), notes, F.when(by_tree, "species_tree").otherwise("taxonomy"), plain(has("test_rank", "string")), plain(n_total), plain(n_mono),
+        plain(nrf), state(nrf), plain(quartet), state(quartet), plain(mono), state(mono), plain(signals), weights, F.when(F.col("risk").isNull(), NA).when(by_tree, "rf_and_quartet").otherwise("monophyly_only"),
+        F.lit(json.dumps({"level1_max": level1_max, "level2_max": level2_max}, sort_keys=True)), F.lit(str(far)), F.lit(trimming or NA), F.lit(source or NA), plain(has("cached", "boolean")), F.lit(fired or NA),
+    ]
+    return evaluations.select(*[c.alias(n) for c, n in zip(made, EVALUATION)])
+
+
+def run_config(options, versions: dict[str, str], databases: DataFrame | None = None) -> str:
+    """The run's options, versions and, by path, the hashes of its databases as one JSON document with sorted keys."""
+    hashes = {r.path: r.sha for r in databases.select("path", "sha").collect()} if databases is not None else {}
+    return json.dumps({"schema_version": SCHEMA_VERSION, "options": dataclasses.asdict(options), "versions": versions, "databases": hashes}, sort_keys=True, indent=2, default=str)
+
+
 def decision_cards(evaluations: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """card: a JSON document for each marker, keys sorted."""
     limits = F.struct(*[F.lit(v).alias(k) for k, v in sorted(thresholds.items())])
@@ -72,13 +106,16 @@ def summary_text(report: DataFrame) -> str:
 
 
 def html_page(title: str, tables: dict[str, DataFrame], rows: int = 200) -> str:
-    """A page of tables, `rows` of each at most, as a report shows them."""
+    """A page of tables. Of a table with more than `rows` rows it shows the first and says so."""
     out = [f"<!DOCTYPE html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>"]
     for name, df in tables.items():
         out.append(f"<h2>{html.escape(name)}</h2><table><tr>" + "".join(f"<th>{html.escape(c)}</th>" for c in df.columns) + "</tr>")
-        for r in df.limit(rows).collect():
+        shown = df.limit(rows + 1).collect()
+        for r in shown[:rows]:
             out.append("<tr>" + "".join(f"<td>{'N/A' if v is None else html.escape(str(v))}</td>" for v in r) + "</tr>")
         out.append("</table>")
+        if len(shown) > rows:  # a page is for reading; the table itself is a product of its own
+            out.append(f"<p class='cut'>The first {rows} of {df.count()} rows; all are in the table {html.escape(name)}.</p>")
     return "".join(out)
 
 

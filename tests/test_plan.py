@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from cladeworks.functions import labels
-from cladeworks.operators import provenance
+from cladeworks.functions import labels, scalars
+from cladeworks.operators import provenance, selection
+from cladeworks.operators import trees as R
 from cladeworks.plans import engine, proxy
-from cladeworks.sources import tools
+from cladeworks.sources import readers, sinks, tools
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +26,64 @@ def test_plan_by_taxonomy_and_by_reference(spark):
     assert got["selected"].count() > 0 and got["evaluations"].count() == proxy.N_TREES and got["report"].first().n_markers == proxy.N_TREES
     assert engine.exit_code(got) in (0, 4, 5)
     other = engine.run(hits, genomes, quality, lineages, None, trees.where("marker_id > 0"), trees.where("marker_id = 0"))
-    assert {r.state for r in other["evaluations"].collect()} == {"measured"}
+    assert {(r.state, r.reason, r.level) for r in other["evaluations"].collect()} == {("rejected", "polytomy", "unknown")}  # the stand-in species tree is not binary
+
+
+def test_screens_end_to_end(spark):
+    """A binary species tree: equal, reversed, foreign, short and unreadable gene trees; and both screens together."""
+    hits, genomes, quality, _, _, _ = inputs(spark)
+    tips = [f"t{i}" for i in range(8)]
+    ladder = lambda ts: "(" * (len(ts) - 1) + ts[0] + "".join(f",{t})" for t in ts[1:]) + ";"
+    far = [tips[i] for i in (0, 4, 2, 6, 1, 5, 3, 7)]
+    gene = spark.createDataFrame([("equal", ladder(tips)), ("other", ladder(far)), ("foreign", ladder([*tips[:7], "alien"])), ("short", ladder(tips[:3])), ("broken", "((t0,t1),(t2")], "marker_id string, newick string")
+    species, concat = (spark.createDataFrame([(ladder(ts),)], "newick string") for ts in (tips, tips))
+    lineages = spark.createDataFrame([(t, "d__A;p__P") for t in tips], "tip string, lineage string")
+    letters = ["WK", "WK", "KW", "KW"]
+    aln = spark.createDataFrame([(m, f"t{i}", letters[i % 4] * 3) for m in ("equal", "other") for i in range(8)], "marker_id string, taxon string, seq string")
+    options = engine.Options(min_occupancy=0.2, score_floor=15.0, pis_floor=3, stringency=1, rules=(("r1", "monophyletic", "phylum", 2),))
+    got = engine.run(hits, genomes, quality, lineages, aln, gene, species, options, concat)
+    e = {r.marker_id: (r.state, r.reason, r.risk, r.level) for r in got["evaluations"].collect()}
+    assert e["equal"] == ("measured", None, 0.0, "level_1") and e["other"][0] == "measured" and e["other"][2] > 0.25
+    assert e["foreign"][:2] == ("rejected", "tipset_mismatch") and e["broken"][:2] == ("rejected", "gene_tree_malformed") and e["short"][3] == "unknown"
+    assert {r.marker_id: r.grade for r in got["consistency"].collect()} == {"equal": "consistent", "other": "inconclusive", "foreign": "inconclusive", "short": "inconclusive", "broken": "inconclusive"}
+    assert {r.marker_id for r in got["hybrid"].where("verdict = 'passes_both'").collect()} == {"equal"}
+    assert [(r.tree_id, r.result) for r in got["must_pass"].where("tree_id = 'broken'").collect()] == [("broken", "not_checked")]
+    done = {r.assertion_id: r.result for r in got["assertions"].collect()}
+    assert done["A-12"] == done["A-03"] == done["A-05"] == "pass" and done["A-08"] == "not_checked"
+    table = sinks.hgt_evaluation(got["evaluations"], options.level1_max, options.level2_max)
+    rows = {r.marker_id: r for r in table.collect()}
+    assert len(table.columns) == 24 and rows["equal"].rf_state == "measured" and rows["foreign"].rf_state == "rejected" and rows["foreign"].overall_risk == "NA" and rows["equal"].n_signals_used == "2"
+    assert '"pis_floor": 3' in sinks.run_config(options, {"engine": "1"})
+    with pytest.raises(ValueError, match="alignment"):
+        engine.run(hits, genomes, quality, lineages, None, gene, species, options, concat)
+    with pytest.raises(selection.NoMarkerError):
+        engine.run(hits, genomes, quality, lineages, options=engine.Options(min_occupancy=1.1))
+
+
+def test_tree_questions(spark):
+    trees_ = spark.createDataFrame([(1, "(((a,b),c),((d,e),f));")], "tree_id int, newick string")
+    c = R.clades(trees_)
+    taxa = spark.createDataFrame([("a", "X"), ("b", "X"), ("c", "Y"), ("d", "Z"), ("f", "Z"), ("q", "W")], "tip string, taxon string")
+    assert {(r.taxon, r.monophyletic) for r in R.is_monophyletic(c, taxa).collect()} == {("X", True), ("Y", True), ("Z", False)}
+    asked = spark.createDataFrame([(1, ["a", "b"], ["d", "f"]), (1, ["a", "d"], ["b", "e"])], "tree_id int, left array<string>, right array<string>")
+    assert {(tuple(r.left), r.present) for r in R.has_bipartition(c, asked).collect()} == {(("a", "b"), True), (("a", "d"), False)}
+    pairs = spark.createDataFrame([(1, ["a", "b"], ["c"]), (1, ["d"], ["f"]), (1, ["a", "b", "c"], ["d", "e", "f"])], "tree_id int, x array<string>, y array<string>")
+    assert {(tuple(r.x), r.sister) for r in R.sisters(c, pairs).collect()} == {(("a", "b"), True), (("d",), False), (("a", "b", "c"), True)}
+    wanted = spark.createDataFrame([(1, "ab", "a"), (1, "ab", "b"), (1, "ad", "a"), (1, "ad", "d"), (1, "c", "c")], "tree_id int, name string, tip string")
+    assert {(r.name, r.depth) for r in R.mrca_depth(R.nodes(trees_), c, wanted).collect()} == {("ab", 2), ("ad", 0), ("c", 2)}
+
+
+def test_labels_and_letters(spark, tmp_path):
+    df = spark.createDataFrame([("x;d__B;p__P",), ("g_d_B_p_Q_g_G_x",), ("plain",)], "label string").select("label", *scalars.read_lineage(F.col("label"), "dpg"))
+    assert {(r.domain, r.phylum, r.genus) for r in df.collect()} == {("B", "P", None), ("B", "Q", "G_x"), (None, None, None)}
+    (tmp_path / "a.fa").write_text(">x\nACGT\n>y\nAC-N\n")
+    (tmp_path / "b.fa").write_text(">x\nMKL\n>x\nMK\n")
+    seqs = readers.unique_fasta(spark, str(tmp_path / "a.fa"))
+    assert readers.molecule(seqs) == "DNA" and [(r.seq_id, r.letters) for r in readers.wrong_letters(seqs, "RNA").collect()] == [("x", ["T"])]
+    with pytest.raises(Exception, match="occurs twice"):
+        readers.unique_fasta(spark, str(tmp_path / "b.fa")).collect()
+    page = sinks.html_page("t", {"n": spark.range(5)}, rows=2)
+    assert "The first 2 of 5 rows" in page and "first" not in sinks.html_page("t", {"n": spark.range(2)}, rows=2)
 
 
 def test_stricter_floor_selects_a_subset(spark):
