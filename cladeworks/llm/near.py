@@ -116,13 +116,18 @@ def dealt_mates(texts: DataFrame, work: Workspace) -> DataFrame:
     units = skewed_join(homes, cuts.select("home", "units"), ["home"], hot_keys(cuts, "n", ["home"]), by).select("t1", "t2", unit.alias("unit"))
     units = work.save(units, "units")
     placed = work.save(mates.select("t1", "t2", "key").join(units, ["t1", "t2"]).select("t1", "t2", "key", "unit"), "placed")
-    across = placed.groupBy("key").agg(F.collect_set("unit").alias("others")).where("size(others) > 1")  # a bucket's units
-    pairs = skewed_join(placed, across, ["key"], hot, by).select("t1", "t2", "unit", F.explode("others").alias("other"))
-    own = units.select("t1", "t2", "unit", F.col("unit").alias("other"))
-    task = F.struct(F.least("unit", "other").alias("a"), F.greatest("unit", "other").alias("b"))
-    asked = pairs.where("unit <> other").unionByName(own).groupBy("t1", "t2", "unit").agg(F.collect_set(task).alias("asked"))
+    across = placed.groupBy("key").agg(F.sort_array(F.collect_set("unit")).alias("others")).where("size(others) > 1")  # a bucket's units
+    across = work.save(across, "across")
+    sets = work.save(across.groupBy("others").agg(F.min("key").alias("name")), "sets")  # many buckets have the same units: a text asks once a set
+    shared = skewed_join(placed, across.join(sets, "others").select("key", "name"), ["key"], hot, by).select("t1", "t2", "unit", "name").distinct()
+    shared = work.save(shared, "shared")
+    often = hot_keys(shared.groupBy("name").agg(F.count(F.lit(1)).alias("n")), "n", ["name"])
+    others = skewed_join(shared, sets, ["name"], often, by).select("t1", "t2", "unit", "others")
+    every = units.select("t1", "t2", "unit", F.array("unit").alias("others")).unionByName(others)
+    task = F.transform(F.array_distinct(F.flatten("others")), lambda o: F.struct(F.least("unit", o).alias("a"), F.greatest("unit", o).alias("b")))
+    asked = every.groupBy("t1", "t2", "unit").agg(F.collect_list("others").alias("others")).select("t1", "t2", "unit", task.alias("asked"))  # at most one list a band
     asked = work.save(asked, "asked")
-    work.drop("buckets", "mates", "homes", "units", "placed")
+    work.drop("buckets", "mates", "homes", "units", "placed", "across", "sets", "shared")
     return asked
 
 
