@@ -1,6 +1,6 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a table (k1, k2, n) sorted by the 128-bit hash of a line's key, n the documents that hold it. Each batch of
+A run is a table (k1, k2, n) sorted by 128 bits of SHA-256 of a line's key, n the documents that hold it. Each batch of
 documents is counted, anti-joined against the lines that the runs already hold often enough (their count is settled)
 and written as a run of level 0; when a level has `fanout` runs they merge into one of the next level. So a line is
 rewritten once a level, log(batches) times in all, and a later batch is judged against all earlier ones.
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .skew import hot_keys, skewed_join
 from .store import Workspace
-from .text import SPACE, fresh, two_hashes
+from .text import SPACE, digest, fresh, halves, two_hashes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,10 +43,8 @@ def once(value: Column, use) -> Column:
 def key_hashes(text: str, min_chars: int) -> Column:
     """For each line the hashes of its key, null where the key is too short to count."""
 
-    def one(key):
-        return F.when(F.length(key) >= min_chars, F.struct(*[h.alias(n) for h, n in zip(two_hashes(key), ("k1", "k2"))]))
-
-    return F.transform(F.transform(lines(text), line_key), one)
+    said = F.transform(F.transform(lines(text), line_key), lambda key: F.when(F.length(key) >= min_chars, digest(key)))
+    return F.transform(said, lambda d: F.when(d.isNotNull(), F.struct(*[h.alias(n) for h, n in zip(halves(d), ("k1", "k2"))])))
 
 
 def distinct_keys(keys: Column) -> Column:

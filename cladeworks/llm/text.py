@@ -130,9 +130,19 @@ def within(first: np.ndarray, n: int, total: int) -> np.ndarray:
     return ok
 
 
-def two_hashes(*columns: Column | str) -> list[Column]:
-    """A 128-bit content hash as two bigints."""
-    return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+def digest(text: Column | str) -> Column:
+    """SHA-256 of a text's bytes in hex; null counts as empty."""
+    return F.sha2(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), 256)
+
+
+def halves(hexes: Column) -> list[Column]:
+    """The first 128 bits of a hex digest as two bigints."""
+    return [F.conv(F.substring(hexes, at, 16), 16, -10).cast("long") for at in (1, 17)]
+
+
+def two_hashes(text: Column | str) -> list[Column]:
+    """A text's content as two bigints: 128 bits of SHA-256, for which nobody can make two texts that agree."""
+    return halves(digest(text))
 
 
 def n_words(text: Column | str) -> Column:
