@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, line_dedup, mixing, near, quality, substring, toxicity, warc
+from . import chat, decontaminate, extract, line_dedup, merkle, mixing, near, quality, secrets, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.cosine", "m.lcs")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda x: x["kind"] != secrets.MODEL)
+    said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    counts = [F.size(F.expr(f"filter(spans, x -> x.kind = '{kind}')")).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS]
+    return out.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lower = F.translate("text", line_dedup.UPPER, line_dedup.LOWER)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf_hash(*merkle.FIELDS[:-1], lower))
+    out = merkle.proofs(docs, more={"tampered": tampered})
+    out = out.withColumns({"proof_sha256": merkle.siblings_hash(F.col("path")), "folded_root": merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_jaccard_join": op2_jaccard_join,
@@ -75,8 +92,89 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_secrets": op11_secrets,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+
+def merkle_levels(name: str, levels: int) -> str:
+    """Nodes `name`0 (tree, i, h, n) folded so many levels up, and each node's siblings before and after."""
+    run = "OVER (PARTITION BY tree, i // 16 ORDER BY i ROWS BETWEEN"
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}s{k} AS (SELECT *, CASE WHEN n = 1 THEN '' ELSE coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS before,
+  CASE WHEN n = 1 THEN '' ELSE coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS after FROM {name}{k})""")
+        folded = f"SELECT tree, i // 16 AS i, any_value(n) AS n, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY tree, i // 16"
+        out.append(f"{name}{k + 1} AS (SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS n FROM ({folded}))")
+    return ",\n".join(out)
+
+
+def merkle_sql(levels: int = 5) -> str:
+    """The manifest for groups of at most 16 ** levels rows."""
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(({x})::VARCHAR) || ':' || ({x})::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    lower = f"translate(text, '{line_dedup.UPPER}', '{line_dedup.LOWER}')"
+    joins = "".join(f" JOIN as{k} ON as{k}.tree = r.tree AND as{k}.i = r.i // {16**k}" for k in range(levels)) + f" JOIN b0 ON b0.key = r.tree JOIN b{levels} ON true"
+    joins += "".join(f" JOIN bs{k} ON bs{k}.i = b0.i // {16**k}" for k in range(levels))
+    steps = [f"{x}s{k}" for x in "ab" for k in range(levels)]
+    siblings = " || ".join(f"{s}.before || {s}.after" for s in steps)
+    folds = "coalesce(tampered, leaf)"
+    parts = []
+    for k, s in enumerate(steps):
+        parts.append(f"f{k} AS (SELECT * EXCLUDE (f), CASE WHEN {s}_n = 1 THEN f ELSE sha256({s}_before || f || {s}_after) END AS f FROM {f'f{k - 1}' if k else 'p'})")
+    columns = ", ".join(f"{s}.n AS {s}_n, {s}.before AS {s}_before, {s}.after AS {s}_after" for s in steps)
+    return f"""
+WITH bits AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT *, {leaf("text")} AS leaf, coalesce('s' || source, '') AS tree,
+  xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc FROM documents, bits),
+r AS (SELECT *, CASE WHEN crc % 5 = 0 THEN {leaf(lower)} END AS tampered, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS total FROM d),
+a0 AS (SELECT tree, i, leaf AS h, total AS n FROM r),
+{merkle_levels("a", levels)},
+b0 AS (SELECT tree AS key, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h, count(*) OVER () AS n FROM a{levels}),
+{merkle_levels("b", levels)},
+p AS (SELECT doc_id, leaf, b0.h AS subroot, b{levels}.h AS root, sha256({siblings}) AS proof_sha256, {columns}, {folds} AS f FROM r{joins}),
+{", ".join(parts)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{len(steps) - 1}"""
+
+def secrets_sql() -> str:
+    """Patterns, both Markov models and the scan."""
+    quoted = {kind: "'" + p.replace("'", "''") + "'" for kind, p in {**secrets.KINDS, secrets.MODEL: secrets.TOKEN, "plain": secrets.ORDINARY}.items()}
+
+    def located(kind: str, rank: int) -> str:
+        p = quoted[kind]
+        return f"""SELECT rid, '{kind}' AS kind, {rank} AS rank, said[i] AS said, list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(said[1:i - 1], lambda g: length(g))), 0) AS start
+  FROM (SELECT rid, said, gaps, unnest(range(1, len(said) + 1)) AS i FROM (SELECT rid, regexp_extract_all(text, {p}) AS said, string_split_regex(text, {p}) AS gaps FROM d))"""
+
+    def steps(name: str, tokens: str) -> str:
+        return f"""{name} AS (SELECT step, sum(n) AS n FROM (SELECT n, unnest(list_transform(range(1, length(s)), lambda i: {secrets.STATES} * instr('{secrets.ALPHABET}', s[i]) + instr('{secrets.ALPHABET}', s[i + 1]))) AS step
+  FROM (SELECT ' ' || lower(token) || ' ' AS s, count(*) AS n FROM ({tokens}) GROUP BY token)) GROUP BY step)"""
+
+    values = " UNION ALL ".join(f"SELECT unnest(regexp_extract_all(text, {quoted[k]}, {2 if k == 'assign' else 0})) AS token FROM d" for k in secrets.KINDS)
+    stripped = f"SELECT unnest(regexp_extract_all(regexp_replace(text, {quoted['assign']}, ' ', 'g'), {quoted['plain']})) AS token FROM d"
+    plain = f"SELECT token FROM ({stripped}) WHERE NOT regexp_matches(token, {quoted['access']}) AND NOT regexp_matches(token, {quoted['hex']})"
+    made = f"""SELECT unnest([h, upper(h), b, regexp_replace(b, '[+/=]', '', 'g'), upper(regexp_replace(b, '[+/=]', '', 'g'))]) AS token
+  FROM (SELECT sha256('random string ' || i) AS h, to_base64(unhex(h)) AS b FROM range({secrets.RANDOM_STRINGS}) r(i))"""
+    share = lambda x: f"(coalesce({x}.n, 0) + {secrets.SMOOTH}::DOUBLE) / (sum(coalesce({x}.n, 0)) OVER (PARTITION BY g.step // {secrets.STATES}) + {secrets.SMOOTH}::DOUBLE * {secrets.STATES})"
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text FROM documents),
+base AS MATERIALIZED ({" UNION ALL ".join(located(kind, i) for i, kind in enumerate(secrets.KINDS))}),
+base_spans AS (SELECT rid, kind, rank, start, start + length(said) AS stop FROM base WHERE kind <> 'assign' OR length(regexp_extract(said, {quoted["assign"]}, 2)) >= {secrets.MIN_ASSIGNED}),
+{steps("seen", f"SELECT token FROM ({values}) WHERE length(token) >= 8")},
+{steps("made", made)},
+{steps("plain", plain)},
+model AS (SELECT g.step, log2(({share("seen")} + {share("made")}) / 2 / ({share("plain")})) AS bits
+  FROM range({secrets.STATES**2}) g(step) LEFT JOIN seen ON seen.step = g.step LEFT JOIN made ON made.step = g.step LEFT JOIN plain ON plain.step = g.step),
+tokens AS MATERIALIZED ({located(secrets.MODEL, len(secrets.KINDS))}),
+likely AS (SELECT token FROM (SELECT token, unnest(list_transform(range(1, length(s)), lambda i: {secrets.STATES} * instr('{secrets.ALPHABET}', s[i]) + instr('{secrets.ALPHABET}', s[i + 1]))) AS step
+  FROM (SELECT DISTINCT said AS token, ' ' || lower(said) || ' ' AS s FROM tokens)) JOIN model USING (step) GROUP BY token HAVING sum(bits) >= {secrets.PRIOR_BITS}),
+new AS (SELECT t.rid, t.kind, t.rank, t.start, t.start + length(t.said) AS stop FROM tokens t JOIN likely ON likely.token = t.said
+  WHERE NOT EXISTS (SELECT 1 FROM base_spans b WHERE b.rid = t.rid AND b.start < t.start + length(t.said) AND b.stop > t.start)),
+every AS (SELECT *, kind || ':' || start::BIGINT || ':' || stop::BIGINT AS said FROM (SELECT * FROM base_spans UNION ALL SELECT * FROM new))
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(said, ',' ORDER BY start, rank) FILTER (kind <> '{secrets.MODEL}'), '')) AS base_sha256, coalesce(string_agg(said, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN every USING (rid) GROUP BY rid, doc_id"""
+
+
 ORACLES = {
     "op1_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -138,4 +236,6 @@ c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINC
 g AS (SELECT rid, count(*) FILTER (c.key IS NOT NULL) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.key IS NULL), '') AS kept
   FROM k LEFT JOIN c ON k.key = c.key GROUP BY rid)
 SELECT doc_id, len(ls)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN g USING (rid)""",
+    "op12_merkle_manifest": merkle_sql(),
+    "op11_secrets": secrets_sql(),
 }
