@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def gene_states(hits: DataFrame, floor: float) -> DataFrame:
-    """genome_id, marker_id, state by the number of distinct targets with a score of floor or more."""
+def gene_states(hits: DataFrame, floor: float | Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """genome_id, marker_id, state by the number of distinct targets with a score of floor or more. by: columns that a genome has once, kept."""
     n = F.count_distinct(F.when(F.col("score") >= floor, F.col("target")))
-    return hits.groupBy("genome_id", "marker_id").agg(n.alias("n")).select("genome_id", "marker_id", F.when(F.col("n") == 0, "absent").when(F.col("n") == 1, "single_copy").otherwise("multi_copy").alias("state"))
+    counts = hits.groupBy(*by, "genome_id", "marker_id").agg(n.alias("n"))
+    return counts.select(*by, "genome_id", "marker_id", F.when(F.col("n") == 0, "absent").when(F.col("n") == 1, "single_copy").otherwise("multi_copy").alias("state"))
 
 
-def occupancy(states: DataFrame, genomes: DataFrame) -> DataFrame:
-    """marker_id, n_single, n_multi, occupancy, multi_rate over all genomes, those without a hit included."""
-    total = genomes.agg(F.count(F.lit(1)).alias("total"))  # one row
-    counts = states.groupBy("marker_id").agg(F.count_if(F.col("state") == "single_copy").alias("n_single"), F.count_if(F.col("state") == "multi_copy").alias("n_multi"))
-    return counts.crossJoin(F.broadcast(total)).select("marker_id", "n_single", "n_multi", (F.col("n_single") / F.col("total")).alias("occupancy"), (F.col("n_multi") / F.col("total")).alias("multi_rate"))
+def occupancy(states: DataFrame, genomes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """marker_id, n_single, n_multi, occupancy, multi_rate over all genomes (of a group with `by`), those without a hit included."""
+    total = genomes.groupBy(*by).agg(F.count(F.lit(1)).alias("total"))  # one row, or one a group
+    counts = states.groupBy(*by, "marker_id").agg(F.count_if(F.col("state") == "single_copy").alias("n_single"), F.count_if(F.col("state") == "multi_copy").alias("n_multi"))
+    both = counts.join(total, list(by)) if by else counts.crossJoin(F.broadcast(total))
+    return both.select(*by, "marker_id", "n_single", "n_multi", (F.col("n_single") / F.col("total")).alias("occupancy"), (F.col("n_multi") / F.col("total")).alias("multi_rate"))
 
 
 def weighted_occupancy(states: DataFrame, genomes: DataFrame) -> DataFrame:

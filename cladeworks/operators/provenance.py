@@ -31,6 +31,16 @@ def to_rebuild(current: DataFrame, cached: DataFrame) -> DataFrame:
     return current.join(cached, ["marker_id", "sha"], "left_anti").select("marker_id")
 
 
+def content_sums(rows: DataFrame, key: str, *fields: str) -> DataFrame:
+    """key, n, s1, s2 (decimals): sums of 2 x 60 bits of SHA-256 over a key's rows of these fields, whatever their order.
+
+    Sums of parts add up to the sum of the whole, so that a growing table's fingerprint is kept up from what is new.
+    """
+    said = F.concat_ws("", *[F.coalesce(F.concat(F.octet_length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in (F.col(f).cast("string") for f in fields)])
+    part = lambda at: F.sum(F.conv(F.substring("_sha", at, 15), 16, 10).cast("decimal(38,0)")).alias(f"s{1 if at == 1 else 2}")
+    return rows.select(key, F.sha2(said, 256).alias("_sha")).groupBy(key).agg(F.count(F.lit(1)).alias("n"), part(1), part(16))
+
+
 def incomplete(records: DataFrame) -> DataFrame:
     """field, n: fields with placeholder or missing values."""
     bad = [F.count_if(F.col(c).isNull() | F.col(c).cast("string").rlike(PLACEHOLDER)).alias(c) for c in records.columns]

@@ -28,9 +28,9 @@ def strata_counts(quality: DataFrame) -> DataFrame:
     return quality.groupBy(stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def adaptive_params(quality: DataFrame) -> DataFrame:
-    """One row of thresholds by the share of high-quality genomes; no genomes count as low."""
-    row = quality.agg((F.count_if(stratum() == "high") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("high_ratio"))
+def adaptive_params(quality: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A row of thresholds (a row a group with `by`) by the share of high-quality genomes; no genomes count as low."""
+    row = quality.groupBy(*by).agg((F.count_if(stratum() == "high") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("high_ratio"))
     branch = F.when(F.col("high_ratio") > 0.7, "high").when(F.col("high_ratio") > 0.3, "medium").otherwise("low")
     names = ("score_floor", "min_occupancy", "max_markers", "trimming", "allow_partial")
 
@@ -38,7 +38,7 @@ def adaptive_params(quality: DataFrame) -> DataFrame:
         out = F.lit(ADAPTIVE["low"][i])
         return F.when(branch == "high", F.lit(ADAPTIVE["high"][i])).when(branch == "medium", F.lit(ADAPTIVE["medium"][i])).otherwise(out)
 
-    return row.select(F.round("high_ratio", 6).alias("high_ratio"), branch.alias("branch"), *[pick(i).alias(n) for i, n in enumerate(names)])
+    return row.select(*by, F.round("high_ratio", 6).alias("high_ratio"), branch.alias("branch"), *[pick(i).alias(n) for i, n in enumerate(names)])
 
 
 def hmm_score(hits: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Resolution presets (min_occupancy, max_markers, strategy).
@@ -31,6 +31,13 @@ def greedy(occ: DataFrame, params: DataFrame | None = None, min_occupancy: float
     return ranked.crossJoin(F.broadcast(params.select("max_markers"))).where("rank <= max_markers").select("marker_id", "occupancy", "rank")
 
 
+def greedy_by(occ: DataFrame, params: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """greedy() in each group: `by`, marker_id, occupancy, rank. params: min_occupancy and max_markers, a row a group. A group's rows are its markers, one each."""
+    order = Window.partitionBy(*by).orderBy(F.col("occupancy").desc(), "marker_id")
+    able = occ.join(params.select(*by, "min_occupancy", "max_markers"), list(by)).where("occupancy >= min_occupancy")
+    return able.withColumn("rank", F.row_number().over(order)).where("rank <= max_markers").select(*by, "marker_id", "occupancy", "rank")
+
+
 def rate_balanced(occ: DataFrame, min_occupancy: float = 0.35, max_markers: int = 150) -> DataFrame:
     """0.6 occupancy + 0.4 single-copy rate discounted by the multi-copy rate's distance from 5 %."""
     balance = F.col("occupancy") * F.greatest(F.lit(0.0), 1 - F.abs(F.col("multi_rate") - 0.05) / F.lit(0.05 + 0.01))
