@@ -1,9 +1,7 @@
-"""Trees as tables: one parse of each Newick string gives nodes and clades; splits, distances, quartets and gates are joins."""
+"""Trees as tables: one parse of each Newick string gives nodes and clades; splits, distances, quartets and gates are joins (splits.py, quartets.py)."""
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from . import newick as N
+from . import quartets as Q
+from .quartets import quartet_agreement, unrank  # noqa: F401
+from .splits import is_monophyletic, monophyly, rf_distance  # noqa: F401
 
-NODES = "node_id int, parent_id int, label string, length double, is_leaf boolean, depth int"
+NODES = "node_id int, parent_id int, label string, length double, is_leaf boolean, depth int, last int"
 
 
 @udtf(returnType=NODES)
@@ -26,8 +27,9 @@ class NewickNodes:
 
 
 def register(spark) -> None:
-    """Makes newick_nodes(text) available to SQL."""
+    """Makes newick_nodes(text) and quartet_picks(n, first, stride_to, drawn) available to SQL."""
     spark.udtf.register("newick_nodes", NewickNodes)
+    Q.register(spark)
 
 
 def nodes(trees: DataFrame) -> DataFrame:
@@ -76,103 +78,6 @@ def splits(clade_table: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     return inner.select("tree_id", F.when(F.col("a") <= F.col("b"), F.col("a")).otherwise(F.col("b")).alias("side"), F.size("every").alias("n")).distinct()
 
 
-def shared_tips(pairs: DataFrame, clade_table: DataFrame) -> DataFrame:
-    """pairs (a, b) with tips, the leaves that both trees have."""
-    root = clade_table.where("is_root").select("tree_id", F.array_distinct("tips").alias("tips"))
-    x, y = root.select(F.col("tree_id").alias("a"), F.col("tips").alias("ta")), root.select(F.col("tree_id").alias("b"), F.col("tips").alias("tb"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", F.array_sort(F.array_intersect("ta", "tb")).alias("tips"))
-
-
-def _pair_splits(pairs: DataFrame, clade_table: DataFrame) -> DataFrame:
-    """a, b, which, side: each pair's splits on shared tips. Clades are joined by tree, never tree against tree."""
-    shared = shared_tips(pairs, clade_table).withColumn("pair", F.struct("a", "b"))
-    out = None
-    for which in ("a", "b"):
-        own = clade_table.withColumnRenamed("tree_id", which).join(shared.select("pair", F.col(f"pair.{which}").alias(which), F.col("tips").alias("every")), which)
-        mine = splits(own.select(F.col("pair").alias("tree_id"), "tips", "is_root"), shared.select(F.col("pair").alias("tree_id"), "tips")).withColumn("which", F.lit(which))
-        out = mine if out is None else out.unionByName(mine)
-    return out.select("tree_id.a", "tree_id.b", "which", "side", "n")
-
-
-def rf_distance(pairs: DataFrame, clade_table: DataFrame, cap: int | None = None) -> DataFrame:
-    """a, b, n_shared, rf, normalized_rf of each pair of trees. Fewer than three shared tips: 0; more than cap: null."""
-    shared = shared_tips(pairs, clade_table).select("a", "b", F.size("tips").alias("n_shared"))
-    lone = _pair_splits(pairs, clade_table).groupBy("a", "b", "side").agg(F.count_distinct("which").alias("k")).where("k = 1")
-    rf = lone.groupBy("a", "b").agg(F.count(F.lit(1)).alias("rf"))
-    out = shared.join(rf, ["a", "b"], "left").withColumn("rf", F.coalesce("rf", F.lit(0)))
-    ok = F.lit(True) if cap is None else F.col("n_shared") <= cap
-    norm = F.when(F.col("n_shared") <= 3, 0.0).otherwise(F.col("rf") / (2 * (F.col("n_shared") - 3)))
-    return out.select("a", "b", "n_shared", F.when(ok, F.col("rf")).alias("rf"), F.when(ok, norm).alias("normalized_rf"))
-
-
-def unrank(items: list, index: int, k: int = 4) -> list:
-    """The combination of k items at a place in lexicographic order."""
-    out, at = [], 0
-    for left in range(k - 1, -1, -1):
-        while index >= (skip := math.comb(len(items) - at - 1, left)):
-            index, at = index - skip, at + 1
-        out.append(items[at])
-        at += 1
-    return out
-
-
-def quartets(shared: DataFrame, limit: int | None = None, stride_to: int | None = None, drawn: int | None = None) -> DataFrame:
-    """a, b, q (four sorted tips): quartets of shared tips in lexicographic order, the first `limit`, every nth so that about `stride_to` remain, or `drawn` at random with seed 0.
-
-    All samplers know the place of a quartet from the ranks of its tips, so only the chosen ones are made.
-    """
-
-    def pick(ts):
-        n = math.comb(len(ts), 4)
-        if drawn is not None:
-            ts = sorted(ts)
-            return [unrank(ts, i) for i in sorted(random.Random(0).sample(range(n), min(drawn, n)))]
-        step = max(1, n // stride_to) if stride_to else 1
-        most = limit if limit is not None else (stride_to if stride_to else n)
-        ts = sorted(ts)
-        return [unrank(ts, i) for i in range(0, min(n, step * most), step)]
-
-    made = F.udf(pick, "array<array<string>>", useArrow=True)
-    return shared.select("a", "b", F.explode(made("tips")).alias("q"))
-
-
-def quartet_agreement(pairs: DataFrame, clade_table: DataFrame, limit: int | None = 200, stride_to: int | None = None, drawn: int | None = None) -> DataFrame:
-    """a, b, n_quartets, agreement: how often both trees join the same two tips. Under four shared tips: null."""
-    shared = shared_tips(pairs, clade_table)
-    q = quartets(shared, limit, stride_to, drawn)
-    sides = _pair_splits(pairs, clade_table).select("a", "b", "which", "side")
-    which = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("which")
-    asked = q.select("a", "b", "q", which)
-    pair = F.array_sort(F.array_intersect("q", "side"))
-    rest = F.array_sort(F.array_except("q", "side"))
-    hit = asked.join(sides, ["a", "b", "which"]).where(F.size(F.array_intersect("q", "side")) == 2)
-    shape = hit.select("a", "b", "which", "q", F.concat_ws("|", F.array_sort(F.array(F.concat_ws(",", pair), F.concat_ws(",", rest)))).alias("shape"))
-    shape = asked.join(shape.groupBy("a", "b", "which", "q").agg(F.min("shape").alias("shape")), ["a", "b", "which", "q"], "left").withColumn("shape", F.coalesce("shape", F.lit("star")))
-    same = shape.groupBy("a", "b", "q").agg((F.min("shape") == F.max("shape")).alias("same"))
-    found = same.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_quartets"), F.avg(F.col("same").cast("double")).alias("agreement"))
-    return shared.select("a", "b").join(found, ["a", "b"], "left").withColumn("n_quartets", F.coalesce("n_quartets", F.lit(0)))
-
-
-def taxon_groups(clade_table: DataFrame, taxa_long: DataFrame) -> DataFrame:
-    """tree_id, rank, taxon, grp, oth: tips of each taxon on each tree, and the others; two or more on both sides."""
-    root = clade_table.where("is_root").select("tree_id", F.array_sort(F.array_distinct("tips")).alias("every"))
-    groups = tips(clade_table).join(taxa_long, "tip").groupBy("tree_id", "rank", "taxon").agg(F.array_sort(F.collect_set("tip")).alias("grp"))
-    out = groups.join(root, "tree_id").withColumn("oth", F.array_sort(F.array_except("every", "grp")))
-    return out.where("size(grp) >= 2 and size(oth) >= 2").drop("every")
-
-
-def monophyly(clade_table: DataFrame, taxa_long: DataFrame) -> DataFrame:
-    """tree_id, rank, proportion, n_total, n_mono: taxa that, or whose complement, are a clade. No row: not measurable."""
-    groups = taxon_groups(clade_table, taxa_long)
-    sets = clade_table.select("tree_id", F.col("tips").alias("clade")).distinct()
-    asked = groups.select("tree_id", "rank", "taxon", F.explode(F.array("grp", "oth")).alias("clade"))
-    hit = asked.join(sets, ["tree_id", "clade"], "left_semi").select("tree_id", "rank", "taxon").distinct().withColumn("mono", F.lit(1))
-    return (
-        groups.join(hit, ["tree_id", "rank", "taxon"], "left").groupBy("tree_id", "rank")
-        .agg(F.avg(F.coalesce("mono", F.lit(0)).cast("double")).alias("proportion"), F.count(F.lit(1)).alias("n_total"), F.count("mono").alias("n_mono"))
-    )
-
-
 def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None) -> DataFrame:
     """a (reference), b (gene), verdict of each pair (a, b) in gene: the first fault of MALFORMED, TIPSET_MISMATCH, TOO_FEW_TIPS, POLYTOMY, TIP_CAP_EXCEEDED, else LEGAL.
 
@@ -193,14 +98,6 @@ def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None)
     return out.select("a", "b", verdict.alias("verdict"))
 
 
-def is_monophyletic(clade_table: DataFrame, members: DataFrame) -> DataFrame:
-    """tree_id, taxon, n, monophyletic: are a taxon's tips on the tree exactly a clade (rooted); a single tip is. members: tip, taxon."""
-    groups = tips(clade_table).join(members, "tip").groupBy("tree_id", "taxon").agg(F.array_sort(F.collect_set("tip")).alias("clade"))
-    hit = groups.join(clade_table.select("tree_id", F.col("tips").alias("clade")).distinct(), ["tree_id", "clade"], "left_semi").select("tree_id", "taxon", F.lit(True).alias("hit"))
-    out = groups.join(hit, ["tree_id", "taxon"], "left")
-    return out.select("tree_id", "taxon", F.size("clade").alias("n"), (F.col("hit").isNotNull() | (F.size("clade") == 1)).alias("monophyletic"))
-
-
 def has_bipartition(clade_table: DataFrame, asked: DataFrame) -> DataFrame:
     """asked (tree_id, left, right: arrays of tips) with present: does the tree, on these tips, part them so. No row: the tree can't be read."""
     wanted = asked.withColumns({"l": F.array_sort(F.array_distinct("left")), "every": F.array_sort(F.array_union("left", "right"))})

@@ -11,6 +11,7 @@ from ..operators import assertions as C
 from ..operators import decisions as D
 from ..operators import evaluation as E
 from ..operators import provenance as V
+from ..operators import splits as B
 from ..operators import taxonomy as T
 from ..operators import trees as R
 from . import proxy as P
@@ -23,6 +24,10 @@ def clades(s, d):
     return R.clades(P.trees(s, d))
 
 
+def nodes(s, d):
+    return R.nodes(P.trees(s, d))
+
+
 def pairs(s, d):
     return s.createDataFrame([(0, k) for k in range(1, P.N_TREES)], "a int, b int")
 
@@ -43,14 +48,24 @@ register("tree_clades", lambda s, d: clades(s, d).select("tree_id", F.array_join
 SPLITS = """sp AS (SELECT DISTINCT g.tree_id, g.g AS g, string_agg(t.tip, ',' ORDER BY t.tip) FILTER (g2.tip IS NOT NULL) AS inside, string_agg(t.tip, ',' ORDER BY t.tip) FILTER (g2.tip IS NULL) AS outside,
 count(g2.tip) AS n_in, count(*) - count(g2.tip) AS n_out FROM (SELECT DISTINCT tree_id, g FROM groups) g JOIN tips t ON t.tree_id = g.tree_id LEFT JOIN groups g2 ON g2.tree_id = g.tree_id AND g2.g = g.g AND g2.tip = t.tip GROUP BY g.tree_id, g.g),
 splits AS (SELECT DISTINCT tree_id, CASE WHEN string_split(inside, ',') <= string_split(outside, ',') THEN inside ELSE outside END AS side FROM sp WHERE n_in >= 2 AND n_out >= 2)"""
-register("tree_splits", lambda s, d: R.splits(clades(s, d)).select("tree_id", F.array_join("side", ",").alias("side")), P.oracle("SELECT tree_id::INT AS tree_id, side FROM splits", SPLITS))
+register("tree_split_sides", lambda s, d: R.splits(clades(s, d)).select("tree_id", F.array_join("side", ",").alias("side")), P.oracle("SELECT tree_id::INT AS tree_id, side FROM splits", SPLITS))
+SPLIT_SUMS = """hashed AS (SELECT *, ('0x' || substr(sha256(tip), 1, 10))::BIGINT AS h1, ('0x' || substr(sha256(tip), 11, 10))::BIGINT AS h2, ('0x' || substr(sha256(tip), 21, 10))::BIGINT AS h3 FROM tips),
+whole AS (SELECT tree_id, count(*) AS n, sum(h1) AS h1, sum(h2) AS h2, sum(h3) AS h3 FROM hashed GROUP BY 1),
+inside AS (SELECT tree_id, count(*) AS n, sum(h1) AS h1, sum(h2) AS h2, sum(h3) AS h3 FROM hashed JOIN groups USING (tree_id, tip) GROUP BY tree_id, g),
+parted AS (SELECT i.tree_id, w.n AS n_tips, row(i.n, i.h1, i.h2, i.h3) AS x, row(w.n - i.n, w.h1 - i.h1, w.h2 - i.h2, w.h3 - i.h3) AS y FROM inside i JOIN whole w USING (tree_id) WHERE i.n >= 2 AND w.n - i.n >= 2),
+sums AS (SELECT DISTINCT tree_id, n_tips, CASE WHEN x < y THEN x ELSE y END AS side FROM parted)"""
+register(
+    "tree_splits",
+    lambda s, d: B.splits(nodes(s, d), ["tree_id"]).select("tree_id", "n_tips", "side.*"),
+    P.oracle("SELECT tree_id::INT AS tree_id, n_tips, side[1] AS n, side[2]::BIGINT AS h1, side[3]::BIGINT AS h2, side[4]::BIGINT AS h3 FROM sums", SPLIT_SUMS),
+)
 RF = """pr AS (SELECT k AS b FROM range(1, 6) r(k)), common AS (SELECT b, t.tip FROM pr JOIN tips t ON t.tree_id = b JOIN tips z ON z.tree_id = 0 AND z.tip = t.tip),
 cg AS (SELECT c.b, w.which, g.g, c.tip FROM common c, (VALUES (0), (1)) w(which) JOIN groups g ON g.tree_id = CASE WHEN w.which = 0 THEN 0 ELSE c.b END AND g.tip = c.tip),
 cs AS (SELECT b, which, g, string_agg(tip, ',' ORDER BY tip) AS inside, count(*) AS n FROM cg GROUP BY ALL),
 cn AS (SELECT b, count(*) AS n_shared, string_agg(tip, ',' ORDER BY tip) AS every, min(tip) AS least FROM common GROUP BY 1),
 ck AS (SELECT DISTINCT cs.b, which, CASE WHEN list_contains(string_split(inside, ','), least) THEN inside ELSE array_to_string(list_filter(string_split(every, ','), lambda x: NOT list_contains(string_split(inside, ','), x)), ',') END AS key FROM cs JOIN cn USING (b) WHERE n >= 2 AND n_shared - n >= 2)"""
 register(
-    "rf_distance", lambda s, d: R.rf_distance(pairs(s, d), clades(s, d)).select("a", "b", F.col("n_shared").cast("long").alias("n_shared"), "rf", r6("normalized_rf").alias("normalized_rf")),
+    "rf_distance", lambda s, d: R.rf_distance(pairs(s, d), nodes(s, d)).select("a", "b", F.col("n_shared").cast("long").alias("n_shared"), "rf", r6("normalized_rf").alias("normalized_rf")),
     P.oracle("SELECT 0 AS a, b::INT AS b, n_shared, coalesce(rf, 0)::BIGINT AS rf, round(CASE WHEN n_shared <= 3 THEN 0.0 ELSE coalesce(rf, 0)::DOUBLE / (2 * (n_shared - 3)) END, 6) AS normalized_rf FROM cn LEFT JOIN (SELECT b, count(*) AS rf FROM (SELECT b, key FROM ck GROUP BY ALL HAVING count(*) = 1) GROUP BY 1) USING (b)", RF),
 )
 QUARTETS = RF + """, few AS (SELECT b, tip, row_number() OVER (PARTITION BY b ORDER BY tip) AS i FROM common),
@@ -59,15 +74,24 @@ q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b ORDER BY t1, t2
 side AS (SELECT DISTINCT b, which, string_split(key, ',') AS s FROM ck),
 shape AS (SELECT q.b, i, side.which, min(CASE WHEN (list_contains(s, t1))::INT = (list_contains(s, t2))::INT THEN 1 WHEN (list_contains(s, t1))::INT = (list_contains(s, t3))::INT THEN 2 ELSE 3 END) AS p FROM q JOIN side USING (b) WHERE (list_contains(s, t1))::INT + (list_contains(s, t2))::INT + (list_contains(s, t3))::INT + (list_contains(s, t4))::INT = 2 GROUP BY ALL),
 agree AS (SELECT q.b, q.i, coalesce(x.p, 0) = coalesce(y.p, 0) AS same FROM q LEFT JOIN shape x ON x.b = q.b AND x.i = q.i AND x.which = 0 LEFT JOIN shape y ON y.b = q.b AND y.i = q.i AND y.which = 1)"""
-register("quartet_agreement", lambda s, d: R.quartet_agreement(pairs(s, d), clades(s, d), 200).select("a", "b", "n_quartets", r6("agreement").alias("agreement")), P.oracle("SELECT 0 AS a, b::INT AS b, count(*) AS n_quartets, round(avg(same::INT), 6) AS agreement FROM agree GROUP BY b", QUARTETS))
-register("quartet_stride", lambda s, d: R.quartet_agreement(pairs(s, d), clades(s, d), None, 200).select("a", "b", "n_quartets", r6("agreement").alias("agreement")))
+register("quartet_agreement", lambda s, d: R.quartet_agreement(pairs(s, d), nodes(s, d), 200).select("a", "b", "n_quartets", r6("agreement").alias("agreement")), P.oracle("SELECT 0 AS a, b::INT AS b, count(*) AS n_quartets, round(avg(same::INT), 6) AS agreement FROM agree GROUP BY b", QUARTETS))
+# the place of a quartet in lexicographic order, from its tips' places
+STRIDE = """sized AS (SELECT b, count(*) AS n FROM common GROUP BY 1), few AS (SELECT b, n, tip, row_number() OVER (PARTITION BY b ORDER BY tip) - 1 AS i FROM common JOIN sized USING (b)),
+q0 AS (SELECT w.b, w.n, w.tip AS t1, x.tip AS t2, y.tip AS t3, z.tip AS t4, w.n * (w.n - 1) * (w.n - 2) * (w.n - 3) // 24 AS total,
+  (w.n * (w.n - 1) * (w.n - 2) * (w.n - 3) - (w.n - w.i) * (w.n - w.i - 1) * (w.n - w.i - 2) * (w.n - w.i - 3)) // 24
+  + ((w.n - w.i - 1) * (w.n - w.i - 2) * (w.n - w.i - 3) - (w.n - x.i) * (w.n - x.i - 1) * (w.n - x.i - 2)) // 6
+  + ((w.n - x.i - 1) * (w.n - x.i - 2) - (w.n - y.i) * (w.n - y.i - 1)) // 2 + z.i - y.i - 1 AS place
+  FROM few w JOIN few x ON w.b = x.b AND w.i < x.i JOIN few y ON x.b = y.b AND x.i < y.i JOIN few z ON y.b = z.b AND y.i < z.i),
+q AS (SELECT *, place AS i FROM (SELECT *, greatest(1, total // 200) AS step FROM q0) WHERE place % step = 0 AND place < least(total, step * 200)),"""
+STRIDED = RF + ", " + STRIDE + QUARTETS[QUARTETS.index("side AS ("):]
+register("quartet_stride", lambda s, d: R.quartet_agreement(pairs(s, d), nodes(s, d), None, 200).select("a", "b", "n_quartets", r6("agreement").alias("agreement")), P.oracle("SELECT 0 AS a, b::INT AS b, count(*) AS n_quartets, round(avg(same::INT), 6) AS agreement FROM agree GROUP BY b", STRIDED))
 MONO = TAXA + ", " + CLADES + """, tg AS (SELECT t.tree_id, rank, i, taxon, string_agg(t.tip, ',' ORDER BY t.tip) AS grp, count(*) AS n FROM tips t JOIN tl USING (tip) GROUP BY ALL),
 tested AS (SELECT tg.*, CASE WHEN EXISTS (SELECT 1 FROM allc WHERE allc.tree_id = tg.tree_id AND (allc.c = tg.grp OR allc.c = array_to_string(list_filter(string_split(root.c, ','), lambda x: NOT list_contains(string_split(tg.grp, ','), x)), ','))) THEN 1 ELSE 0 END AS mono
 FROM tg JOIN root ON root.tree_id = tg.tree_id WHERE tg.n >= 2 AND root.n - tg.n >= 2), mp AS (SELECT tree_id, rank, i, avg(mono) AS proportion, count(*) AS n_total, sum(mono)::BIGINT AS n_mono FROM tested GROUP BY ALL)"""
 
 
 def mono(s, d):
-    return R.monophyly(clades(s, d), taxa_long(s, d))
+    return R.monophyly(nodes(s, d), taxa_long(s, d))
 
 
 register("monophyly_proportion", lambda s, d: mono(s, d).select("tree_id", "rank", r6("proportion").alias("proportion"), "n_total", "n_mono"), P.oracle("SELECT tree_id::INT AS tree_id, rank, round(proportion, 6) AS proportion, n_total, n_mono FROM mp", MONO))
@@ -75,7 +99,7 @@ register("monophyly_proportion", lambda s, d: mono(s, d).select("tree_id", "rank
 
 def screened(s, d, requested=None):
     c = clades(s, d)
-    return D.taxonomy_screen(R.monophyly(c, taxa_long(s, d)), T.scope_rank(R.tips(c), T.parse_table(P.lineage(s, d), "dpg").withColumn("tip", F.concat(F.lit("t"), F.col("tip").cast("string")))), requested)
+    return D.taxonomy_screen(mono(s, d), T.scope_rank(R.tips(c), T.parse_table(P.lineage(s, d), "dpg").withColumn("tip", F.concat(F.lit("t"), F.col("tip").cast("string")))), requested)
 
 
 register("monophyly_rank_fallback", lambda s, d: screened(s, d).select("tree_id", "test_rank", r6("risk").alias("risk"), "n_total"), P.oracle("SELECT tree_id::INT AS tree_id, first(rank ORDER BY (rank = 'genus') DESC, i DESC) AS test_rank, round(1 - first(proportion ORDER BY (rank = 'genus') DESC, i DESC), 6) AS risk, first(n_total ORDER BY (rank = 'genus') DESC, i DESC) AS n_total FROM mp GROUP BY 1", MONO))

@@ -50,12 +50,12 @@ def screen_steps(trees: DataFrame, reference: DataFrame) -> DataFrame:
     named = trees.select(F.col("marker_id").cast("string").alias("tree_id"), "newick")
     every = named.unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick"))
     pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").alias("b"))
-    clades = R.clades(every).persist()
-    readable = clades.where("is_root").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
+    nodes = R.nodes(every).persist()
+    readable = nodes.where("parent_id is null").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
     verdict = F.when(F.col("readable"), F.col("verdict")).when(F.col("verdict") == "MALFORMED", "MALFORMED").otherwise("GENE_TREE_MALFORMED")
     verdicts = R.legality(every, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable")
     legal = verdicts.where("verdict = 'LEGAL'").select("a", "b")
-    measured = R.rf_distance(legal, clades).join(R.quartet_agreement(legal, clades, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
+    measured = R.rf_distance(legal, nodes).join(R.quartet_agreement(legal, nodes, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
     out = verdicts.join(measured, ["a", "b"], "left")
     return out.select(F.col("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
 
@@ -109,7 +109,7 @@ def run(
             out["steps"] = steps
             out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max, far)
         else:  # without a species tree the taxonomy decides
-            screen = D.taxonomy_screen(R.monophyly(clades, T.long(taxa)), T.scope_rank(R.tips(clades), taxa), options.rank)
+            screen = D.taxonomy_screen(R.monophyly(R.nodes(named), T.long(taxa)), T.scope_rank(R.tips(clades), taxa), options.rank)
             reason = F.when(F.col("risk").isNull(), "no_informative_rank").when(F.col("cross_rank"), "cross_rank")
             risk = F.when(~F.col("cross_rank"), F.col("risk"))
             out["evaluations"] = screen.select(F.col("tree_id").alias("marker_id"), risk.alias("risk"), reason.alias("reason"), "test_rank", "n_total", "n_mono").withColumns(

@@ -73,13 +73,13 @@ FAMILIES = [(f"t{i}", "family", 4, "F1" if i < 3 else "F2") for i in range(1, 5)
 @pytest.mark.parametrize(("text", "want"), [("((t1,t2),(t3,t4));", (1.0, 2, 2)), ("(t1,(t2,(t3,t4)));", (1.0, 2, 2)), ("((t1,t3),(t2,t4));", (0.0, 2, 0))])
 def test_monophyly_is_root_invariant(spark, text, want):
     taxa = spark.createDataFrame(FAMILIES, "tip string, rank string, rank_idx int, taxon string")
-    r = R.monophyly(R.clades(trees_of(spark, text)), taxa).first()
+    r = R.monophyly(R.nodes(trees_of(spark, text)), taxa).first()
     assert (r.proportion, r.n_total, r.n_mono) == want
 
 
 def test_monophyly_unmeasurable_has_no_row(spark):
     taxa = spark.createDataFrame([(f"t{i}", "family", 4, "F1") for i in range(1, 5)], "tip string, rank string, rank_idx int, taxon string")
-    assert R.monophyly(R.clades(trees_of(spark, "((t1,t2),(t3,t4));")), taxa).count() == 0
+    assert R.monophyly(R.nodes(trees_of(spark, "((t1,t2),(t3,t4));")), taxa).count() == 0
 
 
 def random_tree(r, n):
@@ -102,7 +102,7 @@ def test_rf_and_quartets_against_brute_force(spark):
     r = random.Random(20260920)
     texts = [random_tree(r, n) for n in (4, 5, 7, 9, 12) for _ in range(2)]
     pairs = [(i, i + 1) for i in range(0, len(texts), 2)]
-    table, c = spark.createDataFrame(pairs, "a int, b int"), R.clades(trees_of(spark, *texts))
+    table, c = spark.createDataFrame(pairs, "a int, b int"), R.nodes(trees_of(spark, *texts))
     got = {(x.a, x.b): x.rf for x in R.rf_distance(table, c).collect()}
     assert got == {(a, b): len(brute_splits(texts[a]) ^ brute_splits(texts[b])) for a, b in pairs}
 
@@ -181,7 +181,7 @@ def test_every_assertion_fires_on_its_own_input(spark):
 
 def test_zero_discrimination_probe(spark):
     pairs = spark.createDataFrame([(0, 1), (0, 2)], "a int, b int")
-    c = R.clades(trees_of(spark, "((A,B),(C,D));", "((A,C),(B,D));", "((A,B),(C,D));"))
+    c = R.nodes(trees_of(spark, "((A,B),(C,D));", "((A,C),(B,D));", "((A,B),(C,D));"))
     joined = R.rf_distance(pairs, c).join(R.quartet_agreement(pairs, c, None), ["a", "b"]).select(F.col("b").alias("marker_id"), F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
     assert {r.marker_id: r.risk for r in D.evaluate(joined).collect()} == {1: 1.0, 2: 0.0}
 

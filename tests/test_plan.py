@@ -64,7 +64,7 @@ def test_tree_questions(spark):
     trees_ = spark.createDataFrame([(1, "(((a,b),c),((d,e),f));")], "tree_id int, newick string")
     c = R.clades(trees_)
     taxa = spark.createDataFrame([("a", "X"), ("b", "X"), ("c", "Y"), ("d", "Z"), ("f", "Z"), ("q", "W")], "tip string, taxon string")
-    assert {(r.taxon, r.monophyletic) for r in R.is_monophyletic(c, taxa).collect()} == {("X", True), ("Y", True), ("Z", False)}
+    assert {(r.taxon, r.monophyletic) for r in R.is_monophyletic(R.nodes(trees_), taxa).collect()} == {("X", True), ("Y", True), ("Z", False)}
     asked = spark.createDataFrame([(1, ["a", "b"], ["d", "f"]), (1, ["a", "d"], ["b", "e"])], "tree_id int, left array<string>, right array<string>")
     assert {(tuple(r.left), r.present) for r in R.has_bipartition(c, asked).collect()} == {(("a", "b"), True), (("a", "d"), False)}
     pairs = spark.createDataFrame([(1, ["a", "b"], ["c"]), (1, ["d"], ["f"]), (1, ["a", "b", "c"], ["d", "e", "f"])], "tree_id int, x array<string>, y array<string>")
