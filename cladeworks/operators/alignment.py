@@ -4,32 +4,130 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import AMBIGUOUS, AMINO, GAPS, gc_content, letter_counts, once
 
 
-def cells(aln: DataFrame) -> DataFrame:
-    """marker_id, taxon, pos, residue."""
-    return aln.select("marker_id", "taxon", F.posexplode(F.split("seq", "")).alias("pos", "residue")).where("residue <> ''")
+SITES, CHUNK, PIECE, MERGED = 1024, 32 << 20, 4 << 20, 512  # columns a block, bytes of sequences summed together, letters counted at once, partial counts of one merge
+LETTER = 21  # bits of a letter's code point; a key is the column inside its block, then the letter
+NO_SIGNAL = np.array([ord(c) for c in GAPS + AMBIGUOUS + " "])
+GAP_CODES = np.array([ord(c) for c in GAPS])
+
+
+def tallied(column: np.ndarray, letter: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and how often each (column, letter) occurs, or the sums of counts; dense where letters are few."""
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    span = int(letter.max()) + 1
+    flat = column * span + letter
+    if (int(column.max()) + 1) * span <= 4 * len(flat) + (1 << 20):
+        dense = np.bincount(flat, counts)
+        at = np.flatnonzero(dense)
+        n = dense[at]
+    else:
+        at, which = np.unique(flat, return_inverse=True)
+        n = np.bincount(which, counts)
+    return at // span << LETTER | at % span, n.astype(np.int64)
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, ascending, with the sum of its counts."""
+    return tallied(keys >> LETTER, keys & ((1 << LETTER) - 1), counts)
+
+
+def counted(seqs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (column over the whole length, letter) and counts of one marker's sequences, PIECE letters at a time."""
+    sizes = np.asarray(pc.utf8_length(seqs).fill_null(0)).astype(np.int64)
+    ends, row, found = np.cumsum(sizes), 0, []
+    while row < len(seqs):
+        end = max(row + 1, int(np.searchsorted(ends, ends[row] + PIECE, "right")))
+        raw = "".join(x for x in seqs.slice(row, end - row).to_pylist() if x)
+        codes = np.frombuffer(raw.encode("ascii"), np.uint8) if raw.isascii() else np.frombuffer(raw.encode("utf-32-le"), np.uint32)
+        part = sizes[row:end]
+        found.append(tallied(np.arange(len(codes)) - np.repeat(np.cumsum(part) - part, part), codes))
+        row = end
+    keys, counts = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    return (keys, counts) if len(found) < 2 else summed(keys, counts)
+
+
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
+
+
+PARTIAL = "block long, part long, keys array<long>, counts array<long>"
+
+
+def column_counts(aln: DataFrame) -> DataFrame:
+    """marker_id and PARTIAL: how often each letter stands in each column, by blocks of SITES columns, counted where the sequences are. part: a range of tasks."""
+    kind = aln.schema["marker_id"].dataType.simpleString()
+
+    def flush(held: list[pa.RecordBatch], part: int) -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        markers = table["marker_id"].combine_chunks().dictionary_encode()
+        which = np.asarray(markers.indices.fill_null(-1))
+        seqs = table["seq"].combine_chunks()
+        out = []
+        for m in np.unique(which).tolist():
+            keys, counts = counted(seqs.take(pa.array(np.flatnonzero(which == m))))
+            block = keys >> LETTER
+            block //= SITES
+            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+            n, ends = len(cuts), np.append(cuts, len(keys))
+            name = pa.nulls(n, markers.dictionary.type) if m < 0 else markers.dictionary.take(pa.array([m] * n, pa.int32()))
+            keys = keys - (block * SITES << LETTER)
+            out.append(pa.RecordBatch.from_arrays([name, pa.array(block[cuts]), pa.array([part] * n, pa.int64()), _lists(keys, ends), _lists(counts, ends)], ["marker_id", "block", "part", "keys", "counts"]))
+        return pa.Table.from_batches(out).combine_chunks().to_batches()
 
+    def run(batches):
+        part, held, size = TaskContext.get().partitionId() // MERGED, [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= CHUNK:
+                yield from flush(held, part)
+                held, size = [], 0
+        if held:
+            yield from flush(held, part)
+
+    return aln.select("marker_id", "seq").mapInArrow(run, f"marker_id {kind}, {PARTIAL}")
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    both = (table[c].combine_chunks().flatten() for c in ("keys", "counts"))
+    return summed(*(np.asarray(x) for x in both))
 
-def _none_of(chars: str):
-    return ~F.col("residue").isin(*chars)
+
+def _merge(table: pa.Table) -> pa.Table:
+    keys, counts = _merged(table)
+    return pa.table({c: table[c][:1] for c in ("marker_id", "block", "part")} | {"keys": _lists(keys, np.array([0, len(keys)])), "counts": _lists(counts, np.array([0, len(keys)]))})
+
+
+def _block(table: pa.Table) -> pa.Table:
+    keys, n = _merged(table)
+    column, letter = keys >> LETTER, keys & ((1 << LETTER) - 1)
+    told = (n >= 2) & ~np.isin(letter, NO_SIGNAL)
+    gap = np.isin(letter, GAP_CODES)
+    values = {"pis": np.sum(np.bincount(column[told]) >= 2), "solid": len(np.unique(column[~gap])), "gaps": n[gap].sum(), "n": n.sum()}
+    return pa.table({"marker_id": table["marker_id"][:1], **{c: pa.array([int(v)]) for c, v in values.items()}})
 
 
 def site_counts(aln: DataFrame) -> DataFrame:
-    """marker_id, pis, effective_columns, gap_fraction: counts by residue, then by column, then by marker. Rows shorter than their marker's longest end in gaps."""
+    """marker_id, pis, effective_columns, gap_fraction. Rows shorter than their marker's longest end in gaps.
+
+    Letters are counted by column where the sequences are; counts are merged by block of columns, at most MERGED partial
+    ones in a task, then those merges, so that a marker of a third of all rows is many small tasks.
+    """
     sizes = aln.groupBy("marker_id").agg((F.count("seq") * F.max(F.length("seq"))).alias("full"))
-    by_residue = cells(aln).groupBy("marker_id", "pos", "residue").agg(F.count(F.lit(1)).alias("n"))
-    informative = _none_of(GAPS + AMBIGUOUS + " ") & (F.col("n") >= 2)
-    gap = F.col("residue").isin(*GAPS)
-    by_column = by_residue.groupBy("marker_id", "pos").agg(
-        F.count_if(informative).alias("k"), F.max((~gap).cast("int")).alias("solid"), F.sum(F.when(gap, F.col("n")).otherwise(0)).alias("gaps"), F.sum("n").alias("n")
-    )
-    by_marker = by_column.groupBy("marker_id").agg(F.count_if(F.col("k") >= 2).alias("pis"), F.sum("solid").alias("effective_columns"), F.sum("gaps").alias("gaps"), F.sum("n").alias("n"))
+    kind = aln.schema["marker_id"].dataType.simpleString()
+    merged = column_counts(aln).groupBy("marker_id", "block", "part").applyInArrow(_merge, f"marker_id {kind}, {PARTIAL}")
+    blocks = merged.groupBy("marker_id", "block").applyInArrow(_block, f"marker_id {kind}, pis long, solid long, gaps long, n long")
+    by_marker = blocks.groupBy("marker_id").agg(F.sum("pis").alias("pis"), F.sum("solid").alias("effective_columns"), F.sum("gaps").alias("gaps"), F.sum("n").alias("n"))
     missing = F.col("full") - F.col("n")  # the gaps that the rows end in
     return by_marker.join(sizes, "marker_id").select("marker_id", "pis", "effective_columns", ((F.col("gaps") + missing) / F.col("full")).alias("gap_fraction"))
 
