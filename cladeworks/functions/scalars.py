@@ -134,27 +134,44 @@ def nhx_values(newick: Column) -> Column:
     return F.transform(F.regexp_extract_all(newick, F.lit(r"\[&&NHX:([^\]]*)\]"), F.lit(1)), lambda x: F.str_to_map(x, F.lit(":"), F.lit("=")))
 
 
+_QUOTED, _BARE = r"'(?:[^']|'')*'", r"[^(),:;\s']+"
+
+
+def strip_notes(newick: Column) -> Column:
+    """Without bracketed notes; brackets inside quotes are part of a label."""
+    return F.regexp_replace(newick, rf"({_QUOTED})|\[[^\]]*\]", "$1")
+
+
+def _labels(newick: Column, after: str) -> Column:
+    """Labels that follow one of these characters, unquoted. Quoted labels are passed as a whole, whatever they hold."""
+    said = F.regexp_extract_all(strip_notes(newick), F.lit(rf"[{after}]\s*({_QUOTED}|{_BARE})|{_QUOTED}"), F.lit(1))
+    unquoted = lambda x: F.when(x.startswith("'"), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit("''"), F.lit("'"))).otherwise(x)
+    return F.transform(F.filter(said, lambda x: x != ""), unquoted)
+
+
 def newick_tips(newick: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(strip_brackets(newick), F.lit(r"[(,]\s*([^(),:;\s]+)"), F.lit(1)))
+    """The labels of the tips, each once, as they are named."""
+    lone = F.when(~newick.contains("("), F.array_except(_labels(F.concat(F.lit("("), newick), "("), F.array(F.lit(""))))
+    return F.array_distinct(F.coalesce(lone, _labels(newick, "(,")))
 
 
 def newick_problems(newick: Column) -> Column:
-    """Names of the structural faults of a Newick string."""
-    s = strip_brackets(newick)
-    depth = F.length(F.regexp_replace(s, r"[^(]", "")) - F.length(F.regexp_replace(s, r"[^)]", ""))
-    tips = F.regexp_extract_all(s, F.lit(r"[(,]\s*([^(),:;\s]+)"), F.lit(1))
-    inner = F.regexp_extract_all(s, F.lit(r"\)([^(),:;\s]+)"), F.lit(1))
-    named = F.filter(inner, lambda x: ~x.rlike(r"^[0-9.eE+-]+$"))
+    """Names of the structural faults of a Newick string. Quoted labels hide what they hold."""
+    plain = F.regexp_replace(strip_notes(newick), _QUOTED, "Q")
+    step = lambda a, c: F.when(a < 0, a).when(c == "(", a + 1).when(c == ")", a - 1).otherwise(a)
+    depth = F.aggregate(F.split(F.regexp_replace(plain, "[^()]", ""), ""), F.lit(0), step)  # below zero it stays there
+    tips = _labels(newick, "(,")
+    named = F.filter(_labels(newick, ")"), lambda x: ~x.rlike(r"^[0-9.eE+-]+$"))
     found = [
-        ("unbalanced", depth != 0), ("negative_length", s.rlike(r":\s*-\d")), ("empty_tip", s.rlike(r"[(,]\s*(?=[,)])")), ("duplicate_tips", F.size(F.array_distinct(tips)) < F.size(tips)),
-        ("no_semicolon", ~F.trim(s).endswith(";")), ("duplicate_internal", F.size(F.array_distinct(named)) < F.size(named)),
+        ("empty", F.trim(plain) == ""), ("unbalanced", (depth != 0) | plain.contains("'")), ("negative_length", plain.rlike(r":\s*-\d")), ("empty_tip", plain.rlike(r"[(,]\s*(?=[,):])")),
+        ("duplicate_tips", F.size(F.array_distinct(tips)) < F.size(tips)), ("no_semicolon", ~F.trim(plain).endswith(";")), ("duplicate_internal", F.size(F.array_distinct(named)) < F.size(named)),
     ]
     return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in found]), lambda x: x.isNotNull())
 
 
 def mean_support(newick: Column) -> Column:
     """Mean of the numeric inner labels but the root's; above 1 they count as percent, out of 0-100 they are void."""
-    raw = F.transform(F.regexp_extract_all(strip_brackets(newick), F.lit(r"\)([0-9.eE+-]+)(?=[:,)])"), F.lit(1)), lambda x: x.try_cast("double"))
+    raw = F.transform(F.regexp_extract_all(F.regexp_replace(strip_notes(newick), _QUOTED, "Q"), F.lit(r"\)([0-9.eE+-]+)(?=[:,)])"), F.lit(1)), lambda x: x.try_cast("double"))
     ok = F.filter(raw, lambda x: x.isNotNull())
     scale = F.when(F.array_max(ok) > 1, 100.0).otherwise(1.0)
     total = F.aggregate(ok, F.lit(0.0), lambda a, x: a + x)

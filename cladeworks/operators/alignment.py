@@ -234,7 +234,7 @@ def content_hash(seqs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"marker_id {seqs.schema['marker_id'].dataType.simpleString()}, sha string")
 
 
-def composition_report(aln: DataFrame, outlier: float = 0.2) -> DataFrame:
-    """marker_id, rcv, gc_bias, n_sequences, outlier_flag, most deviating first."""
-    joined = rcv(aln).join(gc_spread(aln, protein=True), "marker_id", "left")
+def composition_report(aln: DataFrame, outlier: float = 0.2, protein: bool = True) -> DataFrame:
+    """marker_id, rcv, gc_bias, n_sequences, outlier_flag, most deviating first. Proteins have no gc_bias."""
+    joined = rcv(aln).join(gc_spread(aln, protein), "marker_id", "left")
     return joined.withColumn("outlier_flag", F.coalesce(F.col("rcv") > outlier, F.lit(False))).orderBy(F.col("rcv").desc_nulls_last(), "marker_id")

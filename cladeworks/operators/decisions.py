@@ -70,6 +70,12 @@ def report(evaluations: DataFrame) -> DataFrame:
     )
 
 
+def tally(evaluations: DataFrame, keys: list[str], sets: list[list[str]]) -> DataFrame:
+    """keys, grouping_id, n, mean_risk for each of the grouping sets, in one pass; grouping_id has a bit for each key that a row sums over."""
+    counted = evaluations.groupingSets([[F.col(k) for k in one] for one in sets], *keys)
+    return counted.agg(F.grouping_id(*keys).alias("grouping_id"), F.count(F.lit(1)).alias("n"), F.avg("risk").alias("mean_risk"))
+
+
 def reasons(evaluations: DataFrame) -> DataFrame:
     """reason, n, first: why markers are unknown, with the first eight ids."""
     return evaluations.where("level = 'unknown'").groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set(F.col("marker_id").cast("string"))), 1, 8), ",").alias("first"))

@@ -10,6 +10,7 @@ from ..operators import alignment as A
 from ..operators import assertions as C
 from ..operators import decisions as D
 from ..operators import evaluation as E
+from ..operators import induced as I
 from ..operators import provenance as V
 from ..operators import splits as B
 from ..operators import taxonomy as T
@@ -106,10 +107,49 @@ register("monophyly_rank_fallback", lambda s, d: screened(s, d).select("tree_id"
 register("monophyly_requested", lambda s, d: screened(s, d, "family").select("tree_id", "test_rank", "cross_rank"), P.oracle("SELECT tree_id::INT AS tree_id, first(rank ORDER BY i DESC) AS test_rank, TRUE AS cross_rank FROM mp GROUP BY 1", MONO))
 register("reference_legality", lambda s, d: R.legality(P.trees(s, d), s.createDataFrame([(0, 1), (1, 0), (2, 2), (9, 1)], "a int, b int")), P.oracle("SELECT * FROM (VALUES (0, 1, 'POLYTOMY'), (1, 0, 'TIPSET_MISMATCH'), (2, 2, 'POLYTOMY'), (9, 1, 'MALFORMED')) v(a, b, verdict)"))
 register("special_nodes", lambda s, d: R.special_node(clades(s, d), R.tips(clades(s, d)).join(taxa_long(s, d).where("rank = 'domain'"), "tip").select("tree_id", F.col("taxon").alias("name"), "tip")).select("tree_id", "name", F.size("tips").alias("n")), P.oracle("""SELECT w.tree_id::INT AS tree_id, name, min(allc.n)::INT AS n FROM (SELECT tree_id, taxon AS name, list(t.tip) AS w FROM tips t JOIN tl ON tl.tip = t.tip AND rank = 'domain' GROUP BY ALL) w JOIN allc ON allc.tree_id = w.tree_id AND list_has_all(string_split(allc.c, ','), w.w) GROUP BY ALL""", TAXA + ", " + CLADES))
+INDUCED = """kept AS (SELECT tree_id, tip FROM tips WHERE (substr(tip, 2)::BIGINT + tree_id) % 3 > 0), kh AS (SELECT *, ('0x' || substr(sha256(tip), 1, 10))::BIGINT AS h1, ('0x' || substr(sha256(tip), 11, 10))::BIGINT AS h2 FROM kept),
+kc AS (SELECT tree_id, count(*) AS n, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS h2 FROM kh JOIN groups USING (tree_id, tip) GROUP BY tree_id, g HAVING count(*) >= 2 UNION SELECT tree_id, count(*), sum(h1)::BIGINT, sum(h2)::BIGINT FROM kh GROUP BY 1)"""
+
+
+def induced(s, d):
+    """The trees on two thirds of their tips, another third left out in each."""
+    kept = R.tips(clades(s, d)).where((F.substring("tip", 2, 10).cast("long") + F.col("tree_id")) % 3 > 0)
+    return I.induced_trees(nodes(s, d), kept)
+
+
+register(
+    "induced_trees", lambda s, d: B.clade_sums(induced(s, d), ["tree_id"]).select("tree_id", "clade.n", "clade.h1", "clade.h2"),
+    P.oracle("SELECT tree_id::INT AS tree_id, n, h1, h2 FROM kc", INDUCED),
+)
+register(
+    "internal_branches", lambda s, d: I.internal_branches(nodes(s, d)).select("tree_id", "support", "clade.n"),
+    P.oracle("SELECT tree_id::INT AS tree_id, NULL::DOUBLE AS support, n FROM (SELECT tree_id, c, n FROM cl EXCEPT SELECT tree_id, c, n FROM root)", CLADES),
+)
 register("consensus_splits", lambda s, d: R.consensus(clades(s, d), 0.3).select(F.array_join("side", ",").alias("side"), r6("support").alias("support")), P.oracle("SELECT side, round(count(DISTINCT tree_id) / 6.0::DOUBLE, 6) AS support FROM splits GROUP BY 1 HAVING count(DISTINCT tree_id) / 6.0 > 0.3", SPLITS))
 register("gene_tree_filter", lambda s, d: R.filter_gene_trees(P.trees(s, d), 4, 0.5).select("tree_id", "dropped"), P.oracle("SELECT DISTINCT tree_id::INT AS tree_id, 'low_support' AS dropped FROM tips"))
-register("newick_validate", lambda s, d: s.createDataFrame([(1, "((A,B),(C,D));"), (2, "((A,B),(A,D));"), (3, "((A:-1,B),(C,D));"), (4, "((A,B),(C,D);"), (5, "((A,),(C,D));"), (6, "(A,B)")], "id int, newick string").select("id", F.array_join(S.newick_problems(F.col("newick")), ",").alias("problems")), "SELECT * FROM (VALUES (1, ''), (2, 'duplicate_tips'), (3, 'negative_length'), (4, 'unbalanced'), (5, 'empty_tip'), (6, 'no_semicolon')) v(id, problems)")
-register("mean_support", lambda s, d: s.createDataFrame([(1, "((A,B)90,(C,D)70)1;"), (2, "((A,B)0.9,(C,D)0.7);"), (3, "((A,B)120,C);"), (4, "((A,B),C);")], "id int, newick string").select("id", r6(S.mean_support(F.col("newick"))).alias("support")), "SELECT id, support::DOUBLE AS support FROM (VALUES (1, 0.8), (2, 0.8), (3, NULL), (4, NULL)) v(id, support)")
+# a tree string a supplier, with one of these faults or none; @ is its name
+FAULTS = [
+    ("((A,B),(@,D));", ""), ("((A,B),(A,@));", "duplicate_tips"), ("((A:-1,B),(C,@));", "negative_length"), ("((A,B),(C,@);", "unbalanced"), ("((A,),(C,@));", "empty_tip"), ("(A,@)", "no_semicolon"),
+    (")A,@(;", "unbalanced"), ("(('A(1)','it''s ),;[')x,(@,D)x);", "duplicate_internal"), ("(('a:-1','a,,b')[((],(@,D));", ""), ("((A,B),('@,D));", "unbalanced"),
+]
+
+
+def by_turn(texts):
+    """One of the texts for each supplier, by key, with its name for @."""
+    chosen = F.element_at(F.array(*map(F.lit, texts)), (F.col("s_suppkey") % len(texts) + 1).cast("int"))
+    return F.replace(chosen, F.lit("@"), F.col("s_name"))
+
+
+def chosen_sql(texts):
+    quoted = ", ".join("'" + t.replace("'", "''") + "'" for t in texts)
+    return f"replace([{quoted}][s_suppkey % {len(texts)} + 1], '@', s_name)"
+
+
+register("newick_validate", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", F.array_join(S.newick_problems(by_turn([t for t, _ in FAULTS])), ",").alias("problems")), f"SELECT s_suppkey, {chosen_sql([v for _, v in FAULTS])} AS problems FROM supplier")
+LABELS = [("((A, 'B(1) of @'),('it''s'[x,y]:1,@))'r,(s';", "A|B(1) of @|it's|@"), ("(@:2,(b,'c,d')0.9,e)x;", "@|b|c,d|e"), ("('[@]',(a[(,z],q),a);", "[@]|a|q")]
+register("newick_labels", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", F.array_join(S.newick_tips(by_turn([t for t, _ in LABELS])), "|").alias("tips")), f"SELECT s_suppkey, {chosen_sql([v for _, v in LABELS])} AS tips FROM supplier")
+SUPPORTED = "concat('((A,B)', s_suppkey % 101, ',(C,D)', s_suppkey * 7 % 120, ',(E,F)x)', s_nationkey, ';')"
+register("mean_support", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", r6(S.mean_support(F.expr(SUPPORTED))).alias("support")), """SELECT s_suppkey, round(CASE WHEN y <= 100 THEN (x + y) / 2.0::DOUBLE / CASE WHEN greatest(x, y) > 1 THEN 100 ELSE 1 END END, 6) AS support FROM (SELECT s_suppkey, s_suppkey % 101 AS x, s_suppkey * 7 % 120 AS y FROM supplier)""")
 register("nhx", lambda s, d: P.table(s, d, "supplier").select("s_suppkey", F.concat(F.lit("(A[&&NHX:taxon="), F.col("s_name"), F.lit(":completeness=9],B);")).alias("n")).select("s_suppkey", S.nhx_values(F.col("n"))[0]["taxon"].alias("taxon"), S.strip_nhx(F.col("n")).alias("plain")), "SELECT s_suppkey, s_name AS taxon, '(A,B);' AS plain FROM supplier")
 register("mad_root", lambda s, d: R.mad_rooted(P.trees(s, d)).select("tree_id", "method"))
 register("gene_trees_nj", lambda s, d: R.neighbour_joining(P.alignment(s, d)).select("marker_id", F.size(S.newick_tips(F.col("newick"))).alias("n_tips"), "method"), P.oracle("SELECT marker_id, count(*)::INT AS n_tips, 'nj-builtin' AS method FROM aln GROUP BY 1 HAVING count(*) >= 4"))
@@ -131,6 +171,13 @@ def ev(s, d):
 register("risk_level", lambda s, d: ev(s, d).select("marker_id", r6("risk").alias("risk"), "level", "confidence", "reason", "state"), P.oracle("SELECT marker_id, round(risk, 6) AS risk, level, confidence, reason, CASE WHEN risk IS NULL THEN 'not_measurable' ELSE 'measured' END AS state FROM ev", EVAL))
 register("risk_level_far", lambda s, d: D.evaluate(P.risks(s, d), far=True).groupBy("level").agg(F.count(F.lit(1)).alias("n")), P.oracle("SELECT CASE WHEN risk IS NULL THEN 'unknown' WHEN risk < 0.25 THEN 'level_1' WHEN risk < 0.95 THEN 'level_2' ELSE 'level_3' END AS level, count(*) AS n FROM ev GROUP BY 1", EVAL))
 register("hgt_report", lambda s, d: D.report(ev(s, d)).withColumns({"mean_risk": r6("mean_risk"), "coverage": r6("coverage")}), P.oracle("SELECT count(*) FILTER (level = 'level_1') AS n_level_1, count(*) FILTER (level = 'level_2') AS n_level_2, count(*) FILTER (level = 'level_3') AS n_level_3, count(*) FILTER (level = 'unknown') AS n_unknown, count(*) AS n_markers, round(avg(coalesce(risk, 0)), 6) AS mean_risk, count(*) FILTER (confidence = 'high') AS n_high_confidence, round(count(*) FILTER (level <> 'unknown') / count(*)::DOUBLE, 6) AS coverage FROM ev", EVAL))
+BASIS = "concat_ws('+', CASE WHEN nrf IS NOT NULL THEN 'rf' END, CASE WHEN quartet IS NOT NULL THEN 'quartet' END)"
+register(
+    "risk_tally", lambda s, d: D.tally(ev(s, d).withColumns({"detector": F.when(F.col("marker_id") % 3 == 0, "taxonomy").otherwise("species_tree"), "basis": F.expr(BASIS)}), ["level", "detector", "basis"], [["level", "detector", "basis"], ["level", "detector"], ["level"], ["basis"], []]).withColumn("mean_risk", r6("mean_risk")),
+    P.oracle("""SELECT level, detector, basis, grouping_id(level, detector, basis)::BIGINT AS grouping_id, count(*) AS n, round(avg(risk), 6) AS mean_risk
+FROM (SELECT *, CASE WHEN marker_id % 3 = 0 THEN 'taxonomy' ELSE 'species_tree' END AS detector, concat_ws('+', CASE WHEN nrf IS NOT NULL THEN 'rf' END, CASE WHEN quartet IS NOT NULL THEN 'quartet' END) AS basis FROM ev)
+GROUP BY GROUPING SETS ((level, detector, basis), (level, detector), (level), (basis), ())""", EVAL),
+)
 register("unmeasured_reasons", lambda s, d: D.reasons(ev(s, d)), P.oracle("SELECT reason, count(*) AS n, array_to_string(list_sort(list(marker_id::VARCHAR))[1:8], ',') AS first FROM ev WHERE level = 'unknown' GROUP BY 1", EVAL))
 register("risk_backfill", lambda s, d: D.backfill(P.risks(s, d).select("marker_id"), ev(s, d)).select("marker_id", r6("hgt_risk").alias("hgt_risk")), P.oracle("SELECT marker_id, round(risk, 6) AS hgt_risk FROM ev", EVAL))
 BANDS = [(0.2, 0.5), (0.3, 0.6), (0.4, 0.7), (0.5, 0.9)]

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import na
+from ..functions.scalars import mean_support, na
 from ..operators import alignment as A
 from ..operators import assertions as C
 from ..operators import decisions as D
@@ -132,8 +132,8 @@ def run(
         out["evaluations"] = judged = judged.persist()
         lengths = Q.length_coherence(out["best_hits"])
         scores = occ.join(Q.hmm_score(hits), "marker_id").join(lengths, "marker_id").withColumn("marker_id", text)
-        told = F.col("quartet") if "quartet" in judged.columns else F.lit(None).cast("double")  # unmeasured without a species tree
-        scores = D.backfill(scores, judged).join(judged.select("marker_id", told.alias("informativeness")), "marker_id", "left").withColumn("score", Q.overall_score())
+        support = trees.select(text, mean_support(F.col("newick")).alias("informativeness"))  # of the marker's own gene tree; the screen's measures are in the risk already
+        scores = D.backfill(scores, judged).join(support, "marker_id", "left").withColumn("score", Q.overall_score())
         out["scores"] = scores.withColumn("level", Q.quality_level(F.col("score")))
         out["assertions"] = C.run(spark, state(out, options, far))
     return out

@@ -123,11 +123,16 @@ def cyclic(s, d):
 
 
 register("taxonomy_cycle", cyclic, P.oracle("SELECT a.s_suppkey::VARCHAR AS tip, b.s_suppkey::VARCHAR AS other FROM supplier a JOIN supplier b ON a.s_suppkey % 4 IN (0, 1) AND b.s_suppkey % 4 IN (0, 1) AND a.s_suppkey // 4 = b.s_suppkey // 4 AND a.s_suppkey::VARCHAR < b.s_suppkey::VARCHAR"))
-MEMBERS = "members AS (SELECT DISTINCT l_partkey % 500 AS tree_id, l_suppkey AS tip FROM lineitem)"
+MEMBERS = """members AS (SELECT 'nation ' || s_nationkey AS tree_id, s_suppkey AS tip FROM supplier UNION ALL SELECT 'region ' || n_regionkey, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL SELECT 'genus ' || s_nationkey || '-' || (s_suppkey % 3), s_suppkey FROM supplier UNION ALL SELECT 'seventh ' || (s_suppkey % 7), s_suppkey FROM supplier)"""
 
 
 def members(s, d):
-    return P.table(s, d, "lineitem").select((F.col("l_partkey") % 500).alias("tree_id"), F.col("l_suppkey").alias("tip")).distinct()
+    """Every supplier in four trees: of its nation, its region, its nation's third and its seventh of all."""
+    sup, nation = P.table(s, d, "supplier"), P.table(s, d, "nation").select("n_nationkey", "n_regionkey")
+    key, third = F.col("s_nationkey").cast("string"), (F.col("s_suppkey") % 3).cast("string")
+    names = F.array(F.concat(F.lit("nation "), key), F.concat(F.lit("region "), F.col("n_regionkey").cast("string")), F.concat(F.lit("genus "), key, F.lit("-"), third), F.concat(F.lit("seventh "), (F.col("s_suppkey") % 7).cast("string")))
+    return sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey).select(F.explode(names).alias("tree_id"), F.col("s_suppkey").alias("tip"))  # 25 nations at any scale
 
 
 register("scope_rank", lambda s, d: T.scope_rank(members(s, d), taxa(s, d)), P.oracle("""SELECT tree_id, CASE WHEN g THEN 'genus' WHEN p THEN 'phylum' ELSE 'domain' END AS scope, CASE WHEN g THEN mg WHEN p THEN mp ELSE md END AS taxon FROM (
@@ -161,9 +166,14 @@ register("grouped_rcv", lambda s, d: A.grouped_rcv(P.alignment(s, d), P.table(s,
 register("rcv", lambda s, d: A.rcv(P.alignment(s, d)).select("marker_id", r6("rcv").alias("rcv"), "n_sequences"), P.oracle("SELECT marker_id, round(CASE WHEN count(*) >= 2 THEN max(dist) END, 6) AS rcv, count(*) AS n_sequences FROM (SELECT marker_id, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL) GROUP BY 1", FREQ))
 register("chi2_composition", lambda s, d: A.chi_square(P.alignment(s, d)).select("marker_id", "taxon", r6("chi2").alias("chi2")), P.oracle("SELECT marker_id, taxon, round(sum((freq - pooled) ** 2 / greatest(pooled, 1e-6)), 6) AS chi2 FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL", FREQ))
 GC = "gc AS (SELECT marker_id, taxon, length(regexp_replace(seq, '[^GC]', '', 'g'))::DOUBLE / nullif(length(regexp_replace(seq, '[^ACGTUN]', '', 'g')), 0) AS gc FROM aln)"
+register(
+    "composition_report", lambda s, d: A.composition_report(P.alignment(s, d), protein=False).select("marker_id", r6("rcv").alias("rcv"), r6("gc_bias").alias("gc_bias"), "outlier_flag"),
+    P.oracle("""SELECT marker_id, rcv, gc_bias, outlier_flag FROM (SELECT marker_id, round(max(dist), 6) AS rcv, coalesce(max(dist) > 0.2, FALSE) AS outlier_flag FROM (SELECT marker_id, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL) GROUP BY 1)
+LEFT JOIN (SELECT marker_id, round(CASE WHEN count(gc) >= 2 THEN stddev_pop(gc) END, 6) AS gc_bias FROM gc GROUP BY 1) USING (marker_id)""", FREQ + ", " + GC),
+)
 register("gc_content", lambda s, d: P.alignment(s, d).select("marker_id", "taxon", r6(S.gc_content(F.col("seq"), F.lit(False))).alias("gc")), P.oracle("SELECT marker_id, taxon, round(gc, 6) AS gc FROM gc", GC))
 register("gc_spread", lambda s, d: A.gc_spread(P.alignment(s, d)).select("marker_id", r6("gc_bias").alias("gc_bias")), P.oracle("SELECT marker_id, round(CASE WHEN count(gc) >= 2 THEN stddev_pop(gc) END, 6) AS gc_bias FROM gc GROUP BY 1", GC))
-register("composition_report", lambda s, d: A.composition_report(P.alignment(s, d)).select("marker_id", r6("rcv").alias("rcv"), "gc_bias", "outlier_flag"), P.oracle("SELECT marker_id, round(max(dist), 6) AS rcv, NULL::DOUBLE AS gc_bias, coalesce(max(dist) > 0.2, FALSE) AS outlier_flag FROM (SELECT marker_id, taxon, sum(abs(freq - pooled)) / 2 AS dist FROM freq JOIN pooled USING (marker_id, residue) GROUP BY ALL) GROUP BY 1", FREQ))
+
 
 
 def kmers(s, d):

@@ -154,3 +154,56 @@ def test_quartet_picks_in_sql(spark):
     got = spark.sql("SELECT n, i, r1, r2, r3, r4 FROM VALUES (5), (3) s(n), LATERAL quartet_picks(n, NULL, NULL, NULL)").orderBy("i").collect()
     assert [tuple(r)[2:] for r in got] == list(itertools.combinations(range(5), 4))
     assert spark.sql("SELECT node_id, last FROM newick_nodes('((A,B),C);')").where(F.col("last") == 3).count() == 2
+
+
+def plain_induced(tree, kept):
+    """Nested (label or None, length, children) of a tree on its kept tips; None for no tip."""
+
+    def walk(i):
+        if not tree.children[i]:
+            return (tree.label[i], tree.length[i] or 0.0, []) if tree.label[i] in kept else None
+        below = [x for c in tree.children[i] if (x := walk(c))]
+        if len(below) == 1:
+            return (below[0][0], below[0][1] + (tree.length[i] or 0.0), below[0][2])
+        return (tree.label[i], tree.length[i] or 0.0, below) if below else None
+
+    return walk(0)
+
+
+def nested(rows):
+    """The same from NODES rows in preorder."""
+    made = {}
+    for r in sorted(rows, key=lambda r: r.node_id):
+        made[r.node_id] = (r.label, r.length, [])
+        if r.parent_id is not None:
+            made[r.parent_id][2].append(made[r.node_id])
+    return made[0]
+
+
+def same(a, b, top=True):
+    return a[0] == b[0] and (top or abs(a[1] - b[1]) < 1e-9) and len(a[2]) == len(b[2]) and all(same(x, y, False) for x, y in zip(a[2], b[2]))
+
+
+def test_induced_trees(spark):
+    from cladeworks.operators import induced as I
+
+    r = random.Random(12)
+    texts = []
+    for text in sample(5, 30):
+        said = text.replace("it's", "'it''s'")
+        texts.append("".join(c + (f"n{i}:{r.random() * 3:.3f}" if c == ")" else "") for i, c in enumerate(said)))
+    kept = [(i, t) for i, text in enumerate(texts) for t in sets(text)[0] if r.random() < (0.5 if i % 4 else 0.1)] + [(0, "no such tip")]
+    nodes = R.nodes(trees_of(spark, *texts)).persist()
+    got: dict = {}
+    for row in I.induced_trees(nodes, spark.createDataFrame(kept, "tree_id int, tip string")).collect():
+        got.setdefault(row.tree_id, []).append(row)
+    for i, text in enumerate(texts):
+        want = plain_induced(N.parse(text), {t for k, t in kept if k == i})
+        assert (i in got) == (want is not None)
+        if want:
+            assert same(nested(got[i]), want) and got[i] and all(r.length is None for r in got[i] if r.parent_id is None)
+            by_id = {row.node_id: row for row in got[i]}
+            assert all(row.depth == (0 if row.parent_id is None else by_id[row.parent_id].depth + 1) for row in got[i])
+            assert all(row.last == max([k for k, x in by_id.items() if k >= row.node_id and all(y.depth > row.depth for z, y in by_id.items() if row.node_id < z <= k)], default=row.node_id) for row in got[i])
+    branches = {(b.tree_id, b.clade.n): b.support for b in I.internal_branches(R.nodes(trees_of(spark, "(((a,b)0.9,c)x,(d,e)12);"))).collect()}
+    assert branches == {(0, 2): 12.0, (0, 3): None} or branches == {(0, 2): 0.9, (0, 3): None}
