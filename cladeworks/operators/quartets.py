@@ -37,11 +37,13 @@ def unrank(n: int, index: int, k: int = 4) -> list[int]:
 
 @udtf(returnType="i long, r1 int, r2 int, r3 int, r4 int")
 class QuartetPicks:
-    """Table function: chosen quartets of n sorted tips. The first `first`, every nth so that about `stride_to` remain, or `drawn` at random with seed 0; all nulls: every one."""
+    """Table function: chosen quartets of n sorted tips. The first `first`, every nth so that about `stride_to` remain, `drawn` at random with seed 0, or `spread` at even distances; all nulls: every one."""
 
-    def eval(self, n: int, first: int, stride_to: int, drawn: int):
+    def eval(self, n: int, first: int, stride_to: int, drawn: int, spread: int):
         total = math.comb(n, 4)
-        if drawn is not None:
+        if spread is not None:
+            places = [int(i * (total / spread)) for i in range(spread)] if total > spread else range(total)
+        elif drawn is not None:
             places = sorted(random.Random(0).sample(range(total), min(drawn, total)))
         else:
             step = max(1, total // stride_to) if stride_to else 1
@@ -52,7 +54,7 @@ class QuartetPicks:
 
 
 def register(spark) -> None:
-    """Makes quartet_picks(n, first, stride_to, drawn) available to SQL, as in FROM sizes, LATERAL quartet_picks(n, NULL, 200, NULL)."""
+    """Makes quartet_picks(n, first, stride_to, drawn, spread) available to SQL, as in FROM sizes, LATERAL quartet_picks(n, NULL, 200, NULL, NULL)."""
     spark.udtf.register("quartet_picks", QuartetPicks)
 
 
@@ -71,12 +73,12 @@ def minima(leaves: DataFrame, levels: int) -> DataFrame:
     return out.select("tree_id", "rank", F.array(*[f"m{k}" for k in range(levels)]).alias("low"))
 
 
-def picked(pairs: DataFrame, nodes: DataFrame, first: int | None, stride_to: int | None, drawn: int | None) -> DataFrame:
+def picked(pairs: DataFrame, nodes: DataFrame, first: int | None, stride_to: int | None, drawn: int | None, spread: int | None) -> DataFrame:
     """a, b, i, j, tip: the four tips (j from 1, by label) of each chosen quartet of shared tips."""
     place = F.row_number().over(Window.partitionBy("a", "b").orderBy("tip")) - 1
     tips = shared_tips(pairs, nodes).withColumn("r", place)
     sizes = tips.groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    options = [F.lit(x).cast("int") for x in (first, stride_to, drawn)]
+    options = [F.lit(x).cast("int") for x in (first, stride_to, drawn, spread)]
     chosen = sizes.lateralJoin(QuartetPicks(F.col("n").outer(), *options)).select("a", "b", "i", F.posexplode(F.array("r1", "r2", "r3", "r4")).alias("j", "r"))
     return chosen.join(tips, ["a", "b", "r"]).select("a", "b", "i", (F.col("j") + 1).alias("j"), "tip")
 
@@ -103,9 +105,9 @@ def shapes(asked: DataFrame, nodes: DataFrame) -> DataFrame:
     return depths.select("a", "b", "which", "i", partner.alias("partner"))
 
 
-def quartet_agreement(pairs: DataFrame, nodes: DataFrame, limit: int | None = 200, stride_to: int | None = None, drawn: int | None = None) -> DataFrame:
+def quartet_agreement(pairs: DataFrame, nodes: DataFrame, limit: int | None = 200, stride_to: int | None = None, drawn: int | None = None, spread: int | None = None) -> DataFrame:
     """a, b, n_quartets, agreement: how often both trees join the same two tips. Under four shared tips: null."""
-    q = picked(pairs, nodes, limit, stride_to, drawn)
+    q = picked(pairs, nodes, limit, stride_to, drawn, spread)
     asked = q.select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("which")).withColumn("tree_id", F.when(F.col("which") == "a", F.col("a")).otherwise(F.col("b")))
     same = shapes(asked, nodes).groupBy("a", "b", "i").agg((F.min("partner") == F.max("partner")).alias("same"))
     found = same.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_quartets"), F.avg(F.col("same").cast("double")).alias("agreement"))

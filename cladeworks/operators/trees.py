@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..scratch import saved
 from . import newick as N
 from . import quartets as Q
+from . import splits as B
 from .quartets import quartet_agreement, unrank  # noqa: F401
 from .splits import is_monophyletic, monophyly, rf_distance  # noqa: F401
 
@@ -27,7 +29,7 @@ class NewickNodes:
 
 
 def register(spark) -> None:
-    """Makes newick_nodes(text) and quartet_picks(n, first, stride_to, drawn) available to SQL."""
+    """Makes newick_nodes(text) and quartet_picks(n, first, stride_to, drawn, spread) available to SQL."""
     spark.udtf.register("newick_nodes", NewickNodes)
     Q.register(spark)
 
@@ -78,12 +80,24 @@ def splits(clade_table: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     return inner.select("tree_id", F.when(F.col("a") <= F.col("b"), F.col("a")).otherwise(F.col("b")).alias("side"), F.size("every").alias("n")).distinct()
 
 
-def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None) -> DataFrame:
-    """a (reference), b (gene), verdict of each pair (a, b) in gene: the first fault of MALFORMED, TIPSET_MISMATCH, TOO_FEW_TIPS, POLYTOMY, TIP_CAP_EXCEEDED, else LEGAL.
+def collapsed(node_table: DataFrame, focal: DataFrame) -> DataFrame:
+    """tree_id, x, y (x < y): focal groups (grp, tip; a short configured list) that one branch of the tree parts from all else, so that it can't tell them apart."""
+    one = focal.select("grp", "tip").distinct()
+    names = one.select("grp").distinct()
+    two = names.select(F.col("grp").alias("x")).crossJoin(names.select(F.col("grp").alias("y"))).where("x < y")
+    tips_of = lambda side: two.join(one.withColumnRenamed("grp", side), side).select("x", "y", "tip")
+    union = B.group_sums(tips_of("x").union(tips_of("y")).distinct(), ["x", "y"])
+    inner = B.clade_sums(node_table, ["tree_id"]).where("parent_id is not null and clade.n >= 2 and whole.n - clade.n >= 2")
+    sides = inner.select("tree_id", F.explode(F.array(F.col("clade"), B.rest(F.col("whole"), F.col("clade")))).alias("grp")).distinct()
+    return sides.join(union, "grp").select("tree_id", "x", "y")
 
-    reference: tree_id, newick of all trees; gene: pairs (a, b).
+
+def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None, focal: DataFrame | None = None) -> DataFrame:
+    """a (reference), b (gene), verdict of each pair (a, b) in gene: the first fault of MALFORMED, TIPSET_MISMATCH, TOO_FEW_TIPS, POLYTOMY, TIP_CAP_EXCEEDED, CLADE_COLLAPSED, else LEGAL.
+
+    reference: tree_id, newick (or the nodes) of all trees; gene: pairs (a, b); focal: groups (grp, tip) of which no two may be merged on one branch.
     """
-    table = nodes(reference)
+    table = reference if "node_id" in reference.columns else nodes(reference)
     leaves = table.where("is_leaf").select("tree_id", F.col("label").alias("tip")).distinct()
     ref = table.where("is_leaf").groupBy("tree_id").agg(F.count(F.lit(1)).alias("n_tips"))
     degree = table.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.count(F.lit(1)).alias("k"))
@@ -91,9 +105,11 @@ def legality(reference: DataFrame, gene: DataFrame, tip_cap: int | None = None)
     degree = degree.join(root, "tree_id").groupBy("tree_id").agg(F.max(F.col("k") + (F.col("parent_id") != F.col("root")).cast("int")).alias("degree"))
     lost = gene.join(leaves.withColumnRenamed("tree_id", "b"), "b").join(leaves.withColumnRenamed("tree_id", "a"), ["a", "tip"], "left_anti").groupBy("a", "b").agg(F.count(F.lit(1)).alias("lost"))
     out = gene.join(ref.join(degree, "tree_id", "left").withColumnRenamed("tree_id", "a"), "a", "left").join(lost, ["a", "b"], "left")
+    if focal is not None:
+        out = out.join(collapsed(table, focal).select(F.col("tree_id").alias("a"), F.lit(True).alias("merged")).distinct(), "a", "left")
     verdict = (
         F.when(F.col("n_tips").isNull(), "MALFORMED").when(F.col("lost") > 0, "TIPSET_MISMATCH").when(F.col("n_tips") < 4, "TOO_FEW_TIPS").when(F.col("degree") > 3, "POLYTOMY")
-        .when(F.lit(tip_cap is not None) & (F.col("n_tips") > (tip_cap or 0)), "TIP_CAP_EXCEEDED").otherwise("LEGAL")
+        .when(F.lit(tip_cap is not None) & (F.col("n_tips") > (tip_cap or 0)), "TIP_CAP_EXCEEDED").when(F.col("merged") if focal is not None else F.lit(False), "CLADE_COLLAPSED").otherwise("LEGAL")
     )
     return out.select("a", "b", verdict.alias("verdict"))
 
@@ -140,6 +156,25 @@ def consensus(clade_table: DataFrame, share: float = 0.5) -> DataFrame:
     return counts.crossJoin(F.broadcast(n)).where(F.col("k") / F.col("trees") > share).select("side", (F.col("k") / F.col("trees")).alias("support"))
 
 
+def conflicts(left: DataFrame, right: DataFrame, quartets_of: int = 200) -> DataFrame:
+    """tree_id, verdict, n_shared, nrf, agreement of two trees (tree_id, newick each) that are each other's reference.
+
+    Both must be legal for the other: verdict is the first fault, left as the reference first, and nothing is measured then.
+    Agreement is over all quartets of shared tips, or quartets_of at even distances.
+    """
+    text = F.col("tree_id").cast("string")
+    every = left.select(F.concat(F.lit("L"), text).alias("tree_id"), "newick").unionByName(right.select(F.concat(F.lit("R"), text).alias("tree_id"), "newick"))
+    ids = left.select(text.alias("id")).join(right.select(text.alias("id")), "id")
+    there = ids.select(F.concat(F.lit("L"), "id").alias("a"), F.concat(F.lit("R"), "id").alias("b"))
+    table = saved(nodes(every), "nodes")
+    plain = F.substr("a", F.lit(2)).alias("tree_id")
+    fault = F.min(F.when(F.col("verdict") != "LEGAL", F.struct("a", "verdict")))  # L before R
+    told = legality(table, there.union(there.select("b", "a"))).groupBy(plain).agg(F.coalesce(fault["verdict"], F.lit("LEGAL")).alias("verdict"))
+    legal = there.join(told.where("verdict = 'LEGAL'"), F.substr("a", F.lit(2)) == F.col("tree_id")).select("a", "b")
+    measured = rf_distance(legal, table).join(quartet_agreement(legal, table, None, spread=quartets_of).select("a", "b", "agreement"), ["a", "b"])
+    return told.join(measured.select(plain, "n_shared", F.col("normalized_rf").alias("nrf"), "agreement"), "tree_id", "left")
+
+
 def filter_gene_trees(trees: DataFrame, min_tips: int = 4, min_support: float | None = None) -> DataFrame:
     """trees with `dropped`: null if usable, else why. An unmeasured support fails a support floor."""
     from ..functions.scalars import mean_support, newick_tips

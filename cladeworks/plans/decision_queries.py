@@ -15,6 +15,7 @@ from ..operators import provenance as V
 from ..operators import splits as B
 from ..operators import taxonomy as T
 from ..operators import trees as R
+from ..scratch import saved
 from . import proxy as P
 from .registry import register
 
@@ -26,7 +27,7 @@ def clades(s, d):
 
 
 def nodes(s, d):
-    return R.nodes(P.trees(s, d))
+    return saved(R.nodes(P.trees(s, d)), "nodes")
 
 
 def pairs(s, d):
@@ -106,6 +107,55 @@ def screened(s, d, requested=None):
 register("monophyly_rank_fallback", lambda s, d: screened(s, d).select("tree_id", "test_rank", r6("risk").alias("risk"), "n_total"), P.oracle("SELECT tree_id::INT AS tree_id, first(rank ORDER BY (rank = 'genus') DESC, i DESC) AS test_rank, round(1 - first(proportion ORDER BY (rank = 'genus') DESC, i DESC), 6) AS risk, first(n_total ORDER BY (rank = 'genus') DESC, i DESC) AS n_total FROM mp GROUP BY 1", MONO))
 register("monophyly_requested", lambda s, d: screened(s, d, "family").select("tree_id", "test_rank", "cross_rank"), P.oracle("SELECT tree_id::INT AS tree_id, first(rank ORDER BY i DESC) AS test_rank, TRUE AS cross_rank FROM mp GROUP BY 1", MONO))
 register("reference_legality", lambda s, d: R.legality(P.trees(s, d), s.createDataFrame([(0, 1), (1, 0), (2, 2), (9, 1)], "a int, b int")), P.oracle("SELECT * FROM (VALUES (0, 1, 'POLYTOMY'), (1, 0, 'TIPSET_MISMATCH'), (2, 2, 'POLYTOMY'), (9, 1, 'MALFORMED')) v(a, b, verdict)"))
+# a fifth of a nation's customers as two ladders: by key, and with every seventh moved up by so much, in a third of the nations not at all; some have a polytomy or lack tips
+MOVED = "c_custkey + CASE WHEN c_custkey % 7 = 0 THEN (c_nationkey % 3) * {step} ELSE 0 END"
+
+
+def ladders(s, d, step):
+    own = P.table(s, d, "customer").select("c_nationkey", (F.col("c_nationkey") * 5 + F.col("c_custkey") % 5).alias("tree_id"), F.expr(MOVED.format(step=step)).alias("place"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("tip"))
+    whole = F.array_sort(F.collect_list(F.struct("place", "tip")))  # a tree's tips
+    order = F.when(F.lit(step > 0) & (F.first("c_nationkey") % 8 == 5), F.slice(whole, 2, 1 << 30)).otherwise(whole)
+    names = F.transform("o", lambda x: x["tip"])
+    steps = F.concat(F.repeat(F.lit("("), F.size("o") - 1), F.get(names, F.lit(0)), F.array_join(F.transform(F.slice(names, 2, F.size("o")), lambda t: F.concat(F.lit(","), t, F.lit(")"))), ""), F.lit(";"))
+    star = F.concat(F.lit("("), F.array_join(names, ","), F.lit(");"))
+    return own.groupBy("tree_id", "c_nationkey").agg(order.alias("o")).select("tree_id", F.when(F.lit(step > 0) & (F.col("c_nationkey") % 8 == 6), star).otherwise(steps).alias("newick"))
+
+
+LADDERS = f"""rows AS (SELECT c_nationkey * 5 + c_custkey % 5 AS t, c_nationkey AS nation, 'c' || c_custkey AS tip, c_custkey AS x, {MOVED.format(step=400)} AS y FROM customer),
+placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY x) AS i, row_number() OVER (PARTITION BY t ORDER BY y, tip) AS j, row_number() OVER (PARTITION BY t ORDER BY tip) - 1 AS k, count(*) OVER (PARTITION BY t) AS n,
+  ('0x' || substr(sha256(tip), 1, 15))::BIGINT::HUGEINT AS h FROM rows WHERE nation % 8 NOT IN (5, 6)),
+heads AS (SELECT t, 0 AS w, i AS k, n, sum(h) OVER (PARTITION BY t ORDER BY i) AS h, sum(h) OVER (PARTITION BY t) AS total FROM placed UNION ALL SELECT t, 1, j, n, sum(h) OVER (PARTITION BY t ORDER BY j), sum(h) OVER (PARTITION BY t) FROM placed),
+parts AS (SELECT DISTINCT t, w, n, least(h, total - h) AS h FROM heads WHERE k >= 2 AND n - k >= 2),
+rf AS (SELECT t, count(*) AS rf FROM (SELECT t, h FROM parts GROUP BY ALL HAVING count(*) = 1) GROUP BY 1),
+places AS (SELECT DISTINCT t, n, total, CASE WHEN total > 200 THEN floor(m * (total / 200.0::DOUBLE))::BIGINT ELSE m END AS place FROM (SELECT DISTINCT t, n, n * (n - 1) * (n - 2) * (n - 3) // 24 AS total FROM placed), range(200) r(m) WHERE total > 200 OR m < total),
+qs AS (SELECT a.t, [a.i, b.i, c.i, e.i] AS xs, [a.j, b.j, c.j, e.j] AS ys FROM placed a JOIN placed b ON a.t = b.t AND a.k < b.k JOIN placed c ON b.t = c.t AND b.k < c.k JOIN placed e ON c.t = e.t AND c.k < e.k
+  JOIN places p ON p.t = a.t AND p.place = (p.n * (p.n - 1) * (p.n - 2) * (p.n - 3) - (p.n - a.k) * (p.n - a.k - 1) * (p.n - a.k - 2) * (p.n - a.k - 3)) // 24
+  + ((p.n - a.k - 1) * (p.n - a.k - 2) * (p.n - a.k - 3) - (p.n - b.k) * (p.n - b.k - 1) * (p.n - b.k - 2)) // 6 + ((p.n - b.k - 1) * (p.n - b.k - 2) - (p.n - c.k) * (p.n - c.k - 1)) // 2 + e.k - c.k - 1),
+mates AS (SELECT t, list_sort([list_position(xs, list_sort(xs)[1]), list_position(xs, list_sort(xs)[2])]) AS p, list_sort([list_position(ys, list_sort(ys)[1]), list_position(ys, list_sort(ys)[2])]) AS q FROM qs),
+quartet AS (SELECT t, avg((p = q OR NOT list_has_any(p, q))::INT) AS agreement FROM mates GROUP BY 1)"""
+register(
+    "tree_conflicts",
+    lambda s, d: R.conflicts(ladders(s, d, 0), ladders(s, d, 400)).select("tree_id", "verdict", "n_shared", r6("nrf").alias("nrf"), r6("agreement").alias("agreement"), D.conflict_note(F.col("nrf")).alias("note")),
+    P.oracle("""SELECT c.t::VARCHAR AS tree_id, CASE c.nation % 8 WHEN 5 THEN 'TIPSET_MISMATCH' WHEN 6 THEN 'POLYTOMY' ELSE 'LEGAL' END AS verdict, m.n::INT AS n_shared, m.nrf, m.agreement, CASE WHEN nrf IS NULL THEN 'not_measurable' WHEN nrf < 0.1 THEN 'concordant' WHEN nrf < 0.3 THEN 'minor_conflict' ELSE 'major_conflict' END AS note
+FROM (SELECT DISTINCT t, nation FROM rows) c LEFT JOIN (SELECT p.t, p.n, round(coalesce(rf, 0) / (2.0::DOUBLE * (p.n - 3)), 6) AS nrf, round(agreement, 6) AS agreement FROM (SELECT DISTINCT t, n FROM placed) p LEFT JOIN rf USING (t) JOIN quartet USING (t)) m USING (t)""", LADDERS),
+)
+FOCAL = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+def merged_regions(s, d):
+    """Tree k holds the regions as groups, two of them under one branch: which pairs can it not tell apart."""
+    focal = R.tips(clades(s, d)).join(taxa_long(s, d).where("rank = 'domain'"), "tip").where("tree_id = 0").select(F.col("taxon").alias("grp"), "tip")
+    names = focal.groupBy("grp").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("tip")), ","), F.lit(")")).alias("x"))  # a tree's tips
+    at = F.array_position(F.array(*map(F.lit, FOCAL)), F.col("grp")) - 1
+    k = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("tree_id")
+    turned = names.select("x", at.alias("at"), k).groupBy("tree_id").agg(F.array_sort(F.collect_list(F.struct(F.pmod(F.col("at") - F.col("tree_id"), F.lit(5)).alias("p"), "x"))).alias("g"))
+    x = lambda i: F.get("g", F.lit(i))["x"]
+    tree = F.concat(F.lit("(("), x(0), F.lit(","), x(1), F.lit("),("), x(2), F.lit(",("), x(3), F.lit(","), x(4), F.lit(")));"))
+    return R.collapsed(R.nodes(turned.select("tree_id", tree.alias("newick"))), focal)
+
+
+register("clades_merged", merged_regions, P.oracle("""SELECT k::INT AS tree_id, least(a, b) AS x, greatest(a, b) AS y FROM (SELECT k, names[(k + i) % 5 + 1] AS a, names[(k + i + 1) % 5 + 1] AS b
+FROM range(5) r(k), (VALUES (0), (3)) v(i), (SELECT ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'] AS names)) WHERE (SELECT count(DISTINCT outer_) FROM tips WHERE tree_id = 0) = 5"""))
 register("special_nodes", lambda s, d: R.special_node(clades(s, d), R.tips(clades(s, d)).join(taxa_long(s, d).where("rank = 'domain'"), "tip").select("tree_id", F.col("taxon").alias("name"), "tip")).select("tree_id", "name", F.size("tips").alias("n")), P.oracle("""SELECT w.tree_id::INT AS tree_id, name, min(allc.n)::INT AS n FROM (SELECT tree_id, taxon AS name, list(t.tip) AS w FROM tips t JOIN tl ON tl.tip = t.tip AND rank = 'domain' GROUP BY ALL) w JOIN allc ON allc.tree_id = w.tree_id AND list_has_all(string_split(allc.c, ','), w.w) GROUP BY ALL""", TAXA + ", " + CLADES))
 INDUCED = """kept AS (SELECT tree_id, tip FROM tips WHERE (substr(tip, 2)::BIGINT + tree_id) % 3 > 0), kh AS (SELECT *, ('0x' || substr(sha256(tip), 1, 10))::BIGINT AS h1, ('0x' || substr(sha256(tip), 11, 10))::BIGINT AS h2 FROM kept),
 kc AS (SELECT tree_id, count(*) AS n, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS h2 FROM kh JOIN groups USING (tree_id, tip) GROUP BY tree_id, g HAVING count(*) >= 2 UNION SELECT tree_id, count(*), sum(h1)::BIGINT, sum(h2)::BIGINT FROM kh GROUP BY 1)"""
@@ -114,7 +164,7 @@ kc AS (SELECT tree_id, count(*) AS n, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS
 def induced(s, d):
     """The trees on two thirds of their tips, another third left out in each."""
     kept = R.tips(clades(s, d)).where((F.substring("tip", 2, 10).cast("long") + F.col("tree_id")) % 3 > 0)
-    return I.induced_trees(nodes(s, d), kept)
+    return saved(I.induced_trees(nodes(s, d), kept), "induced")
 
 
 register(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import mean_support, na
+from ..scratch import saved
 from ..operators import alignment as A
 from ..operators import assertions as C
 from ..operators import decisions as D
@@ -50,10 +51,10 @@ def screen_steps(trees: DataFrame, reference: DataFrame) -> DataFrame:
     named = trees.select(F.col("marker_id").cast("string").alias("tree_id"), "newick")
     every = named.unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick"))
     pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").alias("b"))
-    nodes = R.nodes(every).persist()
+    nodes = saved(R.nodes(every), "nodes")  # parsed once
     readable = nodes.where("parent_id is null").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
     verdict = F.when(F.col("readable"), F.col("verdict")).when(F.col("verdict") == "MALFORMED", "MALFORMED").otherwise("GENE_TREE_MALFORMED")
-    verdicts = R.legality(every, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable")
+    verdicts = R.legality(nodes, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable")
     legal = verdicts.where("verdict = 'LEGAL'").select("a", "b")
     measured = R.rf_distance(legal, nodes).join(R.quartet_agreement(legal, nodes, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
     out = verdicts.join(measured, ["a", "b"], "left")

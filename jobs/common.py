@@ -1,12 +1,10 @@
-"""What the jobs share: configuration, logs, the command line, and a folder for the registered queries."""
+"""What the jobs share: configuration, logs and the command line."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +31,6 @@ def written(df: DataFrame, what: str, path: str) -> DataFrame:
     return df
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir. Where the session names none, one machine gets a temporary one and a cluster is refused."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
-        base = "file://" + tempfile.mkdtemp(prefix="jobs-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def main(name: str, run: Callable[..., object], arguments: dict[str, str], args: list[str] | None = None) -> int:
     """The command line: the only place that makes and stops a session. arguments: name to help, plain paths."""
     parser = argparse.ArgumentParser(prog=f"python -m jobs.{name}", description=run.__doc__)

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cladeworks.plans import proxy as P
 from cladeworks.plans.marker_queries import BEST, STRATUM
+from cladeworks.scratch import fresh
 
 from . import clade_panels, sequence_ledger
-from .common import configured, fresh_folder
+from .common import configured
 
 
 def job1_clade_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, config = fresh_folder(spark, "clade_panels"), configured("clade_panels")
+    out, config = fresh(spark, "clade_panels"), configured("clade_panels")
     clade_panels.run(spark, sf_dir, out, config)
     return clade_panels.run(spark, sf_dir, out, config)
 
 
 def job2_sequence_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, config = fresh_folder(spark, "sequence_ledger"), configured("sequence_ledger")
+    out, config = fresh(spark, "sequence_ledger"), configured("sequence_ledger")
     sequence_ledger.run(spark, sf_dir, f"{out}/ledger", f"{out}/checkpoint", config)
     return sequence_ledger.run(spark, sf_dir, f"{out}/ledger", f"{out}/checkpoint", config)
 

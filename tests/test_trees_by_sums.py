@@ -66,7 +66,7 @@ def plain_shape(text, q):
     return None
 
 
-@pytest.mark.parametrize("options", [(None, None, None), (30, None, None), (None, 17, None), (None, None, 40)])
+@pytest.mark.parametrize("options", [(None, None, None, None), (30, None, None, None), (None, 17, None, None), (None, None, 40, None), (None, None, None, 33)])
 def test_quartets(spark, options):
     texts = [t.replace("it's", "'it''s'") for t in sample(2, 12)]
     pairs = list(itertools.combinations(range(0, 12), 2))
@@ -74,8 +74,10 @@ def test_quartets(spark, options):
     for a, b in pairs:
         tips = sorted(sets(texts[a])[0] & sets(texts[b])[0])
         every = list(itertools.combinations(tips, 4))
-        first, stride, drawn = options
-        if drawn:
+        first, stride, drawn, spread = options
+        if spread:
+            every = [every[int(i * (len(every) / spread))] for i in range(spread)] if len(every) > spread else every
+        elif drawn:
             every = [every[i] for i in sorted(random.Random(0).sample(range(len(every)), min(drawn, len(every))))]
         elif stride:
             step = max(1, len(every) // stride)
@@ -151,7 +153,7 @@ def test_unrank_is_lexicographic_order():
 
 def test_quartet_picks_in_sql(spark):
     R.register(spark)
-    got = spark.sql("SELECT n, i, r1, r2, r3, r4 FROM VALUES (5), (3) s(n), LATERAL quartet_picks(n, NULL, NULL, NULL)").orderBy("i").collect()
+    got = spark.sql("SELECT n, i, r1, r2, r3, r4 FROM VALUES (5), (3) s(n), LATERAL quartet_picks(n, NULL, NULL, NULL, NULL)").orderBy("i").collect()
     assert [tuple(r)[2:] for r in got] == list(itertools.combinations(range(5), 4))
     assert spark.sql("SELECT node_id, last FROM newick_nodes('((A,B),C);')").where(F.col("last") == 3).count() == 2
 
