@@ -27,12 +27,26 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta_records(spark: SparkSession, path: str) -> DataFrame:
-    """path, ordinal, seq_id, seq: every record of FASTA files, duplicates included."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.concat(F.lit("\n"), F.regexp_replace("value", "\r\n?", "\n")).alias("value"))
-    records = whole.select("path", F.posexplode(F.split("value", "\n>")).alias("ordinal", "record")).where("ordinal > 0")
+    """path, ordinal, seq_id, seq: every record of FASTA files, duplicates included.
+
+    A record ends where a line begins with `>`, which Spark's text source splits by: a file is read in as many ranges as its
+    size asks for (spark.sql.files.maxPartitionBytes), each from the first record that begins in it, and no row is larger
+    than a record. ordinal rises through a file: the range, the row in it, the place in the row. Text before the first
+    record is no record. Files with bare carriage returns for line ends are one row.
+    """
+    meta = F.col("_metadata")
+    raw = spark.read.option("lineSep", "\n>").text(path).select(meta["file_path"].alias("path"), meta["file_block_start"].alias("range"), F.monotonically_increasing_id().alias("row"), "value")
+    headless = ~F.col("value").startswith(">")
+    # the first row of a file still has its `>`; one without is text before the records, and few files have any
+    order = F.struct("range", "row")
+    first = raw.groupBy("path").agg(F.min_by(headless, order).alias("headless"), F.min(order)["row"].alias("row")).where("headless").select("path", "row")
+    kept = raw.join(first, ["path", "row"], "left_anti")
+    text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "^>", "")
+    records = kept.select("path", "range", "row", F.posexplode(F.split(text, "\n>")).alias("place", "record"))
     head = F.substring_index("record", "\n", 1)
     body = F.when(F.instr("record", "\n") > 0, F.substring(F.col("record"), F.instr("record", "\n"), F.length("record"))).otherwise("")
-    return records.select("path", "ordinal", F.regexp_extract(head, r"^\s*(\S*)", 1).alias("seq_id"), F.regexp_replace(body, r"\s", "").alias("seq"))
+    ordinal = F.struct("range", "row", "place").alias("ordinal")
+    return records.select("path", ordinal, F.regexp_extract(head, r"^\s*(\S*)", 1).alias("seq_id"), F.regexp_replace(body, r"\s", "").alias("seq"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
