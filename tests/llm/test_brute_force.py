@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import os
 import random
 import re
@@ -140,6 +141,78 @@ def test_quality_counts_against_brute_force(spark):
         assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", x.text or "")), len(lines) - len(set(lines)), len(covered))
 
 
+def plain_cutoffs(rows, labels, risk=0.05, delta=0.05, price=50.0):
+    """Cutoffs by stratum: the path laid on one half, tested on the other, document by document."""
+    import zlib
+
+    def scores(text):
+        w, lines = words_of(text), [y for y in text.split("\n") if words_of(y)]
+        chars, n = sum(map(len, w)), len(w)
+        windows = collections.Counter(tuple(w[k : k + 8]) for k in range(n - 7))
+        covered = {k + j for k in range(n - 7) if windows[tuple(w[k : k + 8])] > 1 for j in range(8)}
+        if n < 20 or 100 * len(covered) > 30 * n:
+            return None
+        upper = sum(c.isupper() and (c.isascii() or "À" <= c <= "Þ") for c in text)
+        return dict(symbols=sum(c in "#*$%&|<>" for c in text) / n, marks=text.count("!") / n, upper=upper / chars, dup_lines=(len(lines) - len(set(lines))) / len(lines), repeats=len(covered) / n, long_words=chars / n, short_words=-chars / n)
+
+    known = [(lang, labels[i], zlib.crc32(str(i).encode()) % 2, s) for i, text, lang, *_ in rows if i in labels and (s := scores(text))]
+    rules, found = {r: cuts for r, (_, cuts) in quality.rules().items()}, {}
+    rejects = lambda at, s: any(n and s[r] > rules[r][n - 1] for r, n in at.items())
+    paths = {}
+    for lang in {k[0] for k in known}:
+        lay, at, path = [k for k in known if k[0] == lang and k[2] == 0], dict.fromkeys(rules, 0), []
+        gain = lambda to: sum(1 if k[1] == 0 else -price for k in lay if rejects(to, k[3]) and not rejects(at, k[3]))  # noqa: B023, E731
+        while lay:
+            g, to = 0, None
+            for r in rules:
+                for n in range(at[r] + 1, len(rules[r]) + 1):
+                    if (x := gain(at | {r: n})) > g:
+                        g, to = x, at | {r: n}
+            if not to:
+                break
+            at = to
+            path.append(at)
+        if path:
+            paths[lang] = path
+    for lang, path in paths.items():
+        held, best = [k for k in known if k[0] == lang and k[2] == 1], 0
+        total, found[lang] = sum(k[1] for k in held), {}
+        for step in path:
+            lost, won = (sum(k[1] == y and rejects(step, k[3]) for k in held) for y in (1, 0))
+            if not total or sum(math.comb(total, i) * risk**i * (1 - risk) ** (total - i) for i in range(lost + 1)) > delta / len(paths):
+                break
+            if won - price * lost > best:
+                best, found[lang] = won - price * lost, step
+    return {i: (s := scores(text)) is not None and not rejects(found.get(lang, {}), s) for i, text, lang, *_ in rows}, found
+
+
+def test_quality_verdicts_against_plain_calibration(spark):
+    """Three languages: two rules at work in one, a rule that good documents break as often in another, too few labels in the third."""
+    r = random.Random(17)
+
+    def text(symbols, marks):
+        w = ["".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(50)]
+        return " ".join(x + "#" * (r.random() < symbols) + "!" * (r.random() < marks) for x in w)
+
+    rows, labels = [], {}
+    for i in range(1500):
+        lang, bad = ("en", "de", "fr")[0 if i < 700 else 1 if i < 1420 else 2], r.random() < 0.25
+        kind = r.random()
+        if lang == "de":
+            said = text(0.5 if r.random() < 0.3 else 0, 0.02)
+        else:
+            said = text(0.6, 0) if bad and kind < 0.5 else text(0, 0.5) if bad else text(0.05, 0.04)
+        rows.append((i, said, lang, "s", 0))
+        if r.random() < 0.8:
+            labels[i] = int(not bad)
+    want, cuts = plain_cutoffs(rows, labels)
+    table = spark.createDataFrame([(i, y, 0) for i, y in labels.items()], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x.kept for x in quality.judge(spark.createDataFrame(rows, SCHEMA), table).select("doc_id", "kept").collect()}
+    assert got == want
+    assert set(k for k, n in cuts["en"].items() if n) == {"symbols", "marks"} and not any(cuts.get("de", {}).values()) and not any(cuts.get("fr", {}).values())
+    assert all(got[i] for i, y in labels.items() if y and rows[i][2] == "en")
+
+
 def test_quality_bounds_hold(spark):
     r = random.Random(3)
     good = lambda: " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(60))
