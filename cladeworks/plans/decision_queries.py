@@ -121,9 +121,9 @@ def ladders(s, d, step):
     return own.groupBy("tree_id", "c_nationkey").agg(order.alias("o")).select("tree_id", F.when(F.lit(step > 0) & (F.col("c_nationkey") % 8 == 6), star).otherwise(steps).alias("newick"))
 
 
-LADDERS = f"""rows AS (SELECT c_nationkey * 5 + c_custkey % 5 AS t, c_nationkey AS nation, 'c' || c_custkey AS tip, c_custkey AS x, {MOVED.format(step=400)} AS y FROM customer),
+LADDERS = f"""rows AS (SELECT *, count(*) OVER (PARTITION BY t) AS size FROM (SELECT c_nationkey * 5 + c_custkey % 5 AS t, c_nationkey AS nation, 'c' || c_custkey AS tip, c_custkey AS x, {MOVED.format(step=400)} AS y FROM customer)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY x) AS i, row_number() OVER (PARTITION BY t ORDER BY y, tip) AS j, row_number() OVER (PARTITION BY t ORDER BY tip) - 1 AS k, count(*) OVER (PARTITION BY t) AS n,
-  ('0x' || substr(sha256(tip), 1, 15))::BIGINT::HUGEINT AS h FROM rows WHERE nation % 8 NOT IN (5, 6)),
+  ('0x' || substr(sha256(tip), 1, 15))::BIGINT::HUGEINT AS h FROM rows WHERE size >= 4 AND nation % 8 NOT IN (5, 6)),
 heads AS (SELECT t, 0 AS w, i AS k, n, sum(h) OVER (PARTITION BY t ORDER BY i) AS h, sum(h) OVER (PARTITION BY t) AS total FROM placed UNION ALL SELECT t, 1, j, n, sum(h) OVER (PARTITION BY t ORDER BY j), sum(h) OVER (PARTITION BY t) FROM placed),
 parts AS (SELECT DISTINCT t, w, n, least(h, total - h) AS h FROM heads WHERE k >= 2 AND n - k >= 2),
 rf AS (SELECT t, count(*) AS rf FROM (SELECT t, h FROM parts GROUP BY ALL HAVING count(*) = 1) GROUP BY 1),
@@ -136,8 +136,8 @@ quartet AS (SELECT t, avg((p = q OR NOT list_has_any(p, q))::INT) AS agreement F
 register(
     "tree_conflicts",
     lambda s, d: R.conflicts(ladders(s, d, 0), ladders(s, d, 400)).select("tree_id", "verdict", "n_shared", r6("nrf").alias("nrf"), r6("agreement").alias("agreement"), D.conflict_note(F.col("nrf")).alias("note")),
-    P.oracle("""SELECT c.t::VARCHAR AS tree_id, CASE c.nation % 8 WHEN 5 THEN 'TIPSET_MISMATCH' WHEN 6 THEN 'POLYTOMY' ELSE 'LEGAL' END AS verdict, m.n::INT AS n_shared, m.nrf, m.agreement, CASE WHEN nrf IS NULL THEN 'not_measurable' WHEN nrf < 0.1 THEN 'concordant' WHEN nrf < 0.3 THEN 'minor_conflict' ELSE 'major_conflict' END AS note
-FROM (SELECT DISTINCT t, nation FROM rows) c LEFT JOIN (SELECT p.t, p.n, round(coalesce(rf, 0) / (2.0::DOUBLE * (p.n - 3)), 6) AS nrf, round(agreement, 6) AS agreement FROM (SELECT DISTINCT t, n FROM placed) p LEFT JOIN rf USING (t) JOIN quartet USING (t)) m USING (t)""", LADDERS),
+    P.oracle("""SELECT c.t::VARCHAR AS tree_id, CASE WHEN size < 4 THEN 'TOO_FEW_TIPS' WHEN nation % 8 = 5 THEN 'TIPSET_MISMATCH' WHEN nation % 8 = 6 THEN 'POLYTOMY' ELSE 'LEGAL' END AS verdict, m.n::INT AS n_shared, m.nrf, m.agreement, CASE WHEN nrf IS NULL THEN 'not_measurable' WHEN nrf < 0.1 THEN 'concordant' WHEN nrf < 0.3 THEN 'minor_conflict' ELSE 'major_conflict' END AS note
+FROM (SELECT DISTINCT t, nation, size FROM rows) c LEFT JOIN (SELECT p.t, p.n, round(coalesce(rf, 0) / (2.0::DOUBLE * (p.n - 3)), 6) AS nrf, round(agreement, 6) AS agreement FROM (SELECT DISTINCT t, n FROM placed) p LEFT JOIN rf USING (t) JOIN quartet USING (t)) m USING (t)""", LADDERS),
 )
 FOCAL = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
