@@ -8,6 +8,7 @@ from ..functions import labels as L
 from ..functions import scalars as S
 from ..operators import alignment as A
 from ..operators import assertions as C
+from ..operators import consensus as K
 from ..operators import decisions as D
 from ..operators import evaluation as E
 from ..operators import induced as I
@@ -157,6 +158,29 @@ def merged_regions(s, d):
 register("clades_merged", merged_regions, P.oracle("""SELECT k::INT AS tree_id, least(a, b) AS x, greatest(a, b) AS y FROM (SELECT k, names[(k + i) % 5 + 1] AS a, names[(k + i + 1) % 5 + 1] AS b
 FROM range(5) r(k), (VALUES (0), (3)) v(i), (SELECT ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'] AS names)) WHERE (SELECT count(DISTINCT outer_) FROM tips WHERE tree_id = 0) = 5"""))
 register("special_nodes", lambda s, d: R.special_node(clades(s, d), R.tips(clades(s, d)).join(taxa_long(s, d).where("rank = 'domain'"), "tip").select("tree_id", F.col("taxon").alias("name"), "tip")).select("tree_id", "name", F.size("tips").alias("n")), P.oracle("""SELECT w.tree_id::INT AS tree_id, name, min(allc.n)::INT AS n FROM (SELECT tree_id, taxon AS name, list(t.tip) AS w FROM tips t JOIN tl ON tl.tip = t.tip AND rank = 'domain' GROUP BY ALL) w JOIN allc ON allc.tree_id = w.tree_id AND list_has_all(string_split(allc.c, ','), w.w) GROUP BY ALL""", TAXA + ", " + CLADES))
+CONSENSUS = """same AS (SELECT tip FROM tips GROUP BY 1 HAVING count(DISTINCT tree_id) = 6), hs AS (SELECT tip, ('0x' || substr(sha256(tip), 1, 10))::BIGINT AS h1, ('0x' || substr(sha256(tip), 11, 10))::BIGINT AS h2 FROM same),
+every AS (SELECT count(*) AS n, sum(h1) AS h1, sum(h2) AS h2, min(tip) AS least FROM hs), held AS (SELECT tree_id, g, count(*) AS n, sum(h1) AS h1, sum(h2) AS h2, bool_or(tip = (SELECT least FROM every)) AS outside FROM groups JOIN hs USING (tip) GROUP BY ALL),
+cluster AS (SELECT DISTINCT tree_id, CASE WHEN outside THEN e.n - c.n ELSE c.n END AS n, CASE WHEN outside THEN e.h1 - c.h1 ELSE c.h1 END AS h1, CASE WHEN outside THEN e.h2 - c.h2 ELSE c.h2 END AS h2 FROM held c, every e WHERE c.n >= 2 AND e.n - c.n >= 2)"""
+
+
+def clusters_of(s, d):
+    table = nodes(s, d)
+    return K.clusters(table, K.common_tips(table))
+
+
+register(
+    "consensus_clusters", lambda s, d: K.majority(clusters_of(s, d)).select("cluster.n", "cluster.h1", "cluster.h2", r6("support").alias("support")),
+    P.oracle("SELECT n::BIGINT AS n, h1::BIGINT AS h1, h2::BIGINT AS h2, round(count(*) / 6.0::DOUBLE, 6) AS support FROM cluster GROUP BY ALL HAVING count(*) > 3", CONSENSUS),
+)
+
+
+def greedy_tree(s, d):
+    table = nodes(s, d)
+    common = K.common_tips(table)
+    return K.as_newick(K.assembled(K.greedy(K.clusters(table, common), table, common), table, common))
+
+
+register("consensus_greedy", greedy_tree)
 INDUCED = """kept AS (SELECT tree_id, tip FROM tips WHERE (substr(tip, 2)::BIGINT + tree_id) % 3 > 0), kh AS (SELECT *, ('0x' || substr(sha256(tip), 1, 10))::BIGINT AS h1, ('0x' || substr(sha256(tip), 11, 10))::BIGINT AS h2 FROM kept),
 kc AS (SELECT tree_id, count(*) AS n, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS h2 FROM kh JOIN groups USING (tree_id, tip) GROUP BY tree_id, g HAVING count(*) >= 2 UNION SELECT tree_id, count(*), sum(h1)::BIGINT, sum(h2)::BIGINT FROM kh GROUP BY 1)"""
 
