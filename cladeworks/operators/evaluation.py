@@ -111,13 +111,32 @@ def detection(truth: DataFrame, called: DataFrame) -> DataFrame:
     return n.withColumn("f1", F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(0.0))
 
 
+def resampled(rows: DataFrame, place: str, n: int, resamples: int, seed: int = 0) -> DataFrame:
+    """rows, each with k (the resample, from 1) and times, how often it was drawn: n draws with replacement from n rows in every resample, and no row for none.
+
+    place numbers the rows from 0. Draw j of resample k falls on a place that a hash of (seed, k, j) gives, so draws are rows of
+    Spark's, summed where they are made, and each resample has exactly n of them.
+    """
+    draws = rows.sparkSession.range(n * resamples).select((F.floor(F.col("id") / n) + 1).cast("int").alias("k"), "id")
+    sha = F.sha2(F.concat_ws(":", F.lit(seed), "id"), 256)
+    at = F.pmod(F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"), F.lit(n))
+    times = draws.select("k", at.alias(place)).groupBy("k", place).agg(F.count(F.lit(1)).alias("times"))
+    return times.join(rows, place)
+
+
 def bootstrap_f1(truth: DataFrame, called: DataFrame, names: DataFrame, resamples: int = 1000, seed: int = 0) -> DataFrame:
-    """low, high: 95 % interval of F1 over resamples of names, each name drawn with Poisson(1) counts from a seeded hash."""
+    """f1, low, high: F1 over the names (marker_id), and the 95 % interval over resamples of as many names, drawn with replacement."""
     t, c = truth.select("marker_id").distinct().withColumn("t", F.lit(True)), called.select("marker_id").distinct().withColumn("c", F.lit(True))
-    rows = names.select("marker_id").distinct().join(t, "marker_id", "left").join(c, "marker_id", "left").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(resamples))))
-    u = F.pmod(F.xxhash64("marker_id", "k", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    w = sum(((u >= q).cast("int") for q in (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015)), F.lit(0))
-    hit = F.col("t").isNotNull() & F.col("c").isNotNull()
-    per = rows.withColumn("w", w).groupBy("k").agg(F.sum(F.when(hit, F.col("w")).otherwise(0)).alias("tp"), F.sum(F.when(hit, 0).when(F.col("t").isNotNull() | F.col("c").isNotNull(), F.col("w")).otherwise(0)).alias("miss"))
-    f1 = F.when(F.col("tp") > 0, 2 * F.col("tp") / (2 * F.col("tp") + F.col("miss"))).otherwise(0.0)
-    return per.select(f1.alias("f1")).agg(F.percentile("f1", 0.025).alias("low"), F.percentile("f1", 0.975).alias("high"))
+    rows = names.select("marker_id").distinct().join(t, "marker_id", "left").join(c, "marker_id", "left").fillna(False, ["t", "c"])
+    rows = rows.withColumn("place", F.row_number().over(Window.orderBy("marker_id")) - 1)  # a row a marker
+    n = rows.count()
+    hit, miss = F.col("t") & F.col("c"), F.col("t") != F.col("c")
+
+    def f1(df: DataFrame, weight: Column, by: list[str]) -> DataFrame:
+        sums = df.groupBy(*by).agg(F.sum(F.when(hit, weight).otherwise(0)).alias("tp"), F.sum(F.when(miss, weight).otherwise(0)).alias("miss"))
+        return sums.select(*by, F.when(F.col("tp") > 0, 2 * F.col("tp") / (2 * F.col("tp") + F.col("miss"))).otherwise(0.0).alias("f1"))
+
+    if not n:
+        return names.sparkSession.createDataFrame([(None, None, None)], "f1 double, low double, high double")
+    drawn = f1(resampled(rows, "place", n, resamples, seed), F.col("times"), ["k"])
+    return f1(rows, F.lit(1), []).crossJoin(drawn.agg(F.percentile("f1", 0.025).alias("low"), F.percentile("f1", 0.975).alias("high")))  # one row each

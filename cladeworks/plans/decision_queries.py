@@ -291,7 +291,14 @@ FROM (SELECT marker_id, rank() OVER (ORDER BY nrf DESC)::INT AS r FROM risks WHE
 register("kendall_tau", lambda s, d: E.kendall_tau(P.risks(s, d).select(F.col("nrf").alias("a"), F.col("quartet").alias("b"))).withColumn("tau", r6("tau")), P.oracle("""SELECT round(s / sqrt((n - ta) * (n - tb)), 6) AS tau FROM (SELECT sum(sign(x.nrf - y.nrf) * sign(x.quartet - y.quartet))::DOUBLE AS s, count(*)::DOUBLE AS n, count(*) FILTER (x.nrf = y.nrf)::DOUBLE AS ta, count(*) FILTER (x.quartet = y.quartet)::DOUBLE AS tb
 FROM risks x JOIN risks y ON x.marker_id < y.marker_id WHERE x.nrf IS NOT NULL AND y.nrf IS NOT NULL AND x.quartet IS NOT NULL AND y.quartet IS NOT NULL)"""))
 register("precision_recall", lambda s, d: E.detection(P.risks(s, d).where("marker_id % 3 = 0"), ev(s, d).where("level = 'level_3'")).select("tp", "fp", "fn", r6("precision").alias("precision"), r6("recall").alias("recall"), r6("f1").alias("f1")), P.oracle("SELECT tp, fp, fn, round(tp / (tp + fp)::DOUBLE, 6) AS precision, round(tp / (tp + fn)::DOUBLE, 6) AS recall, round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 6) AS f1 FROM (SELECT count(*) FILTER (marker_id % 3 = 0 AND level = 'level_3') AS tp, count(*) FILTER (marker_id % 3 <> 0 AND level = 'level_3') AS fp, count(*) FILTER (marker_id % 3 = 0 AND level <> 'level_3') AS fn FROM ev)", EVAL))
-register("bootstrap_f1", lambda s, d: E.bootstrap_f1(P.risks(s, d).where("marker_id % 3 = 0"), ev(s, d).where("level = 'level_3'"), P.risks(s, d), 200))
+TOLD = "SELECT marker_id, marker_id % 3 = 0 AS t, level = 'level_3' AS c, row_number() OVER (ORDER BY marker_id) - 1 AS place, count(*) OVER () AS n FROM ev"
+register(
+    "bootstrap_f1", lambda s, d: E.bootstrap_f1(P.risks(s, d).where("marker_id % 3 = 0"), ev(s, d).where("level = 'level_3'"), P.risks(s, d), 200).select(*[r6(c).alias(c) for c in ("f1", "low", "high")]),
+    P.oracle("SELECT round((SELECT f1 FROM whole), 6) AS f1, round(quantile_cont(f1, 0.025), 6) AS low, round(quantile_cont(f1, 0.975), 6) AS high FROM boot", EVAL + f""", told AS MATERIALIZED ({TOLD}),
+whole AS (SELECT coalesce(2 * count(*) FILTER (t AND c) / nullif(2 * count(*) FILTER (t AND c) + count(*) FILTER (t <> c), 0)::DOUBLE, 0) AS f1 FROM told),
+draws AS (SELECT id // (SELECT any_value(n) FROM told) AS k, ('0x' || substr(sha256('0:' || id), 1, 15))::BIGINT % (SELECT any_value(n) FROM told) AS place FROM (SELECT unnest(range((SELECT 200 * any_value(n) FROM told))) AS id)),
+boot AS (SELECT k, coalesce(2 * count(*) FILTER (t AND c) / nullif(2 * count(*) FILTER (t AND c) + count(*) FILTER (t <> c), 0)::DOUBLE, 0) AS f1 FROM draws JOIN told USING (place) GROUP BY k)"""),
+)
 
 
 def state(s, d):

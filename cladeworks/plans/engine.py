@@ -71,6 +71,12 @@ def consistency_screen(trees: DataFrame, coalescent: DataFrame | None, concat: D
     return D.consistency(legs, stringency, min_pis)
 
 
+def conflict(measured: DataFrame) -> DataFrame:
+    """tree_id, verdict, n_shared, nrf, agreement, note of species trees that judge each other (trees.conflicts)."""
+    note = F.when(F.col("verdict") == "LEGAL", D.conflict_note(F.col("nrf"))).otherwise(F.concat(F.lit("not performed: "), "verdict"))
+    return measured.withColumn("note", note)
+
+
 def unreadable(named: DataFrame, clades: DataFrame, rules: DataFrame) -> DataFrame:
     """Must-pass rows of the trees that have no clades: every rule not_checked."""
     lost = named.select("tree_id").join(clades.select("tree_id").distinct(), "tree_id", "left_anti")
@@ -126,6 +132,14 @@ def run(
         if concat is not None:
             out["consistency"] = consistency_screen(trees, reference, concat, out.get("sites"), options.stringency, options.pis_floor)
             out["hybrid"] = D.hybrid(out["evaluations"].withColumn("marker_id", F.col("marker_id").cast("string")), out["consistency"])
+            species = lambda df: df.select(F.lit("species").alias("tree_id"), "newick")
+            out["conflict"] = conflict(R.conflicts(species(concat), species(reference)))
+        cached = F.col("cached") if "cached" in trees.columns else F.lit(True)  # a gene tree that the screen and the inference share
+        out["independence"] = D.independence(trees.select(cached.alias("cached")))
+        told = out["conflict"].select("tree_id", "nrf") if "conflict" in out else spark.createDataFrame([("species", None)], "tree_id string, nrf double")
+        shared = out["independence"].select((F.col("shared_ratio") > 0).alias("shared"))
+        kinds = told.select(F.col("tree_id").alias("id"), F.lit(reference is not None).alias("has_coalescent"), F.lit("conflict" in out).alias("has_report"), "nrf")
+        out["recommendation"] = D.recommend(kinds.crossJoin(shared))  # one row each
         text = F.col("marker_id").cast("string").alias("marker_id")
         judged = out["evaluations"].withColumn("marker_id", text)
         if "sites" in out:

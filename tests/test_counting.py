@@ -89,6 +89,32 @@ def test_tau_of_a_million_pairs(spark, capsys):
     assert "NestedLoopJoin BuildRight, Inner, (" not in capsys.readouterr().out
 
 
+def test_every_resample_has_as_many_draws(spark):
+    rows = spark.range(37).select(F.col("id").alias("place"))
+    got = E.resampled(rows, "place", 37, 50, 3).groupBy("k").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("different")).collect()
+    assert len(got) == 50 and {r.n for r in got} == {37} and 20 < sum(r.different for r in got) / 50 < 27  # 1 - 1/e of 37 is 23.4
+
+
+def test_bootstrap_interval(spark):
+    """Near the interval of plain resampling; nothing called, nothing named and repeated names have a result."""
+    r = random.Random(5)
+    names = [(f"m{i}", r.random() < 0.4) for i in range(300)]
+    called = [(m,) for m, t in names if r.random() < (0.8 if t else 0.1)]
+    frame = lambda rows: spark.createDataFrame(rows, "marker_id string")
+    truth = [(m,) for m, t in names if t]
+    got = E.bootstrap_f1(frame(truth), frame(called), frame([(m,) for m, _ in names] * 2), 2000).first()
+    kind = {m: ((m,) in set(truth), (m,) in set(called)) for m, _ in names}
+
+    def f1(ms):
+        tp, miss = sum(all(kind[m]) for m in ms), sum(kind[m][0] != kind[m][1] for m in ms)
+        return 2 * tp / (2 * tp + miss) if tp else 0.0
+
+    plain = sorted(f1(r.choices(list(kind), k=300)) for _ in range(2000))
+    assert abs(got.f1 - f1(list(kind))) < 1e-12 and abs(got.low - plain[50]) < 0.01 and abs(got.high - plain[1949]) < 0.01
+    assert tuple(E.bootstrap_f1(frame(truth), frame([]), frame(truth), 20).first()) == (0.0, 0.0, 0.0)
+    assert tuple(E.bootstrap_f1(frame([]), frame([]), frame([]), 20).first()) == (None, None, None)
+
+
 def plain_sites(rows):
     out = {}
     for marker in {m for m, _ in rows}:

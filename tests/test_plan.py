@@ -47,6 +47,9 @@ def test_screens_end_to_end(spark):
     assert e["foreign"][:2] == ("rejected", "tipset_mismatch") and e["broken"][:2] == ("rejected", "gene_tree_malformed") and e["short"][3] == "unknown"
     assert {r.marker_id: r.grade for r in got["consistency"].collect()} == {"equal": "consistent", "other": "inconclusive", "foreign": "inconclusive", "short": "inconclusive", "broken": "inconclusive"}
     assert {r.marker_id for r in got["hybrid"].where("verdict = 'passes_both'").collect()} == {"equal"}
+    pair, advice = got["conflict"].first(), got["recommendation"].first()
+    assert (pair.verdict, pair.nrf, pair.agreement, pair.note) == ("LEGAL", 0.0, 1.0, "concordant") and (advice.tree, advice.confidence) == ("concat", "medium") and got["independence"].first().shared_ratio == 1.0
+    assert {r.informativeness for r in got["scores"].collect()} == {None}  # no gene tree has support values
     assert [(r.tree_id, r.result) for r in got["must_pass"].where("tree_id = 'broken'").collect()] == [("broken", "not_checked")]
     done = {r.assertion_id: r.result for r in got["assertions"].collect()}
     assert done["A-12"] == done["A-03"] == done["A-05"] == "pass" and done["A-08"] == "not_checked"
@@ -60,6 +63,15 @@ def test_screens_end_to_end(spark):
         engine.run(hits, genomes, quality, lineages, options=engine.Options(min_occupancy=1.1))
 
 
+def test_informativeness_is_the_gene_trees_own_support(spark):
+    hits, genomes, quality, lineages, _, _ = inputs(spark)
+    marker = str(hits.where("score >= 15").first().marker_id)
+    gene = spark.createDataFrame([(marker, "(((t1,t2)90,t3)70,t4);"), ("no such marker", "((t1,t2)10,t3);")], "marker_id string, newick string")
+    out = engine.run(hits, genomes, quality, lineages, None, gene, options=engine.Options(score_floor=15.0, min_occupancy=0.01))
+    assert {r.marker_id: round(r.informativeness, 9) for r in out["scores"].where("informativeness is not null").collect()} == {marker: 0.8}
+    assert out["recommendation"].first().tree == "concat" and "conflict" not in out
+
+
 def test_tree_questions(spark):
     trees_ = spark.createDataFrame([(1, "(((a,b),c),((d,e),f));")], "tree_id int, newick string")
     c = R.clades(trees_)
