@@ -169,7 +169,7 @@ def conflicts(left: DataFrame, right: DataFrame, quartets_of: int = 200) -> Data
     table = saved(nodes(every), "nodes")
     plain = F.substr("a", F.lit(2)).alias("tree_id")
     fault = F.min(F.when(F.col("verdict") != "LEGAL", F.struct("a", "verdict")))  # L before R
-    told = legality(table, there.union(there.select("b", "a"))).groupBy(plain).agg(F.coalesce(fault["verdict"], F.lit("LEGAL")).alias("verdict"))
+    told = saved(legality(table, there.union(there.select("b", "a"))).groupBy(plain).agg(F.coalesce(fault["verdict"], F.lit("LEGAL")).alias("verdict")), "verdicts")  # read many times below
     legal = there.join(told.where("verdict = 'LEGAL'"), F.substr("a", F.lit(2)) == F.col("tree_id")).select("a", "b")
     measured = rf_distance(legal, table).join(quartet_agreement(legal, table, None, spread=quartets_of).select("a", "b", "agreement"), ["a", "b"])
     return told.join(measured.select(plain, "n_shared", F.col("normalized_rf").alias("nrf"), "agreement"), "tree_id", "left")

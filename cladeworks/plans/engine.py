@@ -54,11 +54,11 @@ def screen_steps(trees: DataFrame, reference: DataFrame) -> DataFrame:
     nodes = saved(R.nodes(every), "nodes")  # parsed once
     readable = nodes.where("parent_id is null").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
     verdict = F.when(F.col("readable"), F.col("verdict")).when(F.col("verdict") == "MALFORMED", "MALFORMED").otherwise("GENE_TREE_MALFORMED")
-    verdicts = R.legality(nodes, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable")
+    verdicts = saved(R.legality(nodes, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable"), "verdicts")  # read many times below
     legal = verdicts.where("verdict = 'LEGAL'").select("a", "b")
     measured = R.rf_distance(legal, nodes).join(R.quartet_agreement(legal, nodes, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
     out = verdicts.join(measured, ["a", "b"], "left")
-    return out.select(F.col("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
+    return saved(out.select(F.col("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet")), "steps")  # a row a marker, read by many products
 
 
 def consistency_screen(trees: DataFrame, coalescent: DataFrame | None, concat: DataFrame | None, sites: DataFrame | None, stringency: int, min_pis: int) -> DataFrame:
@@ -67,7 +67,7 @@ def consistency_screen(trees: DataFrame, coalescent: DataFrame | None, concat: D
     if lacking:
         raise ValueError(f"the consistency screen lacks: {', '.join(lacking)}")
     a, b = (screen_steps(trees, t).select("marker_id", F.col("nrf").alias("nrf_" + x), F.col("quartet").alias("quartet_" + x)) for x, t in (("a", coalescent), ("b", concat)))
-    legs = a.persist().join(b.persist(), "marker_id").join(sites.select(F.col("marker_id").cast("string").alias("marker_id"), "pis"), "marker_id", "left")
+    legs = a.join(b, "marker_id").join(sites.select(F.col("marker_id").cast("string").alias("marker_id"), "pis"), "marker_id", "left")
     return D.consistency(legs, stringency, min_pis)
 
 
@@ -112,7 +112,7 @@ def run(
         spread = [c for c in ("genus", "order") if c in taxa.columns]
         far = bool(len(spread) == 2 and T.far_distance(taxa, *spread).first().far) if options.far is None else options.far
         if reference is not None:
-            steps = screen_steps(trees, reference).persist()  # a row a marker, read by many products
+            steps = screen_steps(trees, reference)
             out["steps"] = steps
             out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max, far)
         else:  # without a species tree the taxonomy decides
@@ -133,7 +133,7 @@ def run(
             out["consistency"] = consistency_screen(trees, reference, concat, out.get("sites"), options.stringency, options.pis_floor)
             out["hybrid"] = D.hybrid(out["evaluations"].withColumn("marker_id", F.col("marker_id").cast("string")), out["consistency"])
             species = lambda df: df.select(F.lit("species").alias("tree_id"), "newick")
-            out["conflict"] = conflict(R.conflicts(species(concat), species(reference)))
+            out["conflict"] = saved(conflict(R.conflicts(species(concat), species(reference))), "conflict")
         cached = F.col("cached") if "cached" in trees.columns else F.lit(True)  # a gene tree that the screen and the inference share
         out["independence"] = D.independence(trees.select(cached.alias("cached")))
         told = out["conflict"].select("tree_id", "nrf") if "conflict" in out else spark.createDataFrame([("species", None)], "tree_id string, nrf double")
