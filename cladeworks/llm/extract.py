@@ -1,7 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 A page is parsed into a tree of block elements. Each has a binary state, content or not; a log-linear potential reads
-its tag, the names in its and its next ancestors' class and id and the words in these names, its text and links, and a potential on each edge couples parent and child.
+its tag, the names in its and its next ancestors' class and id and the words in these names, the forms, asides, footers and
+navigation that hold it at any depth, its text and links, and a potential on each edge couples parent and child.
 Sum-product messages, once up and once down the tree, give exact marginals; training climbs the exact gradient of the
 labels' log-likelihood (expected against observed features) on labelled pages, by default a bounded number of generated
 ones (html_pages). Blocks whose element is content with a marginal of at least 0.5 are the text.
@@ -17,6 +18,7 @@ result. Extra columns pass through; text and n_chars are replaced.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -54,7 +56,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 GROUPS = {**dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 1), **dict.fromkeys("p pre blockquote".split(), 2), **dict.fromkeys("li ul ol dl dt dd table tbody tr td th".split(), 3), **dict.fromkeys("figure figcaption".split(), 4)}
 N_GROUPS = 5
-PAGES, EPOCHS = 400, 12
+ASIDE = frozenset("nav aside form footer".split())  # elements that tell of all they hold, however deep
+PAGES, EPOCHS = 800, 12
 
 
 class Page:
@@ -165,10 +168,15 @@ def features(page: Page) -> list[list[str]]:
     out = []
     n_links = page.linked
     words = [["w:" + w.lower() for w in _WORD.findall(a)] + ["name:" + w for w in a.lower().split()] if a else [] for a in page.attributes]
+    inside: list[frozenset[str]] = []
     for i, tag in enumerate(page.tag):
         size = page.size[i]
+        tag = tag if i else "body"  # text outside of all elements is the body's own
         mine = ["bias", "tag:" + tag]
         mine += words[i]
+        held = inside[page.parent[i]] if i else frozenset()
+        inside.append(held | {tag} if tag in ASIDE else held)
+        mine += ["in:" + t for t in sorted(held)]
         up = page.parent[i]
         for _ in range(2):  # the words of parent and grandparent
             if up > 0:
@@ -262,8 +270,9 @@ def train(sources: Iterable[str], epochs: int = EPOCHS, rate: float = 0.3, decay
     return model
 
 
+@functools.cache
 def default_model(pages: int = PAGES) -> Model:
-    """Trained on so many generated pages, the same each time."""
+    """Trained on so many generated pages, the same each time and kept for later calls."""
     return train(labelled_page(i) for i in range(pages))
 
 

@@ -35,21 +35,40 @@ def _junk(r: random.Random) -> str:
             lambda: f'<div class="{name(["ad", "advert", "promo", "sponsor"])}"><p>{w(2, 40)}</p></div>',
             lambda: f'<div class="{name(["cookie", "cookie-notice", "notice", "consent", "alert", "newsletter", "subscribe", "popup", "modal", "gdpr", "disclaimer", "paywall"])}"><p>{w(4, 40)}</p><button>{w(1, 2)}</button></div>',
             lambda: f'<form action="/q" class="{name(["search", "login", "contact", ""])}"><label>{w(1, 3)}</label><input name="q"><select><option>{w(1, 2)}</option></select><p>{w(1, 20)}</p><button>{w(1, 2)}</button></form>',
+            lambda: f'<aside class="{name(["", "", "pull", "box"])}">{w(1, 3)}: <a href="/r">{w(1, 4)}</a> {w(1, 12)}</aside>',
+            lambda: f'<aside><p>{w(2, 40)}</p></aside>',
+            lambda: f'<form><p>{w(1, 6)}</p><input></form>',
+            lambda: f'<form method="post"><fieldset><legend>{w(1, 3)}</legend><div><label>{w(1, 3)}</label><input></div><div><p>{w(2, 30)}</p></div></fieldset><div><p>{w(1, 12)}</p><button>{w(1, 2)}</button></div></form>',
             lambda: f'<div class="{name(["share", "social", "tags", "meta", "toolbar", "pagination"])}"><a href="#">{w(1, 2)}</a> <a href="#">{w(1, 2)}</a></div>',
         ]
     )()
 
 
 def _comments(r: random.Random) -> str:
-    one = lambda: f'<div class="{r.choice(["comment", "comment-body", "reply"])}"><p>{_words(r, r.randint(2, 60))}</p></div>'
-    if r.random() < 0.3:
-        one = lambda: f'<p>{_words(r, r.randint(1, 60))}</p>'
-    tag, name = r.choice([("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("ol", "commentlist"), ("div", "disqus"), ("section", "responses")])
-    return f'<{tag} {r.choice(["class", "id"])}="{name}"><h3>{_words(r, 2)}</h3>' + "".join(one() for _ in range(r.randint(1, 4))) + f"</{tag}>"
+    """A thread of reader comments: named or plain entries, as blocks, items or articles, some with replies inside."""
+    entry = r.choice(["div", "div", "li", "article", "p"])
+    named = r.random() < 0.6
+
+    def one(depth: int = 0) -> str:
+        name = r.choice(["comment", "comment-body", "reply", "post-reply", "thread-item", "reader-comment", "message"])
+        text = _words(r, r.randint(1, 60))
+        if entry == "p":
+            return f"<p>{text}</p>"
+        inner = f"<p>{text}</p>" if r.random() < 0.6 else text
+        if r.random() < 0.4:
+            inner = f'<div class="{r.choice(["author", "meta", "byline"])}">{_words(r, r.randint(1, 3))}</div>' + inner
+        if depth < 2 and r.random() < 0.25:
+            inner += f'<ul class="{r.choice(["replies", "children"])}"><li>{_words(r, r.randint(1, 30))}</li></ul>' if entry == "li" else one(depth + 1)
+        return f'<{entry} class="{name}">{inner}</{entry}>' if named else f"<{entry}>{inner}</{entry}>"
+
+    tag = r.choice(["ol", "ul"]) if entry == "li" else r.choice(["section", "section", "div"])
+    name = r.choice("comments comment-list commentlist disqus responses discussion thread replies feedback reader-comments conversation respond talkback".split())
+    head = "" if entry == "li" or r.random() < 0.3 else f"<h3>{_words(r, 2)}</h3>"
+    return f'<{tag} {r.choice(["class", "id"])}="{name}">{head}' + "".join(one() for _ in range(r.randint(1, 5))) + f"</{tag}>"
 
 
 def _footer(r: random.Random) -> str:
-    tag = r.choice(['footer', 'footer', 'div class="footer"', 'div id="footer"', 'footer class="site-footer"'])
+    tag = r.choice(["footer", "footer", *(f'div {r.choice(["class", "id"])}="{n}"' for n in ("footer", "footer", "ft", "copyright", "colophon", "legal", "bottom")), 'footer class="site-footer"'])
     inner = f"&copy; {_words(r, r.randint(1, 30))}"
     if r.random() < 0.5:
         inner = f"<p>{inner}</p><ul>{_links(r, r.randint(0, 4))}</ul>"
@@ -113,11 +132,14 @@ def labelled_page(seed: int) -> str:
     r = random.Random(seed)
     shell = r.choice(["article"] * 5 + ["main", 'div class="content"', 'div id="main-content"', 'div class="post-body"', 'div class="article-text"', 'div class="entry"'])
     body = f'<{shell} data-y="1">{_content(r)}</{shell.split()[0]}>'
-    if r.random() < 0.1:  # no element of its own around the content
+    own = r.random() < 0.06  # text that stands in the body itself is content where the page says nothing else
+    if own:
+        body = "".join(_words(r, r.randint(3, 60)) + r.choice(["<p data-y=\"1\">" + _words(r, r.randint(2, 40)) + "</p>", "<hr>"]) for _ in range(r.randint(1, 4))) + _words(r, r.randint(2, 20))
+    elif r.random() < 0.1:  # no element of its own around the content
         body = _content(r)
     if r.random() < 0.3:
         body = f"<main>{_junk(r) if r.random() < 0.4 else ''}{body}</main>"
     before = "".join(_junk(r) for _ in range(r.randint(0, 4)))
     after = "".join(_junk(r) for _ in range(r.randint(0, 2))) + (_comments(r) if r.random() < 0.3 else "") + (_footer(r) if r.random() < 0.9 else "")
-    wrap = ("<div>", "</div>") if r.random() < 0.3 else ('<div class="container">', "</div>") if r.random() < 0.2 else ("", "")
-    return f"<!DOCTYPE html><html><head><title>{_words(r, 4)}</title><style>p{{}}</style><script>x()</script></head><body>{wrap[0]}{before}{body}{after}{wrap[1]}</body></html>"
+    wrap = ("", "") if own else ("<div>", "</div>") if r.random() < 0.3 else ('<div class="container">', "</div>") if r.random() < 0.2 else ("", "")
+    return f"<!DOCTYPE html><html><head><title>{_words(r, 4)}</title><style>p{{}}</style><script>x()</script></head><body{' data-y="1"' if own else ''}>{wrap[0]}{before}{body}{after}{wrap[1]}</body></html>"
