@@ -46,29 +46,30 @@ class Options:
     pis_floor: int = 0
 
 
-def screen_steps(trees: DataFrame, reference: DataFrame) -> DataFrame:
-    """marker_id, verdict, n_shared, nrf, quartet of each gene tree against one reference tree. Only legal pairs are measured."""
-    named = trees.select(F.col("marker_id").cast("string").alias("tree_id"), "newick")
-    every = named.unionByName(reference.select(F.lit("#reference").alias("tree_id"), "newick"))
-    pairs = named.select(F.lit("#reference").alias("a"), F.col("tree_id").alias("b"))
-    nodes = saved(R.nodes(every), "nodes")  # parsed once
+def screen_steps(trees: DataFrame, references: DataFrame) -> DataFrame:
+    """reference, marker_id, verdict, n_shared, nrf, quartet of each gene tree (marker_id, newick) against each reference tree
+    (reference, newick; a configured few). Every tree is parsed once, all pairs are one plan; only legal pairs are measured."""
+    gene = trees.select(F.concat(F.lit("g:"), F.col("marker_id").cast("string")).alias("tree_id"), "newick")
+    known = references.select(F.concat(F.lit("r:"), "reference").alias("tree_id"), "newick")
+    pairs = gene.select(F.col("tree_id").alias("b")).crossJoin(F.broadcast(known.select(F.col("tree_id").alias("a")))).select("a", "b")
+    nodes = saved(R.nodes(gene.unionByName(known)), "nodes")
     readable = nodes.where("parent_id is null").select(F.col("tree_id").alias("b"), F.lit(True).alias("readable"))
     verdict = F.when(F.col("readable"), F.col("verdict")).when(F.col("verdict") == "MALFORMED", "MALFORMED").otherwise("GENE_TREE_MALFORMED")
     verdicts = saved(R.legality(nodes, pairs).join(readable, "b", "left").withColumn("verdict", verdict).drop("readable"), "verdicts")  # read many times below
     legal = verdicts.where("verdict = 'LEGAL'").select("a", "b")
     measured = R.rf_distance(legal, nodes).join(R.quartet_agreement(legal, nodes, drawn=1000).select("a", "b", "agreement"), ["a", "b"])
     out = verdicts.join(measured, ["a", "b"], "left")
-    return saved(out.select(F.col("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet")), "steps")  # a row a marker, read by many products
+    name = lambda c: F.substr(F.col(c), F.lit(3))
+    out = out.select(name("a").alias("reference"), name("b").alias("marker_id"), "verdict", "n_shared", F.col("normalized_rf").alias("nrf"), F.col("agreement").alias("quartet"))
+    return saved(out, "steps")  # a row a marker and reference, read by many products
 
 
-def consistency_screen(trees: DataFrame, coalescent: DataFrame | None, concat: DataFrame | None, sites: DataFrame | None, stringency: int, min_pis: int) -> DataFrame:
-    """marker_id, grade, strengths of both legs: each gene tree against two reference trees. Refused unless all of its inputs are there."""
-    lacking = D.prerequisites({"coalescent tree": coalescent is not None, "concatenated tree": concat is not None, "alignment": sites is not None})
-    if lacking:
-        raise ValueError(f"the consistency screen lacks: {', '.join(lacking)}")
-    a, b = (screen_steps(trees, t).select("marker_id", F.col("nrf").alias("nrf_" + x), F.col("quartet").alias("quartet_" + x)) for x, t in (("a", coalescent), ("b", concat)))
-    legs = a.join(b, "marker_id").join(sites.select(F.col("marker_id").cast("string").alias("marker_id"), "pis"), "marker_id", "left")
-    return D.consistency(legs, stringency, min_pis)
+def consistency_screen(steps: DataFrame, sites: DataFrame, stringency: int, min_pis: int) -> DataFrame:
+    """marker_id, grade, strengths of both legs, from the steps against the references "coalescent" and "concat"."""
+    leg = lambda which, x: F.max(F.when(F.col("reference") == which, F.struct("nrf", "quartet"))).alias(x)
+    legs = steps.groupBy("marker_id").agg(leg("coalescent", "a"), leg("concat", "b"))
+    legs = legs.select("marker_id", *[F.col(x)[m].alias(f"{m}_{x}") for x in "ab" for m in ("nrf", "quartet")])
+    return D.consistency(legs.join(sites.select(F.col("marker_id").cast("string").alias("marker_id"), "pis"), "marker_id", "left"), stringency, min_pis)
 
 
 def conflict(measured: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def unreadable(named: DataFrame, clades: DataFrame, rules: DataFrame) -> DataFra
 def run(
     hits: DataFrame, genomes: DataFrame, quality: DataFrame, lineages: DataFrame, aln: DataFrame | None = None, trees: DataFrame | None = None, reference: DataFrame | None = None, options: Options = Options(), concat: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Products by name. hits are kept, as three products read them. trees: marker_id, newick; reference, concat: one newick
+    """Products by name. hits are read by three products: give a stored table. trees: marker_id, newick; reference, concat: one newick
     (the species tree, and the concatenated one for the consistency screen); lineages: tip, lineage.
 
     A reference that is no legal tree for a marker rejects it: rejected is neither measured nor guessed.
@@ -98,22 +99,26 @@ def run(
     floor = row.score_floor if options.score_floor is None else options.score_floor
     low = row.min_occupancy if options.min_occupancy is None else options.min_occupancy
     most = row.max_markers if options.max_markers is None else options.max_markers
-    hits = hits.persist()
     states = O.gene_states(hits, floor)
     occ = O.occupancy(states, genomes)
     pick = {"greedy": lambda: M.greedy(occ, None, low, most), "rate_balanced": lambda: M.rate_balanced(occ, low, most), "sparse_optimized": lambda: M.sparse_optimized(occ, most), "info_max": lambda: M.info_max(states, occ, low, most)}
     out |= {"occupancy": occ, "selected": M.required(pick[options.strategy]().select("marker_id")), "best_hits": M.best_hits(hits)}
     if aln is not None:
-        out |= {"sites": A.site_counts(aln).persist(), "composition": A.composition_report(aln), "supermatrix": A.supermatrix(aln)}
+        out |= {"sites": saved(A.site_counts(aln), "sites"), "composition": A.composition_report(aln), "supermatrix": A.supermatrix(aln)}
     if trees is not None:
         named = trees.select(F.col("marker_id").alias("tree_id"), "newick")
         clades = R.clades(named)
         taxa = T.parse_table(lineages)
         spread = [c for c in ("genus", "order") if c in taxa.columns]
         far = bool(len(spread) == 2 and T.far_distance(taxa, *spread).first().far) if options.far is None else options.far
+        lacking = D.prerequisites({"coalescent tree": reference is not None, "alignment": aln is not None})
+        if concat is not None and lacking:  # refused before anything is measured
+            raise ValueError(f"the consistency screen lacks: {', '.join(lacking)}")
         if reference is not None:
-            steps = screen_steps(trees, reference)
-            out["steps"] = steps
+            named_as = lambda df, name: df.select(F.lit(name).alias("reference"), "newick")
+            every = named_as(reference, "coalescent")
+            measured = screen_steps(trees, every if concat is None else every.unionByName(named_as(concat, "concat")))
+            out["steps"] = steps = measured.where("reference = 'coalescent'").drop("reference")
             out["evaluations"] = D.evaluate(steps, options.level1_max, options.level2_max, far)
         else:  # without a species tree the taxonomy decides
             screen = D.taxonomy_screen(R.monophyly(R.nodes(named), T.long(taxa)), T.scope_rank(R.tips(clades), taxa), options.rank)
@@ -122,6 +127,7 @@ def run(
             out["evaluations"] = screen.select(F.col("tree_id").alias("marker_id"), risk.alias("risk"), reason.alias("reason"), "test_rank", "n_total", "n_mono").withColumns(
                 {"level": D.level(F.col("risk"), options.level1_max, options.level2_max, far), "confidence": D.confidence(F.col("risk"), options.level1_max, options.level2_max, F.lit("monophyly_only"))}
             )
+        out["evaluations"] = saved(out["evaluations"], "evaluations")  # a row a marker, read by all that follows
         out["report"] = D.report(out["evaluations"])
         out["reasons"] = D.reasons(out["evaluations"])
         out["threshold_scan"] = D.threshold_scan(out["evaluations"], D.bands(spark, list(options.bands)))
@@ -130,7 +136,7 @@ def run(
             rules = spark.createDataFrame(list(options.rules), "rule string, relation string, level string, min_taxa int")
             out["must_pass"] = T.must_pass(clades, R.tips(clades), taxa, rules).unionByName(unreadable(named, clades, rules))
         if concat is not None:
-            out["consistency"] = consistency_screen(trees, reference, concat, out.get("sites"), options.stringency, options.pis_floor)
+            out["consistency"] = consistency_screen(measured, out["sites"], options.stringency, options.pis_floor)
             out["hybrid"] = D.hybrid(out["evaluations"].withColumn("marker_id", F.col("marker_id").cast("string")), out["consistency"])
             species = lambda df: df.select(F.lit("species").alias("tree_id"), "newick")
             out["conflict"] = saved(conflict(R.conflicts(species(concat), species(reference))), "conflict")
@@ -144,7 +150,7 @@ def run(
         judged = out["evaluations"].withColumn("marker_id", text)
         if "sites" in out:
             out["evaluations"] = judged = D.pis_floor(judged.join(out["sites"].select(text, "pis"), "marker_id", "left"), options.pis_floor)
-        out["evaluations"] = judged = judged.persist()
+        out["evaluations"] = judged
         lengths = Q.length_coherence(out["best_hits"])
         scores = occ.join(Q.hmm_score(hits), "marker_id").join(lengths, "marker_id").withColumn("marker_id", text)
         support = trees.select(text, mean_support(F.col("newick")).alias("informativeness"))  # of the marker's own gene tree; the screen's measures are in the risk already
