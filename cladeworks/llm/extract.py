@@ -13,7 +13,7 @@ task, in time and memory in proportion to its length, without recursion.
 
 Defined cases: null html is the empty page and gives the empty text; broken markup closes as browsers do in the common
 cases; an element that is never closed ends with its parent; repeated rows extract alike; an empty table gives an empty
-result. Extra columns pass through; text and n_chars are replaced.
+result. A form around an article, main or h1 wraps the page and counts as a plain container. Extra columns pass through; text and n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -57,6 +57,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 GROUPS = {**dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 1), **dict.fromkeys("p pre blockquote".split(), 2), **dict.fromkeys("li ul ol dl dt dd table tbody tr td th".split(), 3), **dict.fromkeys("figure figcaption".split(), 4)}
 N_GROUPS = 5
 ASIDE = frozenset("nav aside form footer".split())  # elements that tell of all they hold, however deep
+WRAPPED = frozenset("article main h1".split())  # no form of an article holds these
 PAGES, EPOCHS = 800, 12
 
 
@@ -169,9 +170,15 @@ def features(page: Page) -> list[list[str]]:
     n_links = page.linked
     words = [["w:" + w.lower() for w in _WORD.findall(a)] + ["name:" + w for w in a.lower().split()] if a else [] for a in page.attributes]
     inside: list[frozenset[str]] = []
-    for i, tag in enumerate(page.tag):
+    tags = ["body", *page.tag[1:]]  # text outside of all elements is the body's own
+    wraps = [tag in WRAPPED for tag in tags]
+    for i in range(len(tags) - 1, 0, -1):
+        if wraps[i]:
+            wraps[page.parent[i]] = True
+            if tags[i] == "form":  # it holds the page's article: a wrapper, no form
+                tags[i] = "div"
+    for i, tag in enumerate(tags):
         size = page.size[i]
-        tag = tag if i else "body"  # text outside of all elements is the body's own
         mine = ["bias", "tag:" + tag]
         mine += words[i]
         held = inside[page.parent[i]] if i else frozenset()
@@ -181,7 +188,7 @@ def features(page: Page) -> list[list[str]]:
         for _ in range(2):  # the words of parent and grandparent
             if up > 0:
                 mine += ["above:" + w for w in words[up]]
-                mine.append("under:" + page.tag[up])
+                mine.append("under:" + tags[up])
                 up = page.parent[up]
         if size:
             mine.append(f"size:{min(8, int(math.log2(size)))}")

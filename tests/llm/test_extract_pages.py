@@ -39,3 +39,9 @@ def test_text_of_the_body_itself_stays():
 def test_sections_tables_and_quotes_of_the_article_stay():
     page = "<body><div id='wrap'><main><h1>Salt</h1><section><h2>Uses</h2><p>For food.</p><blockquote>As good as salt</blockquote></section><table><tr><td>Sea</td><td>35 g</td></tr></table></main><footer><p>All rights reserved</p></footer></div></body>"
     assert extract.default_model().text(page).split("\n") == ["Salt", "Uses", "For food.", "As good as salt", "Sea", "35 g"]
+
+
+@pytest.mark.parametrize("shell", ["article", "main", "div"])
+def test_a_form_around_the_whole_page_hides_nothing(shell):
+    page = f"<body><form id='aspnetForm'><nav><a href='/'>Home</a></nav><{shell}>{ARTICLE}{INNER['form']}</{shell}></form></body>"
+    assert extract.default_model().text(page).split("\n") == KEPT
