@@ -63,3 +63,9 @@ def test_parts_of_runs_and_of_rows(spark, drawn, kind):
     assert got == {k: s for k, s in want.items() if s}
     runs = {(x.marker_id, x.taxon): x.seq for x in A.split_concatenated(A.concatenated(df), table).collect()}
     assert {k: s.rstrip("-") for k, s in runs.items() if s.rstrip("-")} == {k: s.rstrip("-") for k, s in want.items() if s.rstrip("-")}
+
+
+def test_no_query_writes_the_gaps_out(spark, monkeypatch):
+    """Rows times sites of text are made by neither query."""
+    monkeypatch.setattr(marker_queries.A, "supermatrix", None)
+    assert registry.QUERIES["supermatrix"](spark, SF).count() == 200 and registry.QUERIES["split_concatenated"](spark, SF).count() > 100
