@@ -9,9 +9,10 @@ at once with confidence 1 - delta. The first step that fails ends the path (a fi
 Of those that passed, the one is taken that gains most on the holdout. A stratum with too few labels certifies nothing
 and loses nothing but the base failures: with delta 0.05 over s strata and risk 0.05 it needs ln(s / 0.05) / 0.051 good ones.
 
-Every labelled document of the holdout counts: its step is found where it is, and steps are summed. The path is laid on
-at most PATH_ROWS documents of the other half, chosen by hash; the driver sees these rows of small numbers, and one
-number a stratum, label and step.
+Every labelled document counts, on both halves: documents are counted by kind (stratum, label, and how many cutoffs of
+each rule they exceed), the path is laid on all kinds of one half, and the steps of the other half's are summed. Up to
+DRIVER_KINDS kinds the driver sees the kinds of the first half; beyond, it sees for each step of the path the sums by
+stratum, rule and number of cutoffs, which give the same path.
 
 Defined cases: null or empty text has no words and fails the base rule; a null language is a stratum of its own; a
 document labelled both ways, or without label, calibrates nothing; repeated rows are judged alike; no labels or no
@@ -21,7 +22,9 @@ named like the ones that are added are replaced.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -159,27 +162,45 @@ def stratum() -> Column:
     return F.when(F.col("lang").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("lang")))
 
 
-def tighter(buckets: np.ndarray, label: np.ndarray, sizes: list[int], price: float) -> list[list[int]]:
-    """The path: for each step how many cutoffs of each rule hold. buckets: of a row a document and a column a rule, how many cutoffs it exceeds."""
-    steps, now, out = [0] * len(sizes), [], np.zeros(len(label), bool)
-    worth = np.where(label == 0, 1.0, -price)
+def next_step(sums: list[np.ndarray], steps: list[int]) -> list[int] | None:
+    """The steps after tightening the rule that gains most, None if none gains. sums: for each rule, by how many of its cutoffs documents exceed, the worth of those that pass yet."""
+    best = (0.0, None)
+    for r, (worth, held) in enumerate(zip(sums, steps)):
+        size = len(worth) - 1
+        gains = np.cumsum(worth[::-1])[::-1]  # of rejecting so many or more
+        for bucket in range(size - held, 0, -1):  # from lenient to strict
+            if gains[bucket] > best[0]:
+                best = (float(gains[bucket]), (r, size - bucket + 1))
+    return None if best[1] is None else [best[1][1] if r == best[1][0] else held for r, held in enumerate(steps)]
+
+
+def tighter(buckets: np.ndarray, worth: np.ndarray, sizes: list[int]) -> list[list[int]]:
+    """The path: for each step how many cutoffs of each rule hold. buckets: of a row a kind and a column a rule, how many cutoffs it exceeds."""
+    now: list[list[int]] = []
+    left = np.ones(len(worth), bool)
+    while (steps := next_step([np.bincount(buckets[left, r], worth[left], size + 1) for r, size in enumerate(sizes)], now[-1] if now else [0] * len(sizes))) is not None:
+        now.append(steps)
+        left &= (buckets <= np.array(sizes) - np.array(steps)).all(1)
+    return now
+
+
+def tighter_by_sums(kinds: DataFrame, names: list[str], sizes: list[int]) -> dict[str, list[list[int]]]:
+    """tighter() of each stratum where there are too many kinds for the driver: it gets their sums, once a step."""
+    bucket = F.posexplode(F.array(*names)).alias("rule", "bucket")
+    paths: dict[str, list[list[int]]] = {}
+    open_ = kinds
     while True:
-        best = (0.0, None)
-        for r, size in enumerate(sizes):
-            left = buckets[~out, r]
-            left = left[left <= size - steps[r]]
-            if not len(left[left > 0]):
-                continue
-            for bucket in np.unique(left[left > 0])[::-1]:  # from lenient to strict
-                gain = float(worth[~out & (buckets[:, r] >= bucket)].sum())
-                if gain > best[0]:
-                    best = (gain, (r, size - int(bucket) + 1))
-        if best[1] is None:
-            return now
-        r, strict = best[1]
-        steps[r] = strict
-        out |= buckets[:, r] >= sizes[r] - strict + 1
-        now.append(list(steps))
+        sums: dict = {}
+        for x in open_.select("stratum", "worth", bucket).groupBy("stratum", "rule", "bucket").agg(F.sum("worth").alias("worth")).collect():  # strata * cutoffs at most
+            sums.setdefault(x.stratum, [np.zeros(size + 1) for size in sizes])[x.rule][x.bucket] = x.worth
+        going = {s: steps for s, own in sums.items() if (steps := next_step(own, paths[s][-1] if s in paths else [0] * len(sizes))) is not None}
+        if not going:
+            return paths
+        for s, steps in going.items():
+            paths.setdefault(s, []).append(steps)
+        most = F.element_at(F.create_map(*[F.lit(x) for s in sorted(going) for x in (s, [size - n for size, n in zip(sizes, going[s])])]), F.col("stratum"))
+        within = [F.col(rule) <= F.get(most, F.lit(r)) for r, rule in enumerate(names)]
+        open_ = kinds.where(F.col("stratum").isin(sorted(going))).where(functools.reduce(operator.and_, within))
 
 
 def first_steps(path: list[list[int]], sizes: list[int]) -> list[list[int]]:
@@ -187,36 +208,37 @@ def first_steps(path: list[list[int]], sizes: list[int]) -> list[list[int]]:
     return [[next((k for k, step in enumerate(path) if bucket >= size - step[r] + 1), len(path)) for bucket in range(size + 1)] for r, size in enumerate(sizes)]
 
 
-PATH_ROWS = 50_000
+DRIVER_KINDS = 200_000
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05, price: float = 50.0, path_rows: int = PATH_ROWS) -> dict[str, dict[str, float]]:
+def calibrate(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05, price: float = 50.0, driver_kinds: int = DRIVER_KINDS) -> dict[str, dict[str, float]]:
     """Certified cutoffs by stratum and rule; a rule without one is absent."""
     work = Workspace(docs.sparkSession, "quality")
     known = with_counts(labelled(docs.select("doc_id", "text", "lang"), labels, "quality")).where(~base_failed())
     # a score's bucket: how many cutoffs it exceeds; it exceeds cutoff i, lenient first, if that is len(cuts) - i or more
     buckets = [sum((score > c).cast("int") for c in cuts).alias(rule) for rule, (score, cuts) in rules().items()]
     half = F.crc32(F.col("doc_id").cast("string")) % 2
-    known = work.save(known.select(stratum().alias("stratum"), "label", half.alias("half"), F.xxhash64("doc_id").alias("by"), *buckets), "buckets")
     names, sizes = list(rules()), [len(cuts) for _, cuts in rules().values()]
-    laying = known.where("half = 0")
-    n = laying.count()
-    if n > path_rows:
-        laying = laying.where(F.pmod("by", F.lit(1_000_000)) < int(1_000_000 * path_rows / n))
-    laid = defaultdict(list)
-    for row in laying.select("stratum", "label", *names).collect():  # about path_rows
-        laid[row.stratum].append(row[1:])
-    paths = {s: path for s, rows in laid.items() if (path := tighter(np.array(rows)[:, 1:], np.array(rows)[:, 0], sizes, price))}
+    known = known.select(stratum().alias("stratum"), "label", half.alias("half"), *buckets)
+    known = work.save(known.groupBy("stratum", "label", "half", *names).agg(F.count(F.lit(1)).alias("n")), "kinds")
+    laying = known.where("half = 0").select("stratum", (F.col("n") * F.when(F.col("label") == 0, 1.0).otherwise(-price)).alias("worth"), *names)
+    if laying.count() <= driver_kinds:
+        laid = defaultdict(list)
+        for row in laying.collect():
+            laid[row[0]].append(row[1:])
+        paths = {s: path for s, rows in laid.items() if (path := tighter(np.array([x[1:] for x in rows]), np.array([x[0] for x in rows]), sizes))}
+    else:
+        paths = tighter_by_sums(laying, names, sizes)
     found: dict[str, dict[str, float]] = {}
     if paths:
         arrays = {s: first_steps(path, sizes) for s, path in paths.items()}
         at = F.element_at(F.create_map(*[F.lit(x) for s in sorted(arrays) for x in (s, sum(arrays[s], []))]), F.col("stratum"))
         start = np.concatenate([[0], np.cumsum([size + 1 for size in sizes])])
         step = F.least(*[F.get(at, F.col(rule) + int(start[r])) for r, rule in enumerate(names)])
-        counts = known.where("half = 1").where(F.col("stratum").isin(sorted(paths))).groupBy("stratum", "label", step.alias("step")).count()
+        counts = known.where("half = 1").where(F.col("stratum").isin(sorted(paths))).groupBy("stratum", "label", step.alias("step")).agg(F.sum("n").alias("n"))
         seen: dict = defaultdict(dict)
         for r in counts.collect():  # strata * 2 * steps at most
-            seen[r.stratum, int(r.label)][r.step] = r["count"]
+            seen[r.stratum, int(r.label)][r.step] = r.n
         for s, path in paths.items():
             good, bad = seen[s, 1], seen[s, 0]
             total, lost, won, best = sum(good.values()), 0, 0, (0.0, None)
@@ -227,7 +249,7 @@ def calibrate(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: flo
                 if won - price * lost > best[0]:
                     best = (won - price * lost, steps)
             found[s] = {rule: rules()[rule][1][n - 1] for rule, n in zip(names, best[1] or []) if n}
-    work.drop("buckets")
+    work.drop("kinds")
     return found
 
 
