@@ -43,8 +43,9 @@ def inputs(spark: SparkSession, source: str, config: dict) -> tuple[DataFrame, D
 def panels(genomes: DataFrame, hits: DataFrame) -> DataFrame:
     """The rows of the output."""
     params = Q.adaptive_params(genomes, BY)
-    own = hits.join(genomes.select("genome_id", "clade"), "genome_id").join(params.select("clade", "score_floor"), "clade")
-    states = O.gene_states(own, F.col("score_floor"), BY)
+    # a clade's floor goes to its genomes, a row each, and from there to hits by genome: hits are never dealt by clade
+    floors = genomes.select("genome_id", "clade").join(params.select("clade", "score_floor"), "clade")
+    states = O.gene_states(hits.join(floors, "genome_id"), F.col("score_floor"), BY)
     panel = M.greedy_by(O.occupancy(states, genomes, BY), params, BY)
     found = states.where("state <> 'absent'").join(panel, [*BY, "marker_id"])
     best = M.best_hits(hits).select("genome_id", "marker_id", "target", "score", "length")
