@@ -27,6 +27,7 @@ from cladeworks.operators import selection as M
 from .common import log, main, view, written
 
 BY = ("clade",)
+HITS_A_TASK = 500_000  # what a task sorts; more hits are more tasks
 
 
 def inputs(spark: SparkSession, source: str, config: dict) -> tuple[DataFrame, DataFrame]:
@@ -36,8 +37,10 @@ def inputs(spark: SparkSession, source: str, config: dict) -> tuple[DataFrame, D
     if config["only"]:
         genomes = genomes.where(F.col("clade").isin(*config["only"]))
     hits = read("hits_table", "hits")
-    log.info("read %d genomes of %s and %d hits of %s in %s", genomes.count(), config["genomes_table"], hits.count(), config["hits_table"], source)
-    return genomes.select("genome_id", "clade", "completeness", "contamination"), hits
+    n = hits.count()
+    log.info("read %d genomes of %s and %d hits of %s in %s", genomes.count(), config["genomes_table"], n, config["hits_table"], source)
+    dealt = hits.repartition(max(spark.sparkContext.defaultParallelism, -(-n // HITS_A_TASK)), "genome_id")  # states and best hits need no other order
+    return genomes.select("genome_id", "clade", "completeness", "contamination"), dealt
 
 
 def panels(genomes: DataFrame, hits: DataFrame) -> DataFrame:

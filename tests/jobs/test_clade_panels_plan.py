@@ -24,3 +24,10 @@ def test_hits_are_not_joined_by_clade(spark):
                         break
                     assert not ("Join" in above and "clade" in above), above
     assert seen >= 2
+
+
+def test_tasks_grow_with_the_hits(spark, monkeypatch):
+    """No task gets more than about HITS_A_TASK hits, and no other shuffle deals them anew."""
+    monkeypatch.setattr(clade_panels, "HITS_A_TASK", 100)
+    _, hits = clade_panels.inputs(spark, SF, configured("clade_panels"))
+    assert hits.rdd.getNumPartitions() == -(-hits.count() // 100) > 8
